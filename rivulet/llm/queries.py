@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rivulet.llm import chat, mixing, quality_rules
+from rivulet.llm import chat, mixing, quality_rules, spm, topk
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -20,6 +20,21 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(_read(spark, sf_dir, "documents"))
 
 
+def op3_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.search(_read(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+def public_model() -> str:
+    """Path of the public SentencePiece model."""
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
+def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spm.digests(_read(spark, sf_dir, "documents"), public_model())
+
+
 #: What the extra conversation -1 says, in both turns.
 CONTROL_TEXT = "</s>[INST] ok [/INST]"
 
@@ -34,7 +49,34 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_mix_sources": op1_mix_sources,
     "op5_quality_rules": op5_quality_rules,
+    "op3_topk_search": op3_topk_search,
+    "op8_sentencepiece": op8_sentencepiece,
     "op10_chat_format": op10_chat_format,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op3_topk_search": """
+WITH f AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS DOUBLE)) AS v
+  FROM embeddings WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT q.vec_id AS query_id, c.vec_id AS vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+  FROM f q JOIN f c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id
+), r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
+""",
+    "op10_chat_format": r"""
+WITH r AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'
+), e AS (
+  SELECT *, regexp_replace(replace(text, '\', '\\'), '(<)(\|turn\|>|\|body\|>|\|end\|>|\|image\|>|\|audio\|>|\|document\|>|s>|/s>|<SYS>>|</SYS>>|\|im_start\|>|\|im_end\|>|\|endoftext\|>)|(\[)(INST\]|/INST\])', '\1\3\\\2\4', 'g') AS escaped FROM r
+)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, escaped)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn, escaped) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(length('<|turn|>') + length(role) + length('<|body|>') + length(escaped) + length('<|end|>')) AS BIGINT) AS formatted_chars
+FROM e GROUP BY conv_id
+""",
+}
