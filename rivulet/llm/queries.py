@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rivulet.llm import chat, mixing, quality_rules, spm, topk
+from rivulet.llm import chat, mixing, probminhash, quality_rules, spm, topk
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -35,6 +35,10 @@ def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spm.digests(_read(spark, sf_dir, "documents"), public_model())
 
 
+def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return probminhash.classes(_read(spark, sf_dir, "documents"))
+
+
 #: What the extra conversation -1 says, in both turns.
 CONTROL_TEXT = "</s>[INST] ok [/INST]"
 
@@ -51,6 +55,7 @@ QUERIES = {
     "op5_quality_rules": op5_quality_rules,
     "op3_topk_search": op3_topk_search,
     "op8_sentencepiece": op8_sentencepiece,
+    "op9_near_duplicates": op9_near_duplicates,
     "op10_chat_format": op10_chat_format,
 }
 
