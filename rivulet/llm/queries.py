@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rivulet.llm import chat, mixing, probminhash, quality_rules, spm, topk
+from rivulet.llm import chat, importance, mixing, probminhash, quality_rules, spm, topk
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -24,6 +24,10 @@ def op3_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.search(_read(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
 
 
+def op6_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.classify(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
+
+
 def public_model() -> str:
     """Path of the public SentencePiece model."""
     import public_tokenizers
@@ -54,6 +58,7 @@ QUERIES = {
     "op1_mix_sources": op1_mix_sources,
     "op5_quality_rules": op5_quality_rules,
     "op3_topk_search": op3_topk_search,
+    "op6_importance_resampling": op6_importance_resampling,
     "op8_sentencepiece": op8_sentencepiece,
     "op9_near_duplicates": op9_near_duplicates,
     "op10_chat_format": op10_chat_format,
