@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rivulet.llm import chat, importance, mixing, probminhash, quality_rules, spm, topk
+from rivulet.llm import chat, importance, lbl, mixing, probminhash, quality_rules, spm, topk, toxicity
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -16,6 +16,10 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_read(spark, sf_dir, "documents"))
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(_read(spark, sf_dir, "documents"))
 
@@ -28,6 +32,10 @@ def op6_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return importance.classify(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
 
 
+def op7_log_bilinear(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lbl.score(_read(spark, sf_dir, "documents"))
+
+
 def public_model() -> str:
     """Path of the public SentencePiece model."""
     import public_tokenizers
@@ -56,9 +64,11 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_mix_sources": op1_mix_sources,
+    "op4_toxicity": op4_toxicity,
     "op5_quality_rules": op5_quality_rules,
     "op3_topk_search": op3_topk_search,
     "op6_importance_resampling": op6_importance_resampling,
+    "op7_log_bilinear": op7_log_bilinear,
     "op8_sentencepiece": op8_sentencepiece,
     "op9_near_duplicates": op9_near_duplicates,
     "op10_chat_format": op10_chat_format,
