@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rivulet.llm import chat, importance, lbl, mixing, probminhash, quality_rules, spm, topk, toxicity
+from rivulet.llm import chat, importance, lbl, mixing, pii, probminhash, quality_rules, spm, topk, toxicity
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -24,6 +24,10 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(_read(spark, sf_dir, "documents"))
 
 
+def op2_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find(_read(spark, sf_dir, "documents"))
+
+
 def op3_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.search(_read(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
 
@@ -63,10 +67,10 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_personal_data": op2_personal_data,
     "op1_mix_sources": op1_mix_sources,
     "op4_toxicity": op4_toxicity,
     "op5_quality_rules": op5_quality_rules,
-    "op3_topk_search": op3_topk_search,
     "op6_importance_resampling": op6_importance_resampling,
     "op7_log_bilinear": op7_log_bilinear,
     "op8_sentencepiece": op8_sentencepiece,
