@@ -42,3 +42,8 @@ def uniform(seed: int, *columns: Column) -> Column:
     """A number in (0, 1) that depends on the seed and the columns' values alone."""
     h = F.xxhash64(F.lit(seed).cast("long"), *columns)
     return (F.shiftrightunsigned(h, 11).cast("double") + F.lit(0.5)) / F.lit(float(1 << 53))
+
+
+def uniform_of(text: Column) -> Column:
+    """A number in (0, 1) from the first 52 bits of a text's MD5, which other engines have too."""
+    return (F.conv(F.substring(F.md5(text), 1, 13), 16, 10).cast("double") + F.lit(0.5)) / F.lit(float(1 << 52))

@@ -16,7 +16,7 @@ The window over sources orders one row per source, the only part that isn't deal
 Defined results
 - null text: 0 words; such documents are taken in whole copies, the rest by rank like others, at 0 words.
 - null source: a source of its own, last in order. Null preference: 1.
-- random numbers depend on seed, id and text alone, so reruns agree, and repeated rows share their rank: all or
+- random numbers depend on seed, id and size alone, so reruns agree, and repeated rows share their rank: all or
   none of them are taken. Rows that tie at the cut are all taken.
 - a source of size 0 has target 0. Empty table: empty result.
 - only the named columns are read; others can't clash.
@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rivulet.durable import stored
-from rivulet.llm.common import uniform, whole_text, word_count
+from rivulet.llm.common import uniform_of, whole_text, word_count
 
 #: Rank buckets are so many per unit of log odds; a unit holds a quarter of a source at most.
 PER_UNIT = 64
@@ -58,8 +58,14 @@ def by_length(size: Column) -> Column:
 def measured(docs: DataFrame, id_col: str, text_col: str, source_col: str, seed: int, preference=by_length) -> DataFrame:
     """doc_id, source, size, u, pref: all that the plan and the choice need of a document."""
     text = whole_text(F.col(text_col))
-    df = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).cast("string").alias("source"), word_count(text).alias("size"), uniform(seed, F.col(id_col).cast("string"), text).alias("u"))
-    return df.withColumn("pref", F.coalesce(preference(F.col("size")).cast("double"), F.lit(1.0)))
+    df = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).cast("string").alias("source"), word_count(text).alias("size"))
+    return _drawn(df, seed, preference)
+
+
+def _drawn(df: DataFrame, seed: int, preference) -> DataFrame:
+    """Adds u and pref."""
+    u = uniform_of(F.concat_ws(":", F.lit(str(seed)), F.col("doc_id").cast("string"), F.col("size").cast("string")))
+    return df.withColumn("u", u).withColumn("pref", F.coalesce(preference(F.col("size")).cast("double"), F.lit(1.0)))
 
 
 def _odds(df: DataFrame) -> Column:
@@ -149,7 +155,7 @@ def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sourc
     made = stored(plan(rows, weights, most), "mix-plan")
     whole = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("row"))
     text = whole_text(F.col(f"row.`{text_col}`"))
-    keyed = whole.select("row", F.col(f"row.`{id_col}`").alias("doc_id"), F.col(f"row.`{source_col}`").cast("string").alias("source"), word_count(text).alias("size"), uniform(seed, F.col(f"row.`{id_col}`").cast("string"), text).alias("u"))
-    keyed = keyed.withColumn("pref", F.coalesce(preference(F.col("size")).cast("double"), F.lit(1.0)))
+    keyed = whole.select("row", F.col(f"row.`{id_col}`").alias("doc_id"), F.col(f"row.`{source_col}`").cast("string").alias("source"), word_count(text).alias("size"))
+    keyed = _drawn(keyed, seed, preference)
     taken = chosen(keyed, made).where("copies > 0")
     return taken.select("row", F.explode(F.array_repeat(F.lit(0), F.col("copies").cast("int")))).select("row.*")
