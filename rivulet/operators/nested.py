@@ -43,7 +43,7 @@ def combine_pages(pages: Sequence[Mapping[str, DataFrame]]) -> dict[str, DataFra
     names = dict.fromkeys(n for p in pages for n in p if n)
     if not names:
         return None
-    return {n: reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [p[n] for p in pages if n in p]) for n in names}
+    return {n: reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [p[n].select("*") for p in pages if n in p]) for n in names}
 
 
 def from_json_text(spark: SparkSession, texts: DataFrame, col: str, schema: str | None = None) -> DataFrame | None:

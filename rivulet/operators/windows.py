@@ -18,7 +18,7 @@ def lookback_values(df: DataFrame, cols: Sequence[str], days: float, by: Sequenc
     """Adds out: a struct of cols as of `days` before each row (the last row at or before then; null if none).
 
     A range frame over (by, time): several offsets share one shuffle and one sort, and no join is made."""
-    fields = ", ".join([f"`{time}`", *(f"`{t}`" for t in tie), *(f"`{c}`" for c in cols)])
+    fields = ", ".join([f"`{time}` AS _time", *(f"`{t}` AS _tie{i}" for i, t in enumerate(tie)), *(f"`{c}`" for c in cols)])
     span = f"INTERVAL {round(days * 86400)} SECOND"
     frame = f"OVER (PARTITION BY {_quoted(by)} ORDER BY `{time}` RANGE BETWEEN UNBOUNDED PRECEDING AND {span} PRECEDING)"
     return df.withColumn(out, F.expr(f"max(struct({fields})) {frame}"))

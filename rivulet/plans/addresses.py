@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rivulet.catalog import Catalog
-from rivulet.contracts import ENTITY
+from rivulet.contracts import ENTITY, as_columns
 from rivulet.functions.text import clean, collapse, repeated_word, separators
 from rivulet.operators.asof import asof_join
 from rivulet.operators.audit import reconstruct
@@ -136,7 +136,7 @@ def reverse_census(df: DataFrame, ask: Callable[[float, float], str | None], rin
 
     lacking = F.col("tract").isNull() & F.coalesce(inside(F.col("lat"), F.col("lon"), ring), F.lit(False))
     some = memoised(df.where(lacking).select("lat", "lon").distinct(), ["lat", "lon"], run, "_tract string", catalog, name, parallel=1)
-    return df.join(some, ["lat", "lon"], "left").withColumn("tract", F.coalesce("tract", "_tract")).drop("_tract").select(*df.columns)
+    return df.join(some, ["lat", "lon"], "left").withColumn("tract", F.coalesce("tract", "_tract")).drop("_tract").select(*as_columns(df.columns))
 
 
 def normalised(df: DataFrame) -> DataFrame:
