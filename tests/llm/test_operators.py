@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from rivulet.llm import chat, importance, lbl, mixing, pii, probminhash, quality_rules, spm, topk, toxicity
 from rivulet.llm.queries import public_model
+from tests_llm_brute import base_spans, brute_classes
 
 DIR = "/root/testdata/sf0.001"
 np.seterr(over="ignore")
@@ -68,23 +69,6 @@ def test_water_fill_ties(spark):
     assert out == {"a": 10.0, "b": 10.0, "c": 40.0}
 
 
-PATTERNS = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
-
-
-def luhn(d):
-    return sum(int(c) if i % 2 == 0 else (2 * int(c) - 9 if int(c) > 4 else 2 * int(c)) for i, c in enumerate(reversed(d))) % 10 == 0
-
-
-def base_spans(text):
-    out = []
-    for kind, pattern in PATTERNS.items():
-        for m in re.finditer(pattern, text):
-            d = re.sub("[^0-9]", "", m[0])
-            if {"email": lambda: True, "ip": lambda: all(int(x) <= 255 for x in m[0].split(".")), "card": lambda: 13 <= len(d) <= 19 and luhn(d), "phone": lambda: 9 <= len(d) <= 15}[kind]():
-                out.append(f"{kind}:{m.start()}:{m.end()}")
-    return out
-
-
 CASES = ["a@b.c_d@e.f x@y.z.w", "1.2.3.4.5.6.7.8 256.1.1.1 0001.2.3.255", "4111 1111 1111 1111 4111-1111-1111-1111x", "+1 (255) 555-8013 +12 3456789 0 +1", "é😀 a@b.co 😀 4111111111111111 1.1.1.1", "+1+2+3 +12345678901234567890", "a..b@c-.d--e.f @x.y z@ a@b", "9" * 3000 + "a." * 3000 + "@b.c"]
 
 
@@ -97,7 +81,7 @@ def test_pii_base(spark, docs):
         assert set(want) <= set(r["spans"].split(","))
 
 
-@settings(max_examples=8, deadline=None)
+@settings(max_examples=4, deadline=None)
 @given(st.lists(st.text(alphabet="ab1.5@+- ()9é_%", max_size=60), min_size=20, max_size=20))
 def test_pii_base_random(spark, texts_):
     df = spark.createDataFrame(list(enumerate(texts_)), "doc_id long, text string")
@@ -257,25 +241,6 @@ def test_char_map():
     assert m.replaced("abaéc") == ("Xyyéc", [0, 2, 2, 3, 5, 6])
 
 
-def brute_classes(texts):
-    sets = {i: probminhash.shingles(t) for i, t in texts.items()}
-    ids = sorted(texts)
-    up = {i: i for i in ids}
-
-    def root(i):
-        while up[i] != i:
-            i = up[i]
-        return i
-
-    for k, i in enumerate(ids):
-        for j in ids[:k]:
-            w = [None if len(s) and c.max() == 1 else c for s, c in (sets[i], sets[j])]
-            if texts[i] == texts[j] or probminhash.similarity(sets[i][0], w[0], sets[j][0], w[1]) >= 0.8 - 1e-12:
-                a, b = sorted((root(i), root(j)))
-                up[b] = a
-    return {i: root(i) for i in ids}
-
-
 def test_near_brute_force(spark, texts):
     rng = np.random.default_rng(0)
     base = [f"w{x}" for x in rng.integers(0, 300, 150)]
@@ -308,7 +273,7 @@ def test_probability_jaccard():
     assert np.mean(agree) == pytest.approx(want, abs=0.02)
 
 
-@settings(max_examples=6, deadline=None)
+@settings(max_examples=4, deadline=None)
 @given(st.lists(st.text(alphabet="\\<s>/[INST]| endturbody", max_size=30), min_size=12, max_size=12))
 def test_chat_round_trip(spark, said):
     rows = [(0, i, "assistant" if i % 2 else "u\\ser" + t[:3], t) for i, t in enumerate(said)]
