@@ -11,10 +11,14 @@ a register with the probability that is their probability Jaccard similarity,
 plain Jaccard where no shingle repeats. Registers are banded; candidates are verified by the exact J_P.
 
 Equal texts are one node (by MD5 of the text) before anything is paired, so copies are never expanded. Within a
-bucket candidates aren't all paired either: the smallest node is compared with the others, linked ones become a
-component, and only buckets that still hold several components go on, with their next smallest nodes
-(`STARS` rounds); what then remains is compared exhaustively between components. So no pair of a bucket is
-left out unless its ends are already connected. Components come from alternating large and small stars.
+bucket candidates aren't all paired either. A node's popularity is the number of nodes in its buckets; the most popular
+node of a bucket, its centre, is compared with the others, and linked ones become components. Nodes of buckets that still
+hold several components are then compared by their rarest shingles: J_P is at most the common part of two normalised
+sets, so two sets at SIMILARITY share a shingle before either has passed 1 - SIMILARITY of its weight, in any order
+that is the same for all; in sets without repeats, of n and m shingles, before it has passed n (or m) less the least
+common number, 4 (n + m) / 9. The order puts shingles first that are rare by a count of `COUNTERS` hash classes. So
+no link between such nodes is lost, and those that are alike but for the threshold are hardly ever paired.
+Components come from alternating large and small stars.
 Everything but the compared pairs' shingles is rows of keys and hashes; nothing is collected.
 
 Defined results
@@ -37,11 +41,11 @@ from rivulet.durable import stored
 from rivulet.llm.common import whole_text
 
 SHINGLE, SIMILARITY = 5, 0.8
-#: A pair at similarity 0.8 shares no band once in 40,000.
-BANDS, ROWS = 20, 4
+#: A pair at similarity 0.8 shares no band once in 50,000; one at 0.3 (a common passage) shares one once in 40.
+BANDS, ROWS = 36, 6
 REGISTERS = BANDS * ROWS
-#: Rounds in which a bucket's smallest nodes are compared with the rest, before what remains is paired.
-STARS = 3
+#: Hash classes whose counts order shingles.
+COUNTERS = 1 << 18
 #: Shingles handled at once by a task, words whose hash it keeps.
 AT_ONCE, KEPT = 300_000, 500_000
 
@@ -213,19 +217,82 @@ def _verified(pairs: DataFrame, blobs: DataFrame) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").mapInArrow(run, "a binary, b binary")
 
 
+def _rarity(blobs: DataFrame) -> np.ndarray:
+    """How many nodes have a shingle of each hash class; COUNTERS numbers, whatever the input."""
+    import pyarrow as pa
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n = np.zeros(COUNTERS, np.int64)
+        for b in batches:
+            for s in b.column("s"):
+                np.add.at(n, (np.frombuffer(s.as_py(), np.uint64) % _U(COUNTERS)).astype(np.int64), 1)
+        at = np.flatnonzero(n)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(n[at])], ["i", "n"])
+
+    rows = blobs.select("s").mapInArrow(run, "i long, n long").groupBy("i").agg(F.sum("n").alias("n")).toPandas()
+    out = np.zeros(COUNTERS, np.int64)
+    out[rows["i"]] = rows["n"]
+    return out
+
+
+def _rarest(nodes: DataFrame, rarity: np.ndarray) -> DataFrame:
+    """token, key, root, n, i, heavy: the shingles of key, s, w, root that come before 1 - SIMILARITY of the weight."""
+    import pyarrow as pa
+
+    sent = nodes.sparkSession.sparkContext.broadcast(rarity)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        count = sent.value
+        for b in batches:
+            row, token, size, place, heavy = [], [], [], [], []
+            for r, (s, w) in enumerate(zip(b.column("s"), b.column("w"))):
+                s, w = np.frombuffer(s.as_py(), np.uint64), w.as_py()
+                weight = np.frombuffer(w, np.int32).astype(np.float64) if w else np.ones(len(s))
+                order = np.lexsort((s, count[(s % _U(COUNTERS)).astype(np.int64)]))
+                weight = weight[order]
+                before = np.cumsum(weight) - weight
+                k = int(np.searchsorted(before, (1 - SIMILARITY) * weight.sum() + 1e-6, side="right"))
+                row.append(np.full(k, r))
+                token.append(s[order[:k]])
+                size.append(np.full(k, len(s)))
+                place.append(np.arange(k))
+                heavy.append(np.full(k, bool(w)))
+            at = pa.array(np.concatenate(row) if row else np.empty(0, np.int64))
+            long = lambda x, kind=np.int64: pa.array(np.concatenate(x).astype(kind) if x else np.empty(0, kind))
+            tokens = pa.array(np.concatenate(token).view(np.int64) if token else np.empty(0, np.int64))
+            yield pa.RecordBatch.from_arrays([tokens, b.column("key").take(at), b.column("root").take(at), long(size), long(place), long(heavy, np.bool_)], ["token", "key", "root", "n", "i", "heavy"])
+
+    return nodes.select("key", "s", "w", "root").mapInArrow(run, "token long, key binary, root binary, n long, i long, heavy boolean")
+
+
+def _across(rows: DataFrame) -> DataFrame:
+    """a, b: pairs of different roots that share one of the rarest shingles where both may have their first common one."""
+    common = lambda n, m: F.floor((4 * (n + m) + 8) / 9)  # noqa: E731  the least common number, rounded up
+    # of a token's nodes without repeats the smallest bounds where the others may have it
+    least = rows.groupBy("token").agg(F.min("n").alias("least"), F.max("heavy").alias("any_heavy"), F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("token", "least", "any_heavy")
+    rows = rows.join(least, "token").where(F.col("any_heavy") | (F.col("i") <= F.col("n") - common(F.col("n"), F.col("least"))))
+    several = rows.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("token")
+    rows = rows.join(several, "token").select("token", "key", "root", "n", "i", "heavy")
+    other = rows.select("token", *(F.col(c).alias(f"_{c}") for c in ("key", "root", "n", "i", "heavy")))
+    o = common(F.col("n"), F.col("_n"))
+    fits = F.col("heavy") | F.col("_heavy") | ((F.col("i") <= F.col("n") - o) & (F.col("_i") <= F.col("_n") - o))
+    pairs = rows.join(other, "token").where((F.col("key") < F.col("_key")) & (F.col("root") != F.col("_root")) & fits)
+    return pairs.select(F.col("key").alias("a"), F.col("_key").alias("b")).distinct()
+
+
 def components(links: DataFrame) -> DataFrame:
-    """key, root (the smallest key of its component) of the nodes of links a, b; alternating stars until nothing
-    changes, each round stored."""
+    """key, root (the smallest key of its component) of the nodes of links a, b: a large and a small star a round, until a
+    round changes nothing. Each round is stored, so plans stay small."""
     edges = stored(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct(), "near-edges")
     mark = lambda e: e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
     before = mark(edges)
     while before[0]:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
+        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").unionByName(least.select("u", F.col("m").alias("v"))).distinct()
-        edges = stored(small.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")), "near-edges")
+        small = large.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        edges = stored(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct(), "near-edges")
         after = mark(edges)
         if after == before:
             break
@@ -233,16 +300,28 @@ def components(links: DataFrame) -> DataFrame:
     return edges.groupBy(F.col("u").alias("key")).agg(F.min("v").alias("root"))
 
 
+def _joined(roots: DataFrame, links: DataFrame) -> DataFrame:
+    """roots after further links, found among the roots alone."""
+    ends = links.select(F.col("a").alias("key"), "b").join(roots, "key", "left").select(F.coalesce("root", "key").alias("a"), F.col("b").alias("key"))
+    ends = ends.join(roots, "key", "left").select("a", F.coalesce("root", "key").alias("b"))
+    more = stored(components(ends), "near-more").withColumnsRenamed({"key": "_key", "root": "_root"})
+    moved = roots.join(more, F.col("root") == F.col("_key"), "left").select("key", F.coalesce("_root", "root").alias("root"))
+    new = more.join(roots.select(F.col("key").alias("_old")), F.col("_key") == F.col("_old"), "left_anti").select(F.col("_key").alias("key"), F.col("_root").alias("root"))
+    return moved.unionByName(new)
+
+
 def _rooted(df: DataFrame, roots: DataFrame) -> DataFrame:
     return df.join(roots.withColumnRenamed("root", "_root"), "key", "left").withColumn("root", F.coalesce("_root", "key")).drop("_root")
 
 
 def linked(docs: DataFrame, signs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """key, root of the nodes that are linked to another. signs: `signed`, stored."""
-    nodes = signs.groupBy("key").agg(F.min("id").alias("id"), F.any_value("bands").alias("bands"))
+    nodes = signs.groupBy("key").agg(F.any_value("bands").alias("bands"))
     rows = nodes.select("key", F.explode("bands").alias("bucket"))
-    full = rows.groupBy("bucket").agg(F.count("*").alias("n"), F.min("key").alias("centre")).where("n > 1").select("bucket", "centre")
-    rows = stored(rows.join(full, "bucket").select("bucket", "key", "centre"), "near-rows")
+    full = rows.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
+    rows = stored(rows.join(full, "bucket").select("bucket", "key", "n"), "near-rows")
+    known = rows.groupBy("key").agg(F.sum("n").alias("fame"))
+    rows = stored(rows.join(known, "key").select("bucket", "key", "fame"), "near-rows")
 
     ids = signs.groupBy("key").agg(F.min("id").alias("id"))
     needed = rows.select("key").distinct().join(ids, "key").withColumnsRenamed({"id": "_id"})
@@ -251,27 +330,14 @@ def linked(docs: DataFrame, signs: DataFrame, id_col: str = "doc_id", text_col:
     texts = texts.join(needed, "key").where(F.col("id").eqNullSafe(F.col("_id"))).select("key", "text")
     blobs = stored(_blobs(texts).groupBy("key").agg(F.any_value("s").alias("s"), F.any_value("w").alias("w")), "near-shingles")
 
-    pairs = rows.where("key <> centre").select(F.col("centre").alias("a"), F.col("key").alias("b")).distinct()
-    links = stored(_verified(pairs, blobs), "near-links")
-    roots = stored(components(links), "near-roots")
-    left = rows
-    for k in range(STARS):
-        left = _rooted(left.drop("root"), roots)
-        several = left.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("bucket")
-        left = stored(left.join(several, "bucket"), "near-left")
-        if left.isEmpty():
-            break
-        if k < STARS - 1:
-            after = left.where("key > centre").groupBy("bucket").agg(F.min_by(F.struct("key", "root"), "key").alias("next"))
-            left = left.drop("centre").join(after, "bucket").withColumn("centre", F.col("next.key"))
-            pairs = left.where("key <> centre and root <> next.root").select(F.least("key", "centre").alias("a"), F.greatest("key", "centre").alias("b")).distinct()
-            left = left.drop("next")
-        else:
-            other = left.select("bucket", F.col("key").alias("b"), F.col("root").alias("other"))
-            pairs = left.join(other, "bucket").where("key < b and root <> other").select(F.col("key").alias("a"), "b").distinct()
-        links = stored(links.unionByName(_verified(pairs, blobs)), "near-links")
-        roots = stored(components(links), "near-roots")
-    return roots
+    centres = rows.groupBy("bucket").agg(F.max_by("key", F.struct("fame", "key")).alias("c"))
+    pairs = rows.join(centres, "bucket").where("key <> c").select(F.least("key", "c").alias("a"), F.greatest("key", "c").alias("b")).distinct()
+    roots = stored(components(_verified(pairs, blobs)), "near-roots")
+    left = _rooted(rows.select("bucket", "key"), roots)
+    several = left.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("bucket")
+    left = stored(left.join(several, "bucket").select("key", "root").distinct(), "near-left")
+    links = stored(_verified(_across(stored(_rarest(blobs.join(left, "key"), _rarity(blobs)), "near-rarest")), blobs), "near-links")
+    return roots if links.isEmpty() else stored(_joined(roots, links), "near-roots")
 
 
 def _classes(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
