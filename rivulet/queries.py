@@ -265,7 +265,7 @@ def keep_delete_pairs(spark: SparkSession, d: str) -> DataFrame:
 
 @query()
 def greedy_matching(spark: SparkSession, d: str) -> DataFrame:
-    o = _t(spark, d, "orders").where("o_custkey % 4 = 0")
+    o = _t(spark, d, "orders")
     pays = o.select(F.col("o_custkey").alias("group_customer_no"), F.col("o_orderkey").alias("ref_no"), F.lit(None).cast("long").alias("cust_memb_no"), F.col("o_totalprice").alias("cont_amt"), F.col("o_orderdate").alias("create_dt"), F.col("o_orderdate").alias("cont_dt"), F.col("o_orderpriority").alias("campaign_category_desc"))
     members = o.where("o_orderkey % 2 = 0").select(F.col("o_custkey").alias("group_customer_no"), F.col("o_orderkey").alias("cust_memb_no"), F.col("o_totalprice").alias("memb_amt"), F.lit(0.0).alias("AVC_amt"), F.col("o_totalprice").alias("recog_amt"), F.col("o_totalprice").alias("start_amt"), F.col("o_orderdate").alias("create_dt"), F.col("o_orderdate").alias("init_dt"), F.col("o_orderpriority").alias("campaign_category_desc"))
     return greedy_match(pays, members).select("ref_no", "cust_memb_no")
