@@ -46,15 +46,26 @@ BASE = {
     # \+[0-9][\x20().0-9-]+[0-9]
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
-#: Text that has to occur for a kind's patterns to be tried.
-NEEDED = {"email": r"@|[(\[]at[)\]]", "ip": r"[0-9]\.[0-9]|[0-9A-Fa-f]:[0-9A-Fa-f:]", "card": r"[0-9][\x20.-]{0,2}[0-9][\x20.-]{0,2}[0-9][\x20.-]{0,2}[0-9]", "phone": r"\+[0-9]|[0-9]{3}[\x20).-]{1,2}[0-9]{3}"}
+#: Text that has to occur for a kind's patterns to be tried: a necessary condition of every base span and loose pattern.
+NEEDED = {
+    "email": r"@|[(\[](?:at|AT)[)\]]",
+    "ip": r"[0-9]\.[0-9]|[0-9A-Fa-f]:[0-9A-Fa-f:]|::[0-9A-Fa-f]",
+    "card": r"[0-9][\x20.-]{0,2}[0-9][\x20.-]{0,2}[0-9][\x20.-]{0,2}[0-9]",
+    "phone": r"\+[0-9]|(?<![0-9])00[1-9]|[0-9]{3}[\x20).-]{1,2}[0-9]{3}",
+}
+_HEX = "[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){0,6}"
 #: Looser patterns of each kind.
 LOOSE = {
     "email": [
         r"(?<![^\x20\x09-\x0D<>(),;:\"])[^\x20\x09-\x0D<>(),;:\"@]++@[^\x20\x09-\x0D<>(),;:\"@.]++(?:\.[^\x20\x09-\x0D<>(),;:\"@.]++)++",
         rf"(?<!{_LOCAL}){_LOCAL}++\x20?[(\[](?:at|AT)[)\]]\x20?[A-Za-z0-9-]++(?:(?:\.|\x20?[(\[](?:dot|DOT)[)\]]\x20?)[A-Za-z0-9-]++)++",
     ],
-    "ip": [r"(?<![0-9A-Fa-f:.])[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){7}(?![0-9A-Fa-f:])", r"(?<![0-9.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9.])"],
+    "ip": [
+        r"(?<![0-9A-Fa-f:.])[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){7}(?![0-9A-Fa-f:])",
+        # with '::', for one group at least; both sides have seven at most together
+        rf"(?<![0-9A-Za-z:.])(?![0-9A-Fa-f]{{1,4}}:(?:[0-9A-Fa-f]{{0,4}}:){{7}}[0-9A-Fa-f])(?:{_HEX}::(?:{_HEX})?|::{_HEX})(?![0-9A-Za-z:]|\.[0-9])",
+        r"(?<![0-9.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9.])",
+    ],
     "card": [r"(?<![0-9])[0-9]{4}(?:[\x20.-]{0,2}[0-9]{4}){2}[\x20.-]{0,2}[0-9]{1,7}+(?![0-9])", r"(?<![0-9])3[0-9]{3}[\x20.-]{0,2}[0-9]{6}[\x20.-]{0,2}[0-9]{5}(?![0-9])"],
     "phone": [r"(?<![0-9+])(?:\([0-9]{3}\)\x20?|[0-9]{3}[\x20.-])[0-9]{3}[\x20.-][0-9]{4}(?![0-9])", r"(?<![0-9])00[1-9][0-9]{0,2}(?:[\x20.()-]{1,2}[0-9]{2,5}){2,5}(?![0-9])"],
 }
@@ -232,9 +243,10 @@ def _checked(rng: random.Random, n: int, good: bool, lead: str = "4") -> str:
 
 def templates(n: int = 90, seed: int = 2) -> list[tuple[str, str, int]]:
     """(kind, text, label): texts with one place a loose pattern proposes, written by rule."""
-    rng = random.Random(seed)
+    rng, short = random.Random(seed), random.Random(seed + 1)
     word = lambda: "".join(rng.choice("abcdefghilmnoprstuvz") for _ in range(rng.randrange(3, 9)))
     num = lambda k: "".join(str(rng.randrange(10)) for _ in range(k))
+    hexed = lambda k: ":".join(f"{short.randrange(1, 65536):x}" for _ in range(k))
     rows = []
     for i in range(n):
         a, b, tail = word(), word(), rng.choice([".", "", " " + word(), ", " + word()])
@@ -249,6 +261,8 @@ def templates(n: int = 90, seed: int = 2) -> list[tuple[str, str, int]]:
             ("email", f"{a} «{num(2)}@{num(1)}.{num(2)}»{tail}", 0),
             ("email", f"{a} {num(2)} [at] {num(2)}.{num(2)}{tail}", 0),
             ("ip", f"{host}{':'.join(f'{rng.randrange(4096, 65536):x}' for _ in range(8))}{tail}", 1),
+            ("ip", f"{host}{short.choice(['2001:db8', 'fe80', hexed(short.randrange(1, 4))])}::{short.choice(['1', hexed(short.randrange(1, 4))])}{tail}", 1),
+            ("ip", f"{a} {''.join(short.choices('abcdef', k=short.randrange(1, 5)))}::{''.join(short.choices('abcdef', k=short.randrange(1, 5)))}{tail}", 0),
             ("ip", f"{host}{'.'.join(str(rng.randrange(1, 256)) for _ in range(4))}{tail}", 1),
             ("ip", f"{a} version {rng.randrange(9)}.{rng.randrange(9)}.{rng.randrange(300, 999)}.{rng.randrange(9)}{tail}", 0),
             ("ip", f"{number}{rng.randrange(256, 999)}.{num(3)}.{num(3)}.{num(3)}{tail}", 0),
