@@ -39,7 +39,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """SentencePiece: ids and decoded text of every document, as digests."""
+    """SentencePiece: ids, byte spans and decoded text of every document, as digests."""
     return spm.digests(docs, public_model())
 
 

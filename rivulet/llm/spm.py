@@ -23,6 +23,7 @@ import re
 import struct
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -108,18 +109,22 @@ class Coder:
         breaks = "".join(re.escape(c) for c in "\n\t\r" if c not in held)
         whole = any(META in p.lstrip(META) for p in plain) or any(p.type == 4 for p in proto.pieces)
         self.stretch = re.compile("(?s).+" if whole else f"[{breaks}]|{META}*[^{META}{breaks}]+|{META}+" if breaks else f"{META}*[^{META}]+|{META}+")
-        self.kept: dict[str, tuple[str, str]] = {}
+        self.kept: dict[str, tuple[str, str, bytes]] = {}
         self.bytes = {i: int(p.piece[3:-1], 16) for i, p in enumerate(proto.pieces) if p.type == 6}
         said = {1: lambda p: p.piece.replace(META, " "), 2: lambda p: proto.trainer_spec.unk_surface, 4: lambda p: p.piece.replace(META, " ")}
+        self.sizes = np.array([1 if p.type == 6 else len(p.piece.encode()) for p in proto.pieces], np.int64)
+        #: Bytes of the original text per piece where spaces alone are replaced; -1 for what is no whole characters.
+        self.plain = not (self.map.units or self.squeeze) and self.escape
+        self.sources = np.array([-1 if p.type == 2 or p.type == 6 and int(p.piece[3:-1], 16) > 0x7F else 1 if p.type == 6 else len(p.piece.replace(META, " ").encode()) for p in proto.pieces], np.int32)
+        self.unknown = [i for i, p in enumerate(proto.pieces) if p.type == 2]
         self.pieces = [said.get(p.type, lambda p: "")(p) for p in proto.pieces]
 
     def normalise(self, text: str) -> tuple[str, list[int]]:
         """The normalised text, and for each character of it the source byte it starts at, and the end."""
-        new, starts = self.map.replaced(text) if self.map.units or self.squeeze else (text, [])
-        if not starts:
-            starts = [0]
-            for c in text:
-                starts.append(starts[-1] + (1 if c < "\x80" else 2 if c < "ࠀ" else 3 if c < "\U00010000" else 4))
+        if not (self.map.units or self.squeeze):
+            new, starts = self._plain(text)
+            return new, starts.tolist()
+        new, starts = self.map.replaced(text)
         if self.squeeze:
             kept = [i for i, c in enumerate(new) if c != " " or 0 < i and new[i - 1] != " " and new[i:].strip(" ")]
             starts = [*(starts[i] for i in kept), starts[kept[-1] + 1] if kept else starts[-1]]
@@ -128,19 +133,19 @@ class Coder:
             new, starts = " " + new, [starts[0], *starts]
         return (new.replace(" ", META) if self.escape else new), starts
 
-    def marked(self, text: str) -> str:
-        """The normalised text alone."""
-        if self.map.units or self.squeeze:
-            return self.normalise(text)[0]
+    def _plain(self, text: str) -> tuple[str, np.ndarray]:
+        """normalise() where nothing is replaced or squeezed: a character starts at each byte that continues none."""
+        data = np.frombuffer(text.encode(), np.uint8)
+        starts = np.append(np.flatnonzero((data & 0xC0) != 0x80), len(data))
         if self.prefix and text:
-            text = " " + text
-        return text.replace(" ", META) if self.escape else text
+            text, starts = " " + text, np.append(0, starts)
+        return (text.replace(" ", META) if self.escape else text), starts
 
     def _merge(self, stretches: list[str]) -> None:
         if len(self.kept) + len(stretches) > KEPT:
             self.kept.clear()
         for s, ids in zip(stretches, self.merger.encode(stretches, num_threads=1)):
-            self.kept[s] = ",".join(map(str, ids)), self.said(ids)
+            self.kept[s] = ",".join(map(str, ids)), self.said(ids), np.array(ids, np.int32).tobytes()
 
     def said(self, ids: list[int]) -> str:
         """What ids decode to, with the space that stands before the text."""
@@ -156,9 +161,9 @@ class Coder:
             out.append(self.pieces[i])
         return "".join([*out, held.decode(errors="replace")])
 
-    def joined(self, text: str) -> tuple[int, str, str]:
-        """Number of ids, the ids in decimal joined by commas, and the text they decode to."""
-        parts = self.stretch.findall(self.marked(text))
+    def _merged(self, new: str) -> list[tuple[str, str, bytes]]:
+        """Of each stretch of normalised text: its ids in decimal, what they decode to, and the ids as int32."""
+        parts = self.stretch.findall(new)
         kept = self.kept
         missing = [s for s in parts if s not in kept]
         if missing:
@@ -166,7 +171,13 @@ class Coder:
             missing = [s for s in parts if s not in kept]  # the table was emptied
             if missing:
                 self._merge(list(dict.fromkeys(missing)))
-        found = [kept[s] for s in parts]
+        return [kept[s] for s in parts]
+
+    def joined(self, text: str) -> tuple[int, str, str]:
+        """Number of ids, the ids in decimal joined by commas, and the text they decode to."""
+        return self._told(self._merged(self.normalise(text)[0]))
+
+    def _told(self, found: list[tuple[str, str, bytes]]) -> tuple[int, str, str]:
         ids, said = ",".join([x[0] for x in found]), "".join([x[1] for x in found])
         return ids.count(",") + 1 if ids else 0, ids, said[1:] if self.prefix and said[:1] == " " else said
 
@@ -193,6 +204,30 @@ class Coder:
             out.append((i, starts[begin], starts[max(end, begin)]))
         return out
 
+    def aligned(self, text: str) -> tuple[str, str, np.ndarray, np.ndarray, np.ndarray]:
+        """ids in decimal joined by commas, the text they decode to, ids, and first and end bytes of the original text:
+        what spans() gives, for all pieces at once."""
+        if self.plain and META not in text:
+            found = self._merged((" " + text if self.prefix and text else text).replace(" ", META))
+            ids = np.frombuffer(b"".join([x[2] for x in found]), np.int32)
+            sizes = self.sources[ids]
+            if not len(ids) or sizes.min() > 0:  # each piece is whole characters, so lengths give the places
+                ends = np.cumsum(sizes) - self.prefix
+                return *self._told(found)[1:], ids, np.maximum(ends - sizes, 0), ends
+        new, starts = self.normalise(text) if self.map.units or self.squeeze else self._plain(text)
+        found = self._merged(new)
+        _, told, said = self._told(found)
+        ids = np.frombuffer(b"".join([x[2] for x in found]), np.int32)
+        if self.unknown and np.isin(ids, self.unknown).any():
+            rows = np.array(self.spans(text), np.int64).reshape(-1, 3)
+            return told, said, ids, rows[:, 1], rows[:, 2]
+        lead = (np.frombuffer(new.encode(), np.uint8) & 0xC0) != 0x80
+        char = np.cumsum(lead) - 1  # of each byte of the normalised text
+        ends = np.cumsum(self.sizes[ids])
+        begins = ends - self.sizes[ids]
+        starts = np.asarray(starts, np.int64)
+        return told, said, ids, starts[char[begins]], starts[char[ends - 1] + 1]
+
     def decode(self, ids: list[int]) -> str:
         said = self.said(ids)
         return said[1:] if self.prefix and said[:1] == " " else said
@@ -214,29 +249,32 @@ def encode(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str =
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         c = coder(model)
         for b in batches:
-            rows = [c.spans(t or "") for t in b["text"]]
-            ids = [[x[0] for x in r] for r in rows]
-            yield pd.DataFrame({"doc_id": b["doc_id"], "ids": ids, "starts": [[x[1] for x in r] for r in rows], "ends": [[x[2] for x in r] for r in rows], "decoded": [c.decode(i) for i in ids]})
+            rows = [c.aligned(t or "") for t in b["text"]]
+            yield pd.DataFrame({"doc_id": b["doc_id"], "ids": [r[2] for r in rows], "starts": [r[3].astype(np.int32) for r in rows], "ends": [r[4].astype(np.int32) for r in rows], "decoded": [r[1] for r in rows]})
 
     df = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     return df.mapInPandas(run, f"doc_id {df.schema['doc_id'].dataType.simpleString()}, ids array<int>, starts array<int>, ends array<int>, decoded string")
 
 
 def digests(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_tokens, ids_sha256, decoded_sha256 of the same coder, without building the arrays."""
+    """doc_id, n_tokens, ids_sha256, decoded_sha256, spans_sha256 of what encode gives, made beside it so that no array leaves
+    the worker. Digests are of the ids in decimal joined by commas, the decoded text, and first and end byte of each
+    piece in turn as little-endian int32."""
     import pyarrow as pa
 
     df = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    sha = lambda x: hashlib.sha256(x).hexdigest()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = coder(model)
         for b in batches:
-            n, ids, said = [], [], []
+            n, told, said, spans = [], [], [], []
             for t in b.column("text"):
-                a, x, y = c.joined(t.as_py() or "")
-                n.append(a)
-                ids.append(hashlib.sha256(x.encode()).hexdigest())
-                said.append(hashlib.sha256(y.encode()).hexdigest())
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(n, pa.int64()), pa.array(ids, pa.string()), pa.array(said, pa.string())], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
-
-    return df.mapInArrow(run, f"doc_id {df.schema['doc_id'].dataType.simpleString()}, n_tokens long, ids_sha256 string, decoded_sha256 string")
+                x, y, ids, starts, ends = c.aligned(t.as_py() or "")
+                n.append(len(ids))
+                told.append(sha(x.encode()))
+                said.append(sha(y.encode()))
+                spans.append(sha(np.stack([starts, ends], 1).astype("<i4").tobytes()))
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(n, pa.int64()), *(pa.array(x, pa.string()) for x in (told, said, spans))], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "spans_sha256"])
+
+    return df.mapInArrow(run, f"doc_id {df.schema['doc_id'].dataType.simpleString()}, n_tokens long, ids_sha256 string, decoded_sha256 string, spans_sha256 string")
