@@ -9,12 +9,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, MapType, StructType
 
+from rivulet.operators.running import categories
+
 
 def widen(df: DataFrame, col: str, keys: Sequence[str] | None = None, size: int | None = None) -> DataFrame:
     """df with a nested column spread: a struct to col.field, a map to col.key, an array to col.1 ... col.n, padded with
     null; an array of at most one element to col itself, and null where it is empty. Other columns stay.
 
-    keys and size fix a map's keys and an array's length; where they are None one small aggregate finds them."""
+    keys and size fix a map's keys and an array's length; where they are None one small aggregate finds them, and
+    raises beyond 1000 keys."""
     kind = df.schema[col].dataType
     rest = [F.col(f"`{c}`") for c in df.columns if c != col]
     c = F.col(f"`{col}`")
@@ -22,7 +25,7 @@ def widen(df: DataFrame, col: str, keys: Sequence[str] | None = None, size: int
         return df.select(*rest, *(c.getField(f).alias(f"{col}.{f}") for f in kind.names))
     if isinstance(kind, MapType):
         if keys is None:
-            keys = sorted(r[0] for r in df.select(F.explode(F.map_keys(c))).distinct().limit(1000).collect())
+            keys = categories(df.select(F.explode(F.map_keys(c)).alias(col)), f"`{col}`")
         return df.select(*rest, *(F.try_element_at(c, F.lit(k)).alias(f"{col}.{k}") for k in keys))
     if isinstance(kind, ArrayType):
         if size is None:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from rivulet.functions.text import slug
 from rivulet.operators.asof import asof_join, nearest_number
 from rivulet.operators.debounce import debounce
+from rivulet.operators.running import categories
 
 FAMILIES = ("race", "sex", "age")
 
@@ -70,10 +71,10 @@ def income_features(rows: DataFrame) -> DataFrame:
 
 
 def features(rows: DataFrame, bands: DataFrame, domain: Sequence[str] | None = None) -> DataFrame:
-    """year, GEOID and a column per feature. domain: the features' names; one small collect finds them if None."""
+    """year, GEOID and a column per feature. domain: the features' names; one small collect finds them if None, and raises beyond 500."""
     long = race_features(rows).unionByName(sex_features(rows)).unionByName(age_features(rows, bands)).unionByName(income_features(rows))
     long = long.withColumn("feature", slug(F.regexp_replace("feature", r"[^\w\s]", "")))
-    names = list(domain) if domain is not None else sorted(r[0] for r in long.select("feature").distinct().limit(500).collect())
+    names = list(domain) if domain is not None else categories(long, "feature", 500)
     return long.groupBy("year", "GEOID").pivot("feature", names).agg(F.sum("value"))
 
 
