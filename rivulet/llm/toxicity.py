@@ -1,9 +1,10 @@
 """Toxicity by noisy-channel deobfuscation.
 
-A word may have come through a channel that writes letters as look-alikes, puts marks between them or repeats
-them. Its readings form a lattice of characters; a character trigram model and the channel's costs give the
-best path (Viterbi). A word of plain letters without long runs has one path, itself, so only other words are
-decoded, each distinct one once per worker while a bounded table has room. Single letters set apart are read as one word.
+A word may have come through a channel that writes letters as look-alikes, puts marks or white space between them or
+repeats them. Its readings form a lattice of characters; a character trigram model and the channel's costs give the
+best path (Viterbi). A word of plain letters, none twice in a row, has one path, itself, so only other words are
+decoded, each distinct one once per worker while a bounded table has room. Single characters set apart are one lattice, in
+which white space is a mark or the end of a word.
 
 The restored words' beginnings and wholes that go with the label beyond chance are the features of a logistic
 regression trained in numpy; the score is its probability.
@@ -41,8 +42,8 @@ LOOKS = {
     "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "(": "c", "€": "e", "£": "l", "¥": "y",
 }
 #: Costs (natural logs) of a look-alike, of a mark between letters, of a mark that is also a look-alike, of leaving
-#: out a repeated letter.
-LOOK, MARK, DROP, REPEAT = 1.0, 1.0, 20.0, 0.3
+#: out a repeated letter, of white space between letters.
+LOOK, MARK, DROP, REPEAT, SPACE = 1.0, 1.0, 20.0, 0.3, 0.5
 LETTERS = "abcdefghijklmnopqrstuvwxyz" + "".join(map(chr, range(0xDF, 0xF7))) + "".join(map(chr, range(0xF8, 0x100)))
 _CODE = {c: i + 1 for i, c in enumerate(LETTERS)}
 _N = len(LETTERS) + 1
@@ -50,8 +51,11 @@ _N = len(LETTERS) + 1
 _PLAIN = re.compile(f"[{LETTERS}]+")
 _EDGES = re.compile(r"^[^\w$@!|+(€£¥]+|[^\w$@]+$")
 _MARKS = re.compile(r"([$@!|+(€£¥])\1\1+|^[!|+(]+(?=\W|$)|[!|+(]+$")
-_RUN = re.compile(r"(.)\1\1")
-_APART = re.compile(r"(?<!\S)(?:[^\W_][.\-_*]?[ \t]){2,}[^\W_](?!\S)")
+_RUN = re.compile(r"(.)\1")
+_SINGLE = "[" + LETTERS + re.escape("".join(LOOKS)) + "]"
+_ONE = rf"(?:[.,;:\-_*~'\"?]*+{_SINGLE}[.,;:\-_*~'\"?)!]*+|[.,;:\-_*~'\"?]++)(?!\S)"
+_APART = re.compile(rf"(?<!\S){_ONE}(?:\s++{_ONE}){{2,}}+")
+_SINGLES = re.compile(_SINGLE)
 
 
 def held_out(id_column: Column) -> Column:
@@ -75,6 +79,11 @@ class CharModel:
         i = 0
         while i < len(word):
             c = word[i]
+            if c == " ":  # between single characters: a mark, or the word's end
+                ended = min((cost + self.cost[a][b][0], text + " ") for (a, b), (cost, text) in states.items())
+                states = {k: (cost + SPACE, text) for k, (cost, text) in states.items() if k != (0, 0)} | {(0, 0): ended}
+                i += 1
+                continue
             j = i + 1
             while j < len(word) and word[j] == c:
                 j += 1
@@ -83,9 +92,8 @@ class CharModel:
             base = 0.0 if c in _CODE else LOOK
             arcs = []
             for x in letters:
-                for n in {1, 2, run} if run > 2 else {run}:
-                    if n <= 2 or n == run:
-                        arcs.append((x * n, base * run + (REPEAT * (run - n) if n < run else 0.0)))
+                for n in {1, min(2, run), run}:
+                    arcs.append((x * n, base * run + REPEAT * (run - n)))
             if c not in _CODE:
                 arcs.append(("", (DROP if c in LOOKS else MARK) * run))
             new: dict[tuple[int, int], tuple[float, str]] = {}
@@ -109,13 +117,16 @@ def _trimmed(token: str) -> str:
 
 
 def readings(token: str, model: CharModel) -> list[str]:
-    """The token without punctuation at its ends, and if its lattice has more than one path, the best one."""
+    """The token without punctuation at its ends, and if its lattice has more than one path, the best one; of single
+    characters set apart, the words of the best path."""
+    if " " in token:
+        return model.decode(token).split()
     word = _trimmed(token)
     if not word or word.isdigit():
         return []
     if _PLAIN.fullmatch(word) and not _RUN.search(word):
         return [word]
-    if not any(c in _CODE for c in word):
+    if not any(c in _CODE or c in LOOKS for c in word):
         return [word]
     restored = model.decode(word)
     return [word, restored] if restored and restored != word else [word]
@@ -127,11 +138,13 @@ def named(word: str) -> list[str]:
 
 
 def tokens(text: str) -> set[str]:
-    """Distinct tokens in lower case; single letters set apart also as one."""
+    """Distinct tokens in lower case; single characters set apart, two of them letters, also as one, with spaces between."""
     low = text.lower()
     found = set(low.split())
     for m in _APART.finditer(low):
-        found.add(re.sub(r"[\W_]+", "", m[0]))
+        singles = _SINGLES.findall(m[0])
+        if len(singles) > 2 and sum(c in _CODE for c in singles) > 1:
+            found.add(" ".join(singles))
     return found
 
 
