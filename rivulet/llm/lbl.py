@@ -1,8 +1,9 @@
 """Language-model scoring with a log-bilinear model trained by noise-contrastive estimation.
 
-Tokens are words in lower-case ASCII, then one end. All training documents are counted in Spark (word, count). The
-`VOCABULARY` most frequent tokens, the end and one class for the rest are the model's classes; a class is predicted
-from the two before it (before the text: the end) by
+Tokens are words in lower-case ASCII, then one end. All training documents are counted in Spark (word, count). Every
+word has a class, known or not: the `VOCABULARY` most frequent words are classes of their own, as is the end, and the
+others are dealt to `GROUPS` classes by their last two letters, so that endings have vectors and a word never
+seen has its group's. A class is predicted from the two before it (before the text: the end) by
 
     s(w | u, v) = (a * R[u] + c * R[v]) . Q[w] + b[w]
 
@@ -10,8 +11,12 @@ with word vectors R and Q, position weights a and c, and biases b. Each partitio
 over its own class triples, all of them, from the same start, by noise-contrastive estimation in numpy (noise:
 class frequencies, shared within a batch); the parameters are averaged by tokens (one row per parameter and
 partition). A model this size is normalised exactly and at once: exp of the two position products A = (a R) Q' and
-C = (c R) Q' are matrices, and their product over the classes gives every context's normaliser. A word of the rest
-class gets that class's probability times its smoothed frequency within the class, so probabilities add up over words.
+C = (c R) Q' are matrices, and their product over the classes gives every context's normaliser. A word of a group
+gets the group's probability times its smoothed frequency within the group, so probabilities add up over words.
+All words are counted, whatever their number; the classes are a fixed number, so that the broadcast is bounded.
+
+The average depends on how the table is dealt over partitions (its model is the mean of theirs), as sums of doubles do;
+the same partitions give the same scores. Counts and base_score don't depend on it.
 
 Counts, of which there are as many as words, stay in Spark. The `HEAD` most frequent at most are broadcast, under
 that bound; a document's other words are joined with the counts by word, counted within the document first.
@@ -25,6 +30,8 @@ Defined results
 
 from __future__ import annotations
 
+import re
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 
@@ -35,11 +42,14 @@ from pyspark.sql import functions as F
 
 from rivulet.durable import stored
 
-#: Classes with a word of their own; words whose counts are broadcast at most; size of a vector.
-VOCABULARY, HEAD, WIDTH = 1022, 150_000, 16
+#: Classes with a word of their own; classes of the other words; words whose counts are broadcast at most; size of a vector.
+VOCABULARY, GROUPS, HEAD, WIDTH = 1022, 512, 150_000, 16
 #: Noise classes a batch shares, noise tokens per token, triples in a batch, learning rate, distinct words counted at once.
-SHARED, NOISE, BATCH, RATE, COUNTED = 64, 10, 4096, 0.15, 1_000_000
-REST, END = 0, 1
+SHARED, NOISE, BATCH, RATE, COUNTED = 64, 10, 4096, 0.15, 250_000
+#: Triples a partition learns from at once; groups of words a task keeps.
+AT_ONCE, KEPT = 2_000_000, 200_000
+#: Classes: the end, the groups, the words.
+END, FIRST_WORD = 0, 1 + GROUPS
 ALPHA = 0.1
 
 
@@ -51,6 +61,29 @@ def _tokens(text: bytes | None) -> list[bytes]:
     return (text or b"").lower().split()
 
 
+_NO_LETTER = re.compile(rb"^[^a-z\x80-\xff]+|[^a-z\x80-\xff]+$")
+
+
+def group(word: bytes) -> int:
+    """The class of a word that has none of its own, by its last two bytes between marks and digits at its ends."""
+    return 1 + zlib.crc32(_NO_LETTER.sub(b"", word)[-2:]) % GROUPS
+
+
+class Classes(dict):
+    """Classes of words: the known ones for good, groups of others while they fit."""
+
+    def __init__(self, known: dict[bytes, int]) -> None:
+        super().__init__(known)
+        self.known, self.most = known, len(known) + KEPT
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) >= self.most:
+            self.clear()
+            self.update(self.known)
+        found = self[word] = group(word)
+        return found
+
+
 def count_words(docs: DataFrame) -> DataFrame:
     """word (binary), c of docs' text (binary); the empty word stands for the end of a text."""
     import pyarrow as pa
@@ -74,6 +107,28 @@ def count_words(docs: DataFrame) -> DataFrame:
     return docs.select("text").mapInArrow(run, "word binary, c long").groupBy("word").agg(F.sum("c").alias("c"))
 
 
+def grouped(counts: DataFrame, own: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Occurrences and number of the words of each group; GROUPS rows, whatever the input."""
+    import pyarrow as pa
+
+    known = frozenset(own)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n, v = np.zeros(FIRST_WORD, np.int64), np.zeros(FIRST_WORD, np.int64)
+        for b in batches:
+            words, times = b.column("word").to_pylist(), b.column("c").to_numpy()
+            at = np.fromiter((END if not w or w in known else group(w) for w in words), np.int64, len(words))
+            np.add.at(n, at, times)
+            np.add.at(v, at, 1)
+        some = np.flatnonzero(v[1:]) + 1
+        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(n[some]), pa.array(v[some])], ["i", "n", "v"])
+
+    rows = counts.select("word", "c").mapInArrow(run, "i long, n long, v long").groupBy("i").agg(F.sum("n").alias("n"), F.sum("v").alias("v")).toPandas()
+    n, v = np.zeros(FIRST_WORD), np.zeros(FIRST_WORD)
+    n[rows["i"]], v[rows["i"]] = rows["n"], rows["v"]
+    return n[1:], v[1:]
+
+
 def head_of(counts: DataFrame, most: int) -> list[tuple[bytes, int]]:
     """The most frequent words, at most so many, by falling count: a histogram of an eighth of a power of two finds the
     lowest count that fits."""
@@ -168,6 +223,7 @@ def train(docs: DataFrame, vocabulary: dict[bytes, int], frequency: np.ndarray)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, freq = sent.value
+        class_of = Classes(known)
         held: list[np.ndarray] = []
         size = tokens = 0
         own = Model(freq)
@@ -185,12 +241,12 @@ def train(docs: DataFrame, vocabulary: dict[bytes, int], frequency: np.ndarray)
         for b in batches:
             for text in b.column("text"):
                 words = _tokens(text.as_py())
-                ids = np.fromiter((known.get(w, REST) for w in words), np.int64, len(words))
+                ids = np.fromiter(map(class_of.__getitem__, words), np.int64, len(words))
                 u, v, w = _triples(np.append(ids, END))
                 held.append((u * n + v) * n + w)
                 size += len(w)
                 tokens += len(w)
-                if size > 4_000_000:
+                if size > AT_ONCE:
                     learn()
         learn()
         if tokens:
@@ -219,33 +275,35 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     ends = counts.where(F.length("word") == 0).agg(F.sum("c")).first()[0] or 0
 
     own = head[:VOCABULARY]
-    frequency = np.array([all_tokens - ends - sum(c for _, c in own), ends, *(c for _, c in own)], np.float64)
-    model = train(learnt, {w: i + 2 for i, (w, _) in enumerate(own)}, frequency)
-    rest_words = distinct - len(own) - (1 if ends else 0)
+    known = {w: FIRST_WORD + i for i, (w, _) in enumerate(own)}
+    in_groups, of_groups = grouped(counts, list(known))
+    frequency = np.concatenate([[ends], in_groups, [c for _, c in own]]).astype(np.float64)
+    model = train(learnt, known, frequency)
     log_base = float(np.log10(all_tokens + ALPHA * (distinct + 1)))
-    log_rest = float(np.log10(frequency[REST] + ALPHA * (rest_words + 1)))
+    log_group = np.append(0.0, np.log10(in_groups + ALPHA * (of_groups + 1)))
     place = {w: i for i, (w, _) in enumerate(head)}
     logs = np.log10(np.array([c for _, c in head], np.float64) + ALPHA)
-    sent = spark.sparkContext.broadcast((place, logs, *model.tables()))
-    end_log, n_own = float(np.log10(ends + ALPHA)), len(own)
+    sent = spark.sparkContext.broadcast((known, place, logs, log_group, *model.tables()))
+    end_log = float(np.log10(ends + ALPHA))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        place, logs, a, c, z = sent.value
+        known, place, logs, log_group, a, c, z = sent.value
+        class_of = Classes(known)
         part, at = TaskContext.get().partitionId() << 33, 0
         for b in batches:
             rows, words_out, n_out = [], [], []
             for text in b.column("text"):
                 words = _tokens(text.as_py())
                 p = np.fromiter((place.get(w, -1) for w in words), np.int64, len(words))
-                classes = np.append(np.where((p >= 0) & (p < n_own), p + 2, REST), END)
+                classes = np.append(np.fromiter(map(class_of.__getitem__, words), np.int64, len(words)), END)
                 u, v, w = _triples(classes)
                 log_p = float((a[u, w].astype(np.float64) + c[v, w] - z[u, v]).sum()) / np.log(10)
-                seen = p[p >= 0]
-                base = float(logs[seen].sum()) + end_log - log_base * (len(words) + 1)
-                rest = seen[seen >= n_own]
-                inner = float(logs[rest].sum()) - log_rest * int((classes[:-1] == REST).sum())
-                other = Counter(words[i] for i in np.flatnonzero(p < 0))
-                rows.append((part + at, len(words) + 1, len(seen) + (1 if ends else 0), base, log_p + inner))
+                seen = p >= 0
+                base = float(logs[p[seen]].sum()) + end_log - log_base * (len(words) + 1)
+                some = classes[:-1] < FIRST_WORD
+                inner = float(logs[p[seen & some]].sum()) - float(log_group[classes[:-1][some]].sum())
+                other = Counter(words[i] for i in np.flatnonzero(~seen))
+                rows.append((part + at, len(words) + 1, int(seen.sum()) + (1 if ends else 0), base, log_p + inner))
                 words_out.append(list(other))
                 n_out.append(list(other.values()))
                 at += 1
