@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -9,6 +11,22 @@ from pyspark.sql import functions as F
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+def released(run: Callable[[Iterator], Iterator], cache: Callable[[], dict]) -> Callable[[Iterator], Iterator]:
+    """run, after which the worker's cache is emptied and Arrow's unused memory given back: a Python worker lives
+    through many tasks, of other stages too."""
+
+    def task(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        try:
+            yield from run(batches)
+        finally:
+            cache().clear()
+            pa.default_memory_pool().release_unused()
+
+    return task
+
+
 def whole_text(text: Column) -> Column:
     """The text; a null counts as empty."""
     return F.coalesce(text.cast("string"), F.lit(""))

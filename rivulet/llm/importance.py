@@ -13,7 +13,7 @@ intervals, so nothing is sorted or collected but these counts.
 
 Defined results
 - null text: as empty; no features, so log weight 0. Null id: never labelled.
-- several labels of an id: the lowest quality counts. Null labels are left out.
+- several labels of an id: the lowest quality counts; of several rows of a labelled id, the lowest weight does. Null labels are left out.
 - noise depends on seed, id and text alone, so reruns agree; repeated rows get the same verdict. Ties at the k-th
   largest are all kept. Without labels of both kinds all is kept. Empty table: empty result.
 - `keep` returns docs' own columns whatever their names.
@@ -28,8 +28,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rivulet.durable import stored
-from rivulet.llm.common import uniform, whole_text
-from rivulet.llm.probminhash import _mix, _words
+from rivulet.llm.common import released, uniform, whole_text
+from rivulet.llm.probminhash import _mix, _words, kept_words
 
 BUCKETS = 1 << 14
 #: Share of the raw model mixed into the target's, so that features rare in the sample say little.
@@ -71,7 +71,7 @@ def _counted(docs: DataFrame) -> DataFrame:
         at = np.flatnonzero(raw)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(raw[at]), pa.array(target[at])], ["bucket", "raw", "target"])
 
-    return docs.mapInArrow(run, "bucket long, raw long, target long").groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target"))
+    return docs.mapInArrow(released(run, kept_words), "bucket long, raw long, target long").groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target"))
 
 
 def _sample(labels: DataFrame, id_col: str, quality_col: str) -> DataFrame:
@@ -122,7 +122,7 @@ def weighed(rows: DataFrame, model: tuple[np.ndarray, np.ndarray], held: bool =
             yield pa.RecordBatch.from_arrays([*(b.column(f.name) for f in rest), *extra], names)
 
     schema = type(rows.schema)(list(rest)).add("log_weight", "double")
-    return rows.mapInArrow(run, schema.add("held_weight", "double") if held else schema)
+    return rows.mapInArrow(released(run, kept_words), schema.add("held_weight", "double") if held else schema)
 
 
 def separating(rows: list[tuple[float, int]]) -> float | None:
@@ -175,7 +175,8 @@ def _scored(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, qual
     rows = docs.select(F.col(id_col).alias("doc_id"), uniform(seed, F.col(id_col).cast("string"), whole_text(text)).alias("u"), text.cast("binary").alias("text"))
     rows = rows.join(F.broadcast(sample), rows["doc_id"].cast("string") == sample["_id"], "left").drop("_id")
     scores = stored(weighed(rows, model, held=True).withColumn("key", noisy("log_weight", "u")), "quality-scores")
-    known = scores.where("quality is not null").select("held_weight", "quality").limit(4 * LABELLED).collect()
+    # one row a labelled id, so LABELLED at most; of several rows of an id the smallest weight
+    known = scores.where("quality is not null").groupBy(F.col("doc_id").cast("string")).agg(F.min("held_weight").alias("w"), F.min("quality").alias("q")).select("w", "q").collect()
     point = separating([(r[0], r[1]) for r in known])
     k = scores.where(F.col("log_weight") >= point).count() if point is not None else 0
     return scores, (kth_largest(scores, "key", k) if k else float("-inf") if point is None else float("inf")), model

@@ -21,11 +21,17 @@ no link between such nodes is lost, and those that are alike but for the thresho
 Components come from alternating large and small stars.
 Everything but the compared pairs' shingles is rows of keys and hashes; nothing is collected.
 
+A node's key is its smallest id and the MD5, in bytes that sort that way, so the smallest key of a component names its class
+and the row to keep, without a further join. Hot keys (a bucket, a star's centre, a token): what is known of a key is
+grouped apart from the join that uses it, so both sides are dealt anew and adaptive execution splits what is
+skewed; a token's pairs are dealt by salts, as many as its nodes need.
+
 Defined results
 - null text: as empty. A text without words has no shingles: its only duplicates are rows of exactly the same text.
 - null id: the row is in its text's class. A class's id is its smallest id; null if it has none.
 - rows of equal id and different text are different documents; repeated rows are in one class.
-- `keep_one` keeps one row per class: smallest id, then smallest MD5; all its columns stay. Empty table: empty result.
+- `keep_one` keeps one row per class: smallest id (null last), then smallest MD5, then of rows that differ in other columns
+  the first by their JSON; all its columns stay. Empty table: empty result.
 - `classes` reads the id and the text alone, so other columns can't clash.
 """
 
@@ -34,11 +40,11 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rivulet.durable import stored
-from rivulet.llm.common import whole_text
+from rivulet.durable import discard, stored
+from rivulet.llm.common import released, whole_text
 
 SHINGLE, SIMILARITY = 5, 0.8
 #: A pair at similarity 0.8 shares no band once in 50,000; one at 0.3 (a common passage) shares one once in 40.
@@ -46,8 +52,8 @@ BANDS, ROWS = 36, 6
 REGISTERS = BANDS * ROWS
 #: Hash classes whose counts order shingles.
 COUNTERS = 1 << 18
-#: Shingles handled at once by a task, words whose hash it keeps.
-AT_ONCE, KEPT = 300_000, 500_000
+#: Shingles handled at once by a task, words whose hash it keeps; nodes of a token that a salt has.
+AT_ONCE, KEPT, SALTED = 300_000, 200_000, 256
 
 _U = np.uint64
 _GOLDEN = _U(0x9E3779B97F4A7C15)
@@ -75,6 +81,11 @@ class WordHash(dict):
 _words = WordHash()
 
 
+def kept_words() -> WordHash:
+    """The worker's own table."""
+    return _words
+
+
 def shingles(text: str) -> tuple[np.ndarray, np.ndarray]:
     """Sorted hashes of the text's shingles, and how often each occurs."""
     words = text.encode("utf-8", "replace").lower().split()
@@ -178,7 +189,32 @@ def signed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
 
     text = whole_text(F.col(text_col))
     df = docs.select(F.col(id_col).cast("long").alias("id"), F.unhex(F.md5(text)).alias("key"), text.alias("text"))
-    return df.mapInArrow(run, "id long, key binary, bands array<long>")
+    return df.mapInArrow(released(run, kept_words), "id long, key binary, bands array<long>")
+
+
+_LEAST = -(2**63)
+
+
+def label(id_: Column, md5: Column) -> Column:
+    """A node's key: 0 (1: no id), the id as 8 bytes that sort as it does, MD5."""
+    flipped = F.coalesce(id_, F.lit(0).cast("long")).bitwiseXOR(F.lit(_LEAST).cast("long"))
+    return F.concat(F.unhex(F.when(id_.isNull(), F.lit("01")).otherwise(F.lit("00"))), F.unhex(F.lpad(F.hex(flipped), 16, "0")), md5)
+
+
+def id_of(key: Column) -> Column:
+    """The id within a node's key."""
+    flipped = F.conv(F.hex(F.substring(key, 2, 8)), 16, -10).cast("long")
+    return F.when(F.substring(key, 1, 1) == F.unhex(F.lit("00")), flipped.bitwiseXOR(F.lit(_LEAST).cast("long")))
+
+
+def md5_of(key: Column) -> Column:
+    return F.substring(key, 10, 16)
+
+
+def _facts(df: DataFrame, key: str, *aggregates: Column) -> DataFrame:
+    """One row a key. Grouped by one column more than a join by key needs, so that the join deals both sides anew and its hot
+    keys can be split."""
+    return df.groupBy(key, F.xxhash64(key).alias("_h")).agg(*aggregates).drop("_h")
 
 
 def _blobs(df: DataFrame) -> DataFrame:
@@ -195,7 +231,7 @@ def _blobs(df: DataFrame) -> DataFrame:
                 w.append(n.astype(np.int32).tobytes() if len(n) and n.max() > 1 else b"")
             yield pa.RecordBatch.from_arrays([b.column("key"), pa.array(s, pa.binary()), pa.array(w, pa.binary())], ["key", "s", "w"])
 
-    return df.mapInArrow(run, "key binary, s binary, w binary")
+    return df.mapInArrow(released(run, kept_words), "key binary, s binary, w binary")
 
 
 def _verified(pairs: DataFrame, blobs: DataFrame) -> DataFrame:
@@ -269,14 +305,16 @@ def _across(rows: DataFrame) -> DataFrame:
     """a, b: pairs of different roots that share one of the rarest shingles where both may have their first common one."""
     common = lambda n, m: F.floor((4 * (n + m) + 8) / 9)  # noqa: E731  the least common number, rounded up
     # of a token's nodes without repeats the smallest bounds where the others may have it
-    least = rows.groupBy("token").agg(F.min("n").alias("least"), F.max("heavy").alias("any_heavy"), F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("token", "least", "any_heavy")
+    ends = F.min("root").alias("low"), F.max("root").alias("high")
+    least = _facts(rows, "token", F.min("n").alias("least"), F.max("heavy").alias("any_heavy"), *ends).where("low <> high").select("token", "least", "any_heavy")
     rows = rows.join(least, "token").where(F.col("any_heavy") | (F.col("i") <= F.col("n") - common(F.col("n"), F.col("least"))))
-    several = rows.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("token")
-    rows = rows.join(several, "token").select("token", "key", "root", "n", "i", "heavy")
-    other = rows.select("token", *(F.col(c).alias(f"_{c}") for c in ("key", "root", "n", "i", "heavy")))
+    several = _facts(rows, "token", F.ceil(F.count("*") / SALTED).cast("int").alias("salts"), *ends).where("low <> high").select("token", "salts")
+    rows = stored(rows.join(several, "token").select("token", "salts", "key", "root", "n", "i", "heavy"), "near-tokens")
+    left = rows.withColumn("salt", F.pmod(F.xxhash64("key"), F.col("salts")).cast("int"))
+    other = rows.select("token", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), *(F.col(c).alias(f"_{c}") for c in ("key", "root", "n", "i", "heavy")))
     o = common(F.col("n"), F.col("_n"))
     fits = F.col("heavy") | F.col("_heavy") | ((F.col("i") <= F.col("n") - o) & (F.col("_i") <= F.col("_n") - o))
-    pairs = rows.join(other, "token").where((F.col("key") < F.col("_key")) & (F.col("root") != F.col("_root")) & fits)
+    pairs = left.join(other, ["token", "salt"]).where((F.col("key") < F.col("_key")) & (F.col("root") != F.col("_root")) & fits)
     return pairs.select(F.col("key").alias("a"), F.col("_key").alias("b")).distinct()
 
 
@@ -288,12 +326,13 @@ def components(links: DataFrame) -> DataFrame:
     before = mark(edges)
     while before[0]:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        least = _facts(both, "u", F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        least = _facts(large, "u", F.min("v").alias("m"))
         small = large.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        edges = stored(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct(), "near-edges")
-        after = mark(edges)
+        new = stored(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct(), "near-edges")
+        discard(edges)
+        edges, after = new, mark(new)
         if after == before:
             break
         before = after
@@ -316,55 +355,60 @@ def _rooted(df: DataFrame, roots: DataFrame) -> DataFrame:
 
 def linked(docs: DataFrame, signs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """key, root of the nodes that are linked to another. signs: `signed`, stored."""
-    nodes = signs.groupBy("key").agg(F.any_value("bands").alias("bands"))
-    rows = nodes.select("key", F.explode("bands").alias("bucket"))
-    full = rows.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
-    rows = stored(rows.join(full, "bucket").select("bucket", "key", "n"), "near-rows")
-    known = rows.groupBy("key").agg(F.sum("n").alias("fame"))
-    rows = stored(rows.join(known, "key").select("bucket", "key", "fame"), "near-rows")
-
-    ids = signs.groupBy("key").agg(F.min("id").alias("id"))
-    needed = rows.select("key").distinct().join(ids, "key").withColumnsRenamed({"id": "_id"})
+    nodes = signs.groupBy("key").agg(F.min("id").alias("id"), F.any_value("bands").alias("bands"))
+    rows = nodes.select(label(F.col("id"), F.col("key")).alias("key"), F.explode("bands").alias("bucket"))
+    full = _facts(rows, "bucket", F.count("*").alias("n")).where("n > 1")
+    plain = stored(rows.join(full, "bucket").select("bucket", "key", "n"), "near-rows")
+    known = plain.groupBy("key").agg(F.sum("n").alias("fame"))
+    rows = stored(plain.join(known, "key").select("bucket", "key", "fame"), "near-rows")
+    discard(plain)
+
+    needed = rows.select("key").distinct().select("key", md5_of(F.col("key")).alias("_md5"), id_of(F.col("key")).alias("_id"))
     text = whole_text(F.col(text_col))
-    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.unhex(F.md5(text)).alias("key"), text.alias("text"))
-    texts = texts.join(needed, "key").where(F.col("id").eqNullSafe(F.col("_id"))).select("key", "text")
+    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.unhex(F.md5(text)).alias("md5"), text.alias("text"))
+    texts = texts.join(needed, (F.col("md5") == F.col("_md5")) & F.col("id").eqNullSafe(F.col("_id"))).select("key", "text")
     blobs = stored(_blobs(texts).groupBy("key").agg(F.any_value("s").alias("s"), F.any_value("w").alias("w")), "near-shingles")
 
-    centres = rows.groupBy("bucket").agg(F.max_by("key", F.struct("fame", "key")).alias("c"))
+    centres = _facts(rows, "bucket", F.max_by("key", F.struct("fame", "key")).alias("c"))
     pairs = rows.join(centres, "bucket").where("key <> c").select(F.least("key", "c").alias("a"), F.greatest("key", "c").alias("b")).distinct()
     roots = stored(components(_verified(pairs, blobs)), "near-roots")
     left = _rooted(rows.select("bucket", "key"), roots)
-    several = left.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("bucket")
+    several = _facts(left, "bucket", F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("bucket")
     left = stored(left.join(several, "bucket").select("key", "root").distinct(), "near-left")
-    links = stored(_verified(_across(stored(_rarest(blobs.join(left, "key"), _rarity(blobs)), "near-rarest")), blobs), "near-links")
-    return roots if links.isEmpty() else stored(_joined(roots, links), "near-roots")
+    rarest = stored(_rarest(blobs.join(left, "key"), _rarity(blobs)), "near-rarest")
+    links = stored(_verified(_across(rarest), blobs), "near-links")
+    found = roots if links.isEmpty() else stored(_joined(roots, links), "near-roots")
+    for used in (rows, blobs, left, rarest, links):
+        discard(used)
+    return found
 
 
 def _classes(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
-    """signs, and per node: key, id (smallest), root, class_id."""
+    """signs; and key (MD5), root of the nodes that have several rows or are linked to another: of any other row the class is
+    its own."""
     signs = stored(signed(docs, id_col, text_col), "near-signs")
-    roots = linked(docs, signs, id_col, text_col)
-    nodes = _rooted(signs.groupBy("key").agg(F.min("id").alias("id")), roots)
-    of = nodes.groupBy("root").agg(F.min("id").alias("class_id"))
-    return signs, nodes.join(of, "root")
+    roots = linked(docs, signs, id_col, text_col).select(F.col("key").alias("_label"), "root")
+    nodes = signs.groupBy("key").agg(F.min("id").alias("id"), F.count("*").alias("n")).select("key", "n", label(F.col("id"), F.col("key")).alias("label"))
+    named = nodes.join(roots, F.col("label") == F.col("_label"), "left").where("n > 1 or root is not null")
+    return signs, stored(named.select("key", F.coalesce("root", "label").alias("root")), "near-classes")
 
 
 def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: doc_id, class_id (smallest id of its near-duplicates)."""
-    signs, nodes = _classes(docs, id_col, text_col)
-    return signs.select(F.col("id").alias("doc_id"), "key").join(nodes.select("key", "class_id"), "key").select("doc_id", "class_id")
+    signs, named = _classes(docs, id_col, text_col)
+    class_id = F.when(F.col("root").isNull(), F.col("id")).otherwise(id_of(F.col("root")))
+    return signs.select("id", "key").join(named, "key", "left").select(F.col("id").alias("doc_id"), class_id.alias("class_id"))
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """docs with one row of each class."""
-    signs, nodes = _classes(docs, id_col, text_col)
-    first = nodes.groupBy("root").agg(F.min(F.struct(F.col("id").isNull().alias("none"), F.col("id").alias("id"), F.col("key").alias("key"))).alias("x")).select("x.id", "x.key")
-    rows = signs.groupBy("id", "key").count()
-    kept = first.join(rows.withColumnsRenamed({"id": "_id", "key": "_key"}), F.col("id").eqNullSafe(F.col("_id")) & (F.col("key") == F.col("_key"))).select("_id", "_key", F.col("count").alias("_n"))
+    signs, named = _classes(docs, id_col, text_col)
+    first = signs.select("id", "key").join(named, "key", "left").where(F.col("root").isNull() | (F.col("root") == label(F.col("id"), F.col("key"))))
+    kept = first.groupBy(F.col("id").alias("_id"), F.col("key").alias("_key")).agg(F.count("*").alias("_n"))
     whole = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("row"))
     whole = whole.select("row", F.unhex(F.md5(whole_text(F.col(f"row.`{text_col}`")))).alias("key"))
     whole = whole.join(kept, (F.col("key") == F.col("_key")) & F.col(f"row.`{id_col}`").cast("long").eqNullSafe(F.col("_id")))
     # repeated rows of the kept document: one stays
     once = whole.where("_n = 1").select("row")
-    more = whole.where("_n > 1").groupBy("key").agg(F.any_value("row").alias("row")).select("row")
+    more = whole.where("_n > 1").groupBy("key").agg(F.min_by("row", F.to_json("row")).alias("row")).select("row")
     return once.unionByName(more).select("row.*")

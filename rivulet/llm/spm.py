@@ -8,7 +8,7 @@ each piece is projected to a span of bytes of the original text.
 
 Merging is the library's, on stretches of normalised text between which no piece can lie: a stretch ends before a
 meta symbol and at any character that no piece but a byte holds. Equal stretches, mostly words, are merged once and
-kept in a bounded table per worker. A model whose pieces hold a meta symbol after another character isn't cut.
+kept in a bounded table per task. A model whose pieces hold a meta symbol after another character isn't cut.
 
 Defined results
 - null text: as empty: no ids, and the empty text decoded.
@@ -28,9 +28,11 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rivulet.llm.common import released
+
 META = "▁"
-#: Merged stretches a worker keeps.
-KEPT = 400_000
+#: Merged stretches a task keeps.
+KEPT = 100_000
 
 
 class CharMap:
@@ -253,7 +255,7 @@ def encode(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str =
             yield pd.DataFrame({"doc_id": b["doc_id"], "ids": [r[2] for r in rows], "starts": [r[3].astype(np.int32) for r in rows], "ends": [r[4].astype(np.int32) for r in rows], "decoded": [r[1] for r in rows]})
 
     df = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return df.mapInPandas(run, f"doc_id {df.schema['doc_id'].dataType.simpleString()}, ids array<int>, starts array<int>, ends array<int>, decoded string")
+    return df.mapInPandas(released(run, lambda: coder(model).kept), f"doc_id {df.schema['doc_id'].dataType.simpleString()}, ids array<int>, starts array<int>, ends array<int>, decoded string")
 
 
 def digests(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -277,4 +279,4 @@ def digests(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str =
                 spans.append(sha(np.stack([starts, ends], 1).astype("<i4").tobytes()))
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(n, pa.int64()), *(pa.array(x, pa.string()) for x in (told, said, spans))], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "spans_sha256"])
 
-    return df.mapInArrow(run, f"doc_id {df.schema['doc_id'].dataType.simpleString()}, n_tokens long, ids_sha256 string, decoded_sha256 string, spans_sha256 string")
+    return df.mapInArrow(released(run, lambda: coder(model).kept), f"doc_id {df.schema['doc_id'].dataType.simpleString()}, n_tokens long, ids_sha256 string, decoded_sha256 string, spans_sha256 string")
