@@ -384,31 +384,32 @@ def linked(docs: DataFrame, signs: DataFrame, id_col: str = "doc_id", text_col:
 
 
 def _classes(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
-    """signs; and key (MD5), root of the nodes that have several rows or are linked to another: of any other row the class is
-    its own."""
+    """signs; and per node: key (MD5), id (smallest), n (rows), label, root (null: linked to none)."""
     signs = stored(signed(docs, id_col, text_col), "near-signs")
     roots = linked(docs, signs, id_col, text_col).select(F.col("key").alias("_label"), "root")
-    nodes = signs.groupBy("key").agg(F.min("id").alias("id"), F.count("*").alias("n")).select("key", "n", label(F.col("id"), F.col("key")).alias("label"))
-    named = nodes.join(roots, F.col("label") == F.col("_label"), "left").where("n > 1 or root is not null")
-    return signs, stored(named.select("key", F.coalesce("root", "label").alias("root")), "near-classes")
+    nodes = signs.groupBy("key").agg(F.min("id").alias("id"), F.count("*").alias("n")).withColumn("label", label(F.col("id"), F.col("key")))
+    return signs, stored(nodes.join(roots, F.col("label") == F.col("_label"), "left").drop("_label"), "near-classes")
 
 
 def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: doc_id, class_id (smallest id of its near-duplicates)."""
-    signs, named = _classes(docs, id_col, text_col)
+    signs, nodes = _classes(docs, id_col, text_col)
+    # of any other row the class is its own
+    named = nodes.where("n > 1 or root is not null").select("key", F.coalesce("root", "label").alias("root"))
     class_id = F.when(F.col("root").isNull(), F.col("id")).otherwise(id_of(F.col("root")))
     return signs.select("id", "key").join(named, "key", "left").select(F.col("id").alias("doc_id"), class_id.alias("class_id"))
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """docs with one row of each class."""
-    signs, named = _classes(docs, id_col, text_col)
-    first = signs.select("id", "key").join(named, "key", "left").where(F.col("root").isNull() | (F.col("root") == label(F.col("id"), F.col("key"))))
-    kept = first.groupBy(F.col("id").alias("_id"), F.col("key").alias("_key")).agg(F.count("*").alias("_n"))
+    signs, nodes = _classes(docs, id_col, text_col)
+    first = nodes.where("root is null or root = label").select(F.col("id").alias("_id"), F.col("key").alias("_key"))
+    rows = signs.groupBy("id", "key").count().where("count > 1").select("id", "key", F.lit(True).alias("_repeated"))
+    kept = first.join(rows, F.col("id").eqNullSafe(F.col("_id")) & (F.col("key") == F.col("_key")), "left").select("_id", "_key", F.coalesce("_repeated", F.lit(False)).alias("_repeated"))
     whole = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("row"))
     whole = whole.select("row", F.unhex(F.md5(whole_text(F.col(f"row.`{text_col}`")))).alias("key"))
     whole = whole.join(kept, (F.col("key") == F.col("_key")) & F.col(f"row.`{id_col}`").cast("long").eqNullSafe(F.col("_id")))
     # repeated rows of the kept document: one stays
-    once = whole.where("_n = 1").select("row")
-    more = whole.where("_n > 1").groupBy("key").agg(F.min_by("row", F.to_json("row")).alias("row")).select("row")
+    once = whole.where("not _repeated").select("row")
+    more = whole.where("_repeated").groupBy("key").agg(F.min_by("row", F.to_json("row")).alias("row")).select("row")
     return once.unionByName(more).select("row.*")
