@@ -22,7 +22,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 START, SEP, END = "<|turn|>", "<|body|>", "<|end|>"
@@ -80,34 +80,27 @@ def format_conversations(rows: DataFrame, conv_col: str = "conv_id", turn_col: s
     content = F.coalesce(F.col(content_col).cast(f"array<{PART}>"), F.array().cast(f"array<{PART}>"))
     flat = rows.select(F.col(conv_col).alias("conv_id"), F.col(turn_col).cast("long").alias("turn"), F.coalesce(F.col(role_col).cast("string"), F.lit("")).alias("role"), content.alias("content"))
     flat = flat.select(
-        "conv_id",
-        F.struct(
-            "turn", "role",
-            F.array_join(F.transform("content", _visit), "").alias("body"),
-            F.transform(
-                F.filter("content", lambda p: p["kind"].isin(*PLACEHOLDER)),
-                lambda p: F.struct(p["kind"].alias("kind"), p["ref"].alias("ref"), _tokens(p).alias("tokens")),
-            ).alias("attached"),
-        ).alias("message"),
-    )
-    grouped = flat.groupBy("conv_id").agg(F.sort_array(F.collect_list("message")).alias("messages"))
-    opened = lambda m: F.concat(F.lit(START), escape(m["role"]), F.lit(SEP))
-    step = F.aggregate(
-        "messages",
-        F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<struct<start:bigint,length:bigint>>").alias("spans")),
-        lambda acc, m: F.struct(
-            (acc["at"] + F.length(opened(m)) + F.length(m["body"]) + F.lit(len(END))).cast("long").alias("at"),
-            F.when(
-                m["role"] == trained_role,
-                F.concat(acc["spans"], F.array(F.struct((acc["at"] + F.length(opened(m))).cast("long").alias("start"), F.length(m["body"]).cast("long").alias("length")))),
-            ).otherwise(acc["spans"]).alias("spans"),
-        ),
+        "conv_id", "turn", "role",
+        F.array_join(F.transform("content", _visit), "").alias("body"),
+        F.transform(
+            F.filter("content", lambda p: p["kind"].isin(*PLACEHOLDER)),
+            lambda p: F.struct(p["kind"].alias("kind"), p["ref"].alias("ref"), _tokens(p).alias("tokens")),
+        ).alias("attached"),
+        F.concat(F.lit(START), escape(F.col("role")), F.lit(SEP)).alias("opened"),
     )
+    # a running sum gives each message's place: one sort of a conversation, no array that grows by message
+    order = ["turn", "role", "body", "attached"]
+    upto = Window.partitionBy("conv_id").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    end = F.sum((F.length("opened") + F.length("body") + F.lit(len(END))).cast("long")).over(upto)
+    flat = flat.withColumn("start", end - F.lit(len(END)) - F.length("body"))
+    grouped = flat.groupBy("conv_id").agg(F.sort_array(F.collect_list(F.struct("turn", "role", "body", "attached", "start", "opened"))).alias("messages"))
+    trained = F.filter("messages", lambda m: m["role"] == trained_role)
+    spans = F.transform(trained, lambda m: F.struct(m["start"].alias("start"), F.length(m["body"]).cast("long").alias("length")))
     attached = F.flatten(F.transform("messages", lambda m: m["attached"]))
     return grouped.select(
         "conv_id",
-        F.array_join(F.transform("messages", lambda m: F.concat(opened(m), m["body"], F.lit(END))), "").alias("formatted"),
-        step["spans"].alias("loss_spans"),
+        F.array_join(F.transform("messages", lambda m: F.concat(m["opened"], m["body"], F.lit(END))), "").alias("formatted"),
+        spans.alias("loss_spans"),
         F.transform(attached, lambda a, i: F.struct(i.cast("long").alias("index"), a["kind"].alias("kind"), a["ref"].alias("ref"), a["tokens"].alias("tokens"))).alias("attachments"),
         F.aggregate(attached, F.lit(0).cast("long"), lambda s, a: s + a["tokens"]).alias("attachment_tokens"),
     )

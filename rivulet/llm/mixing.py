@@ -3,7 +3,8 @@
 A target in words per source comes from weights by water-filling: a source gets its share of all words
 until it reaches a multiple of its own size, and what is above is shared again by weight. Within a
 source each class of documents (a few values of a preference) gets an expected number of copies,
-again by water-filling. The whole part of that number is taken for certain. Of the rest p, a Pareto
+again by water-filling; without a preference, the default, all of a source's documents have equal odds, and odds differ
+between sources. The whole part of that number is taken for certain. Of the rest p, a Pareto
 sample is drawn: documents are ranked by their random odds over their inclusion odds,
 (u / (1 - u)) / (p / (1 - p)), and the lowest ranks are taken. The sample's size is fixed in words, the
 unit of the targets: the prefix of ranks whose words come nearest to what the certain copies leave.
@@ -50,12 +51,12 @@ def water_fill(df: DataFrame, by: list[str], key: str, weight: str, cap: str, to
     return df.withColumn("_at", level).withColumn(out, F.coalesce(F.least(F.col(cap).cast("double"), F.col("_at") * F.col(weight)), F.col(cap).cast("double"))).drop("_level", "_fits", "_at")
 
 
-def by_length(size: Column) -> Column:
-    """The preference used by default: half for texts of under 20 words."""
-    return F.when(size < 20, F.lit(0.5)).otherwise(F.lit(1.0))
+def alike(size: Column) -> Column:
+    """No preference."""
+    return F.lit(1.0)
 
 
-def measured(docs: DataFrame, id_col: str, text_col: str, source_col: str, seed: int, preference=by_length) -> DataFrame:
+def measured(docs: DataFrame, id_col: str, text_col: str, source_col: str, seed: int, preference=alike) -> DataFrame:
     """doc_id, source, size, u, pref: all that the plan and the choice need of a document."""
     text = whole_text(F.col(text_col))
     df = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).cast("string").alias("source"), word_count(text).alias("size"))
@@ -141,14 +142,14 @@ def chosen(rows: DataFrame, made: DataFrame) -> DataFrame:
     return df.withColumn("copies", F.col("whole") + more)
 
 
-def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[float, ...] = (1, 2, 3), most: int = 3, seed: int = 20240607, preference=by_length) -> DataFrame:
+def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[float, ...] = (1, 2, 3), most: int = 3, seed: int = 20240607, preference=alike) -> DataFrame:
     """doc_id, size, source_size, target, taken (words the mix takes of the document), copies, source."""
     rows = stored(measured(docs, id_col, text_col, source_col, seed, preference), "mix-rows")
     made = stored(plan(rows, weights, most), "mix-plan")
     return chosen(rows, made).select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"), "copies", "source")
 
 
-def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[float, ...] = (1, 2, 3), most: int = 3, seed: int = 20240607, preference=by_length) -> DataFrame:
+def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[float, ...] = (1, 2, 3), most: int = 3, seed: int = 20240607, preference=alike) -> DataFrame:
     """docs with each row repeated as often as the mix takes it; the columns stay. Texts aren't shuffled: each row's
     size and random number are found again beside it and compared with the plan."""
     rows = stored(measured(docs, id_col, text_col, source_col, seed, preference), "mix-rows")

@@ -286,10 +286,17 @@ def _candidates(kind: str, text: Column) -> Column:
     return F.array_distinct(F.concat(*found))
 
 
-@functools.cache
-def ensembles() -> dict[str, Ensemble]:
+_fitted: dict[str, Ensemble] = {}
+
+
+def ensembles(spark: SparkSession) -> dict[str, Ensemble]:
     """The fitted ensembles; once per driver process."""
-    spark = SparkSession.getActiveSession()
+    if not _fitted:
+        _fitted.update(_fit(spark))
+    return _fitted
+
+
+def _fit(spark: SparkSession) -> dict[str, Ensemble]:
     rows = spark.createDataFrame([(i, *r) for i, r in enumerate(templates())], "i long, kind string, text string, label int")
     rows = rows.coalesce(1)
     out = {}
@@ -303,7 +310,7 @@ def ensembles() -> dict[str, Ensemble]:
 
 def with_spans(df: DataFrame, text: str, models: dict[str, Ensemble] | None = None) -> DataFrame:
     """Adds _base and _spans to df: arrays of struct<k,s,e>, by kind and start. text: name of a column without nulls."""
-    models = models or ensembles()
+    models = models or ensembles(df.sparkSession)
     t = F.col(text)
     names = df.columns
     df = df.select("*", *(F.when(t.rlike(NEEDED[k]), F.filter(_places(t, BASE[k]), functools.partial(_passes, k))).otherwise(_none()).alias(f"_b{i}") for i, k in enumerate(KINDS)))

@@ -33,7 +33,7 @@ STOP_WORDS = (
 WINDOW = 8
 SYMBOLS = "#*$%&|<>"
 
-#: stop_ratio is the number of different stop words over the words, of which 100 count at most.
+#: stop_ratio is the share of the words that are stop words.
 #: name: (measure, lowest value kept, highest value kept); None: no bound. Ratios are over words or lines.
 RULES: dict[str, tuple[str, float | None, float | None]] = {
     "n_words": ("n_words", 20, None),
@@ -101,7 +101,7 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rules
         F.size("lines").cast("long").alias("n_lines"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
         F.when(F.size(F.array_distinct("windows")) < F.size("windows"), _repeated(F.col("windows"))).otherwise(F.lit(0).cast("long")).alias("n_repeat_words"),
-        F.size(F.array_intersect("words", F.array(*map(F.lit, STOP_WORDS)))).cast("long").alias("n_stop"),
+        F.size(F.filter("words", lambda w: w.isin(*dict.fromkeys(STOP_WORDS)))).cast("long").alias("n_stop"),
         F.size(F.filter("lines", lambda x: F.rtrim(x).endswith("...") | F.rtrim(x).endswith("…"))).cast("long").alias("n_ellipsis"),
         F.size(F.filter("lines", lambda x: F.substring(F.ltrim(x), 1, 1).isin("-", "*", "•", "‣", "·"))).cast("long").alias("n_bullets"),
     )
@@ -112,7 +112,7 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rules
             "repeat_ratio": _ratio(F.col("n_repeat_words"), F.col("n_words")),
             "dup_line_ratio": _ratio(F.col("n_dup_lines"), F.col("n_lines")),
             "exclamations_per_word": _ratio(F.col("n_exclamations"), F.col("n_words")),
-            "stop_ratio": _ratio(F.col("n_stop"), F.least(F.col("n_words"), F.lit(100))),
+            "stop_ratio": _ratio(F.col("n_stop"), F.col("n_words")),
             "ellipsis_line_ratio": _ratio(F.col("n_ellipsis"), F.col("n_lines")),
             "bullet_line_ratio": _ratio(F.col("n_bullets"), F.col("n_lines")),
         }

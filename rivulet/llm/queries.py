@@ -61,7 +61,8 @@ CONTROL_TEXT = "</s>[INST] ok [/INST]"
 
 def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _read(spark, sf_dir, "conversations").select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), "role", "text")
-    extra = spark.createDataFrame([(-1, 0, "user", CONTROL_TEXT), (-1, 1, "assistant", CONTROL_TEXT)], "conv_id long, turn long, role string, text string")
+    said = F.when(F.col("id") == 0, F.lit("user")).otherwise(F.lit("assistant"))
+    extra = spark.range(2).select(F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"), said.alias("role"), F.lit(CONTROL_TEXT).alias("text"))
     rows = rows.unionByName(extra).select("conv_id", "turn", "role", chat.text_part(F.col("text")).alias("content"))
     return chat.digest(chat.format_conversations(rows))
 
@@ -84,19 +85,15 @@ _STOP = "[" + ", ".join(f"'{w}'" for w in dict.fromkeys(quality_rules.STOP_WORDS
 SQL: dict[str, str] = {
     "op1_mix_sources": r"""
 WITH d AS (SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size FROM documents),
-r AS (SELECT *, CASE WHEN size < 20 THEN 0.5::DOUBLE ELSE 1.0::DOUBLE END AS pref, (CAST(CAST('0x' || substr(md5(concat_ws(':', '20240607', CAST(doc_id AS VARCHAR), CAST(size AS VARCHAR))), 1, 13) AS BIGINT) AS DOUBLE) + 0.5::DOUBLE) / 4503599627370496::DOUBLE AS u FROM d),
-c AS (SELECT source, pref, CAST(sum(size) AS BIGINT) AS class_size FROM r GROUP BY source, pref),
-s AS (SELECT source, CAST(sum(class_size) AS BIGINT) AS source_size FROM c GROUP BY source),
+r AS (SELECT *, (CAST(CAST('0x' || substr(md5(concat_ws(':', '20240607', CAST(doc_id AS VARCHAR), CAST(size AS VARCHAR))), 1, 13) AS BIGINT) AS DOUBLE) + 0.5::DOUBLE) / 4503599627370496::DOUBLE AS u FROM d),
+s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM r GROUP BY source),
 w AS (SELECT *, CAST((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS DOUBLE) AS weight, source_size * 3 AS most, sum(source_size) OVER () AS total FROM s),
 l AS (SELECT *, CAST(total - coalesce(sum(most) OVER (ORDER BY most / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS DOUBLE) / sum(weight) OVER (ORDER BY most / weight, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level FROM w),
 t AS (SELECT source, source_size, coalesce(least(CAST(most AS DOUBLE), max(CASE WHEN level * weight <= most THEN level END) OVER () * weight), CAST(most AS DOUBLE)) AS target FROM l),
-k AS (SELECT c.source, c.pref, c.class_size, t.source_size, t.target, c.pref * c.class_size AS weight, c.class_size * 3 AS most FROM c JOIN t ON c.source IS NOT DISTINCT FROM t.source),
-m AS (SELECT *, (target - coalesce(sum(most) OVER (PARTITION BY source ORDER BY most / weight, pref ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) / sum(weight) OVER (PARTITION BY source ORDER BY most / weight, pref ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level FROM k WHERE class_size > 0),
-n AS (SELECT source, pref, coalesce(least(CAST(most AS DOUBLE), max(CASE WHEN level * weight <= most THEN level END) OVER (PARTITION BY source) * weight), CAST(most AS DOUBLE)) / class_size AS copies FROM m),
-o AS (SELECT k.source, k.pref, k.class_size, k.source_size, k.target, least(coalesce(n.copies, CASE WHEN k.source_size > 0 THEN k.target / k.source_size END, 0), 3) AS raw FROM k LEFT JOIN n ON k.source IS NOT DISTINCT FROM n.source AND k.pref = n.pref),
+o AS (SELECT *, CASE WHEN source_size > 0 THEN least(CAST(source_size * 3 AS DOUBLE), target / CAST(source_size AS DOUBLE) * source_size) / source_size ELSE 0 END AS raw FROM t),
 p AS (SELECT *, CASE WHEN abs(raw - round(raw)) < 1e-9 THEN round(raw) ELSE raw END AS copies FROM o),
-q AS (SELECT *, CAST(floor(copies) AS BIGINT) AS whole, copies - floor(copies) AS chance, max(target) OVER (PARTITION BY source) - sum(floor(copies) * class_size) OVER (PARTITION BY source) AS budget FROM p),
-j AS (SELECT r.doc_id, r.size, r.source, q.source_size, q.target, q.whole, q.chance, q.budget, CASE WHEN q.chance > 0 THEN ln(r.u / (1 - r.u)) - ln(q.chance / (1 - q.chance)) END AS rank FROM r JOIN q ON r.source IS NOT DISTINCT FROM q.source AND r.pref = q.pref),
+q AS (SELECT *, CAST(floor(copies) AS BIGINT) AS whole, copies - floor(copies) AS chance, target - floor(copies) * source_size AS budget FROM p),
+j AS (SELECT r.doc_id, r.size, r.source, q.source_size, q.target, q.whole, q.chance, q.budget, CASE WHEN q.chance > 0 THEN ln(r.u / (1 - r.u)) - ln(q.chance / (1 - q.chance)) END AS rank FROM r JOIN q ON r.source IS NOT DISTINCT FROM q.source),
 h AS (SELECT *, sum(size) OVER (PARTITION BY source, chance > 0 ORDER BY rank RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - sum(size) OVER (PARTITION BY source, rank) / 2 AS half FROM j)
 SELECT doc_id, size, source_size, target, CAST(size * copies AS BIGINT) AS taken, CAST(copies AS BIGINT) AS copies, source
 FROM (SELECT *, whole + CASE WHEN chance > 0 AND half <= budget THEN 1 ELSE 0 END AS copies FROM h)
@@ -110,12 +107,12 @@ t AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_i
 r AS (SELECT doc_id, CAST(sum(covered) AS BIGINT) AS n FROM (SELECT doc_id, least(8, coalesce(lead(i) OVER (PARTITION BY doc_id ORDER BY i) - i, 8)) AS covered FROM t) GROUP BY doc_id),
 m AS (
   SELECT e.doc_id, len(words) AS n_words, CAST(length(array_to_string(words, '')) AS BIGINT) AS word_chars, CAST(length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
-    CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines, coalesce(r.n, 0) AS n_repeat_words, len(lines) AS n_lines, length(text) - length(replace(text, '!', '')) AS n_exclamations, len(list_intersect(words, {_STOP})) AS n_stop,
+    CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines, coalesce(r.n, 0) AS n_repeat_words, len(lines) AS n_lines, length(text) - length(replace(text, '!', '')) AS n_exclamations, len(list_filter(words, lambda x: list_contains({_STOP}, x))) AS n_stop,
     len(list_filter(lines, lambda x: ends_with(rtrim(x), '...') OR ends_with(rtrim(x), '…'))) AS n_ellipsis, len(list_filter(lines, lambda x: substr(ltrim(x), 1, 1) IN ('-', '*', '•', '‣', '·'))) AS n_bullets
   FROM e LEFT JOIN r ON e.doc_id = r.doc_id
 ), q AS (
   SELECT *, CASE WHEN n_words > 0 THEN word_chars / n_words ELSE 0.0 END::DOUBLE AS mean_word_chars, CASE WHEN n_words > 0 THEN n_symbols / n_words ELSE 0.0 END::DOUBLE AS symbols_per_word, CASE WHEN n_words > 0 THEN n_repeat_words / n_words ELSE 0.0 END::DOUBLE AS repeat_ratio,
-    CASE WHEN n_lines > 0 THEN n_dup_lines / n_lines ELSE 0.0 END::DOUBLE AS dup_line_ratio, CASE WHEN n_words > 0 THEN n_exclamations / n_words ELSE 0.0 END::DOUBLE AS exclamations_per_word, CASE WHEN n_words > 0 THEN n_stop / least(n_words, 100) ELSE 0.0 END::DOUBLE AS stop_ratio,
+    CASE WHEN n_lines > 0 THEN n_dup_lines / n_lines ELSE 0.0 END::DOUBLE AS dup_line_ratio, CASE WHEN n_words > 0 THEN n_exclamations / n_words ELSE 0.0 END::DOUBLE AS exclamations_per_word, CASE WHEN n_words > 0 THEN n_stop / n_words ELSE 0.0 END::DOUBLE AS stop_ratio,
     CASE WHEN n_lines > 0 THEN n_ellipsis / n_lines ELSE 0.0 END::DOUBLE AS ellipsis_line_ratio, CASE WHEN n_lines > 0 THEN n_bullets / n_lines ELSE 0.0 END::DOUBLE AS bullet_line_ratio, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed
   FROM m
 )

@@ -5,14 +5,17 @@ query and a bucket, the k-th best score found so far over the product of the len
 that a candidate has to reach. A threshold above 1 skips the bucket and, as buckets get shorter, all after it
 (length pruning). A threshold above `COORDINATE` makes the bucket be judged by the query's heaviest
 coordinates alone, the rest bounded by Cauchy-Schwarz (coordinate pruning). What is left is verified by
-full products. Scores are integers below 2^53, so products in doubles are exact.
+full products. Where no squared length reaches 2^53, products in doubles are exact (no partial sum passes the product of
+two lengths); else what passes the pruning, with room for rounding, is verified in whole numbers of any size.
 
-Queries go out in blocks of at most `BLOCK` vectors, one pass over the candidates per block, so a broadcast
-has a size bound: BLOCK x dimensions x 8 bytes. Each task keeps k rows a query; a window over those picks the best.
+Queries go out in blocks of at most `BLOCK` vectors and `FLOATS` components, one pass over the candidates per block, so
+a broadcast has a size bound, 8 bytes x FLOATS. A pass's rows are stored and its broadcast is destroyed before the next,
+so the driver holds one block. Each task keeps k rows a query; a window over those picks the best.
 
 Defined results
-- a row whose vector is null, empty, or holds null or non-finite components takes no part, nor does one with a null id
-  or of another dimension than the most common one (the smaller, if two are as common).
+- a row whose vector is null or holds null or non-finite components (times the scale, too) takes no part, nor does one
+  with a null id. Vectors of different dimension aren't compared: each query meets the candidates of its own.
+- a score to be returned that doesn't fit 64 bits raises OverflowError.
 - "the query's own" row is every row of the query's id. Equal scores: the smaller id first, then repeated rows.
 - rows repeated exactly count once as queries, each as a candidate. Empty table: empty result.
 """
@@ -20,16 +23,19 @@ Defined results
 from __future__ import annotations
 
 import heapq
+import uuid
+from collections import defaultdict
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Queries in a block; rows of candidates held at once by a task.
-BLOCK, CHUNK = 2048, 16384
+from rivulet.durable import shared_dir
+
+#: Queries in a block; components in a block; rows of candidates held at once by a task.
+BLOCK, FLOATS, CHUNK = 16384, 8_000_000, 16384
 #: Cosine threshold from which coordinate pruning is tried, and coordinates it uses.
 COORDINATE, HEAVIEST = 0.6, 16
 #: Lengths within a bucket: the shortest over the longest.
@@ -38,35 +44,45 @@ RATIO, FEWEST = 0.9, 64
 
 def floored(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", scale: int = 1024) -> DataFrame:
     """vec_id, v array<double> of floor(scale * x); only the rows that take part."""
-    v = F.transform(F.col(vector_col), lambda x: x.cast("double"))
+    # from 2^52 on a double has no fraction
+    v = F.transform(F.col(vector_col), lambda x: x.cast("double") * scale)
     fine = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
-    df = vectors.select(F.col(id_col).cast("long").alias("vec_id"), v.alias("v")).where(F.col("vec_id").isNotNull() & F.col("v").isNotNull() & (F.size("v") > 0) & fine)
-    return df.select("vec_id", F.transform("v", lambda x: F.floor(x * scale).cast("double")).alias("v"))
+    df = vectors.select(F.col(id_col).cast("long").alias("vec_id"), v.alias("v")).where(F.col("vec_id").isNotNull() & F.col("v").isNotNull() & fine)
+    return df.select("vec_id", F.transform("v", lambda x: F.when(F.abs(x) < float(1 << 52), F.floor(x).cast("double")).otherwise(x)).alias("v"))
 
 
 def _best(rows: list, k: int) -> list:
     return heapq.nsmallest(k, rows, key=lambda r: (-r[1], r[0]))
 
 
+def _product(a: np.ndarray, b: np.ndarray) -> int:
+    """The inner product in whole numbers."""
+    found = sum(int(x) * int(y) for x, y in zip(a.tolist(), b.tolist()))
+    if not -(1 << 63) <= found < 1 << 63:
+        raise OverflowError(f"a score does not fit 64 bits: {found}")
+    return found
+
+
 class Block:
-    """A block of queries with what the pruning needs."""
+    """A block of queries of one dimension with what the pruning needs. exact: products in doubles are."""
 
-    def __init__(self, ids: np.ndarray, q: np.ndarray, k: int) -> None:
-        self.ids, self.q, self.k = ids, q, k
+    def __init__(self, ids: np.ndarray, q: np.ndarray, k: int, exact: bool = True) -> None:
+        self.ids, self.q, self.k, self.exact = ids, q, k, exact
         self.norms = np.sqrt((q * q).sum(1))
         self.heavy = np.argsort(-np.abs(q), axis=1, kind="stable")[:, : min(HEAVIEST, q.shape[1])]
         self.light = np.sqrt(np.maximum(self.norms**2 - (np.take_along_axis(q, self.heavy, 1) ** 2).sum(1), 0))
         self.found: list[list[tuple[int, int]]] = [[] for _ in ids]
         self.kth = np.full(len(ids), -np.inf)
 
-    def _add(self, j: int, ids: np.ndarray, scores: np.ndarray) -> None:
-        own = ids != self.ids[j]
-        ids, scores = ids[own], scores[own]
-        if len(scores) > self.k:
+    def _add(self, j: int, ids: np.ndarray, vectors: np.ndarray, scores: np.ndarray) -> None:
+        other = ids != self.ids[j]
+        ids, vectors, scores = ids[other], vectors[other], scores[other]
+        if self.exact and len(scores) > self.k:
             least = np.partition(scores, len(scores) - self.k)[len(scores) - self.k]
             ids, scores = ids[scores >= least], scores[scores >= least]
-        if len(scores):
-            self.found[j] = _best([*self.found[j], *zip(ids.tolist(), scores.astype(np.int64).tolist())], self.k)
+        if len(ids):
+            whole = scores.astype(np.int64).tolist() if self.exact else [_product(self.q[j], v) for v in vectors]
+            self.found[j] = _best([*self.found[j], *zip(ids.tolist(), whole)], self.k)
             if len(self.found[j]) == self.k:
                 self.kth[j] = self.found[j][-1][1]
 
@@ -82,71 +98,85 @@ class Block:
                 end = min(end, at + FEWEST)  # a first few candidates give a threshold
             bucket, of, size = p[at:end], ids[at:end], norms[at:end]
             reach = self.norms[live] * size[0]
-            # lengths are rounded: allow for it, whole scores differ by 1 at least
-            live = live[self.kth[live] <= reach + 0.5]
+            # lengths are rounded: allow for it, whole scores differ by 1 at least; so are products that aren't exact
+            room = np.full(len(self.ids), 0.5) if self.exact else 0.5 + 1e-10 * self.norms * size[0]
+            live = live[self.kth[live] <= reach + room[live]]
+            need = self.kth if self.exact else self.kth - room
             with np.errstate(divide="ignore", invalid="ignore"):
                 threshold = self.kth[live] / (self.norms[live] * size[0])
             near = threshold >= COORDINATE
             for part in np.array_split(live[~near], max(1, len(live) * len(of) // 4_000_000)):
                 if len(part):
                     scores = self.q[part] @ bucket.T
-                    for j in part[(scores >= self.kth[part][:, None]).any(1)]:
+                    for j in part[(scores >= need[part][:, None]).any(1)]:
                         s = scores[np.searchsorted(part, j)]
-                        self._add(j, of[s >= self.kth[j]], s[s >= self.kth[j]])
+                        self._add(j, of[s >= need[j]], bucket[s >= need[j]], s[s >= need[j]])
             for j in live[near]:
                 h = self.heavy[j]
                 some = bucket[:, h]
                 rest = np.sqrt(np.maximum(size**2 - (some * some).sum(1), 0))
-                able = some @ self.q[j, h] + rest * self.light[j] + 0.5 >= self.kth[j]
+                able = some @ self.q[j, h] + rest * self.light[j] + room[j] >= self.kth[j]
                 if able.any():
                     s = bucket[able] @ self.q[j]
-                    self._add(j, of[able][s >= self.kth[j]], s[s >= self.kth[j]])
+                    self._add(j, of[able][s >= need[j]], bucket[able][s >= need[j]], s[s >= need[j]])
             at = end
 
-    def rows(self) -> pd.DataFrame:
-        out = [(int(q), i, s) for q, found in zip(self.ids, self.found) for i, s in found]
-        return pd.DataFrame(out, columns=["query_id", "vec_id", "score"]).astype("int64")
+    def rows(self) -> list[tuple[int, int, int]]:
+        return [(int(q), i, s) for q, found in zip(self.ids, self.found) for i, s in found]
+
 
+def _blocks(queries: DataFrame) -> Iterator[list[tuple[np.ndarray, np.ndarray]]]:
+    """Blocks of queries: per dimension their ids and vectors."""
+    held: dict[int, list[tuple[int, list[float]]]] = defaultdict(list)
+    rows = floats = 0
+
+    def block() -> list[tuple[np.ndarray, np.ndarray]]:
+        return [(np.array([i for i, _ in x], np.int64), np.array([v for _, v in x], np.float64).reshape(len(x), n)) for n, x in held.items()]
 
-def _blocks(queries: DataFrame) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    ids, vectors = [], []
     for row in queries.toLocalIterator():
-        ids.append(row[0])
-        vectors.append(row[1])
-        if len(ids) == BLOCK:
-            yield np.array(ids, np.int64), np.array(vectors)
-            ids, vectors = [], []
-    if ids:
-        yield np.array(ids, np.int64), np.array(vectors)
+        held[len(row[1])].append((row[0], row[1]))
+        rows, floats = rows + 1, floats + len(row[1])
+        if rows >= BLOCK or floats >= FLOATS:
+            yield block()
+            held.clear()
+            rows = floats = 0
+    if held:
+        yield block()
 
 
 def search(vectors: DataFrame, is_query: Column, k: int = 10, id_col: str = "vec_id", vector_col: str = "embedding", scale: int = 1024) -> DataFrame:
     """query_id, rank (from 1), vec_id, score of each query's k best. is_query is over vec_id."""
     spark = vectors.sparkSession
     df = floored(vectors, id_col, vector_col, scale)
-    sizes = df.groupBy(F.size("v").alias("n")).count().orderBy(F.col("count").desc(), "n").limit(1).collect()
+    square = F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x)
+    exact = (df.agg(F.max(square)).first()[0] or 0.0) < float(1 << 53)
     schema = "query_id long, vec_id long, score long"
-    if sizes:
-        df = df.where(F.size("v") == sizes[0]["n"])
-
-    def passed(block: tuple[np.ndarray, np.ndarray]) -> DataFrame:
+    path = f"{shared_dir(spark)}/topk-{uuid.uuid4().hex}"
+    passes = 0
+    for block in _blocks(df.where(is_query).distinct()):
         sent = spark.sparkContext.broadcast(block)
 
-        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            state, ids, held = Block(*sent.value, k), [], []
+        def run(batches: Iterator[pd.DataFrame], sent=sent) -> Iterator[pd.DataFrame]:
+            states = {q.shape[1]: Block(ids, q, k, exact) for ids, q in sent.value}
+            held: dict[int, list[tuple[int, np.ndarray]]] = defaultdict(list)
+
+            def see(n: int) -> None:
+                rows = held.pop(n)
+                states[n].see(np.array([i for i, _ in rows], np.int64), np.stack([v for _, v in rows]).reshape(len(rows), n))
+
             for b in batches:
-                ids += b["vec_id"].tolist()
-                held += b["v"].tolist()
-                if len(ids) >= CHUNK:
-                    state.see(np.array(ids, np.int64), np.stack(held))
-                    ids, held = [], []
-            if ids:
-                state.see(np.array(ids, np.int64), np.stack(held))
-            yield state.rows()
-
-        return df.mapInPandas(run, schema)
-
-    passes = [passed(b) for b in _blocks(df.where(is_query).distinct())]
-    found = reduce(DataFrame.unionAll, passes) if passes else spark.createDataFrame([], schema)
+                for i, v in zip(b["vec_id"].tolist(), b["v"]):
+                    if len(v) in states:
+                        held[len(v)].append((i, v))
+                for n in [n for n, rows in held.items() if len(rows) >= CHUNK]:
+                    see(n)
+            for n in list(held):
+                see(n)
+            yield pd.DataFrame([r for s in states.values() for r in s.rows()], columns=["query_id", "vec_id", "score"]).astype("int64")
+
+        df.mapInPandas(run, schema).write.mode("append").parquet(path)
+        sent.destroy()
+        passes += 1
+    found = spark.read.schema(schema).parquet(path) if passes else spark.createDataFrame([], schema)
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id"))
     return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")

@@ -9,7 +9,7 @@ which white space is a mark or the end of a word.
 The restored words' beginnings and wholes that go with the label beyond chance are the features of a logistic
 regression trained in numpy; the score is its probability.
 
-The character model counts all documents' words, a partition's equal ones by the root of their number; the classifier is fitted on
+The character model counts the letters of all documents' words, so it is the same however the table is dealt; the classifier is fitted on
 a bounded sample of labelled documents, `LABELLED` at most, the smallest by a hash of their id, none of them held out.
 Labels, ids, languages and sources are never inputs of a score.
 
@@ -149,13 +149,13 @@ def tokens(text: str) -> set[str]:
 
 
 def _trigrams(words: dict[str, int]) -> np.ndarray:
-    """Counts of code triples over words, each weighed by the root of its count."""
+    """Counts of code triples over words, each as often as it occurs."""
     table = np.zeros(0x110000, np.int64)
     table[[ord(c) for c in LETTERS]] = np.arange(1, _N)
     joined = "\n\n" + "\n\n".join(words) + "\n\n"
     codes = table[np.frombuffer(joined.encode("utf-32-le", "replace"), np.uint32)]
     triples = (codes[:-2] * _N + codes[1:-1]) * _N + codes[2:]
-    weights = np.repeat(np.sqrt(np.array(list(words.values()), np.float64)), [len(w) + 2 for w in words]) if words else np.zeros(0)
+    weights = np.repeat(np.array(list(words.values()), np.float64), [len(w) + 2 for w in words]) if words else np.zeros(0)
     out = np.bincount(triples, np.append(weights, [0, 0])[: len(triples)], minlength=_N**3)
     out.reshape(_N, _N, _N)[:, 0, 0] = 0  # what lies between words
     return out
