@@ -47,7 +47,7 @@ VOCABULARY, GROUPS, HEAD, WIDTH = 1022, 512, 150_000, 16
 #: Noise classes a batch shares, noise tokens per token, triples in a batch, learning rate, distinct words counted at once.
 SHARED, NOISE, BATCH, RATE, COUNTED = 64, 10, 4096, 0.15, 250_000
 #: Triples a partition learns from at once; groups of words a task keeps.
-AT_ONCE, KEPT = 2_000_000, 200_000
+AT_ONCE, KEPT = 3_000_000, 200_000
 #: Classes: the end, the groups, the words.
 END, FIRST_WORD = 0, 1 + GROUPS
 ALPHA = 0.1
@@ -145,6 +145,12 @@ def head_of(counts: DataFrame, most: int) -> list[tuple[bytes, int]]:
     return sorted(((bytes(r["word"]), r["c"]) for r in rows), key=lambda x: (-x[1], x[0]))
 
 
+def _sums(at: np.ndarray, rows: np.ndarray, n: int) -> np.ndarray:
+    """Row i: the sum of the rows whose place is i."""
+    width = rows.shape[1]
+    return np.bincount((at[:, None] * width + np.arange(width)).ravel(), rows.ravel(), n * width).reshape(n, width)
+
+
 class Model:
     """Parameters; trained on class triples; then tables."""
 
@@ -182,18 +188,16 @@ class Model:
             ru, rv = self.r[uu], self.r[vv]
             h = self.a * ru + self.c * rv
             good = 1 / (1 + np.exp(np.clip((h * self.q[ww]).sum(1) + self.b[ww] - log_noise[ww], -30, 30)))
-            bad = 1 / (1 + np.exp(-np.clip(h @ self.q[x].T + self.b[x] - log_noise[x], -30, 30)))
+            bad = h.astype(np.float32) @ -self.q[x].T.astype(np.float32)  # the large product, and what follows, in place
+            bad += (log_noise[x] - self.b[x]).astype(np.float32)
+            np.exp(np.clip(bad, -30, 30, out=bad), out=bad)
+            bad += 1
+            np.divide((m * (NOISE / SHARED)).astype(np.float32)[:, None], bad, out=bad)
             good *= m
-            bad *= m[:, None] * (NOISE / SHARED)
-            dh = good[:, None] * self.q[ww] - bad @ self.q[x]
-            dq = np.zeros_like(self.q)
-            db = np.zeros(n)
-            dr = np.zeros_like(self.r)
-            np.add.at(dq, ww, good[:, None] * h)
-            np.add.at(dq, x, -(bad.T @ h))
-            db += np.bincount(ww, good, n) - np.bincount(x, bad.sum(0), n)
-            np.add.at(dr, uu, dh * self.a)
-            np.add.at(dr, vv, dh * self.c)
+            dh = good[:, None] * self.q[ww] - bad @ self.q[x].astype(np.float32)
+            dq = _sums(ww, good[:, None] * h, n) - _sums(x, bad.T @ h.astype(np.float32), n)
+            db = np.bincount(ww, good, n) - np.bincount(x, bad.sum(0), n)
+            dr = _sums(uu, dh * self.a, n) + _sums(vv, dh * self.c, n)
             for p, g, s in zip((self.r, self.q, self.a, self.c, self.b), (dr, dq, (dh * ru).sum(0), (dh * rv).sum(0), db), sums):
                 g /= len(at) ** 0.5
                 s += g * g
@@ -283,26 +287,30 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     log_group = np.append(0.0, np.log10(in_groups + ALPHA * (of_groups + 1)))
     place = {w: i for i, (w, _) in enumerate(head)}
     logs = np.log10(np.array([c for _, c in head], np.float64) + ALPHA)
-    sent = spark.sparkContext.broadcast((known, place, logs, log_group, *model.tables()))
+    class_of_head = np.array([*known.values(), *(group(w) for w, _ in head[len(own) :])], np.int64)
+    sent = spark.sparkContext.broadcast((place, class_of_head, logs, log_group, *model.tables()))
     end_log = float(np.log10(ends + ALPHA))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, place, logs, log_group, a, c, z = sent.value
-        class_of = Classes(known)
+        place, class_of_head, logs, log_group, a, c, z = sent.value
+        class_of = Classes({})
         part, at = TaskContext.get().partitionId() << 33, 0
         for b in batches:
             rows, words_out, n_out = [], [], []
             for text in b.column("text"):
                 words = _tokens(text.as_py())
                 p = np.fromiter((place.get(w, -1) for w in words), np.int64, len(words))
-                classes = np.append(np.fromiter(map(class_of.__getitem__, words), np.int64, len(words)), END)
+                seen = p >= 0
+                unseen = np.flatnonzero(~seen)
+                classes = np.full(len(words) + 1, END)
+                classes[:-1][seen] = class_of_head[p[seen]]
+                classes[unseen] = [class_of[words[i]] for i in unseen]
                 u, v, w = _triples(classes)
                 log_p = float((a[u, w].astype(np.float64) + c[v, w] - z[u, v]).sum()) / np.log(10)
-                seen = p >= 0
                 base = float(logs[p[seen]].sum()) + end_log - log_base * (len(words) + 1)
                 some = classes[:-1] < FIRST_WORD
                 inner = float(logs[p[seen & some]].sum()) - float(log_group[classes[:-1][some]].sum())
-                other = Counter(words[i] for i in np.flatnonzero(~seen))
+                other = Counter([words[i] for i in unseen])
                 rows.append((part + at, len(words) + 1, int(seen.sum()) + (1 if ends else 0), base, log_p + inner))
                 words_out.append(list(other))
                 n_out.append(list(other.values()))
