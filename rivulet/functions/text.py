@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from rivulet.contracts import as_columns
 
-#: Values that stand for no address; letters of the case given.
-JUNK = r"(^|\s)(unknown|Unknown|UNKNOWN|web added|Web Added|n/a|N/A|NA|none|None)(\s|$)"
+#: Fixed value: text that stands for no address, or begins so; lower case.
+JUNK = r"^(web add|unknown|no add)|^$"
 
 
 def collapse(c: Column) -> Column:

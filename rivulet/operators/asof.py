@@ -7,6 +7,7 @@ matches; no inequality join, no cross product.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -63,13 +64,14 @@ def asof_join(
 def nearest_number(left: DataFrame, right: DataFrame, by: Sequence[str], left_at: str, right_at: str, take: Sequence[str]) -> DataFrame:
     """left with the columns take of right's row of equal by whose number is nearest; the smaller number at equal distances.
 
-    For sides with few numbers a key, such as years: an equality join and one row kept per row of left."""
-    facts = right.select(*(F.col(c).alias(f"_k{i}") for i, c in enumerate(by)), F.col(right_at).alias("_at"), F.struct(*(F.col(c).alias(c) for c in take)).alias("_take"))
-    rows = left.withColumn("_row", F.monotonically_increasing_id())
-    on = F.lit(True)
-    for i, c in enumerate(by):
-        on = on & F.col(c).eqNullSafe(F.col(f"_k{i}"))
-    best = F.struct(F.abs(F.col(left_at) - F.col("_at")).alias("gap"), F.col("_at").alias("at"))
-    joined = rows.join(facts, on, "left").withColumn("_best", F.when(F.col("_at").isNotNull(), best))
-    first = F.row_number().over(Window.partitionBy("_row").orderBy(F.col("_best").asc_nulls_last()))
-    return joined.withColumn("_n", first).where("_n = 1").select(*left.columns, *(F.col(f"_take.{c}").alias(c) for c in take))
+    For sides with few numbers a key, such as years: right becomes one row a key, which holds an array of its numbers; a row
+    of left picks from that, so only right is grouped. Of right's rows with the same number the least by take counts."""
+    need(left, [*by, left_at])
+    need(right, [*by, right_at, *take])
+    one = F.struct(F.col(f"`{right_at}`").alias("at"), F.struct(*(F.col(f"`{c}`").alias(f"v{i}") for i, c in enumerate(take))).alias("take"))
+    facts = right.where(F.col(f"`{right_at}`").isNotNull()).groupBy(*(F.col(f"`{c}`").alias(f"_k{i}") for i, c in enumerate(by))).agg(F.collect_set(one).alias("_all"))
+    on = reduce(lambda a, b: a & b, (F.col(f"`{c}`").eqNullSafe(F.col(f"_k{i}")) for i, c in enumerate(by)))
+    at = F.col(f"`{left_at}`")
+    best = F.array_min(F.transform("_all", lambda x: F.struct(F.abs(at - x["at"]).alias("gap"), x["at"].alias("at"), x["take"].alias("take"))))
+    out = left.join(facts, on, "left").withColumn("_best", F.when(at.isNotNull(), best))
+    return out.select(*as_columns(left.columns), *(F.col(f"_best.take.v{i}").alias(c) for i, c in enumerate(take)))

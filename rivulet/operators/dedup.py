@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -34,9 +34,10 @@ def drop_related(pairs: DataFrame, households: DataFrame, associations: DataFram
     return pairs.join(out, (a == F.col("_x")) & (b == F.col("_y")), "left_anti")
 
 
-def keep_delete(pairs: DataFrame, facts: DataFrame, criteria: Sequence[tuple[str, str]], id_col: str = "customer_no") -> DataFrame:
+def keep_delete(pairs: DataFrame, facts: DataFrame, criteria: Sequence[tuple[str, str]], id_col: str = "customer_no", unknown: Mapping[str, object] | None = None) -> DataFrame:
     """pairs with keep_{id}, delete_{id} and keep_reason: the first criterion (column of facts, reason) in which the two
-    differ decides, the greater is kept; null on either side decides nothing. Undecided: nulls."""
+    differ decides, the greater is kept; null on either side decides nothing, but for columns of unknown, which take its
+    value. Undecided: nulls."""
     cols = [c for c, _ in criteria]
     need(facts, [id_col, *cols])
     one = facts.dropDuplicates([id_col])
@@ -44,6 +45,8 @@ def keep_delete(pairs: DataFrame, facts: DataFrame, criteria: Sequence[tuple[str
     right = one.select(F.col(id_col).alias("_b"), *(F.col(c).alias(f"_r{i}") for i, c in enumerate(cols)))
     a, b = F.col(id_col), F.col(f"`i.{id_col}`")
     df = pairs.join(left, a == F.col("_a"), "left").join(right, b == F.col("_b"), "left")
+    instead = {cols.index(c): v for c, v in (unknown or {}).items() if c in cols}
+    df = df.withColumns({f"_{s}{i}": F.coalesce(f"_{s}{i}", F.lit(v)) for i, v in instead.items() for s in "lr"}) if instead else df
 
     def first(x: Column, y: Column, said: bool) -> Column:
         picks = []

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rivulet.contracts import need
@@ -18,33 +21,62 @@ def _capacity(memberships: DataFrame) -> DataFrame:
     return memberships.withColumn("value_amt", F.when(known, F.greatest(*parts)))
 
 
-def _rounds(g: pd.DataFrame) -> pd.DataFrame:
-    """Matches of one household: rounds until nothing more fits."""
-    m = g[g["is_membership"]].dropna(subset=["value_amt"]).sort_values("no").drop_duplicates("no").reset_index(drop=True)
-    c = g[~g["is_membership"]].sort_values("no").drop_duplicates("no").reset_index(drop=True)
-    got = c["matched"].to_numpy(dtype="float64", na_value=float("nan")).copy()
-    if not len(m) or not len(c):
-        return pd.DataFrame({"ref_no": c["no"].astype("int64"), "match": pd.array(got, dtype="float64")})
-    seconds = {k: (m[k].astype("int64") / 1e6, c[k].astype("int64") / 1e6) for k in ("made", "start")}
-    gap = sum((abs(x[1].to_numpy()[None, :] - x[0].to_numpy()[:, None]) / _YEAR for x in seconds.values()))
-    same = (m["category"].to_numpy()[:, None] == c["category"].to_numpy()[None, :]) & m["category"].notna().to_numpy()[:, None]
-    amounts, values, ids = c["amount"].to_numpy(), m["value_amt"].to_numpy(), m["no"].to_numpy()
+def _rounds(values: np.ndarray, ids: np.ndarray, amounts: np.ndarray, got: np.ndarray, base: np.ndarray) -> np.ndarray:
+    """got, the membership of each payment of a household (nan: none), after rounds until nothing more fits. base: what a pair
+    scores besides its share of the free capacity."""
+    place = {m: i for i, m in enumerate(ids.tolist())}
     while True:
-        held = pd.Series(amounts).groupby(got).sum()
-        filled = pd.Series(ids).map(held).fillna(0.0).to_numpy()
+        at = np.array([place.get(g, -1) for g in got.tolist()])
+        filled = np.bincount(at[at >= 0], amounts[at >= 0], len(ids))
         room = values - filled
-        free = (got != got) & (amounts > 0)
-        able = free[None, :] & (room[:, None] >= amounts[None, :])
-        score = amounts[None, :] / pd.Series(room).where(room != 0).to_numpy()[:, None] + same - gap
-        score = pd.DataFrame(score).where(able & (score > 0)).to_numpy(dtype="float64")
-        changed = False
-        for i in range(len(m)):  # of equal scores the smaller reference; of rival memberships the last
-            row = pd.Series(score[i])
-            if row.notna().any():
-                got[int(row.idxmax())] = ids[i]
-                changed = True
-        if not changed:
-            return pd.DataFrame({"ref_no": c["no"].astype("int64"), "match": pd.array(got, dtype="float64")})
+        free = np.isnan(got) & (amounts > 0)
+        able = free[None, :] & (room[:, None] >= amounts[None, :]) & (room[:, None] != 0)
+        with np.errstate(divide="ignore", invalid="ignore"):
+            score = np.where(able, amounts[None, :] / room[:, None] + base, -np.inf)
+        score[~(score > 0)] = -np.inf
+        some = np.flatnonzero(score.max(1) > 0)
+        if not len(some):
+            return got
+        # of equal scores the largest reference; of rival memberships the last
+        best = score.shape[1] - 1 - score[some, ::-1].argmax(1)
+        got[best] = ids[some]
+
+
+def _matched(house: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """References and memberships of one household's payments, the columns as arrays."""
+    of = lambda at: {k: x[at] for k, x in house.items()}
+    once = lambda at: at[np.unique(house["no"][at], return_index=True)[1]]
+    m = of(once(np.flatnonzero(house["is_membership"] & ~np.isnan(house["value_amt"]))))
+    c = of(once(np.flatnonzero(~house["is_membership"])))
+    got = c["matched"].copy()
+    if not len(m["no"]) or not len(got):
+        return c["no"], got
+    gap = sum(np.abs(c[k][None, :] - m[k][:, None]) / 1e6 / _YEAR for k in ("made", "start"))
+    same = (m["category"][:, None] == c["category"][None, :]) & (m["category"] != None)[:, None]  # noqa: E711  elementwise
+    return c["no"], _rounds(m["value_amt"], m["no"], c["amount"], got, same - gap)
+
+
+def _households(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Matches of rows sorted by household: many to a batch, the last of which may go on in the next."""
+    held = None
+
+    def solved(rows: pd.DataFrame) -> pd.DataFrame:
+        house = rows["house"].to_numpy()
+        cuts = np.flatnonzero(house[1:] != house[:-1]) + 1
+        whole = {k: rows[k].to_numpy(np.float64, na_value=np.nan) for k in ("value_amt", "amount", "matched", "made", "start")}
+        whole |= {"no": rows["no"].to_numpy(np.int64), "is_membership": rows["is_membership"].to_numpy(bool)}
+        whole["category"] = rows["category"].astype(object).where(rows["category"].notna(), None).to_numpy(object)
+        found = [_matched({k: x[i:j] for k, x in whole.items()}) for i, j in zip([0, *cuts], [*cuts, len(rows)])]
+        return pd.DataFrame({"ref_no": np.concatenate([x for x, _ in found]), "match": np.concatenate([x for _, x in found])}).dropna()
+
+    for batch in batches:
+        rows = batch if held is None else pd.concat([held, batch], ignore_index=True)
+        last = rows["house"].to_numpy() == rows["house"].iloc[-1] if len(rows) else np.zeros(0, bool)
+        held = rows[last]
+        if not last.all():
+            yield solved(rows[~last])
+    if held is not None and len(held):
+        yield solved(held)
 
 
 def greedy_match(contributions: DataFrame, memberships: DataFrame, by: str = "group_customer_no") -> DataFrame:
@@ -52,15 +84,18 @@ def greedy_match(contributions: DataFrame, memberships: DataFrame, by: str = "gr
 
     In each round every membership takes the unmatched payment of the highest score above 0 that still fits its
     capacity: share of the free capacity, plus 1 for the same campaign category, less the years between creation
-    dates and between start and payment. Rounds go on until nothing is taken. All work is within a household: one
-    shuffle, and the loop runs where the household's rows are, so a household's rows have to fit a task."""
+    dates and between start and payment; of equal scores the largest reference. Rounds go on until nothing is taken. All
+    work is within a household: one shuffle and sort, households with both sides only, and the loop runs where the
+    household's rows are, so a household's rows have to fit a task. Many households share a batch."""
     need(contributions, [by, "ref_no", "cont_amt", "cust_memb_no", "create_dt", "cont_dt", "campaign_category_desc"])
     need(memberships, [by, "cust_memb_no", "memb_amt", "AVC_amt", "recog_amt", "start_amt", "create_dt", "init_dt", "campaign_category_desc"])
     at = lambda c: F.unix_micros(F.col(c).cast("timestamp"))
     m = _capacity(memberships).select(F.col(by).alias("house"), F.lit(True).alias("is_membership"), F.col("cust_memb_no").cast("long").alias("no"), F.col("value_amt").cast("double").alias("value_amt"), F.lit(None).cast("double").alias("amount"), F.lit(None).cast("double").alias("matched"), at("create_dt").alias("made"), at("init_dt").alias("start"), F.col("campaign_category_desc").alias("category"))
     c = contributions.select(F.col(by).alias("house"), F.lit(False).alias("is_membership"), F.col("ref_no").cast("long").alias("no"), F.lit(None).cast("double").alias("value_amt"), F.col("cont_amt").cast("double").alias("amount"), F.col("cust_memb_no").cast("double").alias("matched"), at("create_dt").alias("made"), at("cont_dt").alias("start"), F.col("campaign_category_desc").alias("category"))
     rows = m.unionByName(c).where("house is not null and made is not null and start is not null")
-    found = rows.groupBy("house").applyInPandas(_rounds, "ref_no long, match double").where("match is not null")
+    of = Window.partitionBy("house")
+    rows = rows.withColumns({"_m": F.max("is_membership").over(of), "_c": F.min("is_membership").over(of)}).where("_m and not _c").drop("_m", "_c")
+    found = rows.repartition("house").sortWithinPartitions("house").mapInPandas(_households, "ref_no long, match double")
     kind = contributions.schema["cust_memb_no"].dataType
     found = found.select(F.col("ref_no").alias("_ref"), F.col("match").cast(kind).alias("_match"))
     out = contributions.join(found, F.col("ref_no") == F.col("_ref"), "left")

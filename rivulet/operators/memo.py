@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable, Iterator, Sequence
 from functools import reduce
 
@@ -11,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from rivulet.catalog import Catalog
+from rivulet.catalog import VERSIONS, Catalog
 from rivulet.contracts import need
 
 
@@ -53,7 +52,10 @@ def memoised(
                 part = batch.iloc[at : at + chunk].reset_index(drop=True)
                 yield pd.concat([part, function(part.copy()).reset_index(drop=True)], axis=1)[names]
 
-    missing = wanted.repartition(parallel) if parallel else wanted
-    catalog.append(name, missing.mapInPandas(run, full), tag=uuid.uuid4().hex)
+    if not catalog.exists(name) or not wanted.isEmpty():
+        missing = wanted.repartition(parallel) if parallel else wanted
+        catalog.append(name, missing.mapInPandas(run, full))
+        if catalog.versions(name) > VERSIONS:
+            catalog.compact(name)
     cache = catalog.read(name).select(*names).dropDuplicates(list(keys)).withColumnsRenamed(renamed)
     return df.join(cache, _same(keys, list(renamed.values())), "left").drop(*renamed.values())

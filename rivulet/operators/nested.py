@@ -56,5 +56,7 @@ def from_json_text(spark: SparkSession, texts: DataFrame, col: str, schema: str
         return text.select(F.from_json("value", schema).alias("x")).select("x.*")
     if text.isEmpty():
         return None
-    found = spark.read.json(text.rdd.map(lambda r: r[0]))
+    # the reader's own inference over a column of text, within the JVM
+    strings = getattr(text._jdf, "as")(spark._jvm.org.apache.spark.sql.Encoders.STRING())
+    found = DataFrame(spark._jsparkSession.read().json(strings), spark)
     return found if found.columns else None

@@ -51,17 +51,19 @@ def running_totals(df: DataFrame, by: Sequence[str], order: Sequence[str], amoun
     return previous_other(df, time, by, f"{prefix}_timestamp_last")
 
 
-def running_counts(df: DataFrame, by: Sequence[str], order: Sequence[str], col: str, values: Sequence[str], prefix: str) -> DataFrame:
-    """{prefix}_{slug}_count: rows of the value so far, in order."""
+def running_counts(df: DataFrame, by: Sequence[str], order: Sequence[str], col: str, values: Sequence[str], prefix: str, slugs: bool = True) -> DataFrame:
+    """{prefix}_{slug}_count (or the value itself): rows of the value so far, in order."""
     w = window(by, order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return df.withColumns({f"{prefix}_{slug_of(v)}_count": F.sum(F.when(F.col(col) == v, 1).otherwise(0)).over(w) for v in values})
+    return df.withColumns({f"{prefix}_{slug_of(v) if slugs else v}_count": F.sum(F.when(F.col(col) == v, 1).otherwise(0)).over(w) for v in values})
 
 
-def repeat_kind(df: DataFrame, by: Sequence[str], order: Sequence[str], time: str, again: str, out: str, days: float = 365) -> DataFrame:
+def repeat_kind(df: DataFrame, by: Sequence[str], order: Sequence[str], time: str, again: str, out: str, days: float = 365, other: str | None = None) -> DataFrame:
     """Adds out: New for a group's first row, Upgrade if the row's `again` (a membership or campaign) has occurred in the
-    group, Renew if the row before is at most days older, else Reinstate."""
+    group, or, where it is null and there is an `other` column, if that has, Renew if the row before is at most days older, else Reinstate."""
     w = window(by, order)
     seen = F.row_number().over(window([*by, again], order)) > 1
+    if other is not None:
+        seen = F.when(F.col(again).isNotNull(), seen).otherwise(F.row_number().over(window([*by, other], order)) > 1)
     gap = F.unix_micros(F.col(time).cast("timestamp")) - F.unix_micros(F.lag(time).over(w).cast("timestamp"))
     kind = F.when(F.row_number().over(w) == 1, "New").when(seen, "Upgrade").when(gap <= int(days * 86400 * 1_000_000), "Renew").otherwise("Reinstate")
     return df.withColumn(out, kind)

@@ -7,12 +7,12 @@ from collections.abc import Callable, Sequence
 from functools import reduce
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rivulet.catalog import Catalog
 from rivulet.contracts import ENTITY, as_columns
-from rivulet.functions.text import clean, collapse, repeated_word, separators
+from rivulet.functions.text import clean, repeated_word, separators
 from rivulet.operators.asof import asof_join
 from rivulet.operators.audit import reconstruct
 from rivulet.operators.debounce import debounce
@@ -33,9 +33,32 @@ GROUPS = {
     "country": ("country_region", "country", "world_region"),
     "postcode": ("postcode",),
 }
-#: Secondary unit designators of public postal addressing standards.
-UNIT_WORDS = "apartment apt basement bsmt building bldg department dept floor fl front frnt hangar hngr key lobby lbby lot lower lowr office ofc penthouse ph pier rear room rm side slip space spc stop suite ste trailer trlr unit upper uppr".split()
-UNIT = r"(?i)(?:\b(?:" + "|".join(UNIT_WORDS) + r")\b\.?|#)\s*[a-z0-9-]+"
+#: Components joined by a comma; the others by a space.
+LISTED = ("city", "state", "country")
+#: Fixed values, secondary unit designators of the United States Postal Service's Publication 28, appendix C2: those that stand alone, and those
+#: that a number follows.
+UNIT_ALONE = "basement bsmt floor fl front frnt lobby lbby lowr office ofc penthouse ph rear uppr".split()
+UNIT_NUMBERED = "apartment apt building bldg department dept hanger hngr key lot pier room rm slip space spc stop suite ste trailer trlr unit".split()
+#: Fixed values, the commonest street suffixes of the same publication's appendix C1 (give others as `streets`).
+STREETS = (
+    "alley aly avenue av ave beach bch bend boulevard blvd bridge brg broadway brook canyon causeway center ctr circle cir common court ct cove crescent cres "
+    "crossing xing drive dr expressway expy freeway fwy garden gardens grove harbor heights hts highway hwy hill hl hills hollow island junction jct lake landing lane ln "
+    "loop manor meadow meadows mews mill mount mt mountain park parkway pkwy pass path pike place pl plaza plz point pt ridge rdg road rd route rte row run "
+    "shore spring springs square sq station street st str summit terrace ter trail trl turnpike tpke valley vly view village vista walk way wy"
+).split()
+#: Directions, in English and Spanish.
+DIRECTIONS = "n ne nw s se sw e w norte noreste noroeste sur sureste suroeste este oeste north northeast northwest south southeast southwest east west".split()
+UNIT_NUMBER = r"(?:\d[\d\w]*|\w\d+|ph.{1,3})"
+_UNIT = "(?:" + "|".join([*UNIT_ALONE, *(f"{w}(?!$)" for w in UNIT_NUMBERED), "#(?!$)"]) + ")"
+#: A line that is a unit's number, with its designator or without.
+UNIT_LINE = rf"^{_UNIT}?\s*{UNIT_NUMBER}$"
+
+
+def unit_after_street(streets: Sequence[str] = STREETS) -> str:
+    """Pattern whose first group is what follows a street's suffix (and direction) if that begins as a unit does."""
+    return rf"\W+(?:{'|'.join(streets)})\W+(?:(?:{'|'.join(DIRECTIONS)})\W+)?((?:{_UNIT}|{UNIT_NUMBER}).*)$"
+
+
 PREFIX = "parsed."
 Parser = Callable[[list[str]], list[dict[str, str]]]
 
@@ -57,17 +80,29 @@ def raw_parse(parser: Parser) -> Callable[[pd.DataFrame], pd.DataFrame]:
     return run
 
 
-def repaired(df: DataFrame, components: str = "components") -> DataFrame:
-    """df with PREFIX columns of its parser components: groups united; a unit that landed in the postcode, the second
-    street line or the road taken from there, and out of the other columns; blanks null."""
+def repaired(df: DataFrame, components: str = "components", streets: Sequence[str] = STREETS) -> DataFrame:
+    """df with PREFIX columns of its parser components: groups united. A missing unit is, in this order, a postcode that isn't
+    the one given, a second street line that is a unit's number, or what follows the street in the road; a unit is
+    taken out of postcode, road and house where it stands there as a whole; blanks null."""
     said = F.from_json(F.col(components), "map<string,string>")
-    parts = {k: F.concat_ws(" ", *(F.try_element_at(said, F.lit(g)) for g in group)) for k, group in GROUPS.items()}
-    df = df.withColumns({f"_{k}": c for k, c in parts.items()})
-    lost = F.coalesce(*(F.nullif(F.regexp_extract(F.lower(F.coalesce(F.col(c), F.lit(""))), UNIT, 0), F.lit("")) for c in ("_postcode", "street2", "_road", "_house")), F.lit(""))
-    df = df.withColumn("_unit", F.when(F.col("_unit") != "", F.col("_unit")).otherwise(lost))
-    without = lambda c: F.when(F.col("_unit") != "", F.replace(F.col(c), F.col("_unit"), F.lit(""))).otherwise(F.col(c))
-    out = {PREFIX + k: F.nullif(collapse(F.col("_unit") if k == "unit" else without(f"_{k}")), F.lit("")) for k in PARSED}
-    return df.withColumns(out).drop(*(f"_{k}" for k in PARSED))
+    sep = lambda k: ", " if k in LISTED else " "
+    df = df.withColumns({f"_{k}": F.concat_ws(sep(k), *(F.try_element_at(said, F.lit(g)) for g in group)) for k, group in GROUPS.items()})
+    line = F.lower(F.col("street2"))
+    tail = F.regexp_extract("_road", unit_after_street(streets), 1)
+    unit = (
+        F.when(F.trim("_unit") != "", F.col("_unit"))
+        .when((F.col("_postcode") != "") & (F.col("_postcode") != F.lower("postal_code")), F.col("_postcode"))
+        .when(line.rlike(UNIT_LINE), line)
+        .when(tail != "", tail)
+        .otherwise(F.lit(""))
+    )
+    df = df.withColumn("_unit", F.trim(unit))
+    # quoted, so that a unit's own marks aren't a pattern's
+    found = F.concat(F.lit(r"(^|\W+)\Q"), F.col("_unit"), F.lit(r"\E(\W+|$)"))
+    without = lambda c: F.when(F.col("_unit") != "", F.expr(f"regexp_replace(`{c}`, `_found`, '', 1)")).otherwise(F.col(c))
+    df = df.withColumn("_found", found)
+    out = {PREFIX + k: F.nullif(without(f"_{k}") if k in ("postcode", "road", "house") else F.trim(f"_{k}"), F.lit("")) for k in PARSED}
+    return df.withColumns(out).drop("_found", *(f"_{k}" for k in PARSED))
 
 
 def parse(df: DataFrame, parser: Parser, catalog: Catalog, name: str = "address_parse", chunk: int = 1000) -> DataFrame:
@@ -140,35 +175,43 @@ def reverse_census(df: DataFrame, ask: Callable[[float, float], str | None], rin
 
 
 def normalised(df: DataFrame) -> DataFrame:
-    """df with {column}_cleaned: the census's match, else a rooftop match of the map service with exactly four commas,
-    else the parser's road, else what was written; a second line of box, unit or house; all cleaned."""
-    matched, formatted = F.split("matched_address", ", *"), F.split("formatted_address", ", *")
-    roof = (F.col("location_type") == "ROOFTOP") & (separators(F.col("formatted_address")) == 4)
-    road = F.when(F.col(f"`{PREFIX}road`").isNotNull(), F.concat_ws(" ", f"`{PREFIX}house_number`", f"`{PREFIX}road`"))
-    at = lambda parts, i: F.get(parts, F.lit(i))
-    state_zip = F.split(at(formatted, 3), " ")
-    street1 = F.coalesce(at(matched, 0), F.when(roof, at(formatted, 0)), road, F.col("street1"))
-    city = F.coalesce(at(matched, 1), F.when(roof, at(formatted, 2)), F.col(f"`{PREFIX}city`"), F.col("city"))
-    state = F.coalesce(at(matched, 2), F.when(roof, at(state_zip, 0)), F.col(f"`{PREFIX}state`"), F.col("state"))
-    postal = F.coalesce(at(matched, 3), F.when(roof, at(state_zip, 1)), F.col(f"`{PREFIX}postcode`"), F.col("postal_code"))
-    country = F.coalesce(F.when(F.col("matched_address").isNotNull(), F.lit("USA")), F.when(roof, at(formatted, 4)), F.col(f"`{PREFIX}country`"), F.col("country"))
-    df = df.withColumns({"_s1": clean(street1), "_s2": clean(F.coalesce(f"`{PREFIX}po_box`", f"`{PREFIX}unit`", f"`{PREFIX}house`"))})
-    df = df.withColumn("_s2", F.when(F.col("_s1") != F.col("_s2"), F.col("_s2")))
-    unit = clean(F.col(f"`{PREFIX}unit`"))
-    df = df.withColumn("_s1", F.when(unit.isNotNull() & (F.col("_s2") != unit) & ~F.col("_s1").contains(unit), F.concat_ws(" ", "_s1", unit)).otherwise(F.col("_s1")))
-    df = df.withColumn("_s2", F.when(F.coalesce(repeated_word(F.lower(F.col("_s2"))), F.lit(False)), clean(F.col("street2"))).otherwise(F.col("_s2")))
-    return df.withColumns({"street1_cleaned": F.col("_s1"), "street2_cleaned": F.col("_s2"), "city_cleaned": clean(city), "state_cleaned": F.upper(collapse(state)), "postal_code_cleaned": collapse(postal), "country_cleaned": F.upper(collapse(country))}).drop("_s1", "_s2")
+    """df with {column}_cleaned. Each row's first line, city, state, post code and country come from one place: a rooftop match
+    of the map service in five parts (its state and post code stand together), else the census's match, else the
+    parser, if it found a road, else what was written. The second line is the parser's box, unit or house, unless it
+    is the first; a unit that isn't there goes after the first line; a second line that repeats a word gives way to
+    the written one. All are cleaned then, states and countries in capitals."""
+    parsed = lambda c: F.col(f"`{PREFIX}{c}`")
+    formatted = F.regexp_replace("formatted_address", r", ([A-Za-z]+) (\d+), (\w+)$", ", $1, $2, $3")
+    census, roof = F.split("matched_address", ", "), F.split(formatted, ", ")
+    is_roof = F.coalesce((F.col("location_type") == "ROOFTOP") & (separators(formatted) == 4), F.lit(False))
+    part = lambda i: F.when(is_roof, F.get(roof, F.lit(i))).when(F.col("matched_address").isNotNull(), F.get(census, F.lit(i)) if i < 4 else F.lit("USA"))
+    names = ("street1", "city", "state", "postal_code", "country")
+    of_parser = (F.concat_ws(" ", parsed("house_number"), parsed("road")), parsed("city"), parsed("state"), parsed("postcode"), parsed("country"))
+    known, road = part(0).isNotNull(), parsed("road").isNotNull()
+    df = df.withColumns({f"_{n}": F.when(known, part(i)).when(road, of_parser[i]).otherwise(F.col(n)) for i, n in enumerate(names)})
+    other = F.coalesce(parsed("po_box"), parsed("unit"), parsed("house"))
+    df = df.withColumn("_street2", F.when(F.col("_street1") != other, other))
+    df = df.withColumn("_street1", F.when(parsed("unit").isNotNull() & (F.col("_street2") != parsed("unit")), F.concat_ws(", ", "_street1", parsed("unit"))).otherwise(F.col("_street1")))
+    df = _unrepeated(df, "_street1", "_street2")
+    upper = ("state", "country")
+    return df.withColumns({f"{n}_cleaned": F.upper(clean(F.col(f"_{n}"))) if n in upper else clean(F.col(f"_{n}")) for n in (*names[:1], "street2", *names[1:])}).drop("_street2", *(f"_{n}" for n in names))
+
+
+def _unrepeated(df: DataFrame, first: str, second: str) -> DataFrame:
+    """A second line that has a word twice becomes the written one, unless that is the first."""
+    twice = F.coalesce(repeated_word(F.col(second)), F.lit(False)) & (clean(F.col("street2")) != F.col(first))
+    return df.withColumn(second, F.when(twice, clean(F.col("street2"))).otherwise(F.col(second)))
 
 
 def street_cleaner(members: DataFrame, addresses: DataFrame, salutations: DataFrame) -> DataFrame:
-    """The latest primary address of each member of a list, normal, with its salutation and flags: repeated_word and
-    possible_duplicate (another household has the same first line and post code)."""
+    """The latest primary address of each member of a list, normal, with its salutation and flags: repeated_word (in both lines
+    together) and possible_duplicate (another member has the same lines, city and state)."""
     rows = addresses.join(members.select("customer_no").distinct(), "customer_no", "left_semi").where("primary_ind = 'Y'")
     rows = normalised(debounce(rows, ["customer_no"], ["timestamp", "address_no"])).join(salutations.dropDuplicates(["customer_no"]), "customer_no", "left")
-    groups = rows.groupBy("street1_cleaned", "postal_code_cleaned").agg((F.count("*") > 1).alias("possible_duplicate"))
-    keyed = groups.withColumnsRenamed({"street1_cleaned": "_a", "postal_code_cleaned": "_b"})
-    rows = rows.join(keyed, F.col("street1_cleaned").eqNullSafe(F.col("_a")) & F.col("postal_code_cleaned").eqNullSafe(F.col("_b"))).drop("_a", "_b")
-    return rows.withColumn("repeated_word", F.coalesce(repeated_word(F.lower("street1_cleaned")), F.lit(False)))
+    rows = _unrepeated(rows, "street1_cleaned", "street2_cleaned")
+    keys = ["street1_cleaned", "street2_cleaned", "city_cleaned", "state_cleaned"]
+    alike = F.count("*").over(Window.partitionBy(*keys))
+    return rows.withColumns({"possible_duplicate": alike > 1, "repeated_word": repeated_word(F.concat_ws(" ", "street1_cleaned", "street2_cleaned"))})
 
 
 def build(addresses: DataFrame, enriched: Sequence[DataFrame], scores: DataFrame, score_cols: Sequence[str]) -> DataFrame:

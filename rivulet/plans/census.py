@@ -2,32 +2,48 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import re
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rivulet.functions.text import slug
-from rivulet.operators.asof import asof_join, nearest_number
+from rivulet.operators.asof import nearest_number
 from rivulet.operators.debounce import debounce
 from rivulet.operators.running import categories
 
 FAMILIES = ("race", "sex", "age")
+#: What variables' labels have to say.
+COUNTED = r"(?i)^(number|estimate|total)"
+AGES = r"(?i)!!\d+ (to|and) \d+ years$|!!(18|19|20|21) years$|Under 5 years|85 years and over|(fe)?male$"
 
 
 def variables(labels: DataFrame) -> DataFrame:
     """year, dataset, variable, type and race, sex, age or measure of variables whose label or concept tells them; the first of
-    each kind per year and dataset."""
-    text = F.lower(F.concat_ws(" ", "concept", "label"))
-    last = F.trim(F.regexp_replace(F.element_at(F.split("label", "!!"), -1), ":$", ""))
-    kind = F.when(text.rlike("median household income"), "income").when(text.rlike("sex by age") & ~text.rlike(r"\((white|black|asian|hispanic|american|native|some|two)"), "sex_and_age").when(F.lower("concept").rlike("^race$"), "race")
-    age = F.nullif(F.regexp_extract(last, r"(?i)((?:under )?\d+ (?:to \d+ |and (?:over |\d+ ))?years?(?: and over)?)", 1), F.lit(""))
-    sex = F.nullif(F.initcap(F.regexp_extract(F.lower("label"), r"!!(male|female)\b", 1)), F.lit(""))
-    df = labels.withColumn("type", kind).where("type is not null").withColumns({"race": F.when(F.col("type") == "race", last), "sex": F.when(F.col("type") == "sex_and_age", sex), "age": F.when(F.col("type") == "sex_and_age", age), "measure": F.when(F.col("type") == "income", last)})
-    # the others are totals
-    df = df.where("(type = 'race' and lower(race) not like 'total%') or (type = 'sex_and_age' and sex is not null) or type = 'income'")
-    return debounce(df, ["year", "dataset", "type", "race", "sex", "age", "measure"], ["variable"], keep="first")
+    each kind per year and dataset, by name.
+
+    labels: year, dataset, variable, label, concept. Counts by sex and age come from tables DP and P; a race is one
+    race's; incomes are medians and means of households."""
+    label, concept = F.col("label"), F.coalesce("concept", F.lit(""))
+    by_age = (label.rlike("(?i)sex and age") | concept.rlike(r"(?i)^sex by age( \[49|$)")) & label.rlike(AGES) & F.col("variable").rlike(r"^(DP\d|P\d)") & label.rlike(COUNTED)
+    one_race = label.rlike(r"(?i)^(number|estimate|total).+one race!![^!]+$")
+    income = label.rlike("(?i)(median|mean) household income") & label.rlike("(?i)number|estimate|total")
+    kind = F.when(income, "income").when(one_race, "race").when(by_age, "sex_and_age")
+    found = lambda pattern, i=0: F.nullif(F.regexp_extract(label, pattern, i), F.lit(""))
+    df = labels.withColumn("type", kind).where("type is not null")
+    is_a = lambda k: F.col("type") == k
+    df = df.withColumns({
+        "race": F.when(is_a("race"), found(r"(?i)([^!]+?)( alone)?$", 1)),
+        "sex": F.when(is_a("sex_and_age"), F.initcap(found(r"(?i)(female|male)", 1))),
+        "age": F.when(is_a("sex_and_age"), found(r"(?i)(?:!!|^)([^!]*year[^!]*)$", 1)),
+        "measure": F.when(is_a("income"), F.initcap(found("(?i)(mean|median)", 1))),
+    })
+    df = df.where("type <> 'sex_and_age' or sex is not null or age is not null")
+    df = df.withColumn("_kind", F.lower(F.concat_ws("|", F.coalesce("race", F.lit("-")), F.coalesce("sex", F.lit("-")), F.coalesce("age", F.lit("-")), F.coalesce("measure", F.lit("-")))))
+    return debounce(df, ["year", "dataset", "type", "_kind"], ["variable"], keep="first").drop("_kind")
 
 
 def get_all(catalogued: Mapping[tuple[int, str], DataFrame]) -> DataFrame:
@@ -36,19 +52,46 @@ def get_all(catalogued: Mapping[tuple[int, str], DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
+def download(spark: SparkSession, wanted: Sequence[tuple[int, str]], states: Sequence[str], ask: Callable[[int, str, str], list[dict] | None]) -> DataFrame:
+    """Tables of every year and dataset wanted, state by state: ask(year, dataset, state) gives rows of GEOID, variable, value or
+    estimate, moe. One task per few calls, on the executors; a call that fails leaves its state out."""
+    calls = spark.createDataFrame([(y, d, s) for y, d in wanted for s in states], "year int, dataset string, state string")
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        columns = {"GEOID": "object", "variable": "object", "value": "float64", "estimate": "float64", "moe": "float64", "year": "int64", "dataset": "object"}
+        for b in batches:
+            for r in b.itertuples(index=False):
+                try:
+                    rows = ask(r.year, r.dataset, r.state) or []
+                except Exception:  # noqa: BLE001  a provider's failure is a state not had
+                    rows = []
+                yield pd.DataFrame([{"year": r.year, "dataset": r.dataset} | x for x in rows], columns=list(columns)).astype(columns)
+
+    return calls.repartition(max(1, min(len(wanted) * len(states), 64))).mapInPandas(run, "GEOID string, variable string, value double, estimate double, moe double, year int, dataset string")
+
+
 def data(tables: DataFrame, known: DataFrame) -> DataFrame:
-    """Values with what their variable is; value is a decennial count or a survey's estimate."""
+    """Values with what their variable is; value is a decennial count or a survey's estimate, moe its margin of error (null: none).
+    Of 2010 only the decennial set sf1 counts for people, as it and the survey tell the same."""
     value = F.coalesce(*(F.col(c).cast("double") for c in ("value", "estimate") if c in tables.columns))
-    return tables.withColumn("value", value).join(known, ["year", "dataset", "variable"])
+    moe = F.col("moe").cast("double") if "moe" in tables.columns else F.lit(None).cast("double")
+    rows = tables.withColumns({"value": value, "moe": moe}).join(known, ["year", "dataset", "variable"])
+    return rows.where("type = 'income' or year <> 2010 or dataset = 'sf1'")
+
+
+def _added(rows: DataFrame, feature: F.Column) -> DataFrame:
+    """year, GEOID, feature, value, moe: sums, nulls as 0."""
+    sums = {c: F.coalesce(F.sum(c), F.lit(0.0)).alias(c) for c in ("value", "moe")}
+    return rows.groupBy("year", "GEOID", feature.alias("feature")).agg(*sums.values())
 
 
 def race_features(rows: DataFrame) -> DataFrame:
-    return rows.where("type = 'race'").select("year", "GEOID", F.concat_ws(" ", F.lit("race"), "race").alias("feature"), "value")
+    race = F.when(F.col("race").rlike("(?i)some other"), F.lit("Other")).otherwise(F.col("race"))
+    return rows.where("type = 'race'").select("year", "GEOID", F.concat_ws(" ", F.lit("race"), race).alias("feature"), "value", "moe")
 
 
 def sex_features(rows: DataFrame) -> DataFrame:
-    some = rows.where("type = 'sex_and_age' and age is null and sex is not null")
-    return some.groupBy("year", "GEOID", F.concat_ws(" ", F.lit("sex"), "sex").alias("feature")).agg(F.coalesce(F.sum("value"), F.lit(0.0)).alias("value"))
+    return _added(rows.where("type = 'sex_and_age' and age is null and sex in ('Female', 'Male')"), F.concat_ws(" ", F.lit("sex"), "sex"))
 
 
 def band_start(text: str = "age") -> F.Column:
@@ -56,21 +99,22 @@ def band_start(text: str = "age") -> F.Column:
     return F.when(F.lower(text).startswith("under"), F.lit(0)).otherwise(F.regexp_extract(text, r"(\d+)", 1).try_cast("int"))
 
 
-def age_features(rows: DataFrame, bands: DataFrame) -> DataFrame:
-    """Counts per age band; bands (age) are the coarse ones, into which finer ones and single ages are added by their start."""
-    some = rows.where("type = 'sex_and_age' and age is not null").withColumn("start", band_start())
-    known = bands.select("age").distinct().withColumn("from", band_start()).select(F.col("age").alias("band"), "from").withColumn("one", F.lit(1))
-    # times stand for ages, in seconds, so that the join by time serves
-    at = lambda c: F.timestamp_seconds(F.col(c)).cast("timestamp_ntz")
-    found = asof_join(some.withColumns({"one": F.lit(1), "_at": at("start")}), known.withColumn("_from", at("from")), ["one"], "_at", "_from", ["band"])
-    return found.groupBy("year", "GEOID", F.concat_ws(" ", F.lit("age"), "band").alias("feature")).agg(F.coalesce(F.sum("value"), F.lit(0.0)).alias("value"))
+def age_features(rows: DataFrame, bands: Sequence[str]) -> DataFrame:
+    """Counts per age band; bands are the coarse ones, into which finer ones and single ages are added by their start."""
+    some = rows.where("type = 'sex_and_age' and age is not null").withColumn("_start", band_start())
+    first = lambda band: 0 if band.lower().startswith("under") else int(re.search(r"\d+", band)[0])
+    band = F.lit(None).cast("string")
+    for name in sorted(bands, key=first):  # a few bands: an expression, no join
+        band = F.when(F.col("_start") >= first(name), F.lit(name)).otherwise(band)
+    band = F.when(F.col("age").isin(*bands), F.col("age")).otherwise(band)
+    return _added(some, F.concat_ws(" ", F.lit("age"), band))
 
 
 def income_features(rows: DataFrame) -> DataFrame:
-    return rows.where("type = 'income'").select("year", "GEOID", F.lit("income median household").alias("feature"), "value")
+    return rows.where("type = 'income' and measure is not null").select("year", "GEOID", F.concat_ws(" ", F.lit("income"), "measure", F.lit("household")).alias("feature"), "value", "moe")
 
 
-def features(rows: DataFrame, bands: DataFrame, domain: Sequence[str] | None = None) -> DataFrame:
+def features(rows: DataFrame, bands: Sequence[str], domain: Sequence[str] | None = None) -> DataFrame:
     """year, GEOID and a column per feature. domain: the features' names; one small collect finds them if None, and raises beyond 500."""
     long = race_features(rows).unionByName(sex_features(rows)).unionByName(age_features(rows, bands)).unionByName(income_features(rows))
     long = long.withColumn("feature", slug(F.regexp_replace("feature", r"[^\w\s]", "")))

@@ -26,17 +26,18 @@ def load(contributions: DataFrame, membership_links: DataFrame, creditees: DataF
 
 
 def features(rows: DataFrame, subtypes: Sequence[tuple[str, Column]], by: str = "group_customer_no", time: str = "cont_dt", amount: str = "cont_amt", number: str = "ref_no", again: str = "cust_memb_no", campaign: str = "campaign_no") -> DataFrame:
-    """Payments above 0 with event_subtype (the name of the first condition that holds), running sums, maxima, first and
-    previous times and counts by subtype, and event_subtype2 (New, Upgrade, Renew, Reinstate) within the subtype."""
+    """Payments above 0 with event_subtype (the name of the first condition that holds), running sums, maxima, first, own and
+    previous times, contribution_{subtype}_count (the name as it is), and event_subtype2 (New, Upgrade, Renew,
+    Reinstate) within the subtype: Upgrade if the membership occurred before there, or, of a payment without one,
+    if the campaign did, with or without a membership."""
     kind = None
     for name, condition in subtypes:
         kind = F.when(condition, name) if kind is None else kind.when(condition, name)
     rows = rows.where(F.col(amount) > 0).withColumn("event_subtype", kind)
-    rows = running_totals(rows, [by], [time, number], amount, time, "contribution")
-    rows = running_counts(rows, [by], [time, number], "event_subtype", [n for n, _ in subtypes], "contribution")
-    rows = rows.withColumn("_again", F.coalesce(F.concat(F.lit("m"), F.col(again).cast("string")), F.concat(F.lit("c"), F.col(campaign).cast("string"))))
-    rows = repeat_kind(rows, [by, "event_subtype"], [time, number], time, "_again", "event_subtype2")
-    return rows.drop("_again").withColumns({"timestamp": F.col(time), "event_type": F.lit("Contribution")})
+    rows = running_totals(rows, [by], [time, number], amount, time, "contribution").withColumn("contribution_timestamp_max", F.col(time))
+    rows = running_counts(rows, [by], [time, number], "event_subtype", [n for n, _ in subtypes], "contribution", slugs=False)
+    rows = repeat_kind(rows, [by, "event_subtype"], [time, number], time, again, "event_subtype2", other=campaign)
+    return rows.withColumns({"timestamp": F.col(time), "event_type": F.lit("Contribution")})
 
 
 def contribution_stream(contributions: DataFrame, memberships: DataFrame, subtypes: Sequence[tuple[str, Column]]) -> DataFrame:

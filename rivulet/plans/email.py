@@ -20,14 +20,14 @@ LADDER = (("open", "Open"), ("click", "Click"), ("unsub", "Unsubscribe"), ("soft
 
 def data(promotions: DataFrame, responses: DataFrame, start: object, end: object) -> DataFrame:
     """E-mail promotions and responses in [start, end), and all others of the sources found there. A response has the
-    greatest appeal, campaign and address of its source."""
+    greatest appeal, campaign and address of its source; nulls if the source has no promotion."""
     inside = lambda c: (F.col(c) >= F.lit(start).cast("timestamp_ntz")) & (F.col(c) < F.lit(end).cast("timestamp_ntz"))
     promotions = promotions.where(F.col("media_type") == EMAIL_MEDIA)
     found = promotions.where(inside("promote_dt")).select("source_no").unionByName(responses.where(inside("response_dt")).select("source_no")).distinct()
     promotions = promotions.join(found, "source_no", "left_semi")
     responses = responses.join(found, "source_no", "left_semi")
     of = promotions.groupBy("source_no").agg(*(F.max(c).alias(c) for c in ("appeal_no", "campaign_no", "eaddress")))
-    return promotions.unionByName(responses.join(of, "source_no"), allowMissingColumns=True)
+    return promotions.unionByName(responses.join(of, "source_no", "left"), allowMissingColumns=True)
 
 
 def described(rows: DataFrame, codes: DataFrame, sources: DataFrame, extractions: DataFrame) -> DataFrame:
@@ -42,10 +42,11 @@ def described(rows: DataFrame, codes: DataFrame, sources: DataFrame, extractions
 
 
 def timed(rows: DataFrame, days: int = 30) -> DataFrame:
-    """rows with a timestamp: a response's own; for a send the source's first response, if it came within so many days
-    (strictly) of the promotion, else the promotion's. Timestamps that there are stay."""
+    """rows with a timestamp: a response's own; for a send the source's first response, if it is less than so many days
+    from the promotion, before or after, else the promotion's. Timestamps that there are stay."""
     first = rows.groupBy("source_no").agg(F.min("response_dt").alias("_first"))
-    near = (F.col("_first") >= F.col("promote_dt")) & (F.col("_first") < F.col("promote_dt") + F.expr(f"INTERVAL {days} DAYS"))
+    micros = lambda c: F.unix_micros(F.col(c).cast("timestamp"))
+    near = F.abs(micros("_first") - micros("promote_dt")) < days * 86_400_000_000
     at = F.coalesce("response_dt", F.when(near, F.col("_first")), "promote_dt")
     at = F.coalesce("timestamp", at) if "timestamp" in rows.columns else at
     return rows.join(first, "source_no", "left").withColumn("timestamp", at).drop("_first")

@@ -114,29 +114,43 @@ def changed_emails(history: DataFrame, since: object, now: object) -> DataFrame:
     """from, to, timestamp, last_updated_by: each primary address that gave way to another after since.
 
     history: states of e-mail records (group_customer_no, customer_no, eaddress_no, timestamp, primary_ind, inactive,
-    address, last_updated_by). A primary state lasts until its record's next state; its successor is the
-    primary state begun last by that end, or else one just before it ended."""
+    address, last_updated_by). A primary state lasts until its record's next state, which says who changed it; its successor
+    is the primary state of the customer begun last by that end, or, if none is, the one that ended last before it."""
     w = Window.partitionBy("eaddress_no").orderBy("timestamp", "address")
     far = F.lit(now).cast("timestamp_ntz") + F.expr("INTERVAL 36525 DAYS")
     rows = history.withColumns({"end": F.lead("timestamp", 1).over(w), "by": F.lead("last_updated_by", 1).over(w), "address": _mail("address")})
     rows = rows.withColumn("end", F.coalesce("end", far))
-    primary = rows.where("primary_ind = 'Y' and coalesce(inactive, 'N') = 'N'")
+    primary = rows.where("primary_ind = 'Y'")
     starts = primary.select("customer_no", F.col("timestamp").alias("start"), F.col("address").alias("to"), "eaddress_no")
-    pairs = asof_join(primary.select("customer_no", "group_customer_no", F.col("address").alias("from"), "timestamp", "end", "by", "last_updated_by"), starts, ["customer_no"], "end", "start", ["to"], tie=["eaddress_no"])
+    pairs = asof_join(primary.select("customer_no", "group_customer_no", F.col("address").alias("from"), "timestamp", "end", "by"), starts, ["customer_no"], "end", "start", ["to"], tie=["eaddress_no"])
     earlier = primary.select("customer_no", (F.col("end") - F.expr("INTERVAL 0.001 SECOND")).alias("stop"), F.col("address").alias("before"), "eaddress_no")
     pairs = asof_join(pairs, earlier, ["customer_no"], "end", "stop", ["before"], tie=["eaddress_no"])
-    to = F.when(F.col("to") != F.col("from"), F.col("to")).otherwise(F.col("before"))
-    pairs = pairs.withColumn("to", to).where((F.col("to") != F.col("from")) & (F.col("end") > F.lit(since).cast("timestamp_ntz")) & (F.col("end") < far))
-    pairs = pairs.select("customer_no", "group_customer_no", "from", "to", F.col("end").alias("timestamp"), F.coalesce("by", "last_updated_by").alias("last_updated_by"))
+    pairs = pairs.withColumn("to", F.coalesce("to", "before")).where((F.col("to") != F.col("from")) & (F.col("end") > F.lit(since).cast("timestamp_ntz")))
+    pairs = pairs.select("customer_no", "group_customer_no", "from", "to", F.col("end").alias("timestamp"), F.col("by").alias("last_updated_by"))
     return debounce(pairs, ["from"], ["timestamp", "to"])
 
 
-def resolve(orphan: Mapping[str, object], same_customer: bool, is_merged: bool, is_old: bool) -> str:
-    """What to do with an orphan: update (its address was changed or its record merged), tag (it belongs to
-    nobody now) or nothing."""
-    if same_customer and is_old and orphan.get("to"):
-        return "update"
-    return "tag" if same_customer and not is_merged else "nothing"
+def resolve(from_known: bool, to_free: bool, customer_matches: bool) -> str:
+    """What to do with an orphan: update (its address is in the service, the new one isn't, and the customer number there is
+    one of those given), tag (the new one is in use, or there is none) or nothing."""
+    if not (from_known and customer_matches):
+        return "nothing"
+    return "update" if to_free else "tag"
+
+
+def resolutions(changes: DataFrame, contacts: DataFrame, field_values: DataFrame) -> DataFrame:
+    """changes (from, to, customer_no) with id, the contact of from, and action: update, tag or nothing, as `resolve` has it.
+
+    The three tests are looked up in the service's tables; a `to` that is null or empty is never free. Of several contacts
+    of an address the smallest id counts."""
+    told = field_values.where(F.col("field") == CUSTOMER_FIELD).groupBy(_long("contact").alias("id")).agg(F.collect_set(F.col("value").cast("string").try_cast("bigint")).alias("_numbers"))
+    known = contacts.groupBy(_mail("email").alias("_mail")).agg(F.min(_long("id")).alias("id"))
+    used = known.select(F.col("_mail").alias("_to"), F.lit(True).alias("_used"))
+    rows = changes.join(known, _mail("from") == F.col("_mail"), "left").join(told, "id", "left").join(used, _mail("to") == F.col("_to"), "left")
+    matches = F.coalesce(F.array_contains("_numbers", F.col("customer_no").cast("long")), F.lit(False))
+    free = F.coalesce(F.trim("to") != "", F.lit(False)) & F.col("_used").isNull()
+    action = F.when(F.col("id").isNull() | ~matches, "nothing").when(free, "update").otherwise("tag")
+    return rows.select(*(F.col(f"`{c}`") for c in changes.columns), "id", action.alias("action"))
 
 
 def merge_contacts(known: DataFrame, new: DataFrame) -> DataFrame:

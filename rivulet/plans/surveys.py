@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+import csv
+import io
+import re
 import warnings
+import zipfile
 from collections.abc import Callable, Sequence
 from functools import reduce
+from xml.etree import ElementTree
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -13,10 +18,11 @@ from pyspark.sql import functions as F
 from rivulet.catalog import Catalog
 from rivulet.functions.text import anonymize, excel_time, file_stem, without_markup_spaces
 from rivulet.operators.asof import asof_join
+from rivulet.operators.upsert import upsert
 
 EMAIL = r"^[^@\s]+@[^@\s]+\.[^@\s]+$"
-#: Names and contacts, which a survey's readers don't get.
-SENSITIVE = r"(?i)(^|_)(customer_no|group_customer_no|email|address|fname|lname|name|phone|street\d?)($|_)"
+#: Columns that a survey's readers don't get.
+SENSITIVE = ("address", "email", "customer_no", "group_customer_no")
 
 
 def find_column(df: DataFrame, score: Callable[[Column], Column], criterion: str | float = "max") -> str | None:
@@ -36,6 +42,49 @@ def find_column(df: DataFrame, score: Callable[[Column], Column], criterion: str
     return hits[0] if hits else None
 
 
+_MAIN = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
+
+
+def xlsx_rows(data: bytes) -> list[list[str | None]]:
+    """Rows of cell text of a workbook's first sheet, blanks None, all of one length: a zip of XML (ECMA-376)."""
+    with zipfile.ZipFile(io.BytesIO(data)) as z:
+        names = z.namelist()
+        texts = ["".join(t.text or "" for t in si.iter(f"{_MAIN}t")) for si in ElementTree.fromstring(z.read("xl/sharedStrings.xml"))] if "xl/sharedStrings.xml" in names else []
+        first = min((n for n in names if re.fullmatch(r"xl/worksheets/sheet\d+\.xml", n)), key=lambda n: int(re.findall(r"\d+", n)[0]))
+        sheet = ElementTree.fromstring(z.read(first))
+    rows: list[list[str | None]] = []
+    for row in sheet.iter(f"{_MAIN}row"):
+        cells: list[str | None] = []
+        for c in row.iter(f"{_MAIN}c"):
+            letters = re.match("[A-Z]+", c.get("r", ""))
+            at = reduce(lambda n, x: n * 26 + ord(x) - 64, letters[0], 0) - 1 if letters else len(cells)
+            cells += [None] * (at + 1 - len(cells))
+            value = c.findtext(f"{_MAIN}v")
+            if c.get("t") == "s" and value is not None:
+                value = texts[int(value)]
+            elif c.get("t") == "inlineStr":
+                value = "".join(t.text or "" for t in c.iter(f"{_MAIN}t"))
+            cells[at] = value if value else None
+        rows.append(cells)
+    width = max(map(len, rows), default=0)
+    return [r + [None] * (width - len(r)) for r in rows]
+
+
+def read_files(spark: SparkSession, folder: str) -> list[tuple[str, DataFrame]]:
+    """(path, answers) of the .xlsx and .csv files in a folder and those below it, in any store that Spark reads."""
+    found = []
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder).where(F.lower("path").rlike(r"\.(xlsx|csv)$"))
+    for r in files.select("path", "content").orderBy("path").toLocalIterator():  # one survey's sheet at a time
+        if r["path"].lower().endswith(".csv"):
+            rows = [[v or None for v in x] for x in csv.reader(io.StringIO(bytes(r["content"]).decode("utf-8-sig")))]
+            width = max(map(len, rows), default=0)
+            rows = [x + [None] * (width - len(x)) for x in rows]
+        else:
+            rows = xlsx_rows(bytes(r["content"]))
+        found.append((r["path"], read_sheet(spark, pd.DataFrame(rows, dtype="object"))))
+    return found
+
+
 def read_sheet(spark: SparkSession, sheet: pd.DataFrame) -> DataFrame:
     """email, timestamp, question, subquestion, answer of a sheet without header: its first row holds the questions (blank:
     as the one before), its second the sub-questions."""
@@ -68,19 +117,22 @@ def customers_of(rows: DataFrame, emails: DataFrame) -> DataFrame:
 
 
 def number_question(rows: DataFrame, customers: DataFrame, share: float = 0.9) -> str | None:
-    """The question whose answers are, in more than that share, known customer numbers that nobody else gave."""
-    answers = rows.select("question", F.col("answer").try_cast("int").alias("customer_no"))
-    once = answers.groupBy("question", "customer_no").count()
-    known = customers.select("customer_no", F.lit(1).alias("known")).distinct()
-    sums = once.join(known, "customer_no", "left").groupBy("question").agg((F.sum(F.when((F.col("known") == 1) & (F.col("count") == 1), F.col("count")).otherwise(0)) / F.sum("count")).alias("share"))
-    hit = sums.where(F.col("share") > share).orderBy("question").limit(1).collect()
+    """The question to one sub-question of which more than that share of all respondents (e-mail and time) gave a known customer
+    number that nobody gave before them; the first by name, if there are several."""
+    asked = rows.select("question", "subquestion", F.col("answer").try_cast("int").alias("customer_no"))
+    known = asked.join(customers.select("customer_no").distinct(), "customer_no", "left_semi")
+    hits = known.groupBy("question", "subquestion").agg(F.count_distinct("customer_no").alias("n"))
+    people = rows.select("email", "timestamp").distinct().count()
+    hit = hits.where(F.col("n") > share * people).orderBy("question", "subquestion").limit(1).collect()
     return hit[0][0] if hit else None
 
 
 def survey_stream(files: Sequence[tuple[str, DataFrame]], emails: DataFrame, customers: DataFrame, keys: tuple[str, str], catalog: Catalog | None = None, name: str = "survey_stream") -> DataFrame:
     """Answers of all files with hashed customers and no names; merged into the catalog's dataset if there is one.
 
-    Raises if an answer isn't told apart by e-mail, time, question and sub-question."""
+    Merged by customer, time, question and sub-question, and by survey, as two surveys may ask the same at one time.
+    Respondents who are no known customers have no hash to be told apart by: a survey's file replaces all of them that it
+    had before. Raises if an answer isn't told apart by e-mail, time, question and sub-question."""
     parts = [df.withColumn("filename", F.lit(path)) for path, df in files]
     rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts).withColumn("survey", file_stem(F.col("filename")))
     unique = ["email", "timestamp", "question", "subquestion"]
@@ -95,11 +147,14 @@ def survey_stream(files: Sequence[tuple[str, DataFrame]], emails: DataFrame, cus
         rows = rows.join(told, F.col("survey").eqNullSafe(F.col("_s")) & F.col("email").eqNullSafe(F.col("_e")) & F.col("timestamp").eqNullSafe(F.col("_t")), "left")
         rows = rows.withColumns({"customer_no": F.coalesce("customer_no", "_told"), "group_customer_no": F.coalesce("group_customer_no", "_home")})
         rows = rows.where(F.col("question") != asked)
-    who = F.coalesce(F.col("customer_no").cast("string"), F.col("email"))
-    rows = rows.select(anonymize(who, keys).alias("customer_hash"), anonymize(F.col("group_customer_no").cast("string"), keys).alias("group_customer_hash"), "timestamp", "survey", "question", "subquestion", "answer", "filename")
+    rows = rows.select(anonymize(F.col("customer_no").cast("string"), keys).alias("customer_hash"), anonymize(F.col("group_customer_no").cast("string"), keys).alias("group_customer_hash"), "timestamp", "survey", "question", "subquestion", "answer", "filename")
     if catalog is None:
         return rows
-    return catalog.merge(name, rows, ["customer_hash", "timestamp", "survey", "question", "subquestion"])
+    told = rows.where("customer_hash is not null")
+    done = catalog.read(name) if catalog.exists(name) else rows.limit(0)
+    merged = upsert(done.where("customer_hash is not null"), told, ["customer_hash", "timestamp", "survey", "question", "subquestion"])
+    others = done.where("customer_hash is null").join(rows.select("survey").distinct(), "survey", "left_anti").select(*rows.columns)
+    return catalog.overwrite(name, merged.unionByName(others).unionByName(rows.where("customer_hash is null")).select(*rows.columns))
 
 
 def survey_cross(rows: DataFrame, *patterns: str) -> DataFrame:
@@ -112,23 +167,32 @@ def survey_cross(rows: DataFrame, *patterns: str) -> DataFrame:
 
 
 def append_features(rows: DataFrame, tables: Sequence[DataFrame], keys: tuple[str, str], aggregates: Sequence[Column]) -> DataFrame:
-    """rows with aggregates, by hashed household, of tables restricted to the survey's households and without names."""
+    """rows with aggregates, by hashed household, of tables restricted to the survey's households and without SENSITIVE columns.
+
+    An aggregate is taken over each table that has its columns; one that no table has raises."""
     members = rows.select("group_customer_hash").distinct()
+    used = set()
     for table in tables:
         t = table.withColumn("group_customer_hash", anonymize(F.col("group_customer_no").cast("string"), keys)).join(members, "group_customer_hash", "left_semi")
-        t = t.drop(*(c for c in t.columns if c != "group_customer_hash" and pd.Series([c]).str.contains(SENSITIVE).iloc[0]))
-        usable = [a for a in aggregates if _fits(t, a)]
+        t = t.drop(*SENSITIVE)
+        usable = [i for i, a in enumerate(aggregates) if i not in used and _fits(t, a)]
+        used |= set(usable)
         if usable:
-            rows = rows.join(t.groupBy("group_customer_hash").agg(*usable), "group_customer_hash", "left")
+            rows = rows.join(t.groupBy("group_customer_hash").agg(*(aggregates[i] for i in usable)), "group_customer_hash", "left")
+    missing = [str(a) for i, a in enumerate(aggregates) if i not in used]
+    if missing:
+        raise ValueError(f"no table has the columns of {', '.join(missing)}")
     return rows
 
 
 def _fits(df: DataFrame, aggregate: Column) -> bool:
-    """Whether the table has the columns of an aggregate."""
+    """Whether the table has the columns of an aggregate; other faults of it are raised."""
     from pyspark.errors import AnalysisException
 
     try:
         df.groupBy("group_customer_hash").agg(aggregate).schema  # noqa: B018
-    except AnalysisException:
+    except AnalysisException as e:
+        if "UNRESOLVED_COLUMN" not in str(e):
+            raise
         return False
     return True

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
@@ -14,22 +15,22 @@ from rivulet.durable import shared_dir
 
 
 def follow(spark: SparkSession, path: str, schema: StructType, catalog: Catalog, out: str, build: Callable[[DataFrame], DataFrame] = lambda df: df, date_column: str = TIME, query: str | None = None) -> StreamingQuery:
-    """Starts a query that, whenever files have come to path, builds their rows and writes them from their first time on.
+    """Starts a query that, whenever files have come to path, builds their rows and adds them to the dataset out, late ones too.
 
-    One micro-batch at a time; its progress is kept in the shared folder, so a restart goes on where it stopped and
-    a batch that ran twice writes the same rows."""
+    One micro-batch at a time; its progress is kept in the shared folder, so a restart goes on where it stopped. A
+    batch's write is named by the query and the batch, so one that ran twice is there once. Rows without a date in
+    date_column are left out."""
+    name = query or out
 
-    def write(batch: DataFrame, _: int) -> None:
+    def write(batch: DataFrame, number: int) -> None:
         if not batch.isEmpty():
-            catalog.replace_range(out, build(batch), date_column)
+            catalog.append(out, build(batch).where(F.col(date_column).isNotNull()), tag=f"{name}-{number}")
 
     source = spark.readStream.schema(schema).parquet(path)
-    return source.writeStream.foreachBatch(write).option("checkpointLocation", f"{shared_dir(spark)}/streams/{query or out}").trigger(availableNow=True).start()
+    return source.writeStream.foreachBatch(write).option("checkpointLocation", f"{shared_dir(spark)}/streams/{name}").trigger(availableNow=True).start()
 
 
 def late_counts(rows: DataFrame, by: str, time: str = TIME, lateness: str = "1 day", span: str = "1 day") -> DataFrame:
     """Rows per key and span of a streaming frame; a span is final once the watermark has passed it."""
-    from pyspark.sql import functions as F
-
     stamped = rows.withColumn(time, F.col(time).cast("timestamp")).withWatermark(time, lateness)
     return stamped.groupBy(F.window(time, span).alias("span"), by).agg(F.count("*").alias("n"))

@@ -24,7 +24,7 @@ def plain_match(pays, members):
                 if ref in got or amount <= 0 or amount > room or room == 0:
                     continue
                 score = amount / room + (kind == category) - 2 * (abs(when - day) / YEAR)
-                if score > 0 and (best is None or score > best[0]):
+                if score > 0 and (best is None or score >= best[0]):
                     best = score, ref
             if best:
                 wanted[best[1]] = no  # of rival memberships the last

@@ -20,10 +20,10 @@ def test_widen_keeps_or_raises(spark):
 
 
 def test_census_features_keeps_or_raises(spark):
-    bands = spark.createDataFrame([("Under 5 years",)], "age string")
+    bands = ["Under 5 years"]
 
     def rows(n):
-        return spark.range(n).select(F.lit(2020).alias("year"), F.lit("1").alias("GEOID"), F.lit("race").alias("type"), F.concat(F.lit("r"), "id").alias("race"), F.lit(None).cast("string").alias("sex"), F.lit(None).cast("string").alias("age"), F.lit(1.0).alias("value"))
+        return spark.range(n).select(F.lit(2020).alias("year"), F.lit("1").alias("GEOID"), F.lit("race").alias("type"), F.concat(F.lit("r"), "id").alias("race"), F.lit(None).cast("string").alias("sex"), F.lit(None).cast("string").alias("age"), F.lit(1.0).alias("value"), F.lit(None).cast("double").alias("moe"), F.lit(None).cast("string").alias("measure"))
 
     assert len(census.features(rows(500), bands).columns) == 502
     with pytest.raises(ValueError, match="500"):

@@ -189,11 +189,51 @@ def test_text(spark):
     import hashlib
     import hmac
 
-    df = spark.createDataFrame([("  o'brien-smith  4TH ", "Unknown"), ("Web Add here", None)], "a string, b string")
+    df = spark.createDataFrame([("  o'brien-smith  4TH ", "unknown"), ("12 None Such Rd", " web added "), ("", "Unknown")], "a string, b string")
     out = df.select(X.clean(F.col("a")).alias("a"), X.clean(F.col("b")).alias("b"), X.slug(F.col("a")).alias("s"), X.anonymize(F.lit("7"), ("k", "q")).alias("h"), X.excel_time(F.lit("40000.5")).alias("t"), X.file_stem(F.lit("/x/y.z/in put.v1.xlsx")).alias("f"), X.separators(F.lit("a,b,,c")).alias("n"), X.repeated_word(F.lit("a b a")).alias("r"), X.epoch_time(F.lit("1600000000")).alias("e"), X.blank_to_null(F.lit(" ")).alias("z")).collect()
-    assert out[0]["a"] == "O'Brien-Smith 4th" and out[0]["b"] is None and out[1]["a"] == "Web Add Here"
+    assert out[0]["a"] == "O'Brien-Smith 4th" and [r["b"] for r in out] == [None, None, "Unknown"] and [r["a"] for r in out[1:]] == ["12 None Such Rd", None]
     one = lambda k, m: hmac.new(k.encode(), m.encode(), hashlib.sha256).hexdigest()
     assert out[0]["h"] == one("q", one("k", "7") + "-7") and out[0]["t"] == datetime(2009, 7, 6, 12)
     assert (out[0]["f"], out[0]["n"], out[0]["r"], out[0]["z"]) == ("in put.v1", 3, True, None) and out[0]["e"] == datetime(2020, 9, 13, 12, 26, 40)
     u = X.unite(df, "a", ["a", "b"], "-", skip_null=True)
     assert u.columns == ["a"] and X.unite(df, "c", ["b"], remove=False).where("c = 'NA'").count() == 1
+
+
+def test_catalog_late_and_crash(spark, tmp_path):
+    from rivulet import catalog as module
+
+    c = Catalog(spark, str(tmp_path))
+    frame = lambda *days: spark.createDataFrame([(datetime(2020 + d // 10, 1, 1 + d % 10), d) for d in days], "t timestamp_ntz, d int").withColumn("year", F.year("t"))
+    c.overwrite("x", frame(1, 5, 9), ["year"])
+    assert rows(c.replace_range("x", frame(2), "t", ["year"]), "d") == [(1,), (2,), (5,), (9,)]
+    c.replace_range("x", frame(11, 12), "t", ["year"])
+    versions = len(list((tmp_path / "x").glob("*/year=2020")))
+    assert {r["d"] for r in c.replace_range("x", frame(12, 15), "t", ["year"]).collect()} == {1, 2, 5, 9, 11, 12, 15}
+    assert len(list((tmp_path / "x").glob("*/year=2020"))) == versions  # a year that isn't touched isn't written
+    # a crash before the new state has its name leaves the old one
+    real, module.Catalog._swap = module.Catalog._swap, lambda self, name, versions: (_ for _ in ()).throw(OSError("crash"))
+    try:
+        with pytest.raises(OSError):
+            c.overwrite("x", frame(3), ["year"])
+    finally:
+        module.Catalog._swap = real
+    assert c.read("x").count() == 7
+    for k in range(module.VERSIONS + 1):
+        c.replace_range("x", frame(30 + k % 10), "t", ["year"])
+    assert c.versions("x") < module.VERSIONS and c.read("x").count() == 17
+
+
+def test_memo_keeps_one_version(spark, tmp_path):
+    c = Catalog(spark, str(tmp_path))
+    work = lambda keys: keys[["a"]].rename(columns={"a": "y"}).astype(str)
+    df = spark.createDataFrame([(1,), (2,)], "a int")
+    for _ in range(3):
+        memo.memoised(df, ["a"], work, "y string", c, "m").count()
+    assert c.versions("m") == 1
+
+
+def test_nearest_number(spark):
+    left = spark.createDataFrame([(1, 5), (1, 8), (2, 5), (None, 1), (1, None)], "k int, n int")
+    right = spark.createDataFrame([(1, 4, "a"), (1, 6, "b"), (1, 9, "c"), (None, 3, "d"), (1, None, "e")], "k int, m int, x string")
+    out = asof.nearest_number(left, right, ["k"], "n", "m", ["m", "x"])
+    assert rows(out, "k", "n", "m", "x") == sorted([(1, 5, 4, "a"), (1, 8, 9, "c"), (2, 5, None, None), (None, 1, 3, "d"), (1, None, None, None)], key=str)

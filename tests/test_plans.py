@@ -114,7 +114,7 @@ def test_contributions(spark):
     assert rows(pays, "ref_no", "customer_no", "group_customer_no", "cust_memb_no") == [(1, 10, 100, 77), (2, 12, 100, None), (3, 11, 110, None)]
     assert rows(m, "cust_memb_no") == [(77,), (79,)]
     out = contributions.features(pays, [("Gift", F.lit(True))])
-    assert rows(out, "ref_no", "contribution_amt", "event_subtype2", "contribution_gift_count") == [(1, 5.0, "New", 1), (2, 11.0, "Renew", 2)]
+    assert rows(out, "ref_no", "contribution_amt", "event_subtype2", "contribution_Gift_count", "contribution_timestamp_max") == [(1, 5.0, "New", 1, D0), (2, 11.0, "Upgrade", 2, D0 + timedelta(30))]
 
 
 def test_duplicates(spark):
@@ -122,11 +122,12 @@ def test_duplicates(spark):
     data = spark.createDataFrame([(i + 1, *(f"{c}{i % n}" for c in "abcd"), None if i % 2 else f"u{i % n}", *(f"{c}{i % n}" for c in "efg")) for i in range(2 * n)], "customer_no int, email string, house_number string, road string, city string, unit string, state string, fname string, lname string")
     homes = spark.createDataFrame([(i, i) for i in range(1, 53)], "customer_no int, group_customer_no int")
     none = spark.createDataFrame([], "customer_no int, associated_customer_no int")
-    customers = spark.createDataFrame([(i, D0 if i % 3 else None, D0 + timedelta(i)) for i in range(1, 53)], "customer_no int, last_activity_dt timestamp_ntz, last_update_dt timestamp_ntz")
-    known = duplicates.facts(customers, homes, spark.createDataFrame([(30, "Y", 5.0, "B")], "customer_no int, cur_record_ind string, memb_amt double, memb_level string"), spark.createDataFrame([(2, "N", D0)], "customer_no int, inactive string, last_login_dt timestamp_ntz"))
+    customers = spark.createDataFrame([(i, i, "Active", D0 if i % 3 else None, D0 + timedelta(i)) for i in range(1, 53)], "customer_no int, group_customer_no int, inactive_desc string, last_activity_dt timestamp_ntz, last_update_dt timestamp_ntz")
+    known = duplicates.facts(customers, spark.createDataFrame([(30, "Y", 5.0, "B")], "customer_no int, cur_record_ind string, memb_amt double, memb_level string"), spark.createDataFrame([(2, "N", D0)], "customer_no int, inactive string, last_login_dt timestamp_ntz"))
     out = duplicates.duplicates_stream(data, homes, none, known)
     assert rows(out, "customer_no", "`i.customer_no`") == sorted(((i + n, i) for i in range(1, n + 1)), key=str)
     assert out.where("keep_reason is null").count() == 0
+    assert rows(out.where("customer_no = 30"), "keep_customer_no", "delete_customer_no", "keep_reason") == [(30, 4, "Current membership")]
 
 
 RAW = "street1 string, street2 string, city string, state string, postal_code string, country string"
@@ -167,19 +168,34 @@ def test_addresses(spark, tmp_path):
     assert addresses.address_stream(catalog, b, ["address_no", "city"], 1).columns == ["address_no", "city"]
 
 
+BANDS = ["Under 5 years", "5 to 9 years", "10 to 14 years", "15 to 17 years", "18 and 19 years", "20 to 24 years", "85 years and over"]
+
+
 def test_census(spark):
-    fine = [(2010, "sf1", f"v{i}", f"Total!!Male!!{'Under 1 year' if i == 0 else f'{i} years'}", "SEX BY AGE") for i in range(101)]
-    labels = spark.createDataFrame([*fine, (2010, "sf1", "m", "Total!!Male", "SEX BY AGE"), (2010, "sf1", "r1", "Total!!White alone", "RACE"), (2010, "sf1", "r0", "Total:", "RACE"), (2010, "sf1", "i", "Median household income", "INCOME")], "year int, dataset string, variable string, label string, concept string")
+    ages = ["Under 5 years", "5 to 9 years", "18 years", "19 years", "20 years", "21 years", "22 to 24 years", "85 years and over"]
+    rows_ = [(2010, "sf1", f"P012{i:03}", f"Total!!{sex}!!{age}", "SEX BY AGE") for i, (sex, age) in enumerate((x, y) for x in ("Male", "Female") for y in ages)]
+    rows_ += [(2010, "sf1", "P012100", "Total!!Male", "SEX BY AGE"), (2010, "sf1", "P012101", "Total!!Female", "SEX BY AGE"), (2010, "sf1", "P012900", "Total!!Male", "SEX BY AGE")]
+    rows_ += [(2010, "sf1", "P003002", "Total!!Population of one race!!White alone", "RACE"), (2010, "sf1", "P003007", "Total!!Population of one race!!Some Other Race alone", "RACE"), (2010, "sf1", "P003001", "Total", "RACE")]
+    rows_ += [(2010, "acs5/profile", "DP03_0062", "Estimate!!Median household income (dollars)", "ECONOMIC"), (2010, "acs5/profile", "DP03_0063", "Estimate!!Mean household income (dollars)", "ECONOMIC"), (2010, "acs5/profile", "DP05_0002", "Estimate!!SEX AND AGE!!Male", "DEMOGRAPHIC")]
+    labels = spark.createDataFrame(rows_, "year int, dataset string, variable string, label string, concept string")
     known = census.variables(labels)
-    data = census.data(census.get_all({(2010, "sf1"): labels.select("variable").withColumns({"GEOID": F.lit("g"), "value": F.lit(1.0)})}), known)
-    bands = spark.createDataFrame([(x,) for x in ["Under 5 years", "5 to 9 years", "10 to 14 years", "15 to 19 years", "20 to 24 years", "25 to 34 years", "35 to 44 years", "45 to 54 years", "55 to 59 years", "60 to 64 years", "65 to 74 years", "75 to 84 years", "85 years and over"]], "age string")
-    ages = {r["feature"]: r["value"] for r in census.age_features(data, bands).collect()}
-    assert sorted(ages.values()) == sorted([5, 5, 5, 5, 5, 10, 10, 10, 5, 5, 10, 10, 16])
-    wide = census.features(data, bands)
-    assert wide.count() == 1 and {"race_white_alone", "sex_male", "income_median_household"} <= set(wide.columns)
-    out = census.address_census(spark.createDataFrame([("g", D0), ("zz", D0)], "GEOID string, timestamp timestamp_ntz"), wide).collect()
+    assert {r["variable"] for r in known.collect()} == {r[2] for r in rows_} - {"P003001", "P012900"}
+
+    def ask(year, dataset, state):
+        if state == "99":
+            raise OSError
+        return [{"GEOID": f"g{state}", "variable": r[2], "value": None if "acs" in dataset else 1.0, "estimate": 50_000.0 if "acs" in dataset else None, "moe": 10.0 if "acs" in dataset else None} for r in rows_ if (r[0], r[1]) == (year, dataset)]
+
+    data = census.data(census.download(spark, [(2010, "sf1"), (2010, "acs5/profile")], ["01", "99"], ask), known)
+    assert data.where("dataset <> 'sf1' and type <> 'income'").count() == 0
+    got = {r["feature"]: (r["value"], r["moe"]) for r in census.age_features(data, BANDS).collect()}
+    assert got == {f"age {k}": (v, 0.0) for k, v in {"Under 5 years": 2.0, "5 to 9 years": 2.0, "18 and 19 years": 4.0, "20 to 24 years": 6.0, "85 years and over": 2.0}.items()}
+    assert {r["feature"]: r["moe"] for r in census.income_features(data).collect()} == {"income Median household": 10.0, "income Mean household": 10.0}
+    wide = census.features(data, BANDS)
+    assert wide.count() == 1 and {"race_white", "race_other", "sex_male", "income_median_household", "income_mean_household"} <= set(wide.columns)
+    out = census.address_census(spark.createDataFrame([("g01", D0), ("zz", D0)], "GEOID string, timestamp timestamp_ntz"), wide).collect()
     people = [c for c in wide.columns if c.startswith(census.FAMILIES)]
-    assert sum(out[0][c] for c in people if out[0][c]) == pytest.approx(3) and {r["GEOID"] for r in out} == {"g", "zz"}
+    assert sum(out[0][c] for c in people if out[0][c]) == pytest.approx(3) and {r["GEOID"] for r in out} == {"g01", "zz"}
 
 
 def test_surveys(spark, tmp_path):
@@ -197,8 +213,10 @@ def test_surveys(spark, tmp_path):
         surveys.survey_stream([("/x/Tea.xlsx", df.unionByName(df))], emails, customers, ("a", "b"))
     assert surveys.survey_cross(out, "^like$", "nothing").columns[:3] == ["customer_hash", "group_customer_hash.1", "timestamp.1"]
     table = customers.withColumn("amount", F.lit(2.0))
-    more = surveys.append_features(out, [table], ("a", "b"), [F.sum("amount").alias("total"), F.max("zz").alias("z")])
-    assert more.columns[-1] != "z" and "group_customer_no" not in more.columns
+    more = surveys.append_features(out, [customers, table], ("a", "b"), [F.sum("amount").alias("total")])
+    assert more.columns[-1] == "total" and "group_customer_no" not in more.columns and more.where("total = 2").count() == 18
+    with pytest.raises(ValueError, match="zz"):
+        surveys.append_features(out, [table], ("a", "b"), [F.sum("amount"), F.max("zz")])
     with pytest.raises(ValueError):
         surveys.find_column(df, F.length, "least")
     with pytest.warns(UserWarning):
@@ -232,7 +250,7 @@ def test_rest(spark):
     pages = reader.partitions()
     assert len(pages) == 3 and sum(len(list(reader.read(p))) for p in pages) == 250
     assert next(iter(reader.read(pages[2]))) == ("200", "n200", '{"y": 200}')
-    assert read is not None
+    assert read().count() == 250 and read().where("id = '200'").first()["x"] == '{"y": 200}'
 
 
 def test_client():
@@ -245,7 +263,7 @@ def test_client():
         c.execute("p", codes=(404,))
     done = rest.resolve_orphans(c, [{"id": 1, "address": "a@test", "to": "b"}, {"id": 2, "address": "b@x"}, {"id": 3, "address": "c@test"}], lambda r: {1: "update", 2: "tag", 3: "nothing"}[r["id"]], "test$")
     assert done[0]["did"][1] == "http://h/api/contacts/1" and done[1]["method"] == "POST" and len(done) == 2
-    assert marketing.resolve({"to": "x"}, True, False, True) == "update" and marketing.resolve({}, True, False, False) == "tag" and marketing.resolve({}, False, False, False) == "nothing"
+    assert [marketing.resolve(*x) for x in ((True, True, True), (True, False, True), (True, True, False), (False, True, True))] == ["update", "tag", "nothing", "nothing"]
 
 
 def test_resilient():
@@ -275,3 +293,85 @@ def test_follow(spark, streams, tmp_path):
         assert catalog.read("followed").count() == (40, 90)[k]
     counts = late_counts(spark.readStream.schema(a.schema).parquet(str(tmp_path / "in")), "group_customer_no")
     assert counts.isStreaming
+
+
+def test_follow_late(spark, streams, tmp_path):
+    """A late batch adds its rows and takes none away; a batch that runs again adds nothing."""
+    a, _ = streams
+    catalog = Catalog(spark, str(tmp_path / "c"))
+    parts = a.where("feature_a >= 40"), a.where("feature_a < 20"), a.where("feature_a between 20 and 39")
+    for part in parts:
+        part.coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        follow(spark, str(tmp_path / "in"), a.schema, catalog, "late", query=f"l{tmp_path.name}").awaitTermination()
+    assert rows(catalog.read("late"), "*") == rows(a, "*")
+    catalog.append("late", a, tag=f"l{tmp_path.name}-0")
+    assert catalog.read("late").count() == 90
+
+
+def test_matching_orphans(spark):
+    contacts = spark.createDataFrame([("1", " Old@a.com"), ("2", "used@b.com"), ("3", "x@c.com")], "id string, email string")
+    fields = spark.createDataFrame([("1", "1", "7"), ("3", "1", "9"), ("1", "2", "8")], "contact string, field string, value string")
+    changes = spark.createDataFrame([("old@a.com", "new@a.com", 7), ("old@a.com", "used@b.com", 7), ("old@a.com", "new@a.com", 8), ("gone@z.com", "new@a.com", 7), ("x@c.com", None, 9), ("used@b.com", "n@n.com", 1)], "from string, to string, customer_no int")
+    got = {(r["from"], r["to"], r["customer_no"]): r["action"] for r in marketing.resolutions(changes, contacts, fields).collect()}
+    assert got == {("old@a.com", "new@a.com", 7): "update", ("old@a.com", "used@b.com", 7): "tag", ("old@a.com", "new@a.com", 8): "nothing", ("gone@z.com", "new@a.com", 7): "nothing", ("x@c.com", None, 9): "tag", ("used@b.com", "n@n.com", 1): "nothing"}
+
+
+def test_email_times(spark):
+    """The first response counts for a promotion less than 30 days off, on either side; a source without promotion stays."""
+    t = lambda n: D0 + timedelta(days=n)
+    promos = spark.createDataFrame([(3, 1, t(10), 5, 6, 1, None), (3, 1, t(38), 5, 6, 1, "a@b"), (3, 1, t(39), 5, 6, 1, None)], "media_type int, customer_no int, promote_dt timestamp_ntz, appeal_no int, campaign_no int, source_no int, eaddress string")
+    replies = spark.createDataFrame([(1, t(9), 1), (2, t(9), 2)], "customer_no int, response_dt timestamp_ntz, source_no int")
+    out = email.timed(email.data(promos, replies, t(0), t(20)))
+    assert {(r["source_no"], r["promote_dt"], r["timestamp"], r["eaddress"]) for r in out.collect()} == {(1, t(10), t(9), None), (1, t(38), t(9), "a@b"), (1, t(39), t(39), None), (1, None, t(9), "a@b"), (2, None, t(9), None)}
+
+
+def test_normalised_rows(spark):
+    """A row's parts come from one place."""
+    parsed = ", ".join(f"`parsed.{c}` string" for c in addresses.PARSED)
+    none = dict.fromkeys([*addresses.COLUMNS, "matched_address", "formatted_address", "location_type", *(f"parsed.{c}" for c in addresses.PARSED)])
+    cases = [
+        ({"formatted_address": "12 Main St, Boston, MA 02139, USA", "location_type": "ROOFTOP", "city": "elsewhere"}, ("12 Main St", None, "Boston", "MA", "02139", "USA")),
+        ({"formatted_address": "Main St, Boston, MA, USA", "location_type": "ROOFTOP", "street1": "web added", "city": "here"}, (None, None, "Here", None, None, None)),
+        ({"matched_address": "1 A ST, TOWN, NY, 10001", "parsed.unit": "apt 4", "parsed.city": "no"}, ("1 A St", "Apt 4", "Town", "NY", "10001", "USA")),
+        ({"parsed.road": "b rd", "parsed.house_number": "5", "parsed.po_box": "po box 9", "parsed.unit": "2f", "city": "lost"}, ("5 B Rd, 2f", "Po Box 9", None, None, None, None)),
+        ({"street1": "12 None Such Rd", "street2": "x", "parsed.house": "unit unit"}, ("12 None Such Rd", "X", None, None, None, None)),
+    ]
+    df = spark.createDataFrame([(i, *(none | c).values()) for i, (c, _) in enumerate(cases)], f"i int, {', '.join(f'{c} string' for c in (*addresses.COLUMNS, 'matched_address', 'formatted_address', 'location_type'))}, {parsed}")
+    got = addresses.normalised(df).orderBy("i").select(*(f"{c}_cleaned" for c in ("street1", "street2", "city", "state", "postal_code", "country"))).collect()
+    assert [tuple(r) for r in got] == [w for _, w in cases]
+
+
+def test_unit_grammar(spark):
+    df = spark.createDataFrame([
+        (1, None, "02139", '{"road": "front st", "postcode": "02139"}'),
+        (2, "apt 5", "02139", '{"road": "main st", "postcode": "02139"}'),
+        (3, "suite", "02139", '{"road": "main st nw # 7", "postcode": "02139"}'),
+        (4, None, "02139", '{"road": "main st", "postcode": "apt 3", "suburb": "a", "city": "b"}'),
+        (5, None, "02139", '{"road": "5 main ave 2f", "level": "2f", "house": "2f", "postcode": "02139"}'),
+    ], "n int, street2 string, postal_code string, components string")
+    out = addresses.repaired(df).orderBy("n").select("`parsed.unit`", "`parsed.road`", "`parsed.postcode`", "`parsed.city`", "`parsed.house`").collect()
+    assert [tuple(r) for r in out] == [(None, "front st", "02139", None, None), ("apt 5", "main st", "02139", None, None), ("7", "main st nw", "02139", None, None), ("apt 3", "main st", None, "a, b", None), ("2f", "5 main ave", "02139", None, None)]
+
+
+def test_survey_files(spark, tmp_path):
+    import zipfile
+
+    cells = lambda n, values: "".join(f'<c r="{chr(65 + i)}{n}" t="inlineStr"><is><t>{v}</t></is></c>' for i, v in enumerate(values) if v is not None)
+    sheet = [["When", "Mail", "Like", None], [None, None, "Tea", "Milk"], ["45000.5", "p1@q.com", "yes", "no"]]
+    xml = '<worksheet xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"><sheetData>' + "".join(f'<row r="{i}">{cells(i, r)}</row>' for i, r in enumerate(sheet, 1)) + "</sheetData></worksheet>"
+    (tmp_path / "deep").mkdir()
+    with zipfile.ZipFile(tmp_path / "deep" / "One.xlsx", "w") as z:
+        z.writestr("xl/worksheets/sheet1.xml", xml)
+    (tmp_path / "Two.csv").write_text("When,Mail,Like,\n,,Tea,Milk\n45001,p2@q.com,maybe,\n")
+    (tmp_path / "no.txt").write_text("x")
+    found = {p.rsplit("/", 1)[-1]: rows(df, "email", "question", "subquestion", "answer") for p, df in surveys.read_files(spark, str(tmp_path))}
+    assert found == {"One.xlsx": [("p1@q.com", "Like", "Milk", "no"), ("p1@q.com", "Like", "Tea", "yes")], "Two.csv": [("p2@q.com", "Like", "Tea", "maybe")]}
+
+
+def test_households(spark):
+    people = spark.createDataFrame([(1, 10, "Individual", "Active", "A", "B"), (2, 10, "Organization", "Active", "A", "B"), (3, 10, "Individual", "Inactive", "A", "B"), (4, 11, "Individual", "Active", "", "B"), (5, 12, "Individual", "Active", " Al ", "Be")], "customer_no int, group_customer_no int, cust_type_desc string, inactive_desc string, fname string, lname string")
+    places = spark.createDataFrame([(10, "1", "x st", None, "c", "s"), (10, "2", "y st", "", "c", "s")], "group_customer_no int, house_number string, road string, unit string, city string, state string")
+    phones = spark.createDataFrame([(10, "555"), (10, None)], "group_customer_no int, phone string")
+    mails = spark.createDataFrame([(10, "M@x.org", 1), (10, "assistant@x.org", 6), (12, "q@x.org", None)], "group_customer_no int, address string, eaddress_type int")
+    out = duplicates.load(people, places, phones, mails)
+    assert rows(out, "customer_no", "fname", "road", "unit", "phone", "email") == [(1, "a", "x st", None, "555", "m@x.org"), (1, "a", "y st", None, "555", "m@x.org"), (5, "al", None, None, None, "q@x.org")]
