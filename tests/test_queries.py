@@ -7,6 +7,7 @@ import math
 import duckdb
 import pytest
 
+from rivulet import plan_queries  # noqa: F401  adds its queries
 from rivulet.queries import QUERIES, SQL
 
 DIR = "/root/testdata/sf0.001"
