@@ -277,8 +277,9 @@ def census_features(spark: SparkSession, d: str) -> DataFrame:
     r += [("sf1", f"P01201{i}", f"Total!!{s}!!Under 5 years", "SEX BY AGE", 40) for i, s in enumerate(("Male", "Female"))]
     r += [("sf1", f"P01202{i}", f"Total!!Male!!{a}", "SEX BY AGE", 50) for i, a in enumerate(("20 years", "21 years", "22 to 24 years"))]
     r += [("acs5/profile", "DP03_0062", "Estimate!!Median household income (dollars)", "ECONOMIC", 60), ("acs5/profile", "DP05_0002", "Estimate!!SEX AND AGE!!Male", "DEMOGRAPHIC", 5)]
-    labels = spark.createDataFrame([(2010, *x[:4], float(x[4])) for x in r], "year int, dataset string, variable string, label string, concept string, n double")
-    values = F.broadcast(labels.select("year", "dataset", "variable", "n", F.lit(1).alias("one"))).join(_t(spark, d, "nation").withColumn("one", F.lit(1)), "one")  # a few variables a place
+    labels = spark.createDataFrame([(2010, *x[:4]) for x in r], "year int, dataset string, variable string, label string, concept string")
+    each = F.array(*(F.struct(F.lit(x[0]).alias("dataset"), F.lit(x[1]).alias("variable"), F.lit(float(x[4])).alias("n")) for x in r))
+    values = _t(spark, d, "nation").select("n_nationkey", F.lit(2010).alias("year"), F.inline(each))
     tables = values.select("year", "dataset", "variable", F.concat(F.lit("g"), "n_nationkey").alias("GEOID"), F.expr("CASE WHEN dataset = 'sf1' THEN n + n_nationkey END").alias("value"), F.expr("CASE WHEN dataset <> 'sf1' THEN n + n_nationkey END").alias("estimate"), F.lit(1.0).alias("moe"))
     domain = ["race_white", "race_other", "sex_male", "age_under_5_years", "age_20_to_24_years", "income_median_household"]
     return census.features(census.data(tables, census.variables(labels)), ["Under 5 years", "20 to 24 years"], domain)
