@@ -52,6 +52,7 @@ _PLAIN = re.compile(f"[{LETTERS}]+")
 _EDGES = re.compile(r"^[^\w$@!|+(€£¥]+|[^\w$@]+$")
 _MARKS = re.compile(r"([$@!|+(€£¥])\1\1+|^[!|+(]+(?=\W|$)|[!|+(]+$")
 _RUN = re.compile(r"(.)\1")
+_RUNS = re.compile(r"(.)\1*")
 _SINGLE = "[" + LETTERS + re.escape("".join(LOOKS)) + "]"
 _ONE = rf"(?:[.,;:\-_*~'\"?]*+{_SINGLE}[.,;:\-_*~'\"?)!]*+|[.,;:\-_*~'\"?]++)(?!\S)"
 _APART = re.compile(rf"(?<!\S){_ONE}(?:\s++{_ONE}){{2,}}+")
@@ -73,6 +74,32 @@ class CharModel:
         p3 = (three + 5 * p2[None, :, :]) / (three.sum(2, keepdims=True) + 5)
         self.cost = (-np.log(p3)).tolist()
 
+    def spelled(self, word: str, most: int = 8) -> str | None:
+        """What `decode` gives for a word of plain letters, whose paths differ in repeated letters alone, by going through them
+        all; None if they are more than so many. Most words that have a lattice are of this kind."""
+        runs = [m[0] for m in _RUNS.finditer(word)]
+        ways: list[tuple[str, float]] = [("", 0.0)]
+        for r in runs:
+            n = len(r)
+            if n == 1:
+                ways = [(text + r, extra) for text, extra in ways]
+                continue
+            ways = [(text + r[:k], extra + REPEAT * (n - k)) for text, extra in ways for k in {1, 2, n}]
+            if len(ways) > most:
+                return None
+        best = None
+        cost = self.cost
+        for text, total in ways:
+            p = q = 0
+            for y in text:
+                r = _CODE[y]
+                total += cost[p][q][r]
+                p, q = q, r
+            total += cost[p][q][0]
+            if best is None or (total, text) < best:
+                best = total, text
+        return best[1]
+
     def decode(self, word: str) -> str:
         """The best path through the word's lattice."""
         states: dict[tuple[int, int], tuple[float, str]] = {(0, 0): (0.0, "")}
@@ -121,14 +148,16 @@ def readings(token: str, model: CharModel) -> list[str]:
     characters set apart, the words of the best path."""
     if " " in token:
         return model.decode(token).split()
-    word = _trimmed(token)
+    plain = _PLAIN.fullmatch(token)
+    word = token if plain else _trimmed(token)
     if not word or word.isdigit():
         return []
-    if _PLAIN.fullmatch(word) and not _RUN.search(word):
+    plain = plain or _PLAIN.fullmatch(word)
+    if plain and not _RUN.search(word):
         return [word]
     if not any(c in _CODE or c in LOOKS for c in word):
         return [word]
-    restored = model.decode(word)
+    restored = (model.spelled(word) if plain else None) or model.decode(word)
     return [word, restored] if restored and restored != word else [word]
 
 
@@ -216,20 +245,25 @@ class Scorer:
     def __init__(self, names: list[str], weights: np.ndarray, bias: float, model: CharModel) -> None:
         self.place = {n: i for i, n in enumerate(names)}
         self.weights, self.bias, self.model = weights, bias, model
+        # a word has a feature only if it begins as some feature does
+        self.fronts = {n[1 : 1 + BEGINNINGS[0]] for n in names}
         self.kept: dict[str, tuple[int, ...]] = {}
+        self.blank: set[str] = set()
 
     def hits(self, text: str) -> set[int]:
         out: set[int] = set()
-        kept = self.kept
-        for t in tokens(text):
-            found = kept.get(t)
+        for t in tokens(text) - self.blank:
+            found = self.kept.get(t)
             if found is None:
-                found = tuple(self.place[f] for w in readings(t, self.model) for f in named(w) if f in self.place)
-                if len(kept) >= KEPT:
-                    kept.clear()
-                kept[t] = found
-            if found:
-                out.update(found)
+                found = tuple(self.place[f] for w in readings(t, self.model) if w[: BEGINNINGS[0]] in self.fronts for f in named(w) if f in self.place)
+                if len(self.kept) + len(self.blank) >= KEPT:
+                    self.kept.clear()
+                    self.blank.clear()
+                if found:
+                    self.kept[t] = found
+                else:
+                    self.blank.add(t)
+            out.update(found)
         return out
 
     def score(self, text: str) -> float:

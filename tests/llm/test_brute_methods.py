@@ -83,6 +83,16 @@ def test_best_path():
         assert min(cost(p) for p in all_paths if p[0] == found) == pytest.approx(best)
 
 
+def test_plain_words_the_short_way():
+    model = toxicity.CharModel(np.random.default_rng(3).integers(0, 9, toxicity._N**3).astype(float) ** 3)
+    rnd = random.Random(6)
+    for _ in range(400):
+        word = "".join(c * rnd.choice((1, 1, 1, 2, 3)) for c in rnd.choices("abeßü", k=rnd.randrange(1, 9)))
+        short = model.spelled(word)
+        assert short is None or short == model.decode(word)
+    assert model.spelled("aabbccddee") is None
+
+
 def test_scores_do_not_depend_on_partitions(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     labels = spark.read.parquet("/root/testdata/sf0.001/labels.parquet")
