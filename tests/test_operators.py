@@ -189,9 +189,9 @@ def test_text(spark):
     import hashlib
     import hmac
 
-    df = spark.createDataFrame([("  o'brien-smith  4TH ", "unknown"), ("12 None Such Rd", " web added "), ("", "Unknown")], "a string, b string")
+    df = spark.createDataFrame([("  o'brien-smith  4TH ", "unknown"), ("12 None Such Rd", " web added "), ("", "Unknown"), ("x", None)], "a string, b string")
     out = df.select(X.clean(F.col("a")).alias("a"), X.clean(F.col("b")).alias("b"), X.slug(F.col("a")).alias("s"), X.anonymize(F.lit("7"), ("k", "q")).alias("h"), X.excel_time(F.lit("40000.5")).alias("t"), X.file_stem(F.lit("/x/y.z/in put.v1.xlsx")).alias("f"), X.separators(F.lit("a,b,,c")).alias("n"), X.repeated_word(F.lit("a b a")).alias("r"), X.epoch_time(F.lit("1600000000")).alias("e"), X.blank_to_null(F.lit(" ")).alias("z")).collect()
-    assert out[0]["a"] == "O'Brien-Smith 4th" and [r["b"] for r in out] == [None, None, "Unknown"] and [r["a"] for r in out[1:]] == ["12 None Such Rd", None]
+    assert out[0]["a"] == "O'Brien-Smith 4th" and [r["b"] for r in out] == [None, None, "Unknown", None] and [r["a"] for r in out[1:]] == ["12 None Such Rd", None, "X"]
     one = lambda k, m: hmac.new(k.encode(), m.encode(), hashlib.sha256).hexdigest()
     assert out[0]["h"] == one("q", one("k", "7") + "-7") and out[0]["t"] == datetime(2009, 7, 6, 12)
     assert (out[0]["f"], out[0]["n"], out[0]["r"], out[0]["z"]) == ("in put.v1", 3, True, None) and out[0]["e"] == datetime(2020, 9, 13, 12, 26, 40)
