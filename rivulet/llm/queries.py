@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rivulet.llm import chat, importance, lbl, mixing, pii, probminhash, quality_rules, spm, topk, toxicity
+from rivulet.llm import chat, fim, importance, language, lbl, mixing, pii, probminhash, quality_rules, spelling, spm, topk, toxicity
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -67,6 +67,19 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digest(chat.format_conversations(rows))
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fim.digests(_read(spark, sf_dir, "documents"))
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.group(_read(spark, sf_dir, "documents"))
+
+
+def op13_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = language.identify(_read(spark, sf_dir, "documents"))
+    return out.select("doc_id", "held_out", "lang_pred", "score", "n_words", F.size("segments").alias("n_segments"))
+
+
 QUERIES = {
     "op2_personal_data": op2_personal_data,
     "op1_mix_sources": op1_mix_sources,
@@ -78,6 +91,9 @@ QUERIES = {
     "op8_sentencepiece": op8_sentencepiece,
     "op9_near_duplicates": op9_near_duplicates,
     "op10_chat_format": op10_chat_format,
+    "op11_fill_in_middle": op11_fill_in_middle,
+    "op12_spelling_variants": op12_spelling_variants,
+    "op13_language": op13_language,
 }
 
 _STOP = "[" + ", ".join(f"'{w}'" for w in dict.fromkeys(quality_rules.STOP_WORDS)) + "]"
@@ -143,5 +159,41 @@ SELECT conv_id, count(*) AS n_turns,
   sha256(coalesce(string_agg(text, '' ORDER BY turn, escaped) FILTER (role = 'assistant'), '')) AS loss_sha256,
   CAST(sum(length('<|turn|>') + length(role) + length('<|body|>') + length(escaped) + length('<|end|>')) AS BIGINT) AS formatted_chars
 FROM e GROUP BY conv_id
+""",
+    "op11_fill_in_middle": r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text, sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
+u AS (SELECT doc_id, text, regexp_extract_all(text, '[A-Za-z]+|[^A-Za-z]') AS units, [CAST('0x' || substr(h, 8 * i + 1, 8) AS BIGINT) for i in range(4)] AS hs FROM d),
+c AS (
+  SELECT doc_id, text, units, len(units) AS n, least(hs[1] % (len(units) + 1), hs[2] % (len(units) + 1)) AS low, greatest(hs[1] % (len(units) + 1), hs[2] % (len(units) + 1)) AS high,
+    CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR hs[3] % 100 >= 90 THEN 'plain' WHEN hs[4] % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+  FROM u
+), p AS (SELECT doc_id, text, n, form, array_to_string(units[1:low], '') AS prefix, array_to_string(units[low + 1:high], '') AS middle, array_to_string(units[high + 1:], '') AS suffix FROM c)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256, sha256(text) AS restored_sha256
+FROM p
+""",
+    "op12_spelling_variants": r"""
+WITH RECURSIVE crc(i, k, c) AS (
+  SELECT i, 0, CAST(i AS BIGINT) FROM range(256) t(i) UNION ALL SELECT i, k + 1, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END FROM crc WHERE k < 8
+), tab AS (SELECT list(c ORDER BY i) AS t FROM crc WHERE k = 8),
+r AS (SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z\x{C0}-\x{FF}]+')) AS run FROM documents),
+o AS (SELECT id, run, count(*) AS times, hex(encode(id || ':' || run)) AS code FROM r GROUP BY ALL),
+h AS (
+  SELECT run, times, xor(list_reduce(list_prepend(4294967295, [CAST('0x' || substr(code, 2 * i + 1, 2) AS BIGINT) for i in range(length(code) // 2)]), lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) AS h
+  FROM o, tab
+), s AS (SELECT CASE WHEN h % 199 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, times FROM h),
+w AS (SELECT word, CAST(sum(times) AS BIGINT) AS n FROM s GROUP BY word HAVING sum(times) >= 5 AND length(word) >= 6),
+k AS (SELECT word, n, unnest(list_distinct(list_prepend(word, [substr(word, 1, i) || substr(word, i + 2) for i in range(length(word))]))) AS key FROM w),
+c AS (SELECT DISTINCT a.word, a.n, b.word AS near, b.n AS near_n FROM k a JOIN k b ON a.key = b.key AND a.word <> b.word),
+e AS (
+  SELECT * FROM c WHERE CASE length(word) - length(near)
+    WHEN 0 THEN len([1 for i in range(1, length(word) + 1) if substr(word, i, 1) <> substr(near, i, 1)]) = 1
+    WHEN 1 THEN list_contains([substr(word, 1, i) || substr(word, i + 2) for i in range(length(word))], near)
+    WHEN -1 THEN list_contains([substr(near, 1, i) || substr(near, i + 2) for i in range(length(near))], word) ELSE false END
+), b AS (SELECT word, n, count(*) AS n_near, min({'m': -near_n, 'near': near}) AS best FROM e GROUP BY word, n),
+f AS (SELECT w.word, w.n, coalesce(b.n_near, 0) AS n_near, CASE WHEN -b.best.m >= 5 * w.n THEN b.best.near END AS form, CASE WHEN -b.best.m >= 5 * w.n THEN -b.best.m END AS form_n FROM w LEFT JOIN b ON w.word = b.word),
+g(word, root) AS (SELECT word, form FROM f WHERE form IS NOT NULL UNION ALL SELECT g.word, f.form FROM g JOIN f ON g.root = f.word WHERE f.form IS NOT NULL),
+z AS (SELECT word, root FROM g WHERE root NOT IN (SELECT word FROM f WHERE form IS NOT NULL))
+SELECT f.word, f.form, coalesce(z.root, f.word) AS root, f.n, f.n_near, f.form_n FROM f LEFT JOIN z ON f.word = z.word
 """,
 }
