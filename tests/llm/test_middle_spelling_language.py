@@ -253,6 +253,7 @@ def test_switches_are_found(spark, field):
 
 def test_language_edges(spark, field):
     rows = [(1, None, "en"), (2, "", "en"), (3, "12 ٣ ² -", "en"), (4, "the " * 50_000, None), (None, "der die", ""), (5, "the", "en"), (5, "the", "en"), (6, "x" * 100_000, "de")]
+    rows += [(i, t, w) for i in range(10, 20) for t, w in (("the cat", "en"), ("die Katze", "de"))]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").withColumns({"score": F.lit(3), "segments": F.lit("s"), "h": F.lit(1), "words": F.lit("w")})
     out = language.identify(docs).collect()
     assert len(out) == len(rows)
