@@ -8,7 +8,7 @@ Runs of words of one language are its segments.
 
 The field is fitted on a bounded sample of labelled text: windows of `WINDOW` words of training documents, about
 `SAMPLE` a language, those of the smallest digests of their words, so that it doesn't depend on how rows are dealt and
-copies count once. One half of the windows makes the lexicons, the other is cut into pieces and spliced across
+copies of a window count once. One half of the windows makes the lexicons, the other is cut into pieces and spliced across
 languages into chains, whose labels change where the pieces meet: transitions are learnt from those. The fit is Adagrad
 on the log likelihood, in numpy, on the driver; the sample, and what is broadcast, are bounded by the parameters and the
 number of languages. Prediction runs in tasks over whole texts: a batch's chains go side by side, word by word.
