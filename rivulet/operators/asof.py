@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rivulet.contracts import as_columns, need
+from rivulet.operators.ordered import fill_spread
 
 
 def asof_join(
@@ -25,12 +26,16 @@ def asof_join(
     direction: str = "backward",
     tie: Sequence[str] = (),
     suffix: str = "",
+    spread: bool = False,
 ) -> DataFrame:
     """left with the columns take of the row of right with equal by (null equals null) whose right_time is the last <=
     (backward), the first >= (forward) or the nearest to left_time; null if there is none.
 
     Among right's rows of one time the largest tie wins backward, the smallest forward. At equal distances the
     earlier row is nearest. Rows of right without a time match nothing, nor do rows of left.
+
+    spread: a key may have more rows than a task holds (half of all, say, or those without a key): rows are dealt to ranges of
+    key and time, and each range gets the row of right that the one before carries. That stores the rows on the way.
     """
     if direction not in ("backward", "forward", "nearest"):
         raise ValueError(f"no such direction: {direction}")
@@ -47,9 +52,15 @@ def asof_join(
     is_left = F.col("_left").isNotNull().cast("int")
     parts = Window.partitionBy("_key")
     picked: dict[str, Column] = {}
-    if direction != "forward":
+    if spread:
+        both = both.withColumn("_side", is_left)
+        if direction != "forward":
+            both = fill_spread(both.withColumn("_b", F.col("_right")), "locf", ["_b"], ["_key"], ["_time", "_side", "_tie"])
+        if direction != "backward":
+            both = fill_spread(both.withColumn("_f", F.col("_right")), "nocb", ["_f"], ["_key"], ["_time", F.col("_side").desc(), "_tie"])
+    elif direction != "forward":
         picked["_b"] = F.last("_right", ignorenulls=True).over(parts.orderBy("_time", is_left, "_tie").rowsBetween(Window.unboundedPreceding, 0))
-    if direction != "backward":
+    if not spread and direction != "backward":
         picked["_f"] = F.first("_right", ignorenulls=True).over(parts.orderBy("_time", is_left.desc(), "_tie").rowsBetween(0, Window.unboundedFollowing))
     out = both.withColumns(picked).where("_left is not null")
     if direction == "nearest":

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rivulet.contracts import as_columns, need, window
+from rivulet.operators.ordered import fill_spread
 
 
 def fill_nulls(
@@ -18,12 +19,13 @@ def fill_nulls(
     by: Sequence[str] = (),
     order_by: Sequence[str | Column] = (),
     value: object = None,
+    spread: bool = False,
 ) -> DataFrame:
     """df with nulls of cols (names or positions; all but by if None) filled.
 
     kind: const (by value; by is ignored, with a warning), locf (last before, in order_by, within by) or nocb (next
     after); for these value is ignored, with a warning. All columns share one window, so one shuffle.
-    A fill without by orders the whole table in one partition; give by wherever there is one.
+    spread: groups may be larger than a task; a fill without by always is spread. That stores the rows twice on the way.
     """
     if not isinstance(df, DataFrame):
         raise TypeError("a DataFrame is needed")
@@ -39,6 +41,8 @@ def fill_nulls(
         warnings.warn("only a constant fill has a value; it is ignored", stacklevel=2)
     if not order_by:
         raise ValueError("rows have no order of their own: order_by is needed")
+    if spread or not by:
+        return fill_spread(df, kind, names, by, order_by)
     w = window(by, order_by)
     w = w.rowsBetween(Window.unboundedPreceding, 0) if kind == "locf" else w.rowsBetween(0, Window.unboundedFollowing)
     pick = F.last if kind == "locf" else F.first

@@ -15,6 +15,7 @@ from rivulet.durable import shared_dir
 from rivulet.functions.text import epoch_time, excel_time, file_stem, separators
 from rivulet.operators.memo import memoised
 from rivulet.operators.nested import combine_pages, from_json_text
+from rivulet.operators.ordered import chunk_bounds, with_chunk
 from rivulet.plans import addresses, census, contributions, duplicates, email, marketing, surveys, unified
 from rivulet.queries import _PAID, EVENT_TYPES, _hmac, _payments, _slugs, _t, query
 from rivulet.sources import rest
@@ -66,19 +67,40 @@ def stream_follow(spark: SparkSession, d: str) -> DataFrame:
     return c.read("events")
 
 
-@query("""SELECT group_customer_no, "timestamp", event_id, o_orderkey, stream, timestamp_id, last_value(amount IGNORE NULLS) OVER (PARTITION BY group_customer_no ORDER BY "timestamp", stream, event_id NULLS FIRST, o_orderkey NULLS FIRST ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS amount, CAST(year("timestamp") AS INTEGER) AS year
-FROM (SELECT user_id AS group_customer_no, ts AS "timestamp", event_id, CAST(NULL AS BIGINT) AS o_orderkey, value AS amount, 'events' AS stream, epoch_us(ts) AS timestamp_id FROM events
-  UNION ALL SELECT o_custkey, o_orderdate, NULL, o_orderkey, NULL, 'orders', epoch_us(o_orderdate) FROM orders)""")
+_UNITED = """SELECT user_id AS group_customer_no, ts AS "timestamp", event_id, CAST(NULL AS BIGINT) AS o_orderkey, value AS amount, 'events' AS stream, epoch_us(ts) AS timestamp_id FROM events
+  UNION ALL SELECT o_custkey, o_orderdate, NULL, o_orderkey, NULL, 'orders', epoch_us(o_orderdate) FROM orders"""
+#: Rows of a chunk of the unified stream in the queries below.
+CHUNK = 5000
+_CHUNKED = f"""SELECT u.*, (SELECT min(j) FROM b WHERE b.t >= u.timestamp_id) AS partition FROM u"""
+_BOUNDS = f"""u AS ({_UNITED}), p AS (SELECT timestamp_id, (row_number() OVER (ORDER BY timestamp_id) - 1) // {CHUNK} + 1 AS j FROM u), b AS (SELECT j, max(timestamp_id) AS t FROM p GROUP BY j)"""
+
+
+@query(f"""WITH {_BOUNDS}
+SELECT group_customer_no, "timestamp", event_id, o_orderkey, stream, timestamp_id, last_value(amount IGNORE NULLS) OVER (PARTITION BY group_customer_no ORDER BY "timestamp", stream, event_id NULLS FIRST, o_orderkey NULLS FIRST ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS amount,
+  row_number() OVER (ORDER BY "timestamp", stream, event_id NULLS FIRST, o_orderkey NULLS FIRST) AS rowid, partition FROM ({_CHUNKED})""")
 def stream_increments(spark: SparkSession, d: str) -> DataFrame:
-    """Built until a day, then extended: what one build gives."""
-    e = _t(spark, d, "events").select(F.col("user_id").alias("group_customer_no"), F.col("ts").alias("timestamp"), "event_id", F.col("value").alias("amount"))
-    o = _t(spark, d, "orders").select(F.col("o_custkey").alias("group_customer_no"), F.col("o_orderdate").alias("timestamp"), "o_orderkey")
+    """Built until a day, then extended twice: what one build gives, row numbers and chunks too."""
     c = _catalog(spark)
+    e, o = _streams(spark, d)
     c.overwrite("orders", o)
-    for part in (e.where("timestamp < timestamp_ntz '2024-01-15'"), e):
+    for part in (e.where("timestamp < timestamp_ntz '2024-01-11'"), e.where("timestamp < timestamp_ntz '2024-01-21'"), e):
         c.overwrite("events", part)
-        out = unified.stream(c, ["events", "orders"], fill_match=["^amount$"], tie=["stream", "event_id", "o_orderkey"])
-    return out.drop("rowid")
+        out = unified.stream(c, ["events", "orders"], fill_match=["^amount$"], tie=["stream", "event_id", "o_orderkey"], chunk_size=CHUNK)
+    return out
+
+
+def _streams(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    e = _t(spark, d, "events").select(F.col("user_id").alias("group_customer_no"), F.col("ts").alias("timestamp"), "event_id", F.col("value").alias("amount"))
+    return e, _t(spark, d, "orders").select(F.col("o_custkey").alias("group_customer_no"), F.col("o_orderdate").alias("timestamp"), "o_orderkey")
+
+
+@query(f"""WITH {_BOUNDS} SELECT partition, count(*) AS n, min("timestamp") AS first, max("timestamp") AS last FROM ({_CHUNKED}) GROUP BY partition""")
+def stream_chunks(spark: SparkSession, d: str) -> DataFrame:
+    """Chunks of a given number of rows: sizes differ from it by days' ties alone."""
+    e, o = _streams(spark, d)
+    rows = unified.united({"events": e, "orders": o})
+    found = with_chunk(rows, "timestamp", chunk_bounds(rows, "timestamp", CHUNK))
+    return found.groupBy("partition").agg(F.count("*").alias("n"), F.min("timestamp").alias("first"), F.max("timestamp").alias("last"))
 
 
 @query("SELECT event_id, " + _slugs("min(CASE WHEN event_type = '{v}' THEN ts END) OVER w AS email_{s}_timestamp_min, max(CASE WHEN event_type = '{v}' THEN ts END) OVER w AS email_{s}_timestamp_max, count(CASE WHEN event_type = '{v}' THEN ts END) OVER w AS email_{s}_count", EVENT_TYPES) + " FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)")

@@ -5,13 +5,14 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rivulet.catalog import Catalog
 from rivulet.contracts import ENTITY, TIME, check_stream, matching
 from rivulet.operators.debounce import debounce
 from rivulet.operators.fill import fill_nulls
+from rivulet.operators.ordered import chunk_bounds, numbered, with_chunk
 from rivulet.operators.windows import window_features
 
 WINDOWS = (1, 7, 30, 90, 365)
@@ -65,22 +66,29 @@ def stream(
     rebuild: bool = False,
     by: str = ENTITY,
     tie: Sequence[str] = ("stream",),
+    chunk_size: int = 10_000_000,
 ) -> DataFrame:
-    """Builds or extends the dataset `out` from the catalog's streams, by year partitions.
+    """Builds or extends the dataset `out` from the catalog's streams.
+
+    Rows have a partition, by which they are stored: the number of their chunk of chunk_size rows in the order of time of all
+    streams' rows (rows of one time stay together), and a rowid, which runs over all increments in the order of time and tie.
 
     Increments take rows later than the dataset's last time; late rows wait for a rebuild. An increment sees the look-back
     span and the last state before it, so it gives what a full build gives."""
     mark = None if rebuild else catalog.high_water(out, TIME)
-    rows = united({n: catalog.read(n) for n in names}, mark)
-    since = None
+    inputs_of = {n: catalog.read(n) for n in names}
+    bounds = chunk_bounds(united({n: df.select(ENTITY, TIME) for n, df in inputs_of.items()}), TIME, chunk_size)
+    rows = united(inputs_of, mark)
+    since, first_id = None, 0
     if mark is not None:
         if rows.isEmpty():
             return catalog.read(out)
         since = rows.agg(F.min(TIME)).first()[0]
-        inputs = list(dict.fromkeys(c for n in names for c in catalog.read(n).columns))
+        first_id = catalog.high_water(out, "rowid") or 0
+        inputs = list(dict.fromkeys(c for df in inputs_of.values() for c in df.columns))
         old = catalog.read(out)
         keep = [c for c in old.columns if c in inputs or c in ("stream", "timestamp_id")]
         rows = seeds(old.select(*keep), since, max(windows), by, tie).unionByName(rows, allowMissingColumns=True)
     done = enriched(rows, fill_match, window_match, windows, by, tie, since)
-    done = done.withColumn("rowid", F.row_number().over(Window.partitionBy(by).orderBy(TIME, *tie))).withColumn("year", F.year(TIME))
-    return catalog.overwrite(out, done, ["year"]) if mark is None else catalog.replace_range(out, done, TIME, ["year"])
+    done = with_chunk(numbered(done, [TIME, *tie], "rowid", first_id), TIME, bounds, "partition")
+    return catalog.overwrite(out, done, ["partition"]) if mark is None else catalog.replace_range(out, done, TIME, ["partition"])

@@ -65,6 +65,21 @@ def fill_nocb(spark: SparkSession, d: str) -> DataFrame:
     return fill_nulls(_spent(spark, d), "nocb", ["amount"], ["user_id"], ["ts", "event_id"]).select("event_id", "amount")
 
 
+@query(f"SELECT event_id, last_value(amount IGNORE NULLS) OVER (ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS amount, first_value(event_type IGNORE NULLS) OVER (ORDER BY ts, event_id ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS event_type FROM (SELECT event_id, ts, amount, CASE WHEN amount IS NULL THEN NULL ELSE event_type END AS event_type FROM ({_SPENT}))")
+def fill_ungrouped(spark: SparkSession, d: str) -> DataFrame:
+    """All rows as one group: filled along ranges of the order, no task sees all."""
+    df = _spent(spark, d).withColumn("event_type", F.when(F.col("amount").isNotNull(), F.col("event_type")))
+    df = fill_nulls(df, "locf", ["amount"], order_by=["ts", "event_id"])
+    return fill_nulls(df, "nocb", ["event_type"], order_by=["ts", "event_id"]).select("event_id", "amount", "event_type")
+
+
+@query(f"SELECT event_id, last_value(amount IGNORE NULLS) OVER (PARTITION BY k ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS amount FROM (SELECT *, CASE WHEN event_id % 2 = 0 THEN user_id END AS k FROM ({_SPENT}))")
+def fill_skewed(spark: SparkSession, d: str) -> DataFrame:
+    """Half of the rows lie in the group of those without a user."""
+    df = _spent(spark, d).withColumn("k", F.when(F.col("event_id") % 2 == 0, F.col("user_id")))
+    return fill_nulls(df, "locf", ["amount"], ["k"], ["ts", "event_id"], spread=True).select("event_id", "amount")
+
+
 @query("SELECT event_id, user_id, CAST(day AS VARCHAR) AS day, value FROM (SELECT *, CAST(ts AS DATE) AS day, row_number() OVER (PARTITION BY user_id, CAST(ts AS DATE) ORDER BY ts DESC, event_id DESC) AS n FROM events) WHERE n = 1")
 def debounce_daily(spark: SparkSession, d: str) -> DataFrame:
     df = _t(spark, d, "events").withColumn("day", F.to_date("ts"))
@@ -119,6 +134,23 @@ def _asof(direction: str) -> Query:
 
 
 _VIEWS = "WITH p AS (SELECT event_id, user_id, ts FROM events WHERE event_type = 'purchase'), v AS (SELECT event_id AS view_id, user_id, ts AS view_ts FROM events WHERE event_type = 'view')"
+def _asof_skewed(direction: str) -> Query:
+    def run(spark: SparkSession, d: str) -> DataFrame:
+        """Half of the rows have one key, null: no task holds them all."""
+        e = _t(spark, d, "events").withColumn("k", F.when(F.col("event_id") % 4 < 2, F.col("user_id")))
+        left = e.where("event_type = 'purchase'").select("event_id", "k", "ts")
+        right = e.where("event_type = 'view'").select("k", F.col("event_id").alias("view_id"), F.col("ts").alias("view_ts"))
+        return asof_join(left, right, ["k"], "ts", "view_ts", ["view_id", "view_ts"], direction, ["view_id"], spread=True)
+
+    return run
+
+
+QUERIES["asof_skewed"], QUERIES["asof_skewed_nearest"] = _asof_skewed("backward"), _asof_skewed("nearest")
+_HALF = "WITH e AS (SELECT *, CASE WHEN event_id % 4 < 2 THEN user_id ELSE -1 END AS k FROM events), p AS (SELECT * FROM e WHERE event_type = 'purchase'), v AS (SELECT k, ts AS view_ts, {pick}(event_id) AS view_id FROM e WHERE event_type = 'view' GROUP BY k, ts)"
+SQL["asof_skewed"] = _HALF.format(pick="max") + " SELECT p.event_id, nullif(p.k, -1) AS k, p.ts, v.view_id, v.view_ts FROM p ASOF LEFT JOIN v ON p.k = v.k AND p.ts >= v.view_ts"
+SQL["asof_skewed_nearest"] = _HALF.format(pick="max") + """, w AS (SELECT k, ts AS view_ts, min(event_id) AS view_id FROM e WHERE event_type = 'view' GROUP BY k, ts), b AS (SELECT p.event_id, v.view_id, v.view_ts FROM p ASOF JOIN v ON p.k = v.k AND p.ts >= v.view_ts), f AS (SELECT p.event_id, w.view_id, w.view_ts FROM p ASOF JOIN w ON p.k = w.k AND p.ts <= w.view_ts)
+SELECT p.event_id, nullif(p.k, -1) AS k, p.ts, CASE WHEN f.view_ts IS NULL OR p.ts - b.view_ts <= f.view_ts - p.ts THEN b.view_id ELSE f.view_id END AS view_id, CASE WHEN f.view_ts IS NULL OR p.ts - b.view_ts <= f.view_ts - p.ts THEN b.view_ts ELSE f.view_ts END AS view_ts
+FROM p LEFT JOIN b ON p.event_id = b.event_id LEFT JOIN f ON p.event_id = f.event_id"""
 QUERIES["asof_backward"], QUERIES["asof_forward"], QUERIES["asof_nearest"] = _asof("backward"), _asof("forward"), _asof("nearest")
 SQL["asof_backward"] = f"{_VIEWS} SELECT p.event_id, p.user_id, p.ts, v.view_id, v.view_ts FROM p ASOF LEFT JOIN v ON p.user_id = v.user_id AND p.ts >= v.view_ts"
 SQL["asof_forward"] = f"{_VIEWS} SELECT p.event_id, p.user_id, p.ts, v.view_id, v.view_ts FROM p ASOF LEFT JOIN v ON p.user_id = v.user_id AND p.ts <= v.view_ts"
