@@ -159,15 +159,16 @@ def marketing_orphans(spark: SparkSession, d: str) -> DataFrame:
     return marketing.orphans(contacts, fields, lists, homes, primary)
 
 
-@query("""WITH h AS (SELECT user_id % 200 AS customer_no, event_id % 500 AS eaddress_no, ts, 'a' || (event_id % 900) || '@x' AS address, event_type, event_id, value FROM events),
+@query("""WITH h AS (SELECT user_id % 200 AS customer_no, event_id % 500 AS eaddress_no, ts, 'a' || (event_id % 900) || '@x' AS address, event_type, event_id, value FROM events WHERE event_id % 13 <> 0 AND event_id % 17 <> 0),
 s AS (SELECT *, coalesce(lead(ts) OVER w, TIMESTAMP '2124-01-01') AS stop, lead(event_type) OVER w AS changed_by FROM h WINDOW w AS (PARTITION BY eaddress_no ORDER BY ts, address)),
 p AS (SELECT * FROM s WHERE value > 50),
 b AS (SELECT customer_no, ts, address FROM (SELECT *, row_number() OVER (PARTITION BY customer_no, ts ORDER BY eaddress_no DESC) AS n FROM p) WHERE n = 1),
 x AS (SELECT p.customer_no, p.address AS "from", b.address AS "to", p.stop AS "timestamp", p.changed_by AS last_updated_by FROM p ASOF JOIN b ON p.customer_no = b.customer_no AND p.stop >= b.ts)
 SELECT customer_no, "from", "to", "timestamp", last_updated_by FROM (SELECT *, row_number() OVER (PARTITION BY "from" ORDER BY "timestamp" DESC, "to" DESC) AS n FROM x WHERE "from" <> "to" AND "timestamp" > TIMESTAMP '2024-01-10') WHERE n = 1 AND "timestamp" < TIMESTAMP '2100-01-01'""")
 def changed_emails(spark: SparkSession, d: str) -> DataFrame:
+    """Rows without a customer or an address among the states: they end nothing and follow nothing."""
     e = _t(spark, d, "events")
-    history = e.select((F.col("user_id") % 200).alias("customer_no"), F.lit(1).alias("group_customer_no"), (F.col("event_id") % 500).alias("eaddress_no"), F.col("ts").alias("timestamp"), F.expr("CASE WHEN value > 50 THEN 'Y' ELSE 'N' END").alias("primary_ind"), F.concat(F.lit(" A"), F.col("event_id") % 900, F.lit("@X ")).alias("address"), F.col("event_type").alias("last_updated_by"))
+    history = e.select(F.expr("CASE WHEN event_id % 13 <> 0 THEN user_id % 200 END").alias("customer_no"), F.lit(1).alias("group_customer_no"), (F.col("event_id") % 500).alias("eaddress_no"), F.col("ts").alias("timestamp"), F.expr("CASE WHEN value > 50 THEN 'Y' ELSE 'N' END").alias("primary_ind"), F.when(F.col("event_id") % 17 != 0, F.concat(F.lit(" A"), F.col("event_id") % 900, F.lit("@X "))).alias("address"), F.col("event_type").alias("last_updated_by"))
     out = marketing.changed_emails(history, "2024-01-10", "2024-02-01")
     return out.where("timestamp < timestamp_ntz '2100-01-01'").select("customer_no", "from", "to", "timestamp", "last_updated_by")
 
@@ -198,29 +199,29 @@ data AS (SELECT customer_no, p.house AS group_customer_no, fname, lname, road, u
 def _household_data(spark: SparkSession, d: str) -> DataFrame:
     people, homes = _people(spark, d)
     mails = _t(spark, d, "customer").select((F.col("c_custkey") % 300).alias("group_customer_no"), F.concat(F.lit(" M"), F.col("c_custkey") % 20, F.lit("@X")).alias("address"), (F.col("c_custkey") % 10).alias("eaddress_type"))
-    phones = homes.select("group_customer_no", F.lit("555").alias("phone")).limit(0)
+    phones = homes.where("group_customer_no % 3 = 0").select("group_customer_no", F.concat(F.lit(" 55X"), "group_customer_no").alias("phone"))
     return duplicates.load(people, homes, phones, mails)
 
 
-@query(f"WITH {_PEOPLE} SELECT customer_no, group_customer_no, fname, lname, road, unit, email FROM data")
+@query(f"WITH {_PEOPLE} SELECT customer_no, group_customer_no, fname, lname, road, unit, email, CASE WHEN group_customer_no % 3 = 0 AND group_customer_no < 300 THEN '55x' || group_customer_no END AS phone FROM data")
 def duplicates_data(spark: SparkSession, d: str) -> DataFrame:
-    return _household_data(spark, d).select("customer_no", "group_customer_no", "fname", "lname", "road", "unit", "email")
+    return _household_data(spark, d).select("customer_no", "group_customer_no", "fname", "lname", "road", "unit", "email", "phone")
 
 
 @query(f"""WITH {_PEOPLE},
 pairs AS (SELECT DISTINCT customer_no, before AS other FROM (SELECT customer_no, lag(customer_no) OVER (PARTITION BY email, road, coalesce(unit, ''), fname, lname ORDER BY customer_no) AS before FROM (SELECT DISTINCT customer_no, email, road, unit, fname, lname FROM data WHERE email IS NOT NULL AND road IS NOT NULL)) WHERE before IS NOT NULL),
 apart AS (SELECT * FROM pairs WHERE customer_no % 300 <> other % 300 AND NOT (customer_no % 5 = 0 AND other = customer_no - 10)),
-f AS (SELECT c_custkey AS n, c_custkey <> c_custkey % 300 AS housed, c_custkey % 13 <> 0 AS active, c_custkey % 9 = 0 AND c_custkey % 2 = 0 AS member, c_acctbal AS seen FROM customer),
-r AS (SELECT a.customer_no, a.other, CASE WHEN l.housed AND NOT k.housed OR NOT l.housed AND k.housed THEN 1 WHEN l.member <> k.member THEN 2 WHEN l.seen <> k.seen THEN 3 END AS why,
-  CASE WHEN l.housed <> k.housed THEN l.housed WHEN l.member <> k.member THEN l.member WHEN l.seen <> k.seen THEN l.seen > k.seen END AS first FROM apart a JOIN f l ON a.customer_no = l.n JOIN f k ON a.other = k.n)
-SELECT customer_no, other AS "i.customer_no", CASE first WHEN true THEN customer_no WHEN false THEN other END AS keep_customer_no, CASE first WHEN true THEN other WHEN false THEN customer_no END AS delete_customer_no, CASE why WHEN 1 THEN 'In household' WHEN 2 THEN 'Current membership' WHEN 3 THEN 'Last activity date' END AS keep_reason FROM r""")
+f AS (SELECT c_custkey AS n, c_custkey <> c_custkey % 300 AS housed, c_custkey % 13 <> 0 AS active, c_custkey % 9 = 0 AND c_custkey % 2 = 0 AS member, c_acctbal AS seen, CASE WHEN c_custkey % 4 = 0 AND c_custkey % 8 <> 0 THEN c_custkey % 5 END AS login FROM customer),
+r AS (SELECT a.customer_no, a.other, CASE WHEN l.housed AND NOT k.housed OR NOT l.housed AND k.housed THEN 1 WHEN l.member <> k.member THEN 2 WHEN l.login <> k.login THEN 4 WHEN l.seen <> k.seen THEN 3 END AS why,
+  CASE WHEN l.housed <> k.housed THEN l.housed WHEN l.member <> k.member THEN l.member WHEN l.login <> k.login THEN l.login > k.login WHEN l.seen <> k.seen THEN l.seen > k.seen END AS first FROM apart a JOIN f l ON a.customer_no = l.n JOIN f k ON a.other = k.n)
+SELECT customer_no, other AS "i.customer_no", CASE first WHEN true THEN customer_no WHEN false THEN other END AS keep_customer_no, CASE first WHEN true THEN other WHEN false THEN customer_no END AS delete_customer_no, CASE why WHEN 1 THEN 'In household' WHEN 2 THEN 'Current membership' WHEN 3 THEN 'Last activity date' WHEN 4 THEN 'Last login date' END AS keep_reason FROM r""")
 def duplicates_stream(spark: SparkSession, d: str) -> DataFrame:
     """Pairs that agree in all, not of one household nor associated, and which of them is kept and why."""
     c = _t(spark, d, "customer")
     people, _ = _people(spark, d)
     known = people.withColumns({"last_activity_dt": F.timestamp_micros(F.col("cents") * 1_000_000).cast("timestamp_ntz"), "last_update_dt": F.lit(None).cast("timestamp_ntz")})
     members = c.where("c_custkey % 9 = 0").select(F.col("c_custkey").alias("customer_no"), F.expr("CASE WHEN c_custkey % 2 = 0 THEN 'Y' ELSE 'N' END").alias("cur_record_ind"), F.lit(1.0).alias("memb_amt"), F.lit("Level").alias("memb_level"))
-    logins = c.limit(0).select(F.col("c_custkey").alias("customer_no"), F.lit("N").alias("inactive"), F.lit(None).cast("timestamp_ntz").alias("last_login_dt"))
+    logins = c.where("c_custkey % 4 = 0").select(F.col("c_custkey").alias("customer_no"), F.expr("CASE WHEN c_custkey % 8 = 0 THEN 'Y' ELSE 'N' END").alias("inactive"), F.timestamp_seconds(F.col("c_custkey") % 5).cast("timestamp_ntz").alias("last_login_dt"))
     related = c.where("c_custkey % 5 = 0").select(F.col("c_custkey").alias("customer_no"), (F.col("c_custkey") - 10).alias("associated_customer_no"))
     return duplicates.duplicates_stream(_household_data(spark, d), people.select("customer_no", "group_customer_no"), related, duplicates.facts(known, members, logins))
 
@@ -292,19 +293,63 @@ def inside_polygon(spark: SparkSession, d: str) -> DataFrame:
     return c.select("c_custkey", addresses.inside(F.col("c_acctbal"), F.col("c_custkey") % 97 * 100.0, [(0.0, -1.0), (0.0, 9000.0), (9001.0, -1.0)]).alias("inside"))
 
 
-@query("""SELECT CAST(2010 AS INTEGER) AS year, 'g' || n_nationkey AS GEOID, CAST(10 + n_nationkey AS DOUBLE) AS race_white, CAST(20 + n_nationkey AS DOUBLE) AS race_other, CAST(30 + n_nationkey AS DOUBLE) AS sex_male, CAST(2 * (40 + n_nationkey) AS DOUBLE) AS age_under_5_years, CAST(3 * (50 + n_nationkey) AS DOUBLE) AS age_20_to_24_years, CAST(60 + n_nationkey AS DOUBLE) AS income_median_household FROM nation""")
+@query("""SELECT CAST(2010 AS INTEGER) AS year, 'g' || n_nationkey AS GEOID, CAST(10 + n_nationkey AS DOUBLE) AS address_white_level, CASE WHEN n_nationkey % 4 = 0 THEN 0.0 ELSE CAST(20 + n_nationkey AS DOUBLE) END AS address_other_level, CAST(30 + n_nationkey AS DOUBLE) AS address_male_level, CAST(2 * (40 + n_nationkey) AS DOUBLE) AS address_under_5_years_level, CAST(3 * (50 + n_nationkey) AS DOUBLE) AS address_20_to_24_years_level, CAST(60 + n_nationkey AS DOUBLE) AS address_median_income_level FROM nation""")
 def census_features(spark: SparkSession, d: str) -> DataFrame:
-    """Races, sexes, finer ages added to bands, incomes; of 2010 the decennial set alone counts for people."""
+    """Races, sexes, finer ages added to bands, incomes; of 2010 the decennial set alone counts for people. What a place lacks is 0."""
+    return _census(_t(spark, d, "nation"))
+
+
+_BANDS = ["Under 5 years", "20 to 24 years"]
+
+
+def _census(nation: DataFrame) -> DataFrame:
+    spark = nation.sparkSession
     r = [("sf1", "P003002", "Total!!Population of one race!!White alone", "RACE", 10), ("sf1", "P003007", "Total!!Population of one race!!Some Other Race alone", "RACE", 20), ("sf1", "P003001", "Total", "RACE", 1), ("sf1", "P012002", "Total!!Male", "SEX BY AGE", 30)]
     r += [("sf1", f"P01201{i}", f"Total!!{s}!!Under 5 years", "SEX BY AGE", 40) for i, s in enumerate(("Male", "Female"))]
     r += [("sf1", f"P01202{i}", f"Total!!Male!!{a}", "SEX BY AGE", 50) for i, a in enumerate(("20 years", "21 years", "22 to 24 years"))]
     r += [("acs5/profile", "DP03_0062", "Estimate!!Median household income (dollars)", "ECONOMIC", 60), ("acs5/profile", "DP05_0002", "Estimate!!SEX AND AGE!!Male", "DEMOGRAPHIC", 5)]
     labels = spark.createDataFrame([(2010, *x[:4]) for x in r], "year int, dataset string, variable string, label string, concept string")
     each = F.array(*(F.struct(F.lit(x[0]).alias("dataset"), F.lit(x[1]).alias("variable"), F.lit(float(x[4])).alias("n")) for x in r))
-    values = _t(spark, d, "nation").select("n_nationkey", F.lit(2010).alias("year"), F.inline(each))
+    values = nation.select("n_nationkey", F.lit(2010).alias("year"), F.inline(each)).where("variable <> 'P003007' or n_nationkey % 4 <> 0")
     tables = values.select("year", "dataset", "variable", F.concat(F.lit("g"), "n_nationkey").alias("GEOID"), F.expr("CASE WHEN dataset = 'sf1' THEN n + n_nationkey END").alias("value"), F.expr("CASE WHEN dataset <> 'sf1' THEN n + n_nationkey END").alias("estimate"), F.lit(1.0).alias("moe"))
-    domain = ["race_white", "race_other", "sex_male", "age_under_5_years", "age_20_to_24_years", "income_median_household"]
-    return census.features(census.data(tables, census.variables(labels)), ["Under 5 years", "20 to 24 years"], domain)
+    domain = [f"address_{x}_level" for x in ("white", "other", "male", "under_5_years", "20_to_24_years", "median_income")]
+    return census.features(census.data(tables, census.variables(labels)), _BANDS, domain)
+
+
+_PLACES = ("white", "other", "male", "under_5_years", "20_to_24_years")
+
+
+@query("""WITH f AS (SELECT 'g' || n_nationkey AS GEOID, y AS year, CAST(n_nationkey + y - 2010 AS DOUBLE) AS k, n_nationkey AS n FROM nation, (VALUES (2010), (2014)) AS v(y)),
+g AS (SELECT GEOID, year, 10 + k AS address_white_level, CASE WHEN n % 4 = 0 THEN 0.0 ELSE 20 + k END AS address_other_level, 30 + k AS address_male_level, 2 * (40 + k) AS address_under_5_years_level, 3 * (50 + k) AS address_20_to_24_years_level, CASE WHEN n % 5 = 0 THEN 0.0 ELSE 60 + k END AS address_median_income_level FROM f),
+a AS (SELECT c_custkey, 'g' || (c_nationkey + CASE WHEN c_custkey % 9 = 0 THEN 100 ELSE 0 END) AS GEOID, CASE WHEN c_custkey % 20 < 10 THEN 2010 ELSE 2014 END AS year FROM customer),
+s AS (SELECT *, address_white_level + address_other_level + address_male_level + address_under_5_years_level + address_20_to_24_years_level AS total FROM g)
+SELECT c_custkey, """ + ", ".join(f"address_{x}_level / total * 3 AS address_{x}_level" for x in _PLACES) + """, nullif(address_median_income_level, 0) AS address_median_income_level FROM a LEFT JOIN s ON a.GEOID = s.GEOID AND a.year = s.year""")
+def address_census(spark: SparkSession, d: str) -> DataFrame:
+    """Each address with its place's shares of the nearest year (2012 lies midway: the earlier), an income of 0 as null."""
+    one = _census(_t(spark, d, "nation"))
+    later = one.withColumns({"year": F.lit(2014), **{c: F.when(F.col(c) != 0, F.col(c) + w * 4).otherwise(0.0) for c, w in zip(one.columns[2:], (1, 1, 1, 2, 3, 1))}})
+    table = one.unionByName(later).withColumn("address_median_income_level", F.when(F.substring("GEOID", 2, 9).cast("int") % 5 == 0, 0.0).otherwise(F.col("address_median_income_level")))
+    at = F.make_timestamp_ntz(F.lit(2003) + F.col("c_custkey") % 20, F.lit(5), F.lit(1), F.lit(0), F.lit(0), F.lit(0))
+    places = _t(spark, d, "customer").select("c_custkey", F.concat(F.lit("g"), F.col("c_nationkey") + F.when(F.col("c_custkey") % 9 == 0, 100).otherwise(0)).alias("GEOID"), at.alias("timestamp"))
+    return census.address_census(places, table).drop("GEOID", "timestamp")
+
+
+@query("""WITH a AS (SELECT event_id AS address_no, user_id AS group_customer_no, ts AS "timestamp", CASE WHEN event_id % 3 = 0 THEN 'apt ' || event_id END AS street2, CASE WHEN event_id % 2 = 0 THEN 'Y' END AS primary_ind FROM events WHERE event_type = 'click'),
+s AS (SELECT user_id, ts, event_id, value FROM events WHERE event_type = 'purchase' AND user_id % 4 <> 0), t AS (SELECT DISTINCT group_customer_no AS h, "timestamp" AS near FROM a),
+b AS (SELECT s.event_id, t.near FROM s ASOF JOIN t ON s.user_id = t.h AND s.ts >= t.near), f AS (SELECT s.event_id, t.near FROM s ASOF JOIN t ON s.user_id = t.h AND s.ts <= t.near),
+p AS (SELECT s.*, CASE WHEN f.near IS NULL OR s.ts - b.near <= f.near - s.ts THEN b.near ELSE f.near END AS near FROM s LEFT JOIN b ON s.event_id = b.event_id LEFT JOIN f ON s.event_id = f.event_id),
+l AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY user_id, near ORDER BY ts DESC, event_id DESC) AS n FROM p WHERE near IS NOT NULL) WHERE n = 1),
+j AS (SELECT a.*, CASE WHEN l.event_id % 5 <> 0 THEN l.value END AS v, l.event_id AS e FROM a LEFT JOIN l ON a.group_customer_no = l.user_id AND a."timestamp" = l.near)
+SELECT address_no, group_customer_no, "timestamp", street2, primary_ind, 'Address' AS event_type, last_value(v IGNORE NULLS) OVER w AS address_pro_score_level, last_value(e IGNORE NULLS) OVER w AS address_capacity_level, """ + ", ".join(f"last_value(CASE WHEN e % {k} = 0 THEN v END IGNORE NULLS) OVER w AS address_{x}_level" for k, x in ((2, "properties"), (3, "donations"))) + """
+FROM j WINDOW w AS (PARTITION BY group_customer_no ORDER BY "timestamp", address_no ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""")
+def address_build(spark: SparkSession, d: str) -> DataFrame:
+    """Addresses with their household's scores, which alone are filled forward: second lines and flags stay what they are."""
+    e = _t(spark, d, "events")
+    rows = e.where("event_type = 'click'").select(F.col("event_id").alias("address_no"), F.col("user_id").alias("group_customer_no"), F.col("ts").alias("timestamp"))
+    more = rows.select("address_no", "timestamp", F.expr("CASE WHEN address_no % 3 = 0 THEN concat('apt ', address_no) END").alias("street2"), F.expr("CASE WHEN address_no % 2 = 0 THEN 'Y' END").alias("primary_ind"))
+    worth = F.when(F.col("event_id") % 5 != 0, F.col("value"))
+    scores = e.where("event_type = 'purchase' and user_id % 4 <> 0").select(F.col("user_id").alias("group_customer_no"), F.col("ts").alias("score_dt"), "event_id", worth.alias("pro_score"), F.col("event_id").alias("capacity_value"), F.when(F.col("event_id") % 2 == 0, worth).alias("properties_total_value"), F.when(F.col("event_id") % 3 == 0, worth).alias("donations_total_value"))
+    return addresses.build(rows, [more], scores, tie=["event_id"])
 
 
 @query("""SELECT 'p' || c_custkey || '@q.com' AS email, TIMESTAMP '1899-12-30' + INTERVAL 45000 DAY + INTERVAL (c_custkey % 100) DAY AS "timestamp", question, subquestion, answer FROM (
@@ -375,14 +420,14 @@ def rest_pages(spark: SparkSession, d: str) -> DataFrame:
     return spark.read.format("paged_rest").options(url="http://service/api/things", transport="rivulet.plan_queries:stand_in_service").schema("id string, name string, x string").load()
 
 
-@query(f"""SELECT ref_no, CASE WHEN ref_no % 5 = 0 THEN ref_no % 100 ELSE group_customer_no END AS customer_no, CASE WHEN ref_no % 5 = 0 THEN ref_no % 100 % 10 ELSE group_customer_no % 10 END AS house, CASE WHEN ref_no % 3 = 0 THEN ref_no + 1 END AS cust_memb_no, CASE WHEN month(cont_dt) < 10 THEN 'c' || month(cont_dt) END AS campaign_category_desc FROM ({_PAID})""")
+@query(f"""SELECT ref_no, CASE WHEN ref_no % 5 = 0 AND ref_no % 100 < 80 THEN ref_no % 100 ELSE group_customer_no END AS customer_no, CASE WHEN ref_no % 5 = 0 AND ref_no % 100 < 80 THEN ref_no % 100 % 10 ELSE group_customer_no % 10 END AS house, CASE WHEN ref_no % 3 = 0 THEN ref_no + 1 END AS cust_memb_no, CASE WHEN month(cont_dt) < 10 THEN 'c' || month(cont_dt) END AS campaign_category_desc FROM ({_PAID})""")
 def contribution_load(spark: SparkSession, d: str) -> DataFrame:
-    """Payments with their membership, their creditee's household and their campaign."""
+    """Payments with their membership, their creditee's household (a fifth of the creditees has none) and their campaign."""
     p = _payments(spark, d).select("ref_no", F.col("group_customer_no").alias("customer_no"), (F.col("group_customer_no") % 10).alias("group_customer_no"), F.month("cont_dt").alias("campaign_no"))
     links = p.where("ref_no % 3 = 0").select("ref_no", (F.col("ref_no") + 1).alias("cust_memb_no"))
     credit = p.where("ref_no % 5 = 0").select("ref_no", (F.col("ref_no") % 100).alias("creditee_no"))
     campaigns = spark.range(1, 10).select(F.col("id").cast("int").alias("campaign_no"), F.concat(F.lit("c"), "id").alias("campaign_category_desc"))
-    homes = spark.range(100).select(F.col("id").alias("customer_no"), (F.col("id") % 10).alias("group_customer_no"))
+    homes = spark.range(80).select(F.col("id").alias("customer_no"), (F.col("id") % 10).alias("group_customer_no"))
     members = links.select("cust_memb_no", F.lit(1).alias("campaign_no"), F.lit("L").alias("memb_level"), F.lit("Active").alias("current_status_desc"))
     levels = spark.range(1).select(F.lit("L").alias("memb_level"), F.lit("Level").alias("level_desc"))
     pays, _ = contributions.load(p, links, credit, members, campaigns, levels, homes)

@@ -214,14 +214,29 @@ def street_cleaner(members: DataFrame, addresses: DataFrame, salutations: DataFr
     return rows.withColumns({"possible_duplicate": alike > 1, "repeated_word": repeated_word(F.concat_ws(" ", "street1_cleaned", "street2_cleaned"))})
 
 
-def build(addresses: DataFrame, enriched: Sequence[DataFrame], scores: DataFrame, score_cols: Sequence[str]) -> DataFrame:
-    """addresses joined with frames of further columns by (address_no, timestamp), with the nearest scores in time of the
-    household, filled forward within it."""
+#: A score table's columns, and what the stream calls them.
+SCORES = {
+    "pro_score": "address_pro_score_level",
+    "capacity_value": "address_capacity_level",
+    "properties_total_value": "address_properties_level",
+    "donations_total_value": "address_donations_level",
+}
+
+
+def build(addresses: DataFrame, enriched: Sequence[DataFrame], scores: DataFrame, score_cols: Mapping[str, str] = SCORES, tie: Sequence[str] = ()) -> DataFrame:
+    """addresses joined with frames of further columns by (address_no, timestamp), with event_type and scores.
+
+    scores: household, score_dt and the keys of score_cols, which tells their names. A score belongs to the household's address
+    rows nearest to it in time (the earlier, at equal distances; all rows of that time); of several the last by
+    score_dt and tie counts. Scores, and nothing else, are filled forward within the household."""
     for more in enriched:
         addresses = addresses.join(more, ["address_no", "timestamp"], "left")
-    out = asof_join(addresses, scores, [ENTITY], "timestamp", "score_dt", score_cols, "nearest")
-    fill = [c for c in out.columns if c not in (ENTITY, "timestamp", "address_no")]
-    return fill_nulls(out, "locf", fill, [ENTITY], ["timestamp", "address_no"])
+    times = addresses.select(ENTITY, F.col("timestamp").alias("_near")).distinct()
+    placed = asof_join(scores, times, [ENTITY], "score_dt", "_near", ["_near"], "nearest").where("_near is not null")
+    last = debounce(placed, [ENTITY, "_near"], ["score_dt", *tie])
+    last = last.select(F.col(ENTITY).alias("_home"), "_near", *(F.col(a).alias(b) for a, b in score_cols.items()))
+    out = addresses.join(last, (F.col(ENTITY) == F.col("_home")) & (F.col("timestamp") == F.col("_near")), "left").drop("_home", "_near")
+    return fill_nulls(out.withColumn("event_type", F.lit("Address")), "locf", list(score_cols.values()), [ENTITY], ["timestamp", "address_no"])
 
 
 def address_stream(catalog: Catalog, built: DataFrame, slim: Sequence[str], least_household: int = 200) -> DataFrame:

@@ -15,7 +15,10 @@ from rivulet.operators.asof import nearest_number
 from rivulet.operators.debounce import debounce
 from rivulet.operators.running import categories
 
-FAMILIES = ("race", "sex", "age")
+#: Families of people's features (races, sexes, ages), each of which adds up to all people.
+FAMILIES = 3
+#: Features of people, and those of incomes.
+PEOPLE, INCOMES = r"^address_(?!median|mean)", r"^address_(median|mean)"
 #: What variables' labels have to say.
 COUNTED = r"(?i)^(number|estimate|total)"
 AGES = r"(?i)!!\d+ (to|and) \d+ years$|!!(18|19|20|21) years$|Under 5 years|85 years and over|(fe)?male$"
@@ -87,11 +90,11 @@ def _added(rows: DataFrame, feature: F.Column) -> DataFrame:
 
 def race_features(rows: DataFrame) -> DataFrame:
     race = F.when(F.col("race").rlike("(?i)some other"), F.lit("Other")).otherwise(F.col("race"))
-    return rows.where("type = 'race'").select("year", "GEOID", F.concat_ws(" ", F.lit("race"), race).alias("feature"), "value", "moe")
+    return rows.where("type = 'race'").select("year", "GEOID", race.alias("feature"), "value", "moe")
 
 
 def sex_features(rows: DataFrame) -> DataFrame:
-    return _added(rows.where("type = 'sex_and_age' and age is null and sex in ('Female', 'Male')"), F.concat_ws(" ", F.lit("sex"), "sex"))
+    return _added(rows.where("type = 'sex_and_age' and age is null and sex in ('Female', 'Male')"), F.col("sex"))
 
 
 def band_start(text: str = "age") -> F.Column:
@@ -107,32 +110,34 @@ def age_features(rows: DataFrame, bands: Sequence[str]) -> DataFrame:
     for name in sorted(bands, key=first):  # a few bands: an expression, no join
         band = F.when(F.col("_start") >= first(name), F.lit(name)).otherwise(band)
     band = F.when(F.col("age").isin(*bands), F.col("age")).otherwise(band)
-    return _added(some, F.concat_ws(" ", F.lit("age"), band))
+    return _added(some, band)
 
 
 def income_features(rows: DataFrame) -> DataFrame:
-    return rows.where("type = 'income' and measure is not null").select("year", "GEOID", F.concat_ws(" ", F.lit("income"), "measure", F.lit("household")).alias("feature"), "value", "moe")
+    return rows.where("type = 'income' and measure is not null").select("year", "GEOID", F.concat_ws(" ", "measure", F.lit("Income")).alias("feature"), "value", "moe")
 
 
 def features(rows: DataFrame, bands: Sequence[str], domain: Sequence[str] | None = None) -> DataFrame:
-    """year, GEOID and a column per feature. domain: the features' names; one small collect finds them if None, and raises beyond 500."""
+    """year, GEOID and a column address_{feature}_level per feature, lower case, 0 where a place has no such value. domain: the columns;
+    one small collect finds them if None, and raises beyond 500."""
     long = race_features(rows).unionByName(sex_features(rows)).unionByName(age_features(rows, bands)).unionByName(income_features(rows))
-    long = long.withColumn("feature", slug(F.regexp_replace("feature", r"[^\w\s]", "")))
+    long = long.where("feature is not null").withColumn("feature", slug(F.concat_ws(" ", F.lit("address"), "feature", F.lit("level"))))
     names = list(domain) if domain is not None else categories(long, "feature", 500)
-    return long.groupBy("year", "GEOID").pivot("feature", names).agg(F.sum("value"))
+    return long.groupBy("year", "GEOID").pivot("feature", names).agg(F.sum("value")).fillna(0.0, names)
 
 
-def shares(df: DataFrame, cols: Sequence[str], families: int = len(FAMILIES)) -> DataFrame:
+def shares(df: DataFrame, cols: Sequence[str], families: int = FAMILIES) -> DataFrame:
     """df with each of cols as its share of their sum, times the number of families, each of which adds up to the same sum."""
     total = reduce(lambda a, b: a + b, (F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in cols))
     return df.withColumn("_total", total).withColumns({c: F.when(F.col("_total") != 0, F.col(c) / F.col("_total") * families) for c in cols}).drop("_total")
 
 
 def address_census(addresses: DataFrame, table: DataFrame) -> DataFrame:
-    """addresses (GEOID, timestamp) with the nearest year's features of their place; no income of 0."""
+    """addresses (GEOID, timestamp) with the nearest year's features of their place: people's as shares of their sum, times three; no
+    income of 0."""
     cols = [c for c in table.columns if c not in ("year", "GEOID")]
     rows = addresses.withColumn("_year", F.year("timestamp"))
     rows = nearest_number(rows, table, ["GEOID"], "_year", "year", cols).drop("_year")
-    people = [c for c in cols if c.startswith(FAMILIES)]
+    people = [c for c in cols if re.search(PEOPLE, c)]
     out = shares(rows, people) if people else rows
-    return out.withColumns({c: F.when(F.col(c) != 0, F.col(c)) for c in cols if c.startswith("income")})
+    return out.withColumns({c: F.when(F.col(c) != 0, F.col(c)) for c in cols if re.search(INCOMES, c)})

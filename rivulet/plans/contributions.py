@@ -12,13 +12,14 @@ from rivulet.operators.running import repeat_kind, running_counts, running_total
 
 
 def load(contributions: DataFrame, membership_links: DataFrame, creditees: DataFrame, memberships: DataFrame, campaigns: DataFrame, levels: DataFrame, customers: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(payments, memberships): a payment has its membership and the household of its creditee, where it has one;
+    """(payments, memberships): a payment has its membership, and its creditee in place of its customer where the creditee has
+    a household, which counts then;
     memberships that were cancelled or deactivated are left out, the others have their campaign and level."""
     c = contributions.join(membership_links.select("ref_no", "cust_memb_no"), "ref_no", "left")
     credit = creditees.select("ref_no", F.col("creditee_no").alias("_credit"))
     homes = customers.select(F.col("customer_no").alias("_credit"), F.col("group_customer_no").alias("_home"))
     c = c.join(credit.join(homes, "_credit", "left"), "ref_no", "left")
-    c = c.withColumn("group_customer_no", F.coalesce("_home", "group_customer_no")).withColumn("customer_no", F.coalesce("_credit", "customer_no")).drop("_credit", "_home")
+    c = c.withColumns({"group_customer_no": F.coalesce("_home", "group_customer_no"), "customer_no": F.when(F.col("_home").isNotNull(), F.col("_credit")).otherwise(F.col("customer_no"))}).drop("_credit", "_home")
     c = c.join(campaigns, "campaign_no", "left")
     gone = F.coalesce(F.col("current_status_desc").isin("Cancelled", "Deactivated"), F.lit(False))
     m = memberships.where(~gone).join(campaigns, "campaign_no", "left").join(levels, "memb_level", "left")

@@ -66,7 +66,7 @@ def events(logs: DataFrame, links: DataFrame, machine_links: DataFrame, bounces:
     sends = logs.select(epoch_time(F.col("tstamp")).alias("timestamp"), _long("subscriberid").alias("subscriberid"), _long("campaignid").alias("campaignid"), _long("messageid").alias("messageid"), F.lit("Send").alias("event_subtype"))
 
     def opened(df: DataFrame) -> DataFrame:
-        read = F.when(F.col("isread").cast("string").isin("1", "true"), "Open").otherwise("Click")
+        read = F.when(F.col("isread").cast("string").isin("1", "true"), "Open").when(F.col("isread").isNotNull(), "Click")
         kept = [c for c in ("times", "ip", "ua", "uasrc", "referer") if c in df.columns]
         return df.where("messageid <> '0'").select(epoch_time(F.col("tstamp")).alias("timestamp"), _long("subscriberid").alias("subscriberid"), _long("campaignid").alias("campaignid"), _long("messageid").alias("messageid"), _long("link").alias("linkid"), read.alias("event_subtype"), *kept)
 
@@ -114,11 +114,12 @@ def changed_emails(history: DataFrame, since: object, now: object) -> DataFrame:
     """from, to, timestamp, last_updated_by: each primary address that gave way to another after since.
 
     history: states of e-mail records (group_customer_no, customer_no, eaddress_no, timestamp, primary_ind, inactive,
-    address, last_updated_by). A primary state lasts until its record's next state, which says who changed it; its successor
+    address, last_updated_by); those without a customer or an address are left out before all else. A primary state lasts until its record's next state, which says who changed it; its successor
     is the primary state of the customer begun last by that end, or, if none is, the one that ended last before it."""
     w = Window.partitionBy("eaddress_no").orderBy("timestamp", "address")
     far = F.lit(now).cast("timestamp_ntz") + F.expr("INTERVAL 36525 DAYS")
-    rows = history.withColumns({"end": F.lead("timestamp", 1).over(w), "by": F.lead("last_updated_by", 1).over(w), "address": _mail("address")})
+    told = history.where("customer_no is not null and address is not null")
+    rows = told.withColumns({"end": F.lead("timestamp", 1).over(w), "by": F.lead("last_updated_by", 1).over(w), "address": _mail("address")})
     rows = rows.withColumn("end", F.coalesce("end", far))
     primary = rows.where("primary_ind = 'Y'")
     starts = primary.select("customer_no", F.col("timestamp").alias("start"), F.col("address").alias("to"), "eaddress_no")

@@ -158,10 +158,11 @@ def survey_stream(files: Sequence[tuple[str, DataFrame]], emails: DataFrame, cus
 
 
 def survey_cross(rows: DataFrame, *patterns: str) -> DataFrame:
-    """Answers to the questions that match each pattern, side by side by customer_hash, columns numbered .1, .2 and so on."""
+    """Answers to the questions that match each pattern (case counts), side by side by customer_hash, columns numbered .1, .2 and
+    so on."""
     parts = []
     for i, p in enumerate(patterns, 1):
-        part = rows.where(F.col("question").rlike(f"(?i){p}"))
+        part = rows.where(F.col("question").rlike(p))
         parts.append(part.select("customer_hash", *(F.col(c).alias(f"{c}.{i}") for c in rows.columns if c != "customer_hash")))
     return reduce(lambda a, b: a.join(b, "customer_hash", "outer"), parts)
 

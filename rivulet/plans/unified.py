@@ -16,6 +16,10 @@ from rivulet.operators.ordered import chunk_bounds, numbered, with_chunk
 from rivulet.operators.windows import window_features
 
 WINDOWS = (1, 7, 30, 90, 365)
+#: Streams that are united by default, columns that are filled, and those of them that get look-back features.
+STREAMS = ("email_stream", "ticket_stream", "contribution_stream", "membership_stream", "ticket_future_stream", "address_stream")
+FILL_MATCH = ("^(email|ticket|contribution|membership|ticket|address).+(amt|level|count|max|min|last)",)
+WINDOW_MATCH = ("^(email|ticket|contribution|membership|ticket|address).+(count|amt)$",)
 
 
 def united(streams: Mapping[str, DataFrame], after: object = None) -> DataFrame:
@@ -58,10 +62,10 @@ def seeds(history: DataFrame, before: object, days: float, by: str = ENTITY, tie
 
 def stream(
     catalog: Catalog,
-    names: Sequence[str],
+    names: Sequence[str] = STREAMS,
     out: str = "stream",
-    fill_match: Sequence[str] = (),
-    window_match: Sequence[str] = (),
+    fill_match: Sequence[str] = FILL_MATCH,
+    window_match: Sequence[str] = WINDOW_MATCH,
     windows: Sequence[float] = WINDOWS,
     rebuild: bool = False,
     by: str = ENTITY,
