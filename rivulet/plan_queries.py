@@ -16,9 +16,11 @@ from rivulet.functions.text import epoch_time, excel_time, file_stem, separators
 from rivulet.operators.memo import memoised
 from rivulet.operators.nested import combine_pages, from_json_text
 from rivulet.operators.ordered import chunk_bounds, with_chunk
+from rivulet.operators.region import Region
 from rivulet.plans import addresses, census, contributions, duplicates, email, marketing, surveys, unified
 from rivulet.queries import _PAID, EVENT_TYPES, _hmac, _payments, _slugs, _t, query
 from rivulet.sources import rest
+from rivulet.sources.geocoders import Service, one_by_one
 from rivulet.sources.tables import Tables
 from rivulet.streaming.incremental import follow
 
@@ -293,6 +295,54 @@ def inside_polygon(spark: SparkSession, d: str) -> DataFrame:
     return c.select("c_custkey", addresses.inside(F.col("c_acctbal"), F.col("c_custkey") % 97 * 100.0, [(0.0, -1.0), (0.0, 9000.0), (9001.0, -1.0)]).alias("inside"))
 
 
+def _corners() -> list[list[tuple[float, float]]]:
+    """A coast of ten thousand corners, an island, and a lake in the mainland."""
+    coast = [(100.0 + i * 7919 % 50, float(i)) for i in range(10_000)]
+    return [[*coast, (0.0, 9999.0), (0.0, 0.0)], [(20.0, 2000.0), (60.0, 2000.0), (60.0, 4000.0), (20.0, 4000.0)], [(200.0, 100.0), (250.0, 100.0), (250.0, 300.0), (200.0, 300.0)]]
+
+
+@query("""WITH p AS (SELECT event_id, event_id * 37 % 10000 AS i, event_id * 37 % 10000 + 0.25::DOUBLE AS lon, event_id * 13 % 2600 / 10.0::DOUBLE + 0.03::DOUBLE AS lat FROM events),
+h AS (SELECT *, 100 + i * 7919 % 50 AS a, 100 + (i + 1) * 7919 % 50 AS b FROM p)
+SELECT event_id, (i < 9999 AND lat < a + 0.25::DOUBLE * (b - a) AND NOT (lat BETWEEN 20 AND 60 AND lon BETWEEN 2000 AND 4000)) OR (lat BETWEEN 200 AND 250 AND lon BETWEEN 100 AND 300) AS inside FROM h""")
+def inside_region(spark: SparkSession, d: str) -> DataFrame:
+    """Points in a country of several parts with a hole, under a grid."""
+    points = _t(spark, d, "events").select("event_id", (F.col("event_id") * 37 % 10000 + F.lit(0.25)).alias("lon"), (F.col("event_id") * 13 % 2600 / F.lit(10.0) + F.lit(0.03)).alias("lat"))
+    return Region(_corners()).with_inside(points, "lat", "lon").select("event_id", "inside")
+
+
+def _place(query: str, some: bool) -> dict | None:
+    return {"lat": float(len(query)), "lon": 1.0, "matched_address": query.upper()} if some else None
+
+
+#: Stand-ins for services, as rules about queries: the first takes batches, the second fails at times, the third is slow.
+SERVICES = (
+    Service("census", lambda asked: [_place(q, "main street" in q and q.endswith("3")) for q in asked], batch=50, tasks=2),
+    Service("map", one_by_one(lambda q: _place(q, q.startswith("apt") or ("main st, " in q and len(q) % 2 == 0))), tasks=4),
+    Service("open", one_by_one(lambda q: _place(q, q.startswith("town") and q.endswith("5"))), per_second=2000.0, tasks=2),
+)
+
+
+@query("""WITH a AS (SELECT c_custkey AS k, 'town' || (c_custkey % 7) AS city, CASE WHEN c_custkey % 11 <> 0 OR c_custkey % 2 = 0 THEN c_custkey || ' main st' END AS s1, CASE c_custkey % 3 WHEN 0 THEN 'apt ' || (c_custkey % 50) WHEN 1 THEN c_custkey || ' main st' END AS s2, CASE WHEN c_custkey % 2 = 0 THEN c_custkey || ' main street' END AS s0 FROM customer),
+e AS (SELECT k, concat_ws(', ', s0, city) AS e0, concat_ws(', ', s1, city) AS e1, concat_ws(', ', s2, city) AS e2 FROM a),
+x AS (SELECT k, e0, CASE WHEN e1 <> e0 THEN e1 END AS e1, CASE WHEN e2 <> e0 AND e2 <> e1 THEN e2 END AS e2 FROM e),
+q AS (SELECT k, unnest([{'o': 0, 'q': e0}, {'o': 1, 'q': e1}, {'o': 2, 'q': e2}], recursive := true) FROM x),
+h AS (SELECT k, q, o, 'census' AS service, 0 AS s FROM q WHERE contains(q, 'main street') AND ends_with(q, '3') UNION ALL SELECT k, q, o, 'map', 1 FROM q WHERE starts_with(q, 'apt') OR (contains(q, 'main st, ') AND length(q) % 2 = 0) UNION ALL SELECT k, q, o, 'open', 2 FROM q WHERE starts_with(q, 'town') AND ends_with(q, '5')),
+f AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY k ORDER BY s, o) AS n FROM h) WHERE n = 1)
+SELECT a.k AS c_custkey, f.service, f.q AS query, CAST(length(f.q) AS DOUBLE) AS lat, upper(f.q) AS matched_address FROM a LEFT JOIN f ON a.k = f.k""")
+def geocode_cascade(spark: SparkSession, d: str) -> DataFrame:
+    """Three services, three expressions: who answers first. A third of the addresses was asked for before."""
+    k = F.col("c_custkey")
+    none = F.lit(None).cast("string")
+    rows = _t(spark, d, "customer").select(
+        k, F.when((k % 11 != 0) | (k % 2 == 0), F.concat(k, F.lit(" main st"))).alias("street1"), F.when(k % 3 == 0, F.concat(F.lit("apt "), k % 50)).when(k % 3 == 1, F.concat(k, F.lit(" main st"))).alias("street2"),
+        F.concat(F.lit("town"), k % 7).alias("city"), none.alias("state"), F.lit(" ").alias("postal_code"), none.alias("country"),
+        F.when(k % 2 == 0, k.cast("string")).alias("parsed.house_number"), F.when(k % 2 == 0, F.lit("main street")).alias("parsed.road"),
+    )
+    c = _catalog(spark)
+    addresses.geocode(rows.where("c_custkey % 3 = 1"), SERVICES, c)
+    return addresses.geocode(rows, SERVICES, c).select("c_custkey", "service", "query", "lat", "matched_address")
+
+
 @query("""SELECT CAST(2010 AS INTEGER) AS year, 'g' || n_nationkey AS GEOID, CAST(10 + n_nationkey AS DOUBLE) AS address_white_level, CASE WHEN n_nationkey % 4 = 0 THEN 0.0 ELSE CAST(20 + n_nationkey AS DOUBLE) END AS address_other_level, CAST(30 + n_nationkey AS DOUBLE) AS address_male_level, CAST(2 * (40 + n_nationkey) AS DOUBLE) AS address_under_5_years_level, CAST(3 * (50 + n_nationkey) AS DOUBLE) AS address_20_to_24_years_level, CAST(60 + n_nationkey AS DOUBLE) AS address_median_income_level FROM nation""")
 def census_features(spark: SparkSession, d: str) -> DataFrame:
     """Races, sexes, finer ages added to bands, incomes; of 2010 the decennial set alone counts for people. What a place lacks is 0."""

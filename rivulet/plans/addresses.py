@@ -3,21 +3,26 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Callable, Sequence
+import re
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from rivulet.catalog import Catalog
 from rivulet.contracts import ENTITY, as_columns
+from rivulet.durable import stored
 from rivulet.functions.text import clean, repeated_word, separators
 from rivulet.operators.asof import asof_join
 from rivulet.operators.audit import reconstruct
 from rivulet.operators.debounce import debounce
 from rivulet.operators.fill import fill_nulls
-from rivulet.operators.memo import memoised
+from rivulet.operators.memo import memoised, memoised_frame
+from rivulet.operators.region import Region
+from rivulet.sources.geocoders import Pace, Service, cascade
 
 COLUMNS = ("street1", "street2", "city", "state", "postal_code", "country")
 PARSED = ("house_number", "road", "unit", "house", "po_box", "city", "state", "country", "postcode")
@@ -39,13 +44,36 @@ LISTED = ("city", "state", "country")
 #: that a number follows.
 UNIT_ALONE = "basement bsmt floor fl front frnt lobby lbby lowr office ofc penthouse ph rear uppr".split()
 UNIT_NUMBERED = "apartment apt building bldg department dept hanger hngr key lot pier room rm slip space spc stop suite ste trailer trlr unit".split()
-#: Fixed values, the commonest street suffixes of the same publication's appendix C1 (give others as `streets`).
-STREETS = (
-    "alley aly avenue av ave beach bch bend boulevard blvd bridge brg broadway brook canyon causeway center ctr circle cir common court ct cove crescent cres "
-    "crossing xing drive dr expressway expy freeway fwy garden gardens grove harbor heights hts highway hwy hill hl hills hollow island junction jct lake landing lane ln "
-    "loop manor meadow meadows mews mill mount mt mountain park parkway pkwy pass path pike place pl plaza plz point pt ridge rdg road rd route rte row run "
-    "shore spring springs square sq station street st str summit terrace ter trail trl turnpike tpke valley vly view village vista walk way wy"
+#: Fixed values, names of streets of the same publication's appendix C1; those that have a plural there, too.
+STREET_NAMES = (
+    "alley annex arcade avenue bayou beach bend bottom boulevard branch bypass camp canyon cape causeway club corner crescent crest crossing curve dam divide "
+    "expressway ferry forest fort freeway gateway haven heights highway hollow inlet isle junction lake land landing loop mall meadow mission motorway neck orchard oval "
+    "overpass parkway passage path pike pine plain plaza prairie radial ramp ranch rapid rest ridge river row rue run skyway spur square station stravenue stream "
+    "street summit terrace throughway trace track trafficway trailer tunnel turnpike underpass valley viaduct view village ville vista walk wall way"
 ).split()
+STREET_PLURALS = (
+    "bluff brook burg center circle cliff common corner course court cove creek dale drive estate extension fall field flat ford forge fork garden glen green grove "
+    "harbor hill island key knoll lake light loaf lock lodge manor meadow mews mill mount mountain park parkway pass path pine plain point port ranch rapid ridge road "
+    "route shoal shore spring spur square street summit terrace throughway trail union valley view village walk way well"
+).split()
+#: Short forms of the same appendix that the rule below doesn't give.
+STREET_SHORT = (
+    "aly anx arc av ave aven avn bch bg blvd boul bot br brdge bnd byp bypa bypas byu cen cent ctr centre cir circ cmn cnter cor cp cpe crcle cres crscnt cswy ct cts cv cyn dl "
+    "dm dr driv drv dv est ests exp expr expw expy ext exts fld flds fls frd frg frk frks frry frst frt frwy ft fwy gdn gdns gln grn grov grv gtwy harb hbr highwy hiway hiwy "
+    "hl hllw hls holw ht hts hvn hway hwy inlt is iss isls jct jctn jctns keys kys knl knls knol la ldg ldge lf lgt lgts lk lks ln lndg mdw mdws ml mls mnr mnrs mntn msn mssn mt mtn mtwy "
+    "nck opas orch ovl paths pikes pkwy pkwys pky pl plz plza pne pnes pr prk prts psge pt pts rad ranchs rd rdg rdge rdgs rds riv rnch rnchs rpd rpds rst rte shl shls shr shrs skwy "
+    "smt spg spgs spurs sq sqr sqre sqrs sqs st sta statn stn str stra strm strt sts sumit ter terr tpke trak trce trfy trk trks trl trlr trls trnpk trwy tunl un uns upas vdct via vis vist "
+    "vl vlg vlgs vlly vly vlys vst vsta vw vws wl wls wy xing xrd xrds"
+).split()
+
+
+def _short(name: str) -> str:
+    """A name's first letter and its further consonants, one of a pair: crk of creek, blf of bluff."""
+    return name[0] + re.sub(r"(.)\1", r"\1", re.sub("[aeiou]", "", name[1:]))
+
+
+#: Endings of streets; give others as `streets`.
+STREETS = sorted({w for n in (*STREET_NAMES, *STREET_PLURALS, *(f"{n}s" for n in STREET_PLURALS)) for w in (n, _short(n)) if len(w) > 1} | {*STREET_SHORT, "lane", "place", "allee", "crossroad", "crossroads"})
 #: Directions, in English and Spanish.
 DIRECTIONS = "n ne nw s se sw e w norte noreste noroeste sur sureste suroeste este oeste north northeast northwest south southeast southwest east west".split()
 UNIT_NUMBER = r"(?:\d[\d\w]*|\w\d+|ph.{1,3})"
@@ -110,46 +138,49 @@ def parse(df: DataFrame, parser: Parser, catalog: Catalog, name: str = "address_
     return repaired(memoised(df, COLUMNS, raw_parse(parser), "components string", catalog, name, chunk)).drop("components")
 
 
-Geocoder = Callable[[str], dict | None]
 GEO = "service string, query string, lat double, lon double, matched_address string, formatted_address string, location_type string, tract string"
 
 
-def street_expressions(row: dict) -> list[str]:
-    """The street lines to try: first, second, both; blanks and repeats left out."""
-    a, b = (row.get("street1") or "").strip(), (row.get("street2") or "").strip()
-    return list(dict.fromkeys(x for x in (a, b, f"{a} {b}".strip()) if x))
-
-
-def geocode_function(services: dict[str, Geocoder]) -> Callable[[pd.DataFrame], pd.DataFrame]:
-    """A memo function: services in order, within each the street expressions in order; the first answer counts. An
-    address of nulls asks nobody; a failing call counts as no answer."""
-    names = [f.split()[0] for f in GEO.split(", ")]
-
-    def one(row: dict) -> dict:
-        row = {k: (v if isinstance(v, str) else None) for k, v in row.items()}
-        if any(row.values()):
-            rest = ", ".join(row[c] for c in COLUMNS[2:] if row.get(c))
-            for service, ask in services.items():
-                for street in street_expressions(row) or [""]:
-                    query = ", ".join(x for x in (street, rest) if x)
-                    try:
-                        found = ask(query)
-                    except Exception:  # noqa: BLE001  a provider's failure is an answer not had
-                        found = None
-                    if found and found.get("lat") is not None:
-                        return {"service": service, "query": query} | found
-        return {}
-
-    return lambda keys: pd.DataFrame([{n: r.get(n) for n in names} for r in map(one, keys[list(COLUMNS)].to_dict("records"))], columns=names)
-
-
-def geocode(df: DataFrame, services: dict[str, Geocoder], catalog: Catalog, name: str = "address_geocode") -> DataFrame:
-    """df with the geocoder's columns, one row per row; one task asks, as services limit rates."""
-    return memoised(df, COLUMNS, geocode_function(services), GEO, catalog, name, parallel=1)
+def street_expressions(df: DataFrame) -> dict[str, Column]:
+    """What services are asked for: the parsed street, the first and the second line, each with city, state, post code and country;
+    null where that is blank or the same as one before, and where the address has nothing but blanks."""
+    filled = lambda c: F.nullif(F.trim(c), F.lit(""))
+    parsed = [filled(F.col(f"`{PREFIX}{c}`")) for c in ("house_number", "road", "house") if PREFIX + c in df.columns]
+    street = {"parsed": F.concat_ws(" ", *parsed)} if parsed else {}
+    street |= {c: F.col(c) for c in COLUMNS[:2]}
+    some = F.concat_ws("", *(filled(x) for x in street.values()), *(filled(F.col(c)) for c in COLUMNS[2:])) != ""
+    out: dict[str, Column] = {}
+    for name, line in street.items():
+        text = F.concat_ws(", ", filled(line), *(filled(F.col(c)) for c in COLUMNS[2:]))
+        fresh = some & (text != "")
+        for before in out.values():
+            fresh = fresh & ~text.eqNullSafe(before)
+        out[name] = F.when(fresh, text)
+    return {f"_ask_{k}": v for k, v in out.items()}
+
+
+def geocode(df: DataFrame, services: Sequence[Service], catalog: Catalog, name: str = "address_geocode") -> DataFrame:
+    """df with the geocoders' columns, one row per row: services in order, within each the street expressions in order; the
+    first that finds a place counts. Only addresses not met before are asked for, found or not; those of blanks never are."""
+    parsed = [PREFIX + c for c in ("house_number", "road", "house") if PREFIX + c in df.columns]
+    fields = StructType.fromDDL(GEO)
+    asked = StructType([f for f in fields.fields if f.name not in ("service", "query")])
+
+    def found(keys: DataFrame) -> DataFrame:
+        rows = keys.withColumns(street_expressions(keys))
+        asks = [c for c in rows.columns if c.startswith("_ask_")]
+        rows = stored(rows.withColumn("_key", F.xxhash64(*COLUMNS)).select("_key", *COLUMNS, *asks), "geocode-keys")
+        hits = cascade(rows, ["_key", *COLUMNS], asks, services, asked, "lat")
+        same = {c: f"_h{i}" for i, c in enumerate(COLUMNS)}
+        on = reduce(lambda a, b: a & b, (F.col(c).eqNullSafe(F.col(h)) for c, h in same.items()))
+        return rows.drop(*asks).join(hits.drop("_key").withColumnsRenamed(same), on, "left")
+
+    return memoised_frame(df, COLUMNS, found, fields, catalog, name, parsed)
 
 
 def inside(lat: Column, lon: Column, ring: Sequence[tuple[float, float]]) -> Column:
-    """Whether a point lies in a polygon given as (lat, lon) corners: an odd number of edges to one side of it."""
+    """Whether a point lies in a polygon of few corners, given as (lat, lon), by one expression: an odd number of edges to one
+    side of it. A region of many corners, of parts or with holes is a `Region`."""
     crossed = []
     for (a, b), (c, d) in zip(ring, [*ring[1:], ring[0]]):
         if a != c:
@@ -157,8 +188,9 @@ def inside(lat: Column, lon: Column, ring: Sequence[tuple[float, float]]) -> Col
     return reduce(lambda x, y: x + y, crossed, F.lit(0)) % 2 == 1
 
 
-def reverse_census(df: DataFrame, ask: Callable[[float, float], str | None], ring: Sequence[tuple[float, float]], catalog: Catalog, name: str = "reverse_census") -> DataFrame:
-    """df with tract filled by coordinates where it is missing and they lie in the country; errors leave null."""
+def reverse_census(df: DataFrame, ask: Callable[[float, float], str | None], country: Region, catalog: Catalog, name: str = "reverse_census", tasks: int = 1, per_second: float | None = None) -> DataFrame:
+    """df with tract filled by coordinates where it is missing and they lie in the country; errors leave null. On so many tasks, which
+    share the calls a second."""
 
     def run(keys: pd.DataFrame) -> pd.DataFrame:
         def one(a: float, b: float) -> str | None:
@@ -167,10 +199,15 @@ def reverse_census(df: DataFrame, ask: Callable[[float, float], str | None], rin
             except Exception:  # noqa: BLE001
                 return None
 
-        return pd.DataFrame({"_tract": [one(a, b) for a, b in zip(keys["lat"], keys["lon"])]}, dtype="object")
+        pace = Pace(per_second / tasks if per_second else None)
+        out = []
+        for a, b in zip(keys["lat"], keys["lon"]):
+            pace.wait()
+            out.append(one(a, b))
+        return pd.DataFrame({"_tract": out}, dtype="object")
 
-    lacking = F.col("tract").isNull() & F.coalesce(inside(F.col("lat"), F.col("lon"), ring), F.lit(False))
-    some = memoised(df.where(lacking).select("lat", "lon").distinct(), ["lat", "lon"], run, "_tract string", catalog, name, parallel=1)
+    points = df.where("tract is null and lat is not null and lon is not null").select("lat", "lon").distinct()
+    some = memoised(country.with_inside(points, "lat", "lon", "_in").where("_in").drop("_in"), ["lat", "lon"], run, "_tract string", catalog, name, parallel=tasks)
     return df.join(some, ["lat", "lon"], "left").withColumn("tract", F.coalesce("tract", "_tract")).drop("_tract").select(*as_columns(df.columns))
 
 
