@@ -76,3 +76,54 @@ def reconstruct(
     rows = rows.withColumn("event_subtype", kind)
     out = debounce(rows, [key, "timestamp"], ["_rank", "last_updated_by", *names])
     return out.select(key, "timestamp", "event_subtype", "last_updated_by", *both, *names)
+
+
+def reconstruct_open(
+    audit: DataFrame,
+    base: DataFrame,
+    key: str,
+    columns: Mapping[str, str],
+    carry: Sequence[str] = ("group_customer_no", "customer_no"),
+) -> DataFrame:
+    """As `reconstruct`, for a log whose names aren't known: one row per entity and time with state, a map of every name that the
+    log has for the entity, and of those of columns, to its value then.
+
+    Values stay in rows (entity, name, time, value) and are filled forward, then backward along each name's own history, so no list of names is
+    needed, nor a column for each. An entity's names times its rows are what a name's history is laid against, so the work
+    grows with those of each entity and not with all names. Changes at one time are one row, by the greatest of who made
+    them; of several values of a name at one time the greatest counts. Carry columns are base's."""
+    need(base, [key, "create_dt", "created_by", "last_update_dt", "last_updated_by", *columns.values()])
+    need(audit, ["alternate_key", "date", "userid", "action", "column_updated", "old_value", "new_value"])
+    key_type = base.schema[key].dataType
+    both = [c for c in carry if c in base.columns]
+    rank = {k: i for i, k in enumerate(KINDS)}
+    new = F.coalesce(F.col("new_value"), F.lit(""))
+    log = audit.select(
+        F.expr("try_cast(alternate_key as bigint)").cast(key_type).alias(key), F.col("date").alias("timestamp"), F.col("userid").alias("last_updated_by"),
+        F.coalesce("column_updated", F.lit("NA")).alias("name"), new.alias("value"),
+        F.when(F.lower("action") == "inserted", new).otherwise(F.coalesce("old_value", F.lit(""))).alias("old"),
+    )
+    now = F.explode(F.array(*(F.struct(F.lit(a).alias("name"), F.col(f"`{b}`").cast("string").alias("value")) for a, b in columns.items()))).alias("x")
+    current = base.select(key, now, F.col("last_update_dt").alias("timestamp")).select(key, "x.*", "timestamp", F.lit(rank["Current"]).alias("_rank"))
+    firsts = log.groupBy(key, "name").agg(F.min_by("old", F.struct("timestamp", "old")).alias("value"))
+    firsts = firsts.join(base.select(key, F.col("create_dt").alias("timestamp")), key).withColumn("_rank", F.lit(rank["Creation"]))
+    changed = log.groupBy(key, "name", "timestamp").agg(F.max("value").alias("value")).withColumn("_rank", F.lit(rank["Change"]))
+    values = firsts.unionByName(changed).unionByName(current)
+
+    made = base.select(key, F.col("create_dt").alias("timestamp"), F.col("created_by").alias("last_updated_by"), F.lit(rank["Creation"]).alias("_rank"))
+    moves = log.groupBy(key, "timestamp").agg(F.max("last_updated_by").alias("last_updated_by")).withColumn("_rank", F.lit(rank["Change"]))
+    stays = base.select(key, F.col("last_update_dt").alias("timestamp"), "last_updated_by", F.lit(rank["Current"]).alias("_rank"))
+    rows = made.unionByName(moves).unionByName(stays)
+    names = values.select(key, "name").distinct()
+    at = [key, "name", "_rank", "timestamp"]
+    laid = rows.join(names, key, "left").join(values.groupBy(*at).agg(F.max("value").alias("value")), at, "left")
+    order = Window.partitionBy(key, "name").orderBy("_rank", "timestamp")
+    back, ahead = order.rowsBetween(Window.unboundedPreceding, 0), order.rowsBetween(0, Window.unboundedFollowing)
+    laid = laid.withColumn("value", F.coalesce(F.last("value", ignorenulls=True).over(back), F.first("value", ignorenulls=True).over(ahead)))
+    entry = F.when(F.col("name").isNotNull() & F.col("value").isNotNull(), F.struct("name", "value"))
+    state = F.map_from_entries(F.array_sort(F.collect_list(entry))).alias("state")
+    told = laid.groupBy(key, "timestamp", "_rank", "last_updated_by").agg(state)
+    kept = debounce(told, [key, "timestamp"], ["_rank", "last_updated_by"])
+    kind = F.element_at(F.array(*map(F.lit, KINDS)), F.col("_rank") + 1).alias("event_subtype")
+    known = base.select(F.col(key).alias("_key"), *both)
+    return kept.join(known, F.col(key) == F.col("_key"), "left").select(key, "timestamp", kind, "last_updated_by", *both, "state")

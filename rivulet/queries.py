@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from rivulet.functions.text import anonymize, clean, collapse, repeated_word, slug, title_case, unite
 from rivulet.operators.asof import asof_join, nearest_number
-from rivulet.operators.audit import reconstruct
+from rivulet.operators.audit import reconstruct, reconstruct_open
 from rivulet.operators.debounce import debounce, last_state
 from rivulet.operators.dedup import adjacent_pairs, drop_related, keep_delete
 from rivulet.operators.fill import fill_nulls
@@ -257,6 +257,28 @@ def audit_reconstruct(spark: SparkSession, d: str) -> DataFrame:
     return reconstruct(log, base, "id", {"click": "click", "view": "view"})
 
 
+_LOGGED = ("click", "error", "purchase", "signup", "view")
+_each = lambda template: ", ".join(template.format(n=n) for n in _LOGGED)
+
+
+@query(f"""WITH log AS (SELECT user_id AS id, ts, event_type AS col, CAST(CAST(round(value * 100) AS BIGINT) AS VARCHAR) AS nv, CAST(event_id AS VARCHAR) AS ov FROM events),
+k AS (SELECT id, {_each("arg_min(ov, (ts, ov)) FILTER (col = '{n}') AS {n}")} FROM log GROUP BY id),
+r AS (SELECT c_custkey AS id, TIMESTAMP '2023-01-01' AS t, 'm' AS made_by, 0 AS r, {_each("{n}")} FROM customer LEFT JOIN k ON c_custkey = id
+  UNION ALL SELECT id, ts, 'u', 1, {_each("max(nv) FILTER (col = '{n}')")} FROM log GROUP BY id, ts
+  UNION ALL SELECT c_custkey, TIMESTAMP '2025-01-01', 'n', 2, c_name, NULL, NULL, NULL, c_mktsegment FROM customer),
+f AS (SELECT id, t, made_by, r, {_each("coalesce(last_value({n} IGNORE NULLS) OVER bk, first_value({n} IGNORE NULLS) OVER ah) AS {n}")} FROM r
+  WINDOW bk AS (PARTITION BY id ORDER BY r, t ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), ah AS (PARTITION BY id ORDER BY r, t ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))
+SELECT id, t AS "timestamp", CASE r WHEN 0 THEN 'Creation' WHEN 1 THEN 'Change' ELSE 'Current' END AS event_subtype, made_by AS last_updated_by, concat_ws(';', {_each("'{n}=' || {n}")}) AS state
+FROM (SELECT *, row_number() OVER (PARTITION BY id, t ORDER BY r DESC) AS n FROM f) WHERE n = 1""")
+def audit_open(spark: SparkSession, d: str) -> DataFrame:
+    """A log of names that nobody has listed: two are columns of the table, the others appear by themselves."""
+    _, base = _log(spark, d)
+    log = _t(spark, d, "events").select(F.col("user_id").cast("string").alias("alternate_key"), F.col("ts").alias("date"), F.lit("u").alias("userid"), F.lit("Updated").alias("action"), F.col("event_type").alias("column_updated"), F.expr("cast(cast(round(value * 100) as bigint) as string)").alias("new_value"), F.expr("cast(event_id as string)").alias("old_value"))
+    out = reconstruct_open(log, base, "id", {"click": "click", "view": "view"})
+    said = F.transform(F.array_sort(F.map_entries("state")), lambda e: F.concat(e["key"], F.lit("="), e["value"]))
+    return out.withColumn("state", F.array_join(said, ";"))
+
+
 def _pairs(spark: SparkSession, d: str) -> DataFrame:
     return adjacent_pairs(_t(spark, d, "customer").withColumnRenamed("c_custkey", "customer_no"), "customer_no", ["c_nationkey", "c_mktsegment"])
 
