@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import uuid
+from functools import lru_cache
 from urllib.parse import parse_qs, urlparse
 
 import pandas as pd
@@ -22,7 +23,8 @@ from rivulet.queries import _PAID, EVENT_TYPES, _hmac, _payments, _slugs, _t, qu
 from rivulet.sources import rest
 from rivulet.sources.geocoders import Service, one_by_one
 from rivulet.sources.tables import Tables
-from rivulet.streaming.incremental import follow
+from rivulet.sources.workbooks import xlsx
+from rivulet.streaming.incremental import follow, follow_service
 
 
 def _catalog(spark: SparkSession) -> Catalog:
@@ -456,18 +458,83 @@ def pages_combined(spark: SparkSession, d: str) -> DataFrame:
     return combine_pages([{"things": one, "": two}, {"things": two}])["things"]
 
 
-def stand_in_service(method: str, url: str, key: str, body: object = None) -> tuple[int, object]:
-    """A service of 250 things, in pages."""
-    asked = {k: int(v[0]) for k, v in parse_qs(urlparse(url).query).items()}
-    at = range(asked.get("offset", 0), min(250, asked.get("offset", 0) + asked["limit"]))
-    return 200, {"things": [{"id": str(i), "name": f"n{i}", "x": {"y": i}} for i in at], "meta": {"total": "250"}}
+@lru_cache(maxsize=2)
+def _things(file: str) -> list[dict]:
+    import pyarrow.parquet as pq
 
+    rows = pq.read_table(file, columns=["c_custkey", "c_name", "c_nationkey"]).sort_by("c_custkey").to_pylist()
+    return [{"id": str(r["c_custkey"]), "name": r["c_name"], "x": {"y": r["c_nationkey"]}, "updated": f"2024-01-01T{i // 3600 % 24:02}:{i // 60 % 60:02}:{i % 60:02}"} for i, r in enumerate(rows)]
 
-@query("""SELECT CAST(i AS VARCHAR) AS id, 'n' || i AS name, '{"y": ' || i || '}' AS x FROM range(250) r(i)""")
+
+def table_service(method: str, url: str, key: str, body: object = None) -> tuple[int, object]:
+    """Stands in for a service over the customer table. What it shows is told by the address: a number of rows, of which, in a
+    later state, each third has changed."""
+    asked = {k: v[0] for k, v in parse_qs(urlparse(url).query).items()}
+    rows = _things(asked["file"])[: int(asked.get("shown", 1 << 60))]
+    if "later" in asked:
+        rows = [r | {"name": "new", "updated": "2024-02-02T" + r["updated"][11:]} if int(r["id"]) % 3 == 0 else r for r in rows]
+    rows = [r for r in rows if r["updated"] > asked.get("filters[updated_after]", "")]
+    if "orders[updated]" in asked:
+        rows = sorted(rows, key=lambda r: r["updated"], reverse=True)
+    at = int(asked.get("offset", 0))
+    return 200, {"things": rows[at : at + int(asked["limit"])], "meta": {"total": str(len(rows))}}
+
+
+def _service_at(d: str, **state: object) -> dict[str, str]:
+    return {"url": rest.paged_url("http://service/api/things", file=f"{d}/customer.parquet", **state), "transport": "rivulet.plan_queries:table_service"}
+
+
+@query("""SELECT CAST(c_custkey AS VARCHAR) AS id, c_name AS name, '{"y": ' || c_nationkey || '}' AS x FROM customer""")
 def rest_pages(spark: SparkSession, d: str) -> DataFrame:
     """A paginated source, one partition a page."""
     spark.dataSource.register(rest.PagedSource)
-    return spark.read.format("paged_rest").options(url="http://service/api/things", transport="rivulet.plan_queries:stand_in_service").schema("id string, name string, x string").load()
+    return spark.read.format("paged_rest").options(**_service_at(d)).schema("id string, name string, x string").load()
+
+
+@query("SELECT CAST(c_custkey AS VARCHAR) AS id, c_name AS name FROM customer")
+def rest_growing(spark: SparkSession, d: str) -> DataFrame:
+    """A table that grows, followed as a stream in three goes, the last without news: each row once."""
+    c, name = _catalog(spark), uuid.uuid4().hex
+    for shown in (70, 1 << 40, 1 << 40):
+        follow_service(spark, _service_at(d, shown=shown), "id string, name string", c, "things", query=name).awaitTermination()
+    return c.read("things")
+
+
+@query("SELECT CAST(c_custkey AS VARCHAR) AS id, CASE WHEN c_custkey % 3 = 0 THEN 'new' ELSE c_name END AS name FROM customer")
+def rest_changed(spark: SparkSession, d: str) -> DataFrame:
+    """Rows by the time of their change: what changed comes again and is merged by id."""
+    c, name = _catalog(spark), uuid.uuid4().hex
+    for state in ({}, {"later": 1}):
+        follow_service(spark, _service_at(d, **state) | {"changed": "updated"}, "id string, name string, updated string", c, "things", ["id"], query=name).awaitTermination()
+    return c.read("things").select("id", "name")
+
+
+@query("""SELECT 'Nation ' || c_nationkey AS survey, 'p' || c_custkey || '@q.com' AS email, TIMESTAMP '1899-12-30' + INTERVAL 45000 DAY + INTERVAL (c_custkey % 100) DAY + INTERVAL 12 HOUR AS "timestamp", question, subquestion, answer FROM (
+  SELECT c_custkey, c_nationkey, 'Like' AS question, 'Tea' AS subquestion, c_mktsegment AS answer FROM customer UNION ALL SELECT c_custkey, c_nationkey, 'Like', 'Milk', CASE WHEN c_custkey % 2 = 0 THEN 'yes & no' END FROM customer UNION ALL SELECT c_custkey, c_nationkey, 'Number', NULL, CAST(c_custkey AS VARCHAR) FROM customer) WHERE answer IS NOT NULL""")
+def survey_workbooks(spark: SparkSession, d: str) -> DataFrame:
+    """A workbook for each nation, its columns in another order for every second one, written and read by tasks."""
+    at = f"{shared_dir(spark)}/books-{uuid.uuid4().hex}"
+
+    def book(rows: pd.DataFrame) -> pd.DataFrame:
+        from pyarrow import fs
+
+        n = int(rows["c_nationkey"].iloc[0])
+        turn = (lambda x: x[::-1]) if n % 2 else (lambda x: x)
+        # a blank question is the one before, so the two lines of the same question stand together
+        heads = [("When", None), ("Mail", None), ("Number", None)], [("Like", "Tea"), (None, "Milk")]
+        lines = [[q for q, _ in turn(heads[0]) + heads[1]], [s for _, s in turn(heads[0]) + heads[1]]]
+        for r in rows.itertuples(index=False):
+            lines.append([*turn([45000.5 + r.c_custkey % 100, f"p{r.c_custkey}@q.com", str(r.c_custkey)]), r.c_mktsegment, "yes & no" if r.c_custkey % 2 == 0 else None])
+        store, folder = fs.FileSystem.from_uri(at)
+        store.create_dir(folder)
+        with store.open_output_stream(f"{folder}/Nation {n}.xlsx") as out:
+            out.write(xlsx(lines))
+        return pd.DataFrame({"n": [n]})
+
+    made = _t(spark, d, "customer").select("c_custkey", "c_nationkey", "c_mktsegment").groupBy("c_nationkey").applyInPandas(book, "n int")
+    made.agg(F.sum("n")).collect()
+    read = surveys.read_files(spark, at)
+    return read.select(F.regexp_replace(file_stem(F.url_decode("filename")), "%20", " ").alias("survey"), "email", "timestamp", "question", "subquestion", "answer")
 
 
 @query(f"""SELECT ref_no, CASE WHEN ref_no % 5 = 0 AND ref_no % 100 < 80 THEN ref_no % 100 ELSE group_customer_no END AS customer_no, CASE WHEN ref_no % 5 = 0 AND ref_no % 100 < 80 THEN ref_no % 100 % 10 ELSE group_customer_no % 10 END AS house, CASE WHEN ref_no % 3 = 0 THEN ref_no + 1 END AS cust_memb_no, CASE WHEN month(cont_dt) < 10 THEN 'c' || month(cont_dt) END AS campaign_category_desc FROM ({_PAID})""")

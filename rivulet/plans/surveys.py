@@ -2,23 +2,19 @@
 
 from __future__ import annotations
 
-import csv
-import io
-import re
 import warnings
-import zipfile
 from collections.abc import Callable, Sequence
 from functools import reduce
-from xml.etree import ElementTree
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from rivulet.catalog import Catalog
 from rivulet.functions.text import anonymize, excel_time, file_stem, without_markup_spaces
 from rivulet.operators.asof import asof_join
 from rivulet.operators.upsert import upsert
+from rivulet.sources.workbooks import cells
 
 EMAIL = r"^[^@\s]+@[^@\s]+\.[^@\s]+$"
 #: Columns that a survey's readers don't get.
@@ -42,47 +38,36 @@ def find_column(df: DataFrame, score: Callable[[Column], Column], criterion: str
     return hits[0] if hits else None
 
 
-_MAIN = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
-
-
-def xlsx_rows(data: bytes) -> list[list[str | None]]:
-    """Rows of cell text of a workbook's first sheet, blanks None, all of one length: a zip of XML (ECMA-376)."""
-    with zipfile.ZipFile(io.BytesIO(data)) as z:
-        names = z.namelist()
-        texts = ["".join(t.text or "" for t in si.iter(f"{_MAIN}t")) for si in ElementTree.fromstring(z.read("xl/sharedStrings.xml"))] if "xl/sharedStrings.xml" in names else []
-        first = min((n for n in names if re.fullmatch(r"xl/worksheets/sheet\d+\.xml", n)), key=lambda n: int(re.findall(r"\d+", n)[0]))
-        sheet = ElementTree.fromstring(z.read(first))
-    rows: list[list[str | None]] = []
-    for row in sheet.iter(f"{_MAIN}row"):
-        cells: list[str | None] = []
-        for c in row.iter(f"{_MAIN}c"):
-            letters = re.match("[A-Z]+", c.get("r", ""))
-            at = reduce(lambda n, x: n * 26 + ord(x) - 64, letters[0], 0) - 1 if letters else len(cells)
-            cells += [None] * (at + 1 - len(cells))
-            value = c.findtext(f"{_MAIN}v")
-            if c.get("t") == "s" and value is not None:
-                value = texts[int(value)]
-            elif c.get("t") == "inlineStr":
-                value = "".join(t.text or "" for t in c.iter(f"{_MAIN}t"))
-            cells[at] = value if value else None
-        rows.append(cells)
-    width = max(map(len, rows), default=0)
-    return [r + [None] * (width - len(r)) for r in rows]
-
-
-def read_files(spark: SparkSession, folder: str) -> list[tuple[str, DataFrame]]:
-    """(path, answers) of the .xlsx and .csv files in a folder and those below it, in any store that Spark reads."""
-    found = []
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder).where(F.lower("path").rlike(r"\.(xlsx|csv)$"))
-    for r in files.select("path", "content").orderBy("path").toLocalIterator():  # one survey's sheet at a time
-        if r["path"].lower().endswith(".csv"):
-            rows = [[v or None for v in x] for x in csv.reader(io.StringIO(bytes(r["content"]).decode("utf-8-sig")))]
-            width = max(map(len, rows), default=0)
-            rows = [x + [None] * (width - len(x)) for x in rows]
-        else:
-            rows = xlsx_rows(bytes(r["content"]))
-        found.append((r["path"], read_sheet(spark, pd.DataFrame(rows, dtype="object"))))
-    return found
+def read_files(spark: SparkSession, folder: str) -> DataFrame:
+    """filename, email, timestamp, question, subquestion, answer of the sheets (.xlsx, .csv) in a folder and those below it."""
+    return answers(cells(spark, folder))
+
+
+def answers(sheets: DataFrame) -> DataFrame:
+    """Long answers of sheets' cells (filename, row, col, value): row 0 has the questions (blank: as the one before), row 1 the
+    sub-questions. Each sheet's e-mail and time columns are those (the first, of several) that hold most of them.
+
+    What a sheet's columns are is told by one row a column, joined back; a respondent's cells meet by file and row, so a large
+    file's rows are dealt to many tasks."""
+    sheets = sheets.withColumn("value", without_markup_spaces(F.col("value"))).where("value is not null and value <> ''")
+    body = sheets.where("row > 1")
+    number = F.col("value").try_cast("double")
+    found = body.groupBy("filename", "col").agg(F.count_if(F.col("value").rlike(EMAIL)).alias("mails"), F.count_if(number.between(40000, 50000)).alias("times"))
+    first = lambda n: F.max_by("col", F.when(F.col(n) > 0, F.struct(n, -F.col("col"))))
+    mail = found.groupBy("filename").agg(first("mails").alias("_mail"))
+    time = found.join(mail, "filename").where("_mail is null or col <> _mail").groupBy("filename", "_mail").agg(first("times").alias("_time"))
+    special = mail.join(time.select(F.col("filename").alias("_f"), "_time"), F.col("filename") == F.col("_f"), "left").drop("_f")
+
+    heads = sheets.where("row < 2").groupBy("filename", "col").agg(F.max(F.when(F.col("row") == 0, F.col("value"))).alias("_asked"), F.max(F.when(F.col("row") == 1, F.col("value"))).alias("subquestion"))
+    heads = found.select("filename", "col").join(heads, ["filename", "col"], "outer")
+    before = Window.partitionBy("filename").orderBy("col").rowsBetween(Window.unboundedPreceding, 0)  # a sheet's columns
+    heads = heads.select("filename", "col", F.last("_asked", ignorenulls=True).over(before).alias("question"), "subquestion")
+
+    row = Window.partitionBy("filename", "row")
+    of = lambda c: F.max(F.when(F.col("col") == F.col(c), F.col("value"))).over(row)
+    rows = body.join(special, "filename").withColumns({"email": of("_mail"), "_when": of("_time")})
+    rows = rows.where("(_mail is null or col <> _mail) and (_time is null or col <> _time)").join(heads, ["filename", "col"])
+    return rows.select("filename", "email", excel_time(F.col("_when")).alias("timestamp"), "question", "subquestion", F.col("value").alias("answer"))
 
 
 def read_sheet(spark: SparkSession, sheet: pd.DataFrame) -> DataFrame:
@@ -127,14 +112,18 @@ def number_question(rows: DataFrame, customers: DataFrame, share: float = 0.9) -
     return hit[0][0] if hit else None
 
 
-def survey_stream(files: Sequence[tuple[str, DataFrame]], emails: DataFrame, customers: DataFrame, keys: tuple[str, str], catalog: Catalog | None = None, name: str = "survey_stream") -> DataFrame:
-    """Answers of all files with hashed customers and no names; merged into the catalog's dataset if there is one.
+def survey_stream(files: DataFrame | Sequence[tuple[str, DataFrame]], emails: DataFrame, customers: DataFrame, keys: tuple[str, str], catalog: Catalog | None = None, name: str = "survey_stream") -> DataFrame:
+    """Answers of all files (one frame with filename, as of `read_files`, or a frame each) with hashed customers and no names; merged
+    into the catalog's dataset if there is one.
 
     Merged by customer, time, question and sub-question, and by survey, as two surveys may ask the same at one time.
     Respondents who are no known customers have no hash to be told apart by: a survey's file replaces all of them that it
     had before. Raises if an answer isn't told apart by e-mail, time, question and sub-question."""
-    parts = [df.withColumn("filename", F.lit(path)) for path, df in files]
-    rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts).withColumn("survey", file_stem(F.col("filename")))
+    if isinstance(files, DataFrame):
+        rows = files
+    else:
+        rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [df.withColumn("filename", F.lit(path)) for path, df in files])
+    rows = rows.withColumn("survey", file_stem(F.col("filename")))
     unique = ["email", "timestamp", "question", "subquestion"]
     if not rows.groupBy("survey", *unique).count().where("count > 1").isEmpty():
         raise ValueError("answers aren't unique by e-mail, time, question and sub-question")

@@ -5,6 +5,10 @@
 
 The service answers {name: [rows], meta: {total: n}}. Pages are read by tasks, each tried again on failure, so pages
 go as parallel as there are tasks. A transport can be named by option (module:function) to stand in for HTTP.
+
+As a stream (spark.readStream.format("paged_rest")) each micro-batch has what is new: rows beyond those read so far, for
+tables that only grow, or, with the option changed (a column), rows changed after the last time seen. How far the
+stream is, Spark keeps in the query's checkpoint folder, so a restart goes on there.
 """
 
 from __future__ import annotations
@@ -15,7 +19,7 @@ import urllib.parse
 import urllib.request
 from collections.abc import Callable, Iterable, Iterator, Sequence
 
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
 from pyspark.sql.types import StructType
 
 from rivulet.sources.resilient import resilient
@@ -75,21 +79,89 @@ class PagedReader(DataSourceReader):
         return [Page(*p) for p in pages]
 
     def read(self, partition: Page) -> Iterator[tuple]:
+        yield from map(self.text, self.rows(paged_url(self.url, limit=partition.limit, offset=partition.offset)))
+
+    def text(self, row: dict) -> tuple:
+        return tuple(_text(row.get(f)) for f in self.schema.names)
+
+    def rows(self, url: str) -> list[dict]:
+        """A page's rows; raises if there is no answer after all tries."""
         transport = transport_of(self.options.get("transport"))
-        url = paged_url(self.url, limit=partition.limit, offset=partition.offset)
         answer = resilient(lambda: transport("GET", url, self.key, None)[1], int(self.options.get("tries", 10)), float(self.options.get("pause", 10)))
         if answer is None:
             raise RuntimeError(f"no answer for {url}")
-        for row in answer.get(self.name) or []:
-            yield tuple(_text(row.get(f)) for f in self.schema.names)
+        return answer.get(self.name) or []
 
 
 def _text(x: object) -> str | None:
     return None if x is None else x if isinstance(x, str) else json.dumps(x)
 
 
+class Span(InputPartition):
+    """A page of the rows changed after one time and not after another."""
+
+    def __init__(self, offset: int, limit: int, after: str, until: str) -> None:
+        self.offset, self.limit, self.after, self.until = offset, limit, after, until
+
+
+class GrowingReader(DataSourceStreamReader):
+    """Rows in the order in which the service numbers them: an offset is how many there are."""
+
+    def __init__(self, schema: StructType, options: dict[str, str]) -> None:
+        self.pages = PagedReader(schema, options)
+        self.transport = transport_of(options.get("transport"))
+
+    def initialOffset(self) -> dict:
+        return {"rows": int(self.pages.options.get("offset", 0))}
+
+    def latestOffset(self) -> dict:
+        return {"rows": total(self.pages.url, self.pages.key, self.transport)}
+
+    def partitions(self, start: dict, end: dict) -> Sequence[InputPartition]:
+        return [Page(*p) for p in offsets(end["rows"], start["rows"])]
+
+    def read(self, partition: Page) -> Iterator[tuple]:
+        return self.pages.read(partition)
+
+    def commit(self, end: dict) -> None:
+        """Nothing is held for a batch."""
+
+
+class ChangedReader(GrowingReader):
+    """Rows by the time of their last change (text that sorts by time): an offset is the latest time seen. A row that changes again before it
+    is read comes with the batch of its new time."""
+
+    def __init__(self, schema: StructType, options: dict[str, str]) -> None:
+        super().__init__(schema, options)
+        self.column = options["changed"]
+
+    def initialOffset(self) -> dict:
+        return {"until": self.pages.options.get("since", "1900-01-01")}
+
+    def latestOffset(self) -> dict:
+        _, answer = self.transport("GET", paged_url(self.pages.url, limit=1, **{f"orders[{self.column}]": "DESC"}), self.pages.key, None)
+        rows = answer.get(self.pages.name) or []
+        return {"until": max([r[self.column] for r in rows if r.get(self.column)], default=self.initialOffset()["until"])}
+
+    def _after(self, time: str) -> str:
+        return paged_url(self.pages.url, **{"filters[updated_after]": time})
+
+    def partitions(self, start: dict, end: dict) -> Sequence[InputPartition]:
+        if start["until"] == end["until"]:
+            return []
+        length = total(self._after(start["until"]), self.pages.key, self.transport)
+        return [Span(*p, start["until"], end["until"]) for p in offsets(length)]
+
+    def read(self, partition: Span) -> Iterator[tuple]:
+        url = paged_url(self._after(partition.after), limit=partition.limit, offset=partition.offset)
+        for row in self.pages.rows(url):
+            if row.get(self.column) and partition.after < row[self.column] <= partition.until:
+                yield self.pages.text(row)
+
+
 class PagedSource(DataSource):
-    """Columns are strings; give them as the schema. Options: url, api_key, name, offset, max_len, tries, pause, transport."""
+    """Columns are strings; give them as the schema. Options: url, api_key, name, offset, max_len, tries, pause, transport; of a
+    stream also changed and since."""
 
     @classmethod
     def name(cls) -> str:
@@ -101,6 +173,10 @@ class PagedSource(DataSource):
     def reader(self, schema: StructType) -> DataSourceReader:
         return PagedReader(schema, dict(self.options))
 
+    def streamReader(self, schema: StructType) -> DataSourceStreamReader:
+        options = dict(self.options)
+        return (ChangedReader if options.get("changed") else GrowingReader)(schema, options)
+
 
 class Client:
     """Writing verbs. With dry_run nothing is sent and the request is returned."""

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,6 +12,7 @@ from pyspark.sql.types import StructType
 from rivulet.catalog import Catalog
 from rivulet.contracts import TIME
 from rivulet.durable import shared_dir
+from rivulet.sources.rest import PagedSource
 
 
 def follow(spark: SparkSession, path: str, schema: StructType, catalog: Catalog, out: str, build: Callable[[DataFrame], DataFrame] = lambda df: df, date_column: str = TIME, query: str | None = None) -> StreamingQuery:
@@ -30,6 +31,24 @@ def follow(spark: SparkSession, path: str, schema: StructType, catalog: Catalog,
     return source.writeStream.foreachBatch(write).option("checkpointLocation", f"{shared_dir(spark)}/streams/{name}").trigger(availableNow=True).start()
 
 
+def follow_service(spark: SparkSession, options: dict[str, str], schema: str, catalog: Catalog, out: str, keys: Sequence[str] = (), build: Callable[[DataFrame], DataFrame] = lambda df: df, query: str | None = None) -> StreamingQuery:
+    """Starts a query that brings the dataset out up to a paged service (options of `PagedSource`): what is new is added, each row
+    once, or merged by keys where rows change. How far it is stays in the shared folder, by the query's name."""
+    name = query or out
+    spark.dataSource.register(PagedSource)
+
+    def write(batch: DataFrame, number: int) -> None:
+        if not batch.isEmpty():
+            rows = build(batch)
+            if keys:
+                catalog.merge(out, rows, keys)
+            else:
+                catalog.append(out, rows, tag=f"{name}-{number}")
+
+    source = spark.readStream.format("paged_rest").options(**options).schema(schema).load()
+    return source.writeStream.foreachBatch(write).option("checkpointLocation", f"{shared_dir(spark)}/streams/{name}").trigger(availableNow=True).start()
+
+
 def late_counts(rows: DataFrame, by: str, time: str = TIME, lateness: str = "1 day", span: str = "1 day") -> DataFrame:
     """Rows per key and span of a streaming frame; a span is final once the watermark has passed it."""
     stamped = rows.withColumn(time, F.col(time).cast("timestamp")).withWatermark(time, lateness)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from datetime import datetime, timedelta
 
 import pandas as pd
@@ -10,7 +11,10 @@ from pyspark.sql import functions as F
 
 from rivulet.catalog import Catalog
 from rivulet.plans import addresses, census, contributions, duplicates, email, marketing, surveys, unified
+from rivulet.operators.region import Region
 from rivulet.sources import rest
+from rivulet.sources.geocoders import Service, one_by_one
+from rivulet.sources.workbooks import xlsx, xlsx_cells
 from rivulet.sources.resilient import resilient
 from rivulet.sources.tables import Tables
 from rivulet.streaming.incremental import follow, late_counts
@@ -99,16 +103,18 @@ def test_changed_emails(spark):
         (1, 1, 10, t(0), "Y", "N", "old@a.com", "x"), (1, 1, 10, t(5), "Y", "N", "new@a.com", "me"),  # changed in place
         (2, 2, 20, t(0), "Y", "N", "one@b.com", "x"), (2, 2, 20, t(6), "N", "N", "one@b.com", "you"), (2, 2, 21, t(6), "Y", "N", "two@b.com", "you"),  # replaced
         (3, 3, 30, t(0), "Y", "N", "same@c.com", "x"),
+        (4, 4, 40, t(0), "Y", "N", "a@x", "x"), (4, 4, 40, t(1), "Y", "N", None, "x"), (4, 4, 40, t(2), "Y", "N", "b@x", "she"),  # a null between
+        (None, None, 50, t(0), "Y", "N", "n1@x", "x"), (None, None, 51, t(2), "Y", "N", "n2@x", "x"),  # nobody's
     ], s)
     out = marketing.changed_emails(df, D0, t(100))
-    assert rows(out, "from", "to", "last_updated_by") == [("old@a.com", "new@a.com", "me"), ("one@b.com", "two@b.com", "you")]
+    assert rows(out, "from", "to", "last_updated_by") == [("a@x", "b@x", "she"), ("old@a.com", "new@a.com", "me"), ("one@b.com", "two@b.com", "you")]
     assert marketing.changed_emails(df, t(50), t(100)).count() == 0
 
 
 def test_contributions(spark):
     c = spark.createDataFrame([(1, 10, 100, 1, 5.0, D0, D0), (2, 10, 100, 1, 6.0, D0 + timedelta(30), D0 + timedelta(30)), (3, 11, 110, 1, 0.0, D0, D0)], "ref_no int, customer_no int, group_customer_no int, campaign_no int, cont_amt double, create_dt timestamp_ntz, cont_dt timestamp_ntz")
     links = spark.createDataFrame([(1, 77)], "ref_no int, cust_memb_no int")
-    credit = spark.createDataFrame([(2, 12)], "ref_no int, creditee_no int")
+    credit = spark.createDataFrame([(2, 12), (3, 13)], "ref_no int, creditee_no int")  # 13 has no household
     members = spark.createDataFrame([(77, 1, "L", "Active"), (78, 1, "L", "Cancelled"), (79, 1, "L", None)], "cust_memb_no int, campaign_no int, memb_level string, current_status_desc string")
     pays, m = contributions.load(c, links, credit, members, spark.createDataFrame([(1, "cat")], "campaign_no int, campaign_category_desc string"), spark.createDataFrame([("L", "Level")], "memb_level string, level_desc string"), spark.createDataFrame([(12, 100)], "customer_no int, group_customer_no int"))
     assert rows(pays, "ref_no", "customer_no", "group_customer_no", "cust_memb_no") == [(1, 10, 100, 77), (2, 12, 100, None), (3, 11, 110, None)]
@@ -144,14 +150,11 @@ def test_addresses(spark, tmp_path):
     assert out.count() == 3
     first = out.where("n = 1").first()
     assert (first["parsed.unit"], first["parsed.road"], first["parsed.po_box"]) == ("apt 4", "main st", None)
-    asked = []
-    geo = addresses.geocode_function({"one": lambda q: asked.append(q), "two": lambda q: {"lat": 1.0, "lon": 2.0, "tract": None} if "main" in q else None})
-    got = geo(pd.DataFrame([{"street1": "12 main st", "street2": "12 main st", "city": "town", "state": None, "postal_code": None, "country": None}, dict.fromkeys(addresses.COLUMNS)]))
-    assert got["service"].tolist()[0] == "two" and got["lat"].isna().tolist() == [False, True] and asked == ["12 main st, town", "12 main st 12 main st, town"]
-    found = addresses.geocode(out, {"two": lambda q: {"lat": 1.0, "lon": 2.0, "formatted_address": "12 Main St, Apt 4, Town, MA 02139, USA", "location_type": "ROOFTOP"}}, catalog)
-    assert found.count() == 3 and found.where("n = 2").first()["lat"] is None
+    service = Service("two", one_by_one(lambda q: {"lat": 1.0, "lon": 2.0, "formatted_address": "12 Main St, Apt 4, Town, MA 02139, USA", "location_type": "ROOFTOP"}))
+    found = addresses.geocode(out, [service], catalog)
+    assert found.count() == 3 and found.where("n = 2").first()["lat"] is None and found.where("n = 1").first()["query"] == "12 main st, town, ma, 02139, usa"
     square = [(0.0, 0.0), (0.0, 9.0), (9.0, 9.0), (9.0, 0.0)]
-    census_ = addresses.reverse_census(found, lambda a, b: f"t{a:g}", square, catalog)
+    census_ = addresses.reverse_census(found, lambda a, b: f"t{a:g}", Region([square]), catalog)
     assert [r["tract"] for r in census_.orderBy("n").collect()] == ["t1", None, "t1"]
     n = addresses.normalised(found).where("n = 1").first()
     assert (n["street1_cleaned"], n["street2_cleaned"], n["city_cleaned"], n["state_cleaned"], n["postal_code_cleaned"], n["country_cleaned"]) == ("12 Main St", "Apt 4", "Town", "MA", "02139", "USA")
@@ -163,8 +166,8 @@ def test_addresses(spark, tmp_path):
     h = addresses.history(log, base)
     assert rows(h.where("address_no = 1"), "event_subtype", "city") == [("Change", "there"), ("Creation", "here"), ("Current", "town")]
     scores = spark.createDataFrame([(1, D0, 5)], "group_customer_no int, score_dt timestamp_ntz, pro_score int")
-    b = addresses.build(h.withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz")), [], scores, ["pro_score"])
-    assert b.where("pro_score = 5").count() == 3
+    b = addresses.build(h.withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz")), [], scores, {"pro_score": "address_pro_score_level"})
+    assert b.where("address_pro_score_level = 5").count() == 3
     assert addresses.address_stream(catalog, b, ["address_no", "city"], 1).columns == ["address_no", "city"]
 
 
@@ -189,12 +192,12 @@ def test_census(spark):
     data = census.data(census.download(spark, [(2010, "sf1"), (2010, "acs5/profile")], ["01", "99"], ask), known)
     assert data.where("dataset <> 'sf1' and type <> 'income'").count() == 0
     got = {r["feature"]: (r["value"], r["moe"]) for r in census.age_features(data, BANDS).collect()}
-    assert got == {f"age {k}": (v, 0.0) for k, v in {"Under 5 years": 2.0, "5 to 9 years": 2.0, "18 and 19 years": 4.0, "20 to 24 years": 6.0, "85 years and over": 2.0}.items()}
-    assert {r["feature"]: r["moe"] for r in census.income_features(data).collect()} == {"income Median household": 10.0, "income Mean household": 10.0}
+    assert got == {k: (v, 0.0) for k, v in {"Under 5 years": 2.0, "5 to 9 years": 2.0, "18 and 19 years": 4.0, "20 to 24 years": 6.0, "85 years and over": 2.0}.items()}
+    assert {r["feature"]: r["moe"] for r in census.income_features(data).collect()} == {"Median Income": 10.0, "Mean Income": 10.0}
     wide = census.features(data, BANDS)
-    assert wide.count() == 1 and {"race_white", "race_other", "sex_male", "income_median_household", "income_mean_household"} <= set(wide.columns)
+    assert wide.count() == 1 and {f"address_{x}_level" for x in ("white", "other", "male", "median_income", "mean_income")} <= set(wide.columns)
     out = census.address_census(spark.createDataFrame([("g01", D0), ("zz", D0)], "GEOID string, timestamp timestamp_ntz"), wide).collect()
-    people = [c for c in wide.columns if c.startswith(census.FAMILIES)]
+    people = [c for c in wide.columns if re.search(census.PEOPLE, c)]
     assert sum(out[0][c] for c in people if out[0][c]) == pytest.approx(3) and {r["GEOID"] for r in out} == {"g01", "zz"}
 
 
@@ -211,7 +214,7 @@ def test_surveys(spark, tmp_path):
     assert surveys.survey_stream([("/x/Tea.xlsx", df)], emails, customers, ("a", "b"), catalog).count() == 18
     with pytest.raises(ValueError):
         surveys.survey_stream([("/x/Tea.xlsx", df.unionByName(df))], emails, customers, ("a", "b"))
-    assert surveys.survey_cross(out, "^like$", "nothing").columns[:3] == ["customer_hash", "group_customer_hash.1", "timestamp.1"]
+    assert surveys.survey_cross(out, "^Like$", "nothing").columns[:3] == ["customer_hash", "group_customer_hash.1", "timestamp.1"]
     table = customers.withColumn("amount", F.lit(2.0))
     more = surveys.append_features(out, [customers, table], ("a", "b"), [F.sum("amount").alias("total")])
     assert more.columns[-1] == "total" and "group_customer_no" not in more.columns and more.where("total = 2").count() == 18
@@ -364,8 +367,31 @@ def test_survey_files(spark, tmp_path):
         z.writestr("xl/worksheets/sheet1.xml", xml)
     (tmp_path / "Two.csv").write_text("When,Mail,Like,\n,,Tea,Milk\n45001,p2@q.com,maybe,\n")
     (tmp_path / "no.txt").write_text("x")
-    found = {p.rsplit("/", 1)[-1]: rows(df, "email", "question", "subquestion", "answer") for p, df in surveys.read_files(spark, str(tmp_path))}
-    assert found == {"One.xlsx": [("p1@q.com", "Like", "Milk", "no"), ("p1@q.com", "Like", "Tea", "yes")], "Two.csv": [("p2@q.com", "Like", "Tea", "maybe")]}
+    found = surveys.read_files(spark, str(tmp_path)).withColumn("filename", F.substring_index("filename", "/", -1))
+    assert rows(found, "filename", "email", "question", "subquestion", "answer") == [("One.xlsx", "p1@q.com", "Like", "Milk", "no"), ("One.xlsx", "p1@q.com", "Like", "Tea", "yes"), ("Two.csv", "p2@q.com", "Like", "Tea", "maybe")]
+    assert rows(found.select("timestamp").distinct(), "timestamp") == [(datetime(2023, 3, 15, 12),), (datetime(2023, 3, 16),)]
+
+
+def test_answers_as_one_sheet_at_a_time(spark):
+    """Sheets without addresses or times, with two of them, with blank lines and markup."""
+    lines = {
+        "a": [["Q", "Mail", None], ["s", None, "t"], ["1", "p@q.com", "r@q.com"], [None, "p2@q.com", None], ["x xml:space=\"preserve\">y", None, "z"]],
+        "b": [["Only", "Numbers"], [None, None], ["41000", "1"], ["2", "3"]],
+        "c": [["Head"], [None]],
+        "d": [["T", "U", "V"], [None, None, None], ["45000", "45001", "a@b.co"], ["45002", "5", "c@d.co"]],
+    }
+    cell_rows = [(name, i, j, v) for name, sheet in lines.items() for i, row in enumerate(sheet) for j, v in enumerate(row) if v is not None]
+    got = surveys.answers(spark.createDataFrame(cell_rows, "filename string, row long, col int, value string"))
+    for name, sheet in lines.items():
+        one = surveys.read_sheet(spark, pd.DataFrame(sheet, dtype="object"))
+        names = ("email", "timestamp", "question", "subquestion", "answer")
+        assert rows(got.where(F.col("filename") == name), *names) == rows(one, *names), name
+
+
+def test_workbooks_are_read_as_written():
+    table = [["a & b", 1, None, "<x>", 2.5], [], [None, " lead", "ünï"], [*[None] * 30, "far"]]
+    got = list(xlsx_cells(xlsx(table)))
+    assert got == [(i, j, str(v)) for i, r in enumerate(table) for j, v in enumerate(r) if v is not None]
 
 
 def test_households(spark):
