@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import json
 import uuid
-from functools import lru_cache
+from functools import lru_cache, reduce
 from urllib.parse import parse_qs, urlparse
 
 import pandas as pd
@@ -130,7 +130,7 @@ def _service(spark: SparkSession, d: str) -> dict[str, DataFrame]:
         "logs": of("view").select(*common, text("event_id % 5").alias("campaignid"), text("event_id % 4").alias("messageid")),
         "linkData": of("click").select(*opened),
         "mppLinkData": of("add_to_cart").select(*opened),
-        "bounceLogs": of("login").select(*common, F.expr("CASE WHEN event_id % 2 = 0 THEN '' ELSE 'x' END").alias("email")),
+        "bounceLogs": of("signup").select(*common, F.expr("CASE WHEN event_id % 2 = 0 THEN '' ELSE 'x' END").alias("email")),
         "contactLists": of("purchase").select(text("event_id").alias("id"), at.alias("updated_timestamp"), text("event_id % 3 + 1").alias("status"), text("user_id").alias("contact"), text("event_id % 5").alias("campaign"), text("event_id % 4").alias("message"), text("event_id % 7").alias("list")),
         **names,
     }
@@ -139,7 +139,7 @@ def _service(spark: SparkSession, d: str) -> dict[str, DataFrame]:
 _EVENTS = """WITH e AS (SELECT *, date_trunc('second', ts) AS sec FROM events),
 s AS (SELECT sec AS "timestamp", user_id AS subscriberid, event_id % 5 AS campaignid, event_id % 4 AS messageid, CAST(NULL AS BIGINT) AS linkid, CAST(NULL AS BIGINT) AS listid, 'Send' AS event_subtype FROM e WHERE event_type = 'view'
   UNION ALL SELECT sec, user_id, event_id % 5, event_id % 4, event_id % 6, NULL, CASE WHEN event_id % 2 = 1 THEN 'Open' ELSE 'Click' END FROM e WHERE event_type IN ('click', 'add_to_cart') AND event_id % 4 <> 0
-  UNION ALL SELECT sec, user_id, NULL, NULL, NULL, NULL, 'Soft Bounce' FROM e WHERE event_type = 'login' AND event_id % 2 <> 0
+  UNION ALL SELECT sec, user_id, NULL, NULL, NULL, NULL, 'Soft Bounce' FROM e WHERE event_type = 'signup' AND event_id % 2 <> 0
   UNION ALL SELECT sec, user_id, event_id % 5, event_id % 4, NULL, event_id % 7, CASE WHEN event_id % 3 = 1 THEN 'Unsubscribe' ELSE 'Hard Bounce' END FROM e WHERE event_type = 'purchase' AND event_id % 3 <> 0)"""
 
 
@@ -386,6 +386,83 @@ def address_census(spark: SparkSession, d: str) -> DataFrame:
     return census.address_census(places, table).drop("GEOID", "timestamp")
 
 
+def _address_log(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """A log of changes of cities and flags, and the addresses as they are; several changes of one address fall on a day."""
+    e = _t(spark, d, "events").where("event_type in ('click', 'view')")
+    log = e.select(F.col("user_id").cast("string").alias("alternate_key"), F.col("ts").alias("date"), F.concat(F.lit("u"), F.col("event_id") % 3).alias("userid"), F.lit("Updated").alias("action"), F.expr("CASE event_type WHEN 'click' THEN 'city' ELSE 'primary_ind' END").alias("column_updated"), F.expr("CASE event_type WHEN 'click' THEN cast(event_id as string) WHEN 'view' THEN substring('YN', cast(event_id % 2 as int) + 1, 1) END").alias("new_value"), F.expr("CASE event_type WHEN 'click' THEN concat('o', event_id) ELSE 'N' END").alias("old_value"))
+    none = {c: F.lit(None).cast("string") for c in addresses.COLUMNS}
+    base = _t(spark, d, "customer").select(F.col("c_custkey").alias("address_no"), (F.col("c_custkey") * 3).alias("group_customer_no"), F.lit("2023-01-01").cast("timestamp_ntz").alias("create_dt"), F.lit("m").alias("created_by"), F.lit("2025-01-01").cast("timestamp_ntz").alias("last_update_dt"), F.lit("n").alias("last_updated_by"), F.lit("Y").alias("primary_ind")).withColumns(none | {"city": F.lit("now")})
+    return log, base
+
+
+_HISTORY = """l AS (SELECT user_id AS id, ts, 'u' || event_id % 3 AS who, CASE event_type WHEN 'click' THEN 'city' ELSE 'flag' END AS col, CASE event_type WHEN 'click' THEN CAST(event_id AS VARCHAR) ELSE substr('YN', event_id % 2 + 1, 1) END AS nv, CASE event_type WHEN 'click' THEN 'o' || event_id ELSE 'N' END AS ov FROM events WHERE event_type IN ('click', 'view')),
+h AS (SELECT id, arg_min(ov, (ts, ov)) FILTER (col = 'city') AS city, arg_min(ov, (ts, ov)) FILTER (col = 'flag') AS flag FROM l GROUP BY id),
+s AS (SELECT c_custkey AS id, TIMESTAMP '2023-01-01' AS ts, 'm' AS who, 0 AS r, city, flag FROM customer LEFT JOIN h ON c_custkey = id UNION ALL SELECT id, ts, who, 1, max(nv) FILTER (col = 'city'), max(nv) FILTER (col = 'flag') FROM l GROUP BY id, ts, who, ov UNION ALL SELECT c_custkey, TIMESTAMP '2025-01-01', 'n', 2, 'now', 'Y' FROM customer),
+g AS (SELECT id, ts, who, r, coalesce(last_value(city IGNORE NULLS) OVER b, first_value(city IGNORE NULLS) OVER a) AS city, coalesce(last_value(flag IGNORE NULLS) OVER b, first_value(flag IGNORE NULLS) OVER a) AS flag FROM s
+  WINDOW b AS (PARTITION BY id ORDER BY r, ts, who ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), a AS (PARTITION BY id ORDER BY r, ts, who ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)),
+k AS (SELECT *, CAST(ts AS DATE) AS d FROM g), n AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY id, d ORDER BY ts DESC, r DESC) AS n FROM k) WHERE n = 1),
+y AS (SELECT n.id AS address_no, d AS "timestamp", CASE r WHEN 0 THEN 'Creation' WHEN 1 THEN 'Change' ELSE 'Current' END AS event_subtype, who AS last_updated_by, c_custkey * 3 AS group_customer_no, city, flag AS primary_ind FROM n LEFT JOIN customer ON n.id = c_custkey)"""
+
+
+@query(f"WITH {_HISTORY} SELECT * FROM y")
+def address_history(spark: SparkSession, d: str) -> DataFrame:
+    """One row per address and day: the last state of the day."""
+    return addresses.history(*_address_log(spark, d)).select("address_no", "timestamp", "event_subtype", "last_updated_by", "group_customer_no", "city", "primary_ind")
+
+
+@query(f"""WITH {_HISTORY} SELECT address_no, "timestamp", group_customer_no, city, event_subtype, 'Address' AS event_type FROM y WHERE primary_ind = 'Y' AND group_customer_no >= 200""")
+def address_stream(spark: SparkSession, d: str) -> DataFrame:
+    """The stream of primary addresses of real households, read from where it was written."""
+    rows = addresses.history(*_address_log(spark, d)).withColumn("event_type", F.lit("Address"))
+    return addresses.address_stream(_catalog(spark), rows, ["address_no", "timestamp", "group_customer_no", "city", "event_subtype", "event_type"])
+
+
+@query("""WITH p AS (SELECT event_id, event_id * 37 % 500 + 0.25::DOUBLE AS lon, event_id % 300 + 0.5::DOUBLE AS lat, CASE WHEN event_id % 4 = 0 THEN 't' || event_id END AS tract FROM events)
+SELECT event_id, lat, lon, CASE WHEN tract IS NOT NULL THEN tract WHEN lon < 100 OR lon > 300 OR lat < 200 OR lat > 250 OR CAST(floor(lat) AS BIGINT) % 7 = 0 THEN NULL ELSE 'tract ' || CAST(floor(lat) AS BIGINT) || ' ' || CAST(floor(lon) AS BIGINT) END AS tract FROM p""")
+def reverse_census(spark: SparkSession, d: str) -> DataFrame:
+    """Tracts by coordinates where they are missing and lie in the country; the service fails for some."""
+
+    def ask(lat: float, lon: float) -> str | None:
+        if int(lat) % 7 == 0:
+            raise OSError
+        return f"tract {int(lat)} {int(lon)}"
+
+    points = _t(spark, d, "events").select("event_id", (F.col("event_id") % 300 + F.lit(0.5)).alias("lat"), (F.col("event_id") * 37 % 500 + F.lit(0.25)).alias("lon"), F.expr("CASE WHEN event_id % 4 = 0 THEN concat('t', event_id) END").alias("tract"))
+    island = Region(_corners()[2:])
+    return addresses.reverse_census(points, ask, island, _catalog(spark), tasks=4).select("event_id", "lat", "lon", "tract")
+
+
+@query("""SELECT kind, id, said FROM (SELECT 'logs' AS kind, CAST(c_custkey AS VARCHAR) AS id, c_name AS said FROM customer UNION ALL SELECT 'contacts', CAST(c_custkey AS VARCHAR), CASE WHEN c_custkey % 3 = 0 THEN 'new' ELSE c_name END FROM customer UNION ALL SELECT 'campaigns', CAST(n_nationkey AS VARCHAR), n_name || ' later' FROM nation
+  UNION ALL SELECT 'contactLists', CAST(r_regionkey AS VARCHAR), r_name FROM region WHERE r_regionkey > 1)""")
+def marketing_update(spark: SparkSession, d: str) -> DataFrame:
+    """The local copy of the service brought up to date twice: whole tables, one replaced, changed contacts, logs beyond the greatest id."""
+    c, n, r = _t(spark, d, "customer"), _t(spark, d, "nation"), _t(spark, d, "region")
+    text = lambda k: F.col(k).cast("string").alias("id")
+
+    def service(later: bool):
+        def load(table: str, offset: int = 0, updated_after: str | None = None, field: str | None = None) -> DataFrame:
+            if table == "logs":
+                seen = c.where(F.lit(later) | (F.col("c_custkey") < 50))
+                return seen.where(F.col("c_custkey") > offset).select(text("c_custkey"), F.col("c_name").alias("said"))
+            if table == "contacts":
+                fresh = c.where((F.col("c_custkey") % 3 == 0) | F.lit(updated_after is None))
+                said = F.when((F.col("c_custkey") % 3 == 0) & F.lit(later), "new").otherwise(F.col("c_name"))
+                return fresh.select(text("c_custkey"), said.alias("said"), F.lit("2024-02-01" if later else "2024-01-01").alias("updated_timestamp"))
+            if table == "campaigns":
+                return n.select(text("n_nationkey"), (F.concat("n_name", F.lit(" later")) if later else F.col("n_name")).alias("said"))
+            if table == "contactLists":
+                return r.where(F.col("r_regionkey") > (1 if later else -1)).select(text("r_regionkey"), F.col("r_name").alias("said"))
+            return r.limit(0).select(text("r_regionkey"))
+
+        return load
+
+    kept = _catalog(spark)
+    for later in (False, True):
+        marketing.update(kept, service(later))
+    parts = [kept.read(k).select(F.lit(k).alias("kind"), "id", "said") for k in ("logs", "contacts", "campaigns", "contactLists")]
+    return reduce(lambda a, b: a.unionByName(b), parts)
+
+
 @query("""WITH a AS (SELECT event_id AS address_no, user_id AS group_customer_no, ts AS "timestamp", CASE WHEN event_id % 3 = 0 THEN 'apt ' || event_id END AS street2, CASE WHEN event_id % 2 = 0 THEN 'Y' END AS primary_ind FROM events WHERE event_type = 'click'),
 s AS (SELECT user_id, ts, event_id, value FROM events WHERE event_type = 'purchase' AND user_id % 4 <> 0), t AS (SELECT DISTINCT group_customer_no AS h, "timestamp" AS near FROM a),
 b AS (SELECT s.event_id, t.near FROM s ASOF JOIN t ON s.user_id = t.h AND s.ts >= t.near), f AS (SELECT s.event_id, t.near FROM s ASOF JOIN t ON s.user_id = t.h AND s.ts <= t.near),

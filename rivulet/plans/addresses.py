@@ -92,10 +92,11 @@ Parser = Callable[[list[str]], list[dict[str, str]]]
 
 
 def history(audit: DataFrame, base: DataFrame, key: str = "address_no", columns: Sequence[str] = (*COLUMNS, "primary_ind")) -> DataFrame:
-    """One row per address and day: its last state of the day."""
-    rows = reconstruct(audit, base, key, {c: c for c in columns}).withColumn("timestamp", F.to_date("timestamp"))
-    order = F.when(F.col("event_subtype") == "Creation", 0).when(F.col("event_subtype") == "Change", 1).otherwise(2)
-    return debounce(rows.withColumn("_o", order), [key, "timestamp"], ["_o", "last_updated_by"]).drop("_o")
+    """One row per address and day: its last state of the day by time, of the states that the address goes through."""
+    rows = reconstruct(audit, base, key, {c: c for c in columns}).withColumnRenamed("timestamp", "_time")
+    rows = rows.withColumn("timestamp", F.to_date("_time"))
+    last = debounce(rows, [key, "timestamp"], ["_time"])  # a state for each time
+    return last.select(key, "timestamp", *(c for c in rows.columns if c not in (key, "timestamp", "_time")))
 
 
 def raw_parse(parser: Parser) -> Callable[[pd.DataFrame], pd.DataFrame]:
@@ -277,7 +278,9 @@ def build(addresses: DataFrame, enriched: Sequence[DataFrame], scores: DataFrame
 
 
 def address_stream(catalog: Catalog, built: DataFrame, slim: Sequence[str], least_household: int = 200) -> DataFrame:
-    """Writes the primary addresses of real households, whole and with the slim columns only."""
-    rows = built.where((F.col("primary_ind") == "Y") & (F.col(ENTITY) >= least_household))
-    catalog.overwrite("address_stream_full", rows)
-    return catalog.overwrite("address_stream", catalog.read("address_stream_full").select(*slim))
+    """Writes all rows, and of the primary addresses (and score rows) of real households the slim columns."""
+    catalog.overwrite("address_stream_full", built)
+    rows = catalog.read("address_stream_full")
+    scored = F.coalesce(F.col("event_subtype") == "iWave Score", F.lit(False)) if "event_subtype" in rows.columns else F.lit(False)
+    kept = rows.where((F.coalesce(F.col("primary_ind") == "Y", F.lit(False)) | scored) & (F.col(ENTITY) >= least_household))
+    return catalog.overwrite("address_stream", kept.select(*slim))

@@ -52,12 +52,12 @@ def timed(rows: DataFrame, days: int = 30) -> DataFrame:
     return rows.join(first, "source_no", "left").withColumn("timestamp", at).drop("_first")
 
 
-def addressed(rows: DataFrame, emails: DataFrame) -> DataFrame:
+def addressed(rows: DataFrame, emails: DataFrame, spread: bool = False) -> DataFrame:
     """rows with eaddress: the given one, else the household's primary e-mail at the time, else the customer's; lower
-    case and trimmed; and domain, what follows the last @."""
+    case and trimmed; and domain, what follows the last @. spread: rows without a household, or of one, may be too many for a task."""
     primary = emails.where("primary_ind = 'Y'")
-    rows = asof_join(rows, primary, ["customer_no"], "timestamp", "timestamp", ["address"], tie=["address"], suffix="_customer")
-    rows = asof_join(rows, primary, ["group_customer_no"], "timestamp", "timestamp", ["address"], tie=["address"], suffix="_house")
+    rows = asof_join(rows, primary, ["customer_no"], "timestamp", "timestamp", ["address"], tie=["address"], suffix="_customer", spread=spread)
+    rows = asof_join(rows, primary, ["group_customer_no"], "timestamp", "timestamp", ["address"], tie=["address"], suffix="_house", spread=spread)
     text = F.trim(F.lower(F.coalesce("eaddress", "address_house", "address_customer")))
     return rows.withColumn("eaddress", text).withColumn("domain", F.regexp_replace("eaddress", ".+@", "")).drop("address_house", "address_customer")
 

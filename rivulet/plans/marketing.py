@@ -29,7 +29,7 @@ def _mail(c: str) -> F.Column:
 def store(catalog: Catalog, name: str, rows: DataFrame, overwrite: bool = False) -> DataFrame:
     """Nested columns spread, one row per id (the first), none without; replaced or merged by id."""
     flat = widen_all(rows).where(F.col("id").isNotNull())
-    flat = debounce(flat, ["id"], [c for c in flat.columns if c != "id"], keep="first")
+    flat = debounce(flat, ["id"], [c for c in flat.columns if c != "id"] or ["id"], keep="first")
     return catalog.overwrite(name, flat) if overwrite else catalog.merge(name, flat, ["id"])
 
 

@@ -24,7 +24,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 SQL: dict[str, str] = {}
 
-EVENT_TYPES = ("add_to_cart", "click", "login", "purchase", "view")
+EVENT_TYPES = ("click", "error", "purchase", "signup", "view")
 PRIORITIES = ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")
 SEGMENTS = ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")
 
@@ -257,8 +257,7 @@ def audit_reconstruct(spark: SparkSession, d: str) -> DataFrame:
     return reconstruct(log, base, "id", {"click": "click", "view": "view"})
 
 
-_LOGGED = ("click", "error", "purchase", "signup", "view")
-_each = lambda template: ", ".join(template.format(n=n) for n in _LOGGED)
+_each = lambda template: ", ".join(template.format(n=n) for n in EVENT_TYPES)
 
 
 @query(f"""WITH log AS (SELECT user_id AS id, ts, event_type AS col, CAST(CAST(round(value * 100) AS BIGINT) AS VARCHAR) AS nv, CAST(event_id AS VARCHAR) AS ov FROM events),
@@ -425,10 +424,16 @@ def nearest_year(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _mails(spark: SparkSession, d: str) -> DataFrame:
+    return email.data(*_mail_tables(spark, d)[:2], "2024-01-05", "2024-01-12")
+
+
+def _mail_tables(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Promotions, responses and customers' e-mails."""
     e = _t(spark, d, "events")
     promos = e.where("event_type = 'view' and user_id % 4 > 0").select(F.lit(3).alias("media_type"), F.col("user_id").alias("customer_no"), (F.col("user_id") % 40).alias("group_customer_no"), F.col("ts").alias("promote_dt"), (F.col("event_id") % 10).alias("appeal_no"), (F.col("event_id") % 7).alias("campaign_no"), (F.col("user_id") * 3 + F.dayofmonth("ts") % 3).alias("source_no"), F.expr("CASE WHEN event_id % 10 = 0 THEN concat(' User', user_id, '@X.org ') END").alias("eaddress"), F.col("event_id").alias("promo_id"))
     replies = e.where("event_type = 'click'").select((F.col("user_id") % 40).alias("group_customer_no"), F.col("user_id").alias("customer_no"), F.expr("cast(event_id % 5 + 1 as int)").alias("response"), F.col("ts").alias("response_dt"), (F.col("user_id") * 3 + F.dayofmonth("ts") % 3).alias("source_no"), F.col("event_id").alias("reply_id"))
-    return email.data(promos, replies, "2024-01-05", "2024-01-12")
+    known = e.where("event_type = 'signup'").select(F.col("user_id").alias("customer_no"), (F.col("user_id") % 40).alias("group_customer_no"), F.col("ts").alias("timestamp"), F.concat(F.lit("C"), "event_id", F.lit("@y.com")).alias("address"), F.expr("CASE WHEN event_id % 3 > 0 THEN 'Y' ELSE 'N' END").alias("primary_ind"))
+    return promos, replies, known
 
 
 _MAILS = """
@@ -458,15 +463,36 @@ def email_timed(spark: SparkSession, d: str) -> DataFrame:
     return email.timed(_mails(spark, d), 3).select("promo_id", "reply_id", "timestamp")
 
 
+@query(f"""{_MAILS},
+a AS (SELECT promo_id AS id, source_no, eaddress, promote_dt, CAST(NULL AS TIMESTAMP) AS response_dt, CAST(NULL AS BIGINT) AS response FROM p WHERE source_no IN (SELECT source_no FROM f)
+  UNION ALL SELECT reply_id, r.source_no, x.eaddress, NULL, response_dt, response FROM r LEFT JOIN x ON r.source_no = x.source_no WHERE r.source_no IN (SELECT source_no FROM f)),
+fr AS (SELECT source_no, min(response_dt) AS first_dt FROM a GROUP BY source_no),
+t AS (SELECT a.*, user_id, user_id % 40 AS house, coalesce(response_dt, CASE WHEN abs(epoch_us(first_dt) - epoch_us(promote_dt)) < 30 * 86400000000 THEN first_dt END, promote_dt) AS ts FROM a JOIN fr ON a.source_no = fr.source_no JOIN events ON event_id = id),
+e AS (SELECT * FROM t WHERE ts >= TIMESTAMP '2024-01-05' AND ts < TIMESTAMP '2024-01-12'),
+m AS (SELECT user_id, user_id % 40 AS house, ts, 'C' || event_id || '@y.com' AS address, row_number() OVER (PARTITION BY user_id, ts ORDER BY 'C' || event_id || '@y.com' DESC) AS n, row_number() OVER (PARTITION BY user_id % 40, ts ORDER BY 'C' || event_id || '@y.com' DESC) AS k FROM events WHERE event_type = 'signup' AND event_id % 3 > 0)
+SELECT id, source_no, e.ts AS "timestamp", CASE response WHEN 1 THEN 'Open' WHEN 2 THEN 'Click' WHEN 3 THEN 'Unsubscribe' WHEN 4 THEN 'Soft Bounce' WHEN 5 THEN 'Other' ELSE 'Send' END AS event_subtype, 'Email' AS event_type, epoch_us(e.ts) AS timestamp_id,
+  lower(trim(coalesce(eaddress, h.address, c.address))) AS eaddress, regexp_replace(lower(trim(coalesce(eaddress, h.address, c.address))), '.+@', '') AS domain, CASE WHEN source_no % 2 = 0 THEN 's' || source_no END AS source_desc, CASE WHEN source_no % 3 = 0 THEN 'x' || source_no END AS extraction_desc
+FROM e ASOF LEFT JOIN (SELECT * FROM m WHERE n = 1) c ON e.user_id = c.user_id AND e.ts >= c.ts ASOF LEFT JOIN (SELECT * FROM m WHERE k = 1) h ON e.house = h.house AND e.ts >= h.ts""")
+def email_base(spark: SparkSession, d: str) -> DataFrame:
+    """Promotions and responses of a week with subtypes, times, addresses and descriptions; households' e-mails by ranges."""
+    promos, replies, known = _mail_tables(spark, d)
+    codes = spark.createDataFrame([(1, "Opened"), (2, "clicked thru"), (3, "Unsubscribed"), (4, "soft bounce"), (5, "Other")], "response int, event_subtype string")
+    sources = promos.select("source_no").unionByName(replies.select("source_no")).distinct()
+    told = sources.where("source_no % 2 = 0").select("source_no", F.concat(F.lit("s"), "source_no").alias("source_desc"), F.lit(None).cast("timestamp_ntz").alias("acq_dt"))
+    drawn = sources.where("source_no % 3 = 0").select("source_no", F.concat(F.lit("x"), "source_no").alias("extraction_desc"))
+    out = email.base(promos, replies, codes, told, drawn, known, "2024-01-05", "2024-01-12")
+    return out.select(F.coalesce("promo_id", "reply_id").alias("id"), "source_no", "timestamp", "event_subtype", "event_type", "timestamp_id", "eaddress", "domain", "source_desc", "extraction_desc")
+
+
 @query("""WITH e AS (SELECT event_id, user_id, user_id % 40 AS house, ts, CASE WHEN event_id % 10 = 0 THEN ' User' || user_id || '@X.org ' END AS own FROM events WHERE event_type = 'view'),
-m AS (SELECT user_id, user_id % 40 AS house, ts, 'C' || event_id || '@y.com' AS address, row_number() OVER (PARTITION BY user_id, ts ORDER BY 'C' || event_id || '@y.com' DESC) AS n, row_number() OVER (PARTITION BY user_id % 40, ts ORDER BY 'C' || event_id || '@y.com' DESC) AS k FROM events WHERE event_type = 'login' AND event_id % 3 > 0)
+m AS (SELECT user_id, user_id % 40 AS house, ts, 'C' || event_id || '@y.com' AS address, row_number() OVER (PARTITION BY user_id, ts ORDER BY 'C' || event_id || '@y.com' DESC) AS n, row_number() OVER (PARTITION BY user_id % 40, ts ORDER BY 'C' || event_id || '@y.com' DESC) AS k FROM events WHERE event_type = 'signup' AND event_id % 3 > 0)
 SELECT e.event_id, lower(trim(coalesce(own, h.address, c.address))) AS eaddress, regexp_replace(lower(trim(coalesce(own, h.address, c.address))), '.+@', '') AS domain FROM e
 ASOF LEFT JOIN (SELECT * FROM m WHERE n = 1) c ON e.user_id = c.user_id AND e.ts >= c.ts ASOF LEFT JOIN (SELECT * FROM m WHERE k = 1) h ON e.house = h.house AND e.ts >= h.ts""")
 def email_addressed(spark: SparkSession, d: str) -> DataFrame:
     e = _t(spark, d, "events")
     house = (F.col("user_id") % 40).alias("group_customer_no")
     sends = e.where("event_type = 'view'").select("event_id", F.col("user_id").alias("customer_no"), house, F.col("ts").alias("timestamp"), F.expr("CASE WHEN event_id % 10 = 0 THEN concat(' User', user_id, '@X.org ') END").alias("eaddress"))
-    known = e.where("event_type = 'login'").select(F.col("user_id").alias("customer_no"), house, F.col("ts").alias("timestamp"), F.concat(F.lit("C"), "event_id", F.lit("@y.com")).alias("address"), F.expr("CASE WHEN event_id % 3 > 0 THEN 'Y' ELSE 'N' END").alias("primary_ind"))
+    known = _mail_tables(spark, d)[2]
     return email.addressed(sends, known).select("event_id", "eaddress", "domain")
 
 
