@@ -432,7 +432,7 @@ def reverse_census(spark: SparkSession, d: str) -> DataFrame:
     return addresses.reverse_census(points, ask, island, _catalog(spark), tasks=4).select("event_id", "lat", "lon", "tract")
 
 
-@query("""SELECT kind, id, said FROM (SELECT 'logs' AS kind, CAST(c_custkey AS VARCHAR) AS id, c_name AS said FROM customer UNION ALL SELECT 'contacts', CAST(c_custkey AS VARCHAR), CASE WHEN c_custkey % 3 = 0 THEN 'new' ELSE c_name END FROM customer UNION ALL SELECT 'campaigns', CAST(n_nationkey AS VARCHAR), n_name || ' later' FROM nation
+@query("""SELECT kind, id, said FROM (SELECT 'logs' AS kind, CAST(c_custkey + 1 AS VARCHAR) AS id, c_name AS said FROM customer UNION ALL SELECT 'contacts', CAST(c_custkey AS VARCHAR), CASE WHEN c_custkey % 3 = 0 THEN 'new' ELSE c_name END FROM customer UNION ALL SELECT 'campaigns', CAST(n_nationkey AS VARCHAR), n_name || ' later' FROM nation
   UNION ALL SELECT 'contactLists', CAST(r_regionkey AS VARCHAR), r_name FROM region WHERE r_regionkey > 1)""")
 def marketing_update(spark: SparkSession, d: str) -> DataFrame:
     """The local copy of the service brought up to date twice: whole tables, one replaced, changed contacts, logs beyond the greatest id."""
@@ -443,7 +443,7 @@ def marketing_update(spark: SparkSession, d: str) -> DataFrame:
         def load(table: str, offset: int = 0, updated_after: str | None = None, field: str | None = None) -> DataFrame:
             if table == "logs":
                 seen = c.where(F.lit(later) | (F.col("c_custkey") < 50))
-                return seen.where(F.col("c_custkey") > offset).select(text("c_custkey"), F.col("c_name").alias("said"))
+                return seen.where(F.col("c_custkey") + 1 > offset).select((F.col("c_custkey") + 1).cast("string").alias("id"), F.col("c_name").alias("said"))
             if table == "contacts":
                 fresh = c.where((F.col("c_custkey") % 3 == 0) | F.lit(updated_after is None))
                 said = F.when((F.col("c_custkey") % 3 == 0) & F.lit(later), "new").otherwise(F.col("c_name"))
