@@ -416,11 +416,12 @@ def pivot_share(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query("""SELECT o_orderkey, y, label FROM (SELECT o_orderkey, y, label, row_number() OVER (PARTITION BY o_orderkey ORDER BY abs(year(o_orderdate) - y), y) AS n
-FROM orders, (VALUES (1994, 'a'), (1997, 'b'), (1999, 'c')) AS r(y, label)) WHERE n = 1""")
+FROM orders LEFT JOIN (SELECT k, y + k AS y, label FROM (VALUES (1994, 'a'), (1997, 'b'), (1999, 'c')) AS r(y, label), range(4) AS t(k)) ON k = o_custkey % 5) WHERE n = 1""")
 def nearest_year(spark: SparkSession, d: str) -> DataFrame:
-    o = _t(spark, d, "orders").select("o_orderkey", F.year("o_orderdate").alias("year"), F.lit(1).alias("one"))
-    r = spark.createDataFrame([(1, 1994, "a"), (1, 1997, "b"), (1, 1999, "c")], "one int, y int, label string")
-    return nearest_number(o, r, ["one"], "year", "y", ["y", "label"]).select("o_orderkey", "y", "label")
+    """Each fifth customer has no years to choose from."""
+    o = _t(spark, d, "orders").select("o_orderkey", F.year("o_orderdate").alias("year"), (F.col("o_custkey") % 5).alias("k"))
+    r = spark.createDataFrame([(k, y + k, label) for k in range(4) for y, label in ((1994, "a"), (1997, "b"), (1999, "c"))], "k long, y int, label string")
+    return nearest_number(o, r, ["k"], "year", "y", ["y", "label"]).select("o_orderkey", "y", "label")
 
 
 def _mails(spark: SparkSession, d: str) -> DataFrame:
