@@ -9,8 +9,9 @@ the kind's threshold is the lowest calibrated score at which held-out precision
 The trees are fitted on the driver on a few hundred rows that a rule writes (`templates`), whose features the same
 expressions compute; there are no labelled spans in the tables. Scoring is a CASE expression over a document's
 own array of candidates: no shuffle, no user functions. A place in a text is found from the lengths of what a pattern
-matches and of what lies between. Patterns are possessive and start only where a run starts, so long texts take
-linear time.
+matches and of what lies between, by running sums in chunks; spans within base spans are found along the sorted order of
+both; what lies beside a candidate, and what stays between redacted spans, is read from pieces of the text. Patterns are possessive and
+start only where a run starts. So time is linear in a text's length and in its number of spans.
 
 Defined results
 - null text: as empty, no spans. Repeated rows, equal and null ids: each row is read alone.
@@ -22,6 +23,7 @@ from __future__ import annotations
 
 import functools
 import random
+from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 
@@ -33,6 +35,8 @@ from rivulet.llm.common import whole_text
 
 KINDS = ("email", "ip", "card", "phone")
 PRECISION = 0.98
+#: Values in a chunk of a running sum; code points in a piece of a text.
+CHUNK, PIECE = 128, 1024
 
 _LOCAL = "[A-Za-z0-9._%+-]"
 #: Base patterns: what a plain leftmost search for the pattern in the comment finds.
@@ -115,20 +119,75 @@ def _valid(kind: str, m: Column) -> Column:
     return F.lit(True)
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body of a value that is computed once: what a lambda refers to is computed anew for each element."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def _running(values: Column, merge: Callable[[Column, Column], Column]) -> Column:
+    """array<int> of values (not below 0) merged up to each place, by sum or maximum. Arrays grow within chunks of `CHUNK` values
+    and along the chunks alone, so that time is linear for any number a text can have."""
+
+    def along(v: Column) -> Column:
+        start = F.struct(F.lit(0).alias("last"), F.array().cast("array<int>").alias("all"))
+        step = lambda acc, x: F.struct(merge(acc["last"], x).alias("last"), F.array_append(acc["all"], merge(acc["last"], x)).alias("all"))
+        return F.aggregate(v, start, step, lambda acc: acc["all"])
+
+    def chunked(v: Column) -> Column:
+        many = F.transform(F.sequence(F.lit(0), F.floor((F.size(v) - 1) / CHUNK).cast("int")), lambda i: along(F.slice(v, i * CHUNK + F.lit(1), F.lit(CHUNK))))
+        return _let(many, lambda w: F.flatten(F.zip_with(w, _shifted(along(F.transform(w, lambda c: F.element_at(c, -1)))), lambda c, before: F.transform(c, lambda x: merge(before, x)))))
+
+    return _let(values, lambda v: F.when(F.size(v) > CHUNK, chunked(v)).otherwise(along(v)))
+
+
+def _shifted(running: Column) -> Column:
+    """Running values before each place: 0 first, the last one gone."""
+    return _let(running, lambda r: F.concat(F.array(F.lit(0)), F.slice(r, F.lit(1), F.greatest(F.size(r) - 1, F.lit(0)))))
+
+
 def _places(text: Column, pattern: str) -> Column:
     """array<struct<s,e,m>> of a pattern's matches: start, end, match."""
     matches, gaps = F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.split(text, pattern, -1)
-    pairs = F.zip_with(matches, F.slice(gaps, F.lit(1), F.size(matches)), lambda m, g: F.struct(m.alias("m"), F.length(g).alias("g")))
-    empty = F.array().cast("array<struct<s:int,e:int,m:string>>")
-    return F.aggregate(
-        pairs,
-        F.struct(F.lit(0).alias("at"), empty.alias("found")),
-        lambda acc, x: F.struct(
-            (acc["at"] + x["g"] + F.length(x["m"])).alias("at"),
-            F.concat(acc["found"], F.array(F.struct((acc["at"] + x["g"]).alias("s"), (acc["at"] + x["g"] + F.length(x["m"])).alias("e"), x["m"].alias("m")))).alias("found"),
-        ),
-        lambda acc: acc["found"],
-    )
+
+    def placed(pairs: Column) -> Column:
+        ends = _running(F.transform(pairs, lambda x: F.length(x["g"]) + F.length(x["m"])), lambda a, b: a + b)
+        return F.zip_with(pairs, ends, lambda x, e: F.struct((e - F.length(x["m"])).alias("s"), e.alias("e"), x["m"].alias("m")))
+
+    # what follows the last match has no match of its own
+    pairs = F.filter(F.zip_with(matches, gaps, lambda m, g: F.struct(m.alias("m"), g.alias("g"))), lambda x: x["m"].isNotNull())
+    return _let(pairs, placed)
+
+
+def _distinct(places: Column) -> Column:
+    """Places in order, each once."""
+    return _let(F.sort_array(places), lambda v: F.filter(v, lambda x, i: (i == 0) | (F.get(v, i - 1) != x)))
+
+
+def _outside(places: Column, base: Column) -> Column:
+    """The places that no span of base contains: of all base spans that start no later, the furthest end falls short."""
+    ofbase = F.transform(base, lambda b: F.struct(b["s"].alias("s"), F.lit(0).alias("c"), b["e"].alias("e"), F.lit(None).cast("string").alias("m")))
+
+    def own(p: Column) -> Column:
+        return F.transform(p, lambda c: F.struct(c["s"].alias("s"), F.lit(1).alias("c"), c["e"].alias("e"), c["m"].alias("m")))
+
+    def judged(both: Column) -> Column:
+        reach = _running(F.transform(both, lambda x: F.when(x["c"] == 0, x["e"]).otherwise(F.lit(0))), lambda a, b: F.greatest(a, b))
+        left = F.filter(F.zip_with(both, reach, lambda x, r: F.struct(x.alias("x"), r.alias("r"))), lambda y: (y["x"]["c"] == 1) & (y["r"] < y["x"]["e"]))
+        return F.transform(left, lambda y: F.struct(y["x"]["s"].alias("s"), y["x"]["e"].alias("e"), y["x"]["m"].alias("m")))
+
+    return _let(places, lambda p: F.when((F.size(p) > 0) & (F.size(base) > 0), _let(F.sort_array(F.concat(ofbase, own(p))), judged)).otherwise(p))
+
+
+def _pieces(text: Column) -> Column:
+    """The text in pieces of `PIECE` code points, so that a place is reached without a walk from the text's start."""
+    return F.regexp_extract_all(text, F.lit(f"(?s).{{1,{PIECE}}}"), F.lit(0))
+
+
+def _between(pieces: Column, start: Column, end: Column) -> Column:
+    """The text from start to end (exclusive), read from the pieces it lies in; '' where it is empty."""
+    first = F.floor(start / PIECE).cast("int")
+    part = F.slice(pieces, first + F.lit(1), F.floor(end / PIECE).cast("int") - first + F.lit(1))
+    return F.when(end > start, F.substring(F.array_join(part, ""), start % PIECE + F.lit(1), end - start)).otherwise(F.lit(""))
 
 
 def _none() -> Column:
@@ -139,10 +198,10 @@ def _none() -> Column:
 FEATURES = ("digits", "groups", "marks", "plus", "paren", "luhn", "octets", "sized", "word_before", "word_after", "cue", "denial", "ascii", "top", "same")
 
 
-def _features(kind: str, text: Column, c: Column) -> Column:
+def _features(kind: str, pieces: Column, c: Column) -> Column:
     m = c["m"]
-    before = F.substring(text, F.greatest(c["s"] - F.lit(31), F.lit(1)), F.least(c["s"], F.lit(32)))
-    after = F.substring(text, c["e"] + F.lit(1), F.lit(1))
+    before = _between(pieces, F.greatest(c["s"] - F.lit(32), F.lit(0)), c["s"])
+    after = _between(pieces, c["e"], c["e"] + F.lit(1))
     d = _digits(m)
     n = F.length(d)
     flag = lambda x: x.cast("int")
@@ -283,7 +342,7 @@ def templates(n: int = 90, seed: int = 2) -> list[tuple[str, str, int]]:
 
 def _candidates(kind: str, text: Column) -> Column:
     found = [_places(text, p) for p in LOOSE[kind]]
-    return F.array_distinct(F.concat(*found))
+    return _distinct(F.concat(*found))
 
 
 _fitted: dict[str, Ensemble] = {}
@@ -302,7 +361,7 @@ def _fit(spark: SparkSession) -> dict[str, Ensemble]:
     out = {}
     for kind in KINDS:
         x = rows.where(F.col("kind") == kind).select("i", "text", "label", F.explode(_candidates(kind, F.col("text"))).alias("c"))
-        found = x.select("i", "label", _features(kind, F.col("text"), F.col("c")).alias("f")).orderBy("i").collect()
+        found = x.select("i", "label", _features(kind, _pieces(F.col("text")), F.col("c")).alias("f")).orderBy("i").collect()
         order = np.random.default_rng(3).permutation(len(found))
         out[kind] = boosted(np.array([tuple(found[k]["f"]) for k in order], np.float64), np.array([found[k]["label"] for k in order], np.float64))
     return out
@@ -318,10 +377,13 @@ def with_spans(df: DataFrame, text: str, models: dict[str, Ensemble] | None = No
     df = df.withColumn("_base", F.concat(*base))
 
     def added(i: int, kind: str) -> Column:
-        outside = F.filter(_candidates(kind, t), lambda c: ~F.exists("_base", lambda b: (b["s"] <= c["s"]) & (c["e"] <= b["e"])))
-        scored = F.transform(outside, lambda c: F.struct(c["s"].alias("s"), c["e"].alias("e"), _features(kind, t, c).alias("f")))
-        taken = F.filter(scored, lambda c: models[kind].column(c["f"]) >= models[kind].threshold)
-        return F.when(t.rlike(NEEDED[kind]), F.transform(taken, functools.partial(_kinded, i))).otherwise(F.array().cast("array<struct<k:int,s:int,e:int>>"))
+        def judged(outside: Column) -> Column:
+            scored = _let(_pieces(t), lambda p: F.transform(outside, lambda c: F.struct(c["s"].alias("s"), c["e"].alias("e"), _features(kind, p, c).alias("f"))))
+            taken = F.filter(scored, lambda c: models[kind].column(c["f"]) >= models[kind].threshold)
+            return F.when(F.size(outside) > 0, F.transform(taken, functools.partial(_kinded, i))).otherwise(F.array().cast("array<struct<k:int,s:int,e:int>>"))
+
+        taken = _let(_outside(_candidates(kind, t), F.col("_base")), judged)
+        return F.when(t.rlike(NEEDED[kind]), taken).otherwise(F.array().cast("array<struct<k:int,s:int,e:int>>"))
 
     df = df.select(*names, "_base", *(added(i, k).alias(f"_a{i}") for i, k in enumerate(KINDS)))
     spans = F.sort_array(F.concat("_base", *(f"_a{i}" for i in range(len(KINDS)))))
@@ -357,18 +419,21 @@ def redacted(text: Column, spans: Column) -> Column:
     """text with each span replaced by its kind in brackets; spans that overlap become one, of the first one's kind."""
     name = lambda k: F.element_at(F.array(*(F.lit(f"[{x.upper()}]") for x in KINDS)), k + 1)
     order = F.sort_array(F.transform(spans, lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"), x["k"].alias("k"))))
-    return F.aggregate(
-        order,
-        F.struct(F.lit("").alias("out"), F.lit(0).alias("at")),
-        lambda acc, x: F.when(x["s"] >= acc["at"], F.struct(F.concat(acc["out"], F.substring(text, acc["at"] + F.lit(1), x["s"] - acc["at"]), name(x["k"])).alias("out"), x["e"].alias("at"))).otherwise(F.struct(acc["out"].alias("out"), F.greatest(acc["at"], x["e"]).alias("at"))),
-        lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + F.lit(1), F.length(text))),
-    )
+
+    def parts(pieces: Column, v: Column, reach: Column) -> Column:
+        """What is written for each span, if it starts no earlier than all before it end, and what follows the last."""
+        each = F.zip_with(v, _shifted(reach), lambda x, at: F.when(x["s"] >= at, F.concat(_between(pieces, at, x["s"]), name(x["k"]))).otherwise(F.lit("")))
+        return F.array_append(each, _between(pieces, F.element_at(reach, -1), F.length(text)))
+
+    ends = lambda v: _running(F.transform(v, lambda x: x["e"]), lambda a, b: F.greatest(a, b))
+    written = _let(_pieces(text), lambda p: _let(order, lambda v: _let(ends(v), lambda r: F.array_join(parts(p, v, r), ""))))
+    return F.when(F.size(spans) > 0, written).otherwise(text)
 
 
 def redact(docs: DataFrame, text_col: str = "text", length_col: str | None = "n_chars") -> DataFrame:
     """docs with the text's spans redacted and its length, where docs have that column, as it now is. A null text stays."""
     rows = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("row"), whole_text(docs[text_col]).alias("text"))
-    rows = with_spans(rows, "text").withColumn("text", F.when(F.size("_spans") > 0, redacted(F.col("text"), F.col("_spans"))).otherwise(F.col("text")))
+    rows = with_spans(rows, "text").withColumn("text", redacted(F.col("text"), F.col("_spans")))
     old = F.col(f"row.`{text_col}`")
     new = {text_col: F.when(old.isNotNull(), F.col("text")).alias(text_col)}
     if length_col in docs.columns:
