@@ -17,8 +17,8 @@ The window over sources orders one row per source, the only part that isn't deal
 Defined results
 - null text: 0 words; such documents are taken in whole copies, the rest by rank like others, at 0 words.
 - null source: a source of its own, last in order. Null preference: 1.
-- random numbers depend on seed, id and size alone, so reruns agree, and repeated rows share their rank: all or
-  none of them are taken. Rows that tie at the cut are all taken.
+- random numbers depend on seed, id and size alone, so reruns agree, and repeated rows share their rank. Where the cut falls
+  among rows of one rank, as many of them are taken as bring the source nearest to its target; which of them, the table's layout says.
 - a source of size 0 has target 0. Empty table: empty result.
 - only the named columns are read; others can't clash.
 """
@@ -85,7 +85,7 @@ def _renamed(df: DataFrame, *names: str) -> DataFrame:
 
 def plan(rows: DataFrame, weights: tuple[float, ...] = (1, 2, 3), most: int = 3) -> DataFrame:
     """Per source and preference: source, pref, source_size, target, whole (certain copies), p (chance of one
-    more), cut (log rank up to which one more is taken; null: none)."""
+    more), cut (log rank up to which one more is taken; null: none), some (how many of the rows at the cut; null: all)."""
     classes = rows.groupBy("source", "pref").agg(F.sum("size").alias("class_size"))
     sources = classes.groupBy("source").agg(F.sum("class_size").alias("source_size"))
     place = F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())) - 1
@@ -115,15 +115,15 @@ def plan(rows: DataFrame, weights: tuple[float, ...] = (1, 2, 3), most: int = 3)
     sums = sums.join(b, _same(sums, b, "source")).drop("_source").where("before <= budget and before + words > budget")
     edge = _renamed(sums.select("source", "bucket", "before", "budget"), "source", "bucket")
     inside = ranked.join(edge, _same(ranked, edge, "source", "bucket")).drop("_source", "_bucket")
-    # equal ranks are one step: repeated rows are taken together
-    steps = inside.groupBy("source", "rank").agg(F.sum("size").alias("words"), F.max("before").alias("before"), F.max("budget").alias("budget"), F.max("bucket").alias("bucket"))
-    so_far = F.col("before") + F.sum("words").over(Window.partitionBy("source").orderBy("rank"))
-    steps = steps.withColumn("half", so_far - F.col("words") / 2)
-    cuts = steps.groupBy("source").agg(F.max(F.when(F.col("half") <= F.col("budget"), F.col("rank"))).alias("last"), (F.max("bucket") / PER_UNIT).alias("edge"))
+    # equal ranks (repeated rows) are one step, of which a part may be taken
+    steps = inside.groupBy("source", "rank").agg(F.sum("size").alias("words"), F.count("*").alias("n"), F.max("before").alias("before"), F.max("budget").alias("budget"), F.max("bucket").alias("bucket"))
+    steps = steps.withColumn("before", F.col("before") + F.sum("words").over(Window.partitionBy("source").orderBy("rank")) - F.col("words"))
+    steps = steps.withColumn("some", _nearest_count())
+    cuts = steps.groupBy("source").agg(F.max(F.when(F.col("some") > 0, F.struct("rank", F.when(F.col("some") < F.col("n"), F.col("some")).alias("some")))).alias("last"), (F.max("bucket") / PER_UNIT).alias("edge"))
     # none in the edge bucket: what lies below it is taken
-    cuts = cuts.select("source", F.coalesce("last", F.col("edge") - 1e-12).alias("cut"))
+    cuts = cuts.select("source", F.coalesce("last.rank", F.col("edge") - 1e-12).alias("cut"), "last.some")
     full = ranked.groupBy("source").agg(F.sum("size").alias("words"), F.max("rank").alias("top"))
-    full = full.join(b, _same(full, b, "source")).where("words <= budget").select("source", F.col("top").alias("cut"))
+    full = full.join(b, _same(full, b, "source")).where("words <= budget").select("source", F.col("top").alias("cut"), F.lit(None).cast("long").alias("some"))
     cuts = _renamed(cuts.unionByName(full), "source")
     return classes.join(cuts, _same(classes, cuts, "source"), "left").drop("_source", "class_size")
 
@@ -135,11 +135,38 @@ def ranks(rows: DataFrame, classes: DataFrame) -> DataFrame:
     return df.withColumn("rank", F.when(F.col("p") > 0, _odds(df)))
 
 
+def _nearest_count() -> Column:
+    """How many of the n rows of a step are taken: all whose half of words lies within the budget."""
+    left, n = F.col("budget") - F.col("before"), F.col("n")
+    size = F.col("words") / n
+    fits = lambda j: j * size - size / 2 <= left
+    about = F.floor(left / size + 0.5).cast("long")
+    j = F.when(fits(about + 1), about + 1).when(fits(about), about).otherwise(about - 1)
+    return F.when(F.col("words") > 0, F.greatest(F.lit(0), F.least(n, j))).otherwise(F.when(left >= 0, n).otherwise(F.lit(0))).cast("long")
+
+
 def chosen(rows: DataFrame, made: DataFrame) -> DataFrame:
-    """rows with copies: the certain ones and the sampled one."""
+    """rows with copies: the certain ones and the sampled one. made: a stored plan."""
     df = ranks(rows, made)
     more = F.coalesce(F.col("rank") <= F.col("cut"), F.lit(False)).cast("long")
-    return df.withColumn("copies", F.col("whole") + more)
+    if made.where(F.col("some").isNotNull()).isEmpty():
+        return df.withColumn("copies", F.col("whole") + more)
+    tied = F.coalesce((F.col("rank") == F.col("cut")) & F.col("some").isNotNull(), F.lit(False))
+    others = df.where(~tied).withColumn("copies", F.col("whole") + more)
+    return others.unionByName(_numbered(df.where(tied)).withColumn("copies", F.col("whole") + (F.col("_number") <= F.col("some")).cast("long")).drop("_number"))
+
+
+def _numbered(rows: DataFrame) -> DataFrame:
+    """rows, stored, with _number from 1 in each source: places within a partition after those of the partitions before, so
+    that no task holds more than a partition, however many rows share a rank."""
+    dealt = rows.withColumns({"_part": F.spark_partition_id(), "_at": F.monotonically_increasing_id()})
+    dealt = stored(dealt, "mix-tied")
+    counts = dealt.groupBy("source", "_part").agg(F.count("*").alias("_n"))
+    before = F.sum("_n").over(Window.partitionBy("source").orderBy("_part")) - F.col("_n")
+    counts = counts.select(F.col("source").alias("_source"), F.col("_part").alias("__part"), before.alias("_before"))
+    df = dealt.join(counts, _same(dealt, counts, "source", "_part")).drop("_source", "__part")
+    place = F.row_number().over(Window.partitionBy("source", "_part").orderBy("_at"))
+    return df.withColumn("_number", F.col("_before") + place).drop("_part", "_at", "_before")
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[float, ...] = (1, 2, 3), most: int = 3, seed: int = 20240607, preference=alike) -> DataFrame:

@@ -110,7 +110,7 @@ o AS (SELECT *, CASE WHEN source_size > 0 THEN least(CAST(source_size * 3 AS DOU
 p AS (SELECT *, CASE WHEN abs(raw - round(raw)) < 1e-9 THEN round(raw) ELSE raw END AS copies FROM o),
 q AS (SELECT *, CAST(floor(copies) AS BIGINT) AS whole, copies - floor(copies) AS chance, target - floor(copies) * source_size AS budget FROM p),
 j AS (SELECT r.doc_id, r.size, r.source, q.source_size, q.target, q.whole, q.chance, q.budget, CASE WHEN q.chance > 0 THEN ln(r.u / (1 - r.u)) - ln(q.chance / (1 - q.chance)) END AS rank FROM r JOIN q ON r.source IS NOT DISTINCT FROM q.source),
-h AS (SELECT *, sum(size) OVER (PARTITION BY source, chance > 0 ORDER BY rank RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - sum(size) OVER (PARTITION BY source, rank) / 2 AS half FROM j)
+h AS (SELECT *, sum(size) OVER (PARTITION BY source, chance > 0 ORDER BY rank ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - size / 2 AS half FROM j)
 SELECT doc_id, size, source_size, target, CAST(size * copies AS BIGINT) AS taken, CAST(copies AS BIGINT) AS copies, source
 FROM (SELECT *, whole + CASE WHEN chance > 0 AND half <= budget THEN 1 ELSE 0 END AS copies FROM h)
 """,
