@@ -2,9 +2,11 @@
 
 Two generative models of hashed words and word pairs are counted: one of the raw text (all documents), one of the
 target (labelled documents of quality 1). A document's log importance weight is the sum over its features of the log
-of target over raw probability. Gumbel noise is added to it and the k largest are the sample (Gumbel top-k: k draws
-without repetition in proportion to the weights). k is the number of documents whose weight passes the point
-that best separates the labelled documents of quality 1 and 0, each weighed without its own counts.
+of target over raw probability. Features of one text lean on each other, so weights are tempered: a text counts as
+`TEMPERED` features at most, and the sum of a longer one is scaled to those. Gumbel noise is added to it and the k largest are
+the sample (Gumbel top-k: k draws without repetition in proportion to the weights). k is asked for as a share of the rows;
+without one, it is the number of documents whose weight passes the point that best separates the labelled documents of
+quality 1 and 0, each weighed without its own counts.
 
 The raw model covers all documents; the target model and the separating point use a bounded sample of labelled
 documents, `LABELLED` at most, the smallest by a hash of their id, which is broadcast under that bound. Counts
@@ -15,7 +17,7 @@ Defined results
 - null text: as empty; no features, so log weight 0. Null id: never labelled.
 - several labels of an id: the lowest quality counts; of several rows of a labelled id, the lowest weight does. Null labels are left out.
 - noise depends on seed, id and text alone, so reruns agree; repeated rows get the same verdict. Ties at the k-th
-  largest are all kept. Without labels of both kinds all is kept. Empty table: empty result.
+  largest are all kept. Without labels of both kinds all is kept, unless a share is asked for. Empty table: empty result.
 - `keep` returns docs' own columns whatever their names.
 """
 
@@ -36,6 +38,8 @@ BUCKETS = 1 << 14
 MIXED = 0.25
 #: Labelled documents used at most.
 LABELLED = 20_000
+#: Features that a text counts as at most: the larger, the less the draw matters beside the weights.
+TEMPERED = 96
 #: What losing all documents of quality 1 costs against keeping all of quality 0.
 LOSS = 10
 _PAIR = np.uint64(0x9E3779B97F4A7C15)
@@ -94,6 +98,11 @@ def log_ratio(target: np.ndarray, total: float, share: np.ndarray) -> np.ndarray
     return np.log((1 - MIXED) * target / total + MIXED * share) - np.log(share) if total > 0 else np.zeros(len(share))
 
 
+def tempered(total: float, n: int) -> float:
+    """The log weight of a text of n features, whose log ratios add up to total."""
+    return float(total) * min(1.0, TEMPERED / max(n, 1))
+
+
 def weighed(rows: DataFrame, model: tuple[np.ndarray, np.ndarray], held: bool = False) -> DataFrame:
     """rows (with text as binary) and log_weight; the text goes. held: rows have a quality, and held_weight is added,
     the weight by a target model without the document's own counts."""
@@ -112,10 +121,10 @@ def weighed(rows: DataFrame, model: tuple[np.ndarray, np.ndarray], held: bool =
             quality = b.column("quality").to_pylist() if held else []
             for i, t in enumerate(b.column("text")):
                 f = features(t.as_py())
-                found.append(float(w[f].sum()))
+                found.append(tempered(w[f].sum(), len(f)))
                 if held and quality[i] == 1:
                     at, n = np.unique(f, return_counts=True)
-                    without.append(float((n * log_ratio(target[at] - n, total - len(f), share[at])).sum()))
+                    without.append(tempered((n * log_ratio(target[at] - n, total - len(f), share[at])).sum(), len(f)))
                 elif held:
                     without.append(found[-1])
             extra = [pa.array(found, pa.float64()), *([pa.array(without, pa.float64())] if held else [])]
@@ -163,18 +172,21 @@ def kth_largest(df: DataFrame, key: str, k: int) -> float:
             return high
 
 
-def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", quality_col: str = "quality", seed: int = 6) -> DataFrame:
-    """doc_id, log_weight, key (log weight with Gumbel noise), kept."""
-    scores, cut, _ = _scored(docs, labels, id_col, text_col, quality_col, seed)
+def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", quality_col: str = "quality", seed: int = 6, share: float | None = None) -> DataFrame:
+    """doc_id, log_weight, key (log weight with Gumbel noise), kept. share: of the rows to keep; None: as the labels say."""
+    scores, cut, _ = _scored(docs, labels, id_col, text_col, quality_col, seed, share)
     return scores.select("doc_id", "log_weight", "key", (F.col("key") >= cut).alias("kept"))
 
 
-def _scored(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, quality_col: str, seed: int) -> tuple[DataFrame, float, tuple]:
+def _scored(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, quality_col: str, seed: int, share: float | None = None) -> tuple[DataFrame, float, tuple]:
     model, sample = fit(docs, labels, id_col, text_col, quality_col)
     text = F.col(text_col).cast("string")
     rows = docs.select(F.col(id_col).alias("doc_id"), uniform(seed, F.col(id_col).cast("string"), whole_text(text)).alias("u"), text.cast("binary").alias("text"))
     rows = rows.join(F.broadcast(sample), rows["doc_id"].cast("string") == sample["_id"], "left").drop("_id")
     scores = stored(weighed(rows, model, held=True).withColumn("key", noisy("log_weight", "u")), "quality-scores")
+    if share is not None:
+        k = round(share * scores.count())
+        return scores, kth_largest(scores, "key", k) if k else float("inf"), model
     # one row a labelled id, so LABELLED at most; of several rows of an id the smallest weight
     known = scores.where("quality is not null").groupBy(F.col("doc_id").cast("string")).agg(F.min("held_weight").alias("w"), F.min("quality").alias("q")).select("w", "q").collect()
     point = separating([(r[0], r[1]) for r in known])
@@ -187,9 +199,9 @@ def noisy(weight: str, u: str):
     return F.col(weight) - F.log(-F.log(F.col(u)))
 
 
-def keep(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", quality_col: str = "quality", seed: int = 6) -> DataFrame:
+def keep(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", quality_col: str = "quality", seed: int = 6, share: float | None = None) -> DataFrame:
     """docs without the documents that the classifier rejects. Weights are found again beside each row, so no text is shuffled."""
-    _, cut, model = _scored(docs, labels, id_col, text_col, quality_col, seed)
+    _, cut, model = _scored(docs, labels, id_col, text_col, quality_col, seed, share)
     text = F.col(f"row.`{text_col}`").cast("string")
     rows = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("row"))
     rows = rows.select("row", uniform(seed, F.col(f"row.`{id_col}`").cast("string"), whole_text(text)).alias("u"), text.cast("binary").alias("text"))
