@@ -38,7 +38,7 @@ def redact_personal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Mixing: each document as often as the mix takes it, up to three times. A null source is one of its own, last; texts
-    without words are taken in whole copies or by rank, at 0 words; repeated rows are all taken or none."""
+    without words are taken in whole copies or by rank, at 0 words; of repeated rows as many are taken as bring the source nearest to its target."""
     return mixing.mixed(docs.select(*COLUMNS))
 
 
