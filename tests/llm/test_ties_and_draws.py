@@ -1,15 +1,18 @@
-"""Spans of one text by the thousand, rows that share a rank at the cut, and how often the Gumbel draw takes what."""
+"""Spans of one text by the thousand, rows that share a rank at the cut, how often the Gumbel draw takes what, and searches over
+many tiles."""
 
 from __future__ import annotations
 
 import itertools
 import re
+from collections import defaultdict
 
+import numpy as np
 import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from rivulet.llm import importance, mixing, pii
+from rivulet.llm import importance, mixing, pii, topk
 from rivulet.llm.common import uniform
 
 
@@ -60,3 +63,41 @@ def test_share_asked_for(spark):
     assert importance.classify(docs, labels, share=0.25).where("kept").count() == 10
     assert importance.keep(docs, labels, share=0.25).count() == 10
     assert importance.tempered(10.0, importance.TEMPERED * 2) == 5.0 and importance.tempered(10.0, 3) == 10.0
+
+
+def test_search_many_tiles(spark, monkeypatch):
+    monkeypatch.setattr(topk, "CHUNK", 40)
+    monkeypatch.setattr(topk, "BLOCK", 9)
+    monkeypatch.setattr(topk, "FLOATS", 300)  # of 12 components, 25 vectors; of 400, one
+    rng = np.random.default_rng(5)
+    v = [(rng.normal(size=n) * rng.lognormal(0, 1.5)).tolist() for n in rng.choice([12, 3, 400], 700, p=[0.9, 0.09, 0.01])]
+    for i in range(300, 520):
+        v[i] = v[300]  # a third of the rows are one vector
+    df = spark.createDataFrame(list(enumerate(v)), "vec_id long, embedding array<double>")
+    got = defaultdict(list)
+    for r in topk.search(df, F.col("vec_id") % 20 == 0, k=5).orderBy("query_id", "rank").collect():
+        got[r["query_id"]].append((r["vec_id"], r["score"]))
+    w = [np.floor(1024 * np.array(x)).astype(np.int64) for x in v]
+    for q in range(0, 700, 20):
+        scores = sorted((-int(w[q] @ w[i]), i) for i in range(700) if i != q and len(w[i]) == len(w[q]))[:5]
+        assert got[q] == [(i, -s) for s, i in scores]
+
+
+def test_search_prunes_tiles(spark, monkeypatch):
+    """Queries that long candidates satisfy aren't sent to the short ones."""
+    monkeypatch.setattr(topk, "CHUNK", 50)
+    sent = []
+    meet = topk._meet
+    monkeypatch.setattr(topk, "_meet", lambda candidates, routed, k, exact: sent.append(routed.count()) or meet(candidates, routed, k, exact))
+    rng = np.random.default_rng(6)
+    v = np.abs(rng.normal(size=(1000, 8))) + 1
+    v[60:] *= 0.01
+    df = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "vec_id long, embedding array<double>")
+    assert topk.search(df, F.col("vec_id") % 100 == 0).count() == 100
+    assert sent[0] == 10 and sent[1] <= 2 * 10  # of 20 tiles or so
+
+
+def test_scaled_component_overflows(spark):
+    df = spark.createDataFrame([(0, [1e308]), (1, [1.0])], "vec_id long, embedding array<double>")
+    with pytest.raises(Exception, match="does not fit a double"):
+        topk.search(df, F.col("vec_id") % 100 == 0).count()
