@@ -11,8 +11,9 @@ unit of the targets: the prefix of ranks whose words come nearest to what the ce
 
 Scale: a document's row is its id, source, size and random number, stored once; what follows are sums by
 (source, rank bucket), and a sort only within the one bucket per source that the cut falls in (1/256 of a
-source at most). The mix itself is a join with a table of one row per source and class. Nothing is collected.
-The window over sources orders one row per source, the only part that isn't dealt out.
+source at most). The mix itself is a join with a table of one row per source and class. Sources are numbered range by
+range, and the level of their targets comes from sums, so there may be as many sources as web domains; the driver sees
+three numbers a round and two a range.
 
 Defined results
 - null text: 0 words; such documents are taken in whole copies, the rest by rank like others, at 0 words.
@@ -32,6 +33,7 @@ from pyspark.sql import functions as F
 
 from rivulet.durable import stored
 from rivulet.llm.common import uniform_of, whole_text, word_count
+from rivulet.operators.ordered import numbered
 
 #: Rank buckets are so many per unit of log odds; a unit holds a quarter of a source at most.
 PER_UNIT = 64
@@ -51,6 +53,20 @@ def water_fill(df: DataFrame, by: list[str], key: str, weight: str, cap: str, to
     return df.withColumn("_at", level).withColumn(out, F.coalesce(F.least(F.col(cap).cast("double"), F.col("_at") * F.col(weight)), F.col(cap).cast("double"))).drop("_level", "_fits", "_at")
 
 
+def water_level(df: DataFrame, weight: str, cap: str, size: str) -> float:
+    """The level such that min(cap, level * weight) adds up to the sum of size (whole numbers, at most the sum of caps), over
+    all rows. Each round is one sum over the rows: what those at their caps leave, over the weight of the others. The level
+    only rises, each round brings a row more to its cap or is the last, and the driver sees three numbers a round."""
+    level, capped = 0.0, -1
+    while True:
+        full = F.col(cap) <= F.lit(level) * F.col(weight)
+        left = F.sum(size) - F.coalesce(F.sum(F.when(full, F.col(cap))), F.lit(0))
+        got = df.agg(F.count_if(full), left, F.coalesce(F.sum(F.when(~full, F.col(weight))), F.lit(0.0))).first()
+        if got[0] == capped or not got[2]:
+            return level
+        level, capped = max(level, got[1] / got[2]), got[0]
+
+
 def alike(size: Column) -> Column:
     """No preference."""
     return F.lit(1.0)
@@ -86,12 +102,14 @@ def _renamed(df: DataFrame, *names: str) -> DataFrame:
 def plan(rows: DataFrame, weights: tuple[float, ...] = (1, 2, 3), most: int = 3) -> DataFrame:
     """Per source and preference: source, pref, source_size, target, whole (certain copies), p (chance of one
     more), cut (log rank up to which one more is taken; null: none), some (how many of the rows at the cut; null: all)."""
-    classes = rows.groupBy("source", "pref").agg(F.sum("size").alias("class_size"))
+    classes = stored(rows.groupBy("source", "pref").agg(F.sum("size").alias("class_size")), "mix-class-sizes")
     sources = classes.groupBy("source").agg(F.sum("class_size").alias("source_size"))
-    place = F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())) - 1
-    weight = F.element_at(F.array(*(F.lit(float(w)) for w in weights)), (place % len(weights)) + 1)
-    sources = sources.withColumns({"weight": weight, "most": F.col("source_size") * most, "all": F.sum("source_size").over(Window.partitionBy())})
-    sources = water_fill(sources, [], "source", "weight", "most", "all", "target").select("source", "source_size", "target")
+    sources = stored(numbered(sources, [F.col("source").asc_nulls_last()], "place"), "mix-sources")
+    weight = F.element_at(F.array(*(F.lit(float(w)) for w in weights)), ((F.col("place") - 1) % len(weights) + 1).cast("int"))
+    sources = sources.withColumns({"weight": weight, "most": F.col("source_size") * most})
+    level = water_level(sources, "weight", "most", "source_size")
+    target = F.least(F.col("most").cast("double"), F.lit(level) * F.col("weight"))
+    sources = sources.select("source", "source_size", target.alias("target"))
 
     of = _renamed(sources, "source")
     classes = classes.join(of, _same(classes, of, "source")).drop("_source")

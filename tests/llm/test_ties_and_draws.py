@@ -101,3 +101,30 @@ def test_scaled_component_overflows(spark):
     df = spark.createDataFrame([(0, [1e308]), (1, [1.0])], "vec_id long, embedding array<double>")
     with pytest.raises(Exception, match="does not fit a double"):
         topk.search(df, F.col("vec_id") % 100 == 0).count()
+
+
+def test_many_sources(spark):
+    """Sources numbered range by range, and a level that many rounds lead to."""
+    rng = np.random.default_rng(7)
+    sizes = {f"s{i:04d}": int(x) for i, x in enumerate(np.minimum(rng.pareto(0.5, 2000) * 3, 500).astype(int))} | {None: 40}
+    docs = spark.createDataFrame([(i, "w " * n, s) for i, (s, n) in enumerate(sizes.items())], "doc_id long, text string, source string")
+    order = sorted((s for s in sizes if s is not None)) + [None]
+    weight = {s: i % 3 + 1 for i, s in enumerate(order)}
+    target, free, left = {s: 0.0 for s in order}, [s for s in order if sizes[s]], sum(sizes.values())
+    while True:
+        level = left / sum(weight[s] for s in free)
+        over = [s for s in free if level * weight[s] > 3 * sizes[s]]
+        if not over:
+            break
+        for s in over:
+            target[s] = 3.0 * sizes[s]
+            left -= 3 * sizes[s]
+        free = [s for s in free if s not in set(over)]
+    target |= {s: level * weight[s] for s in free}
+    got = {r["source"]: r["target"] for r in mixing.mix(docs).collect()}
+    assert got == pytest.approx(target)
+
+
+def test_level_of_nothing(spark):
+    df = spark.createDataFrame([(1.0, 0, 0), (2.0, 0, 0)], "w double, c long, s long")
+    assert mixing.water_level(df, "w", "c", "s") == 0 == mixing.water_level(df.limit(0), "w", "c", "s")
