@@ -51,6 +51,13 @@ def stored(df: DataFrame, name: str, partition_by: list[str] | None = None) -> D
     return back
 
 
+def reading(df: DataFrame, held: DataFrame) -> DataFrame:
+    """df, made of a frame that `stored` gave: discarding it deletes that frame's folder."""
+    if held in _folders:
+        _folders[df] = _folders[held]
+    return df
+
+
 def discard(df: DataFrame) -> None:
     """Deletes the folder of a frame that `stored` gave, when all that was made of it is itself stored."""
     path = _folders.pop(df, None)

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from rivulet.contracts import as_columns, need
-from rivulet.durable import discard, stored
+from rivulet.durable import discard, reading, stored
 
 #: Bits of the row's number within its range; monotonically_increasing_id() has the range above them.
 _WITHIN = 33
@@ -49,7 +49,7 @@ def numbered(df: DataFrame, order_by: Sequence[str | Column], name: str = "rowid
     """df with name: start + 1, start + 2, ... in the order, over all rows; rows that tie are numbered by a digest.
 
     Each range is counted, and a row's number is its place in its range after all rows of ranges before: no task sees
-    more than a range. An empty table stays empty; nulls come first."""
+    more than a range. An empty table stays empty; nulls come first. `discard` deletes what the result is read from."""
     rows = ranged(df, order_by, ranges)
     sizes = sorted(rows.groupBy(_range().alias("r")).count().collect())  # a row per range
     before, offsets = start, []
@@ -59,7 +59,8 @@ def numbered(df: DataFrame, order_by: Sequence[str | Column], name: str = "rowid
     schema = StructType([StructField("_r", LongType()), StructField("_first", LongType())])
     first = F.broadcast(rows.sparkSession.createDataFrame(offsets, schema))
     within = F.col("_at").bitwiseAND((1 << _WITHIN) - 1)
-    return rows.join(first, _range() == F.col("_r"), "left").withColumn(name, F.col("_first") + within).drop("_at", "_r", "_first")
+    out = rows.join(first, _range() == F.col("_r"), "left").withColumn(name, F.col("_first") + within).drop("_at", "_r", "_first")
+    return reading(out, rows)
 
 
 def fill_spread(df: DataFrame, kind: str, cols: Sequence[str], by: Sequence[str], order_by: Sequence[str | Column], ranges: int | None = None) -> DataFrame:
