@@ -33,6 +33,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rivulet.durable import discard, stored
+from rivulet.operators.ordered import numbered
 
 #: Queries in a block; components in a block or tile; candidates in a tile.
 BLOCK, FLOATS, CHUNK = 16384, 8_000_000, 16384
@@ -136,17 +137,16 @@ _KEY = ["n", "tile", "block"]
 
 def _dealt(held: DataFrame, name: str, most: int) -> DataFrame:
     """held, stored, with its group in a column `name`: runs of at most `most` vectors of one dimension, longest first, and of
-    at most FLOATS components (or one vector). Equal lengths and ids are split, too, by the place that a row is stored at."""
+    at most FLOATS components (or one vector). Equal lengths and ids are split, too."""
     rows, floats = held.agg(F.count("*"), F.sum("n")).first()
     few = min(held.sparkSession.sparkContext.defaultParallelism, rows // 2048)  # small tables are dealt out, too
     parts = max(1, few, -(-rows // most), -(-(floats or 0) // FLOATS))
-    order = [F.col("n"), F.col("square").desc(), F.col("vec_id"), F.col("_copy")]
-    df = held.withColumn("_copy", F.monotonically_increasing_id()).repartitionByRange(parts, *order).sortWithinPartitions(*order)
-    # that id is range << 33 | place in the range
-    df = df.withColumn("_at", F.monotonically_increasing_id())
-    place, part = F.col("_at").bitwiseAND((1 << 33) - 1), F.shiftright("_at", 33)
+    # numbers run over all ranges, so how many groups there are doesn't depend on the ranges that Spark deals
+    placed = numbered(held, [F.col("n"), F.col("square").desc(), F.col("vec_id")], "_place", ranges=parts)
     size = F.greatest(F.lit(1), F.least(F.lit(most), F.floor(F.lit(FLOATS) / F.greatest(F.col("n"), F.lit(1)))))
-    return stored(df.withColumn(name, F.shiftleft(part, 33) + F.floor(place / size)).drop("_copy", "_at"), f"topk-{name}s")
+    out = stored(placed.withColumn(name, F.floor((F.col("_place") - 1) / size)).drop("_place"), f"topk-{name}s")
+    discard(placed)
+    return out
 
 
 def _matrix(of: pa.Table, column: str, n: int) -> np.ndarray:
