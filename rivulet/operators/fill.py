@@ -5,10 +5,10 @@ from __future__ import annotations
 import warnings
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from rivulet.contracts import as_columns, need, window
+from rivulet.contracts import as_columns, from_end, need, window
 from rivulet.operators.ordered import fill_spread
 
 
@@ -44,7 +44,15 @@ def fill_nulls(
     if spread or not by:
         return fill_spread(df, kind, names, by, order_by)
     w = window(by, order_by)
-    w = w.rowsBetween(Window.unboundedPreceding, 0) if kind == "locf" else w.rowsBetween(0, Window.unboundedFollowing)
-    pick = F.last if kind == "locf" else F.first
-    filled = {c: pick(col, ignorenulls=True).over(w) for c, col in zip(names, as_columns(names))}
-    return df.withColumns(filled)
+    if kind == "locf":
+        w = w.rowsBetween(Window.unboundedPreceding, 0)
+    elif all(isinstance(c, str) for c in order_by):
+        w = from_end(by, order_by)
+    else:  # an order of columns can't be turned round, places in it can
+        columns, df, w = df.columns, df.withColumn("_at", F.row_number().over(w)), from_end(by, ["_at"])
+        return df.withColumns(_last(names, w)).select(*as_columns(columns))
+    return df.withColumns(_last(names, w))
+
+
+def _last(names: Sequence[str], w: WindowSpec) -> dict[str, Column]:
+    return {c: F.last(col, ignorenulls=True).over(w) for c, col in zip(names, as_columns(names))}
