@@ -61,7 +61,7 @@ def asof_join(
     elif direction != "forward":
         picked["_b"] = F.last("_right", ignorenulls=True).over(parts.orderBy("_time", is_left, "_tie").rowsBetween(Window.unboundedPreceding, 0))
     if not spread and direction != "backward":
-        picked["_f"] = F.first("_right", ignorenulls=True).over(parts.orderBy("_time", is_left.desc(), "_tie").rowsBetween(0, Window.unboundedFollowing))
+        picked["_f"] = F.last("_right", ignorenulls=True).over(parts.orderBy(F.desc("_time"), is_left, F.desc("_tie")).rowsBetween(Window.unboundedPreceding, 0))
     out = both.withColumns(picked).where("_left is not null")
     if direction == "nearest":
         back, ahead = (F.unix_micros(F.col("_time").cast("timestamp")) - F.unix_micros(F.col("_b._at").cast("timestamp")), F.unix_micros(F.col("_f._at").cast("timestamp")) - F.unix_micros(F.col("_time").cast("timestamp")))

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from rivulet.contracts import need
+from rivulet.contracts import from_end, need
 from rivulet.operators.debounce import debounce
 
 #: Kinds of history rows, in the order in which they stand for an entity.
@@ -69,9 +69,9 @@ def reconstruct(
 
     rows = made.unionByName(changes, allowMissingColumns=True).unionByName(now, allowMissingColumns=True)
     order = Window.partitionBy(key).orderBy("_rank", "timestamp", "last_updated_by", *names)
-    back, ahead = order.rowsBetween(Window.unboundedPreceding, 0), order.rowsBetween(0, Window.unboundedFollowing)
+    back, ahead = order.rowsBetween(Window.unboundedPreceding, 0), from_end([key], ["_rank", "timestamp", "last_updated_by", *names])
     filled = [*names, *both]
-    rows = rows.withColumns({c: F.coalesce(F.last(c, ignorenulls=True).over(back), F.first(c, ignorenulls=True).over(ahead)) for c in filled})
+    rows = rows.withColumns({c: F.coalesce(F.last(c, ignorenulls=True).over(back), F.last(c, ignorenulls=True).over(ahead)) for c in filled})
     kind = F.element_at(F.array(*map(F.lit, KINDS)), F.col("_rank") + 1)
     rows = rows.withColumn("event_subtype", kind)
     out = debounce(rows, [key, "timestamp"], ["_rank", "last_updated_by", *names])
@@ -118,8 +118,8 @@ def reconstruct_open(
     at = [key, "name", "_rank", "timestamp"]
     laid = rows.join(names, key, "left").join(values.groupBy(*at).agg(F.max("value").alias("value")), at, "left")
     order = Window.partitionBy(key, "name").orderBy("_rank", "timestamp")
-    back, ahead = order.rowsBetween(Window.unboundedPreceding, 0), order.rowsBetween(0, Window.unboundedFollowing)
-    laid = laid.withColumn("value", F.coalesce(F.last("value", ignorenulls=True).over(back), F.first("value", ignorenulls=True).over(ahead)))
+    back, ahead = order.rowsBetween(Window.unboundedPreceding, 0), from_end([key, "name"], ["_rank", "timestamp"])
+    laid = laid.withColumn("value", F.coalesce(F.last("value", ignorenulls=True).over(back), F.last("value", ignorenulls=True).over(ahead)))
     entry = F.when(F.col("name").isNotNull() & F.col("value").isNotNull(), F.struct("name", "value"))
     state = F.map_from_entries(F.array_sort(F.collect_list(entry))).alias("state")
     told = laid.groupBy(key, "timestamp", "_rank", "last_updated_by").agg(state)

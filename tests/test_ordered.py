@@ -109,3 +109,18 @@ def test_rowid_and_partition_over_increments(spark, tmp_path):
     got = out.orderBy("id").collect()
     assert [r.rowid for r in got] == list(range(1, 101))
     assert [r.partition for r in got] == [i // 9 + 1 for i in range(100)]
+
+
+def test_frames_end_at_their_row(spark):
+    """A frame from a row to the last is gone through anew for each row; turned round it grows by one."""
+    df = spark.range(400).selectExpr("id", "id % 3 as k", "case when id % 7 = 0 then id end as v")
+    want = [(i, next((j for j in range(i, 400, 3) if j % 7 == 0), None)) for i in range(400)]
+    for order in (["id"], [F.col("id")]):
+        for spread in (False, True):
+            out = fill_nulls(df, "nocb", ["v"], ["k"], order, spread=spread)
+            assert out.columns == df.columns and sorted((r.id, r.v) for r in out.collect()) == want
+            assert "unboundedfollowing" not in out._jdf.queryExecution().executedPlan().toString()
+    for spread in (False, True):
+        out = asof_join(df.select("k", "id"), df.where("v is not null").select("k", "v"), ["k"], "id", "v", ["v"], "forward", spread=spread)
+        assert sorted((r.id, r.v) for r in out.collect()) == want
+        assert "unboundedfollowing" not in out._jdf.queryExecution().executedPlan().toString()
