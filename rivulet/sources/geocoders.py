@@ -10,7 +10,7 @@ from __future__ import annotations
 import time
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
-from functools import reduce
+from functools import partial, reduce
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -57,22 +57,24 @@ class Pace:
         self.next = max(now, self.next) + self.gap
 
 
+def _asked(batches: Iterator[pd.DataFrame], service: Service, names: Sequence[str], valid: str) -> Iterator[pd.DataFrame]:
+    """One frame of answers for a frame of queries, however few a request takes: a frame for each request costs more than asking."""
+    pace = Pace(service.per_second / service.tasks if service.per_second else None)
+    for b in batches:
+        asked, found = b["query"].tolist(), []
+        for i in range(0, len(asked), service.batch):
+            part = asked[i : i + service.batch]
+            pace.wait()
+            said = resilient(lambda part=part: list(service.ask(part)), service.tries, service.pause) or [None] * len(part)
+            found += [(q, *(x.get(n) for n in names)) for q, x in zip(part, said) if x and x.get(valid) is not None]
+        yield pd.DataFrame(found, columns=["query", *names])
+
+
 def answers(queries: DataFrame, service: Service, fields: StructType, valid: str) -> DataFrame:
     """query and fields of the distinct queries (query) that the service answers with a valid field. A batch that fails
     has no answers."""
     schema = StructType([*queries.select("query").schema.fields, *fields.fields])
-    names = fields.names
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        pace = Pace(service.per_second / service.tasks if service.per_second else None)
-        for b in batches:
-            asked = b["query"].tolist()
-            for i in range(0, len(asked), service.batch):
-                part = asked[i : i + service.batch]
-                pace.wait()
-                said = resilient(lambda part=part: list(service.ask(part)), service.tries, service.pause) or [None] * len(part)
-                yield pd.DataFrame([{"query": q} | {n: x.get(n) for n in names} for q, x in zip(part, said) if x and x.get(valid) is not None], columns=["query", *names])
-
+    run = partial(_asked, service=service, names=fields.names, valid=valid)
     return queries.select("query").distinct().repartition(service.tasks).mapInPandas(run, schema)
 
 
