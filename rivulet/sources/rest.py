@@ -1,4 +1,4 @@
-"""A paginated REST table as a Spark data source, one partition per page; and its writing verbs.
+"""A paginated REST table as a Spark data source, one partition per page or, beyond so many, per run of pages; and its writing verbs.
 
     spark.dataSource.register(PagedSource)
     spark.read.format("paged_rest").option("url", ...).option("api_key", ...).schema("id string, ...").load()
@@ -25,6 +25,8 @@ from pyspark.sql.types import StructType
 from rivulet.sources.resilient import resilient
 
 PAGE, TIMEOUT = 100, 3600
+#: Partitions of a read at most: more pages than that go in runs, as a task costs more than a page (in a stream each starts Python anew).
+RUNS = 64
 #: (method, url, api key, body) -> (status, answer)
 Transport = Callable[[str, str, str, object], tuple[int, object]]
 
@@ -61,7 +63,15 @@ def offsets(length: int, offset: int = 0, most: int | None = None, page: int = P
     return [(k, min(page, end - k)) for k in range(offset, end, page)]
 
 
+def runs(length: int, offset: int = 0, most: int | None = None) -> list[tuple[int, int]]:
+    """(offset, limit) of each partition: a page, or as many whole pages as leave `RUNS` partitions."""
+    pages = len(range(offset, length if most is None else min(length, offset + most), PAGE))
+    return offsets(length, offset, most, PAGE * max(1, -(-pages // RUNS)))
+
+
 class Page(InputPartition):
+    """Rows that are read page by page."""
+
     def __init__(self, offset: int, limit: int) -> None:
         self.offset, self.limit = offset, limit
 
@@ -75,11 +85,16 @@ class PagedReader(DataSourceReader):
     def partitions(self) -> Sequence[InputPartition]:
         transport = transport_of(self.options.get("transport"))
         most = self.options.get("max_len")
-        pages = offsets(total(self.url, self.key, transport), int(self.options.get("offset", 0)), int(most) if most else None)
+        pages = runs(total(self.url, self.key, transport), int(self.options.get("offset", 0)), int(most) if most else None)
         return [Page(*p) for p in pages]
 
     def read(self, partition: Page) -> Iterator[tuple]:
-        yield from map(self.text, self.rows(paged_url(self.url, limit=partition.limit, offset=partition.offset)))
+        yield from map(self.text, self.paged(self.url, partition))
+
+    def paged(self, url: str, partition: Page | Span) -> Iterator[dict]:
+        """The rows of a partition's pages."""
+        for offset, limit in offsets(partition.offset + partition.limit, partition.offset):
+            yield from self.rows(paged_url(url, limit=limit, offset=offset))
 
     def text(self, row: dict) -> tuple:
         return tuple(_text(row.get(f)) for f in self.schema.names)
@@ -98,7 +113,7 @@ def _text(x: object) -> str | None:
 
 
 class Span(InputPartition):
-    """A page of the rows changed after one time and not after another."""
+    """Pages of the rows changed after one time and not after another."""
 
     def __init__(self, offset: int, limit: int, after: str, until: str) -> None:
         self.offset, self.limit, self.after, self.until = offset, limit, after, until
@@ -118,7 +133,7 @@ class GrowingReader(DataSourceStreamReader):
         return {"rows": total(self.pages.url, self.pages.key, self.transport)}
 
     def partitions(self, start: dict, end: dict) -> Sequence[InputPartition]:
-        return [Page(*p) for p in offsets(end["rows"], start["rows"])]
+        return [Page(*p) for p in runs(end["rows"], start["rows"])]
 
     def read(self, partition: Page) -> Iterator[tuple]:
         return self.pages.read(partition)
@@ -150,11 +165,10 @@ class ChangedReader(GrowingReader):
         if start["until"] == end["until"]:
             return []
         length = total(self._after(start["until"]), self.pages.key, self.transport)
-        return [Span(*p, start["until"], end["until"]) for p in offsets(length)]
+        return [Span(*p, start["until"], end["until"]) for p in runs(length)]
 
     def read(self, partition: Span) -> Iterator[tuple]:
-        url = paged_url(self._after(partition.after), limit=partition.limit, offset=partition.offset)
-        for row in self.pages.rows(url):
+        for row in self.pages.paged(self._after(partition.after), partition):
             if row.get(self.column) and partition.after < row[self.column] <= partition.until:
                 yield self.pages.text(row)
 
