@@ -11,7 +11,7 @@ from pyspark.sql.types import StructType
 
 from rivulet.catalog import Catalog
 from rivulet.contracts import TIME
-from rivulet.durable import shared_dir
+from rivulet.durable import discard, shared_dir, stored
 from rivulet.sources.rest import PagedSource
 
 
@@ -39,11 +39,12 @@ def follow_service(spark: SparkSession, options: dict[str, str], schema: str, ca
 
     def write(batch: DataFrame, number: int) -> None:
         if not batch.isEmpty():
-            rows = build(batch)
-            if keys:
+            if keys:  # a merge reads its rows several times, the service is asked once
+                rows = stored(build(batch), "service-batch")
                 catalog.merge(out, rows, keys)
+                discard(rows)
             else:
-                catalog.append(out, rows, tag=f"{name}-{number}")
+                catalog.append(out, build(batch), tag=f"{name}-{number}")
 
     source = spark.readStream.format("paged_rest").options(**options).schema(schema).load()
     return source.writeStream.foreachBatch(write).option("checkpointLocation", f"{shared_dir(spark)}/streams/{name}").trigger(availableNow=True).start()
