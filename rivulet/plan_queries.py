@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import uuid
+from bisect import bisect_right
 from functools import lru_cache, reduce
 from urllib.parse import parse_qs, urlparse
 
@@ -12,11 +13,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rivulet.catalog import Catalog
-from rivulet.durable import shared_dir
+from rivulet.durable import discard, shared_dir
 from rivulet.functions.text import epoch_time, excel_time, file_stem, separators
 from rivulet.operators.memo import memoised
 from rivulet.operators.nested import combine_pages, from_json_text
-from rivulet.operators.ordered import chunk_bounds, with_chunk
+from rivulet.operators.ordered import chunk_bounds, numbered, with_chunk
 from rivulet.operators.region import Region
 from rivulet.plans import addresses, census, contributions, duplicates, email, marketing, surveys, unified
 from rivulet.queries import _PAID, EVENT_TYPES, _hmac, _payments, _slugs, _t, query
@@ -535,35 +536,60 @@ def pages_combined(spark: SparkSession, d: str) -> DataFrame:
     return combine_pages([{"things": one, "": two}, {"things": two}])["things"]
 
 
-@lru_cache(maxsize=2)
-def _things(file: str) -> list[dict]:
+#: Rows of a block of the stand-in service's table.
+BLOCK = 10_000
+
+
+def _things(spark: SparkSession, d: str, changed: bool = False, later: bool = False) -> dict[str, object]:
+    """The customers as a service's table, laid out in blocks of rows, a folder each: in the order of their keys or, if changed, of
+    their last change, which for each third is later in a later state."""
+    rows = numbered(_t(spark, d, "customer").select("c_custkey", "c_name", "c_nationkey"), ["c_custkey"], "at")
+    i = F.col("at") - 1
+    clock = F.format_string("%02d:%02d:%02d", F.expr("(at - 1) div 3600 % 24"), F.expr("(at - 1) div 60 % 60"), i % 60)
+    again = F.lit(later) & (F.col("c_custkey") % 3 == 0)
+    told = rows.select("at", "c_custkey", F.when(again, "new").otherwise(F.col("c_name")).alias("name"), "c_nationkey", F.concat(F.when(again, "2024-02-02T").otherwise("2024-01-01T"), clock).alias("updated"))
+    laid = numbered(told.drop("at"), ["updated", "c_custkey"], "at") if changed else told
+    at = f"{shared_dir(spark)}/things-{uuid.uuid4().hex}"
+    blocks = laid.withColumn("block", F.expr(f"(at - 1) div {BLOCK}")).repartition("block").sortWithinPartitions("block", "at")
+    blocks.write.partitionBy("block").parquet(at)
+    for held in (rows, laid):
+        discard(held)
+    return {"at": at, "rows": spark.read.parquet(at).count()}
+
+
+@lru_cache(maxsize=8)
+def _block(at: str, block: int) -> list[dict]:
     import pyarrow.parquet as pq
+    from pyarrow import fs
 
-    rows = pq.read_table(file, columns=["c_custkey", "c_name", "c_nationkey"]).sort_by("c_custkey").to_pylist()
-    return [{"id": str(r["c_custkey"]), "name": r["c_name"], "x": {"y": r["c_nationkey"]}, "updated": f"2024-01-01T{i // 3600 % 24:02}:{i // 60 % 60:02}:{i % 60:02}"} for i, r in enumerate(rows)]
+    store, folder = fs.FileSystem.from_uri(f"{at}/block={block}")
+    files = [x.path for x in store.get_file_info(fs.FileSelector(folder)) if x.path.endswith(".parquet")]
+    rows = [r for f in files for r in pq.ParquetFile(store.open_input_file(f)).read().to_pylist()]
+    return [{"id": str(r["c_custkey"]), "name": r["name"], "x": {"y": r["c_nationkey"]}, "updated": r["updated"]} for r in rows]
 
 
 def table_service(method: str, url: str, key: str, body: object = None) -> tuple[int, object]:
-    """Stands in for a service over the customer table. What it shows is told by the address: a number of rows, of which, in a
-    later state, each third has changed."""
+    """Stands in for a service over the customer table: an answer reads the blocks that its rows lie in. What it shows is told by the
+    address: a table's layout and, of that, a number of rows. Times of change are asked of a layout in their order."""
     asked = {k: v[0] for k, v in parse_qs(urlparse(url).query).items()}
-    rows = _things(asked["file"])[: int(asked.get("shown", 1 << 60))]
-    if "later" in asked:
-        rows = [r | {"name": "new", "updated": "2024-02-02T" + r["updated"][11:]} if int(r["id"]) % 3 == 0 else r for r in rows]
-    rows = [r for r in rows if r["updated"] > asked.get("filters[updated_after]", "")]
+    row = lambda i: _block(asked["at"], i // BLOCK)[i % BLOCK]
+    shown = min(int(asked["rows"]), int(asked.get("shown", 1 << 60)))
+    after = asked.get("filters[updated_after]")
+    places = range(bisect_right(range(shown), after, key=lambda i: row(i)["updated"]) if after else 0, shown)
     if "orders[updated]" in asked:
-        rows = sorted(rows, key=lambda r: r["updated"], reverse=True)
+        places = places[::-1]
     at = int(asked.get("offset", 0))
-    return 200, {"things": rows[at : at + int(asked["limit"])], "meta": {"total": str(len(rows))}}
+    return 200, {"things": [row(i) for i in places[at : at + int(asked["limit"])]], "meta": {"total": str(len(places))}}
 
 
-def _service_at(d: str, **state: object) -> dict[str, str]:
-    return {"url": rest.paged_url("http://service/api/things", file=f"{d}/customer.parquet", **state), "transport": "rivulet.plan_queries:table_service"}
+def _service_at(d: str, table: dict[str, object] | None = None, **state: object) -> dict[str, str]:
+    table = table or _things(SparkSession.active(), d)
+    return {"url": rest.paged_url("http://service/api/things", **table, **state), "transport": "rivulet.plan_queries:table_service"}
 
 
 @query("""SELECT CAST(c_custkey AS VARCHAR) AS id, c_name AS name, '{"y": ' || c_nationkey || '}' AS x FROM customer""")
 def rest_pages(spark: SparkSession, d: str) -> DataFrame:
-    """A paginated source, one partition a page."""
+    """A paginated source, one partition a page or a run of pages."""
     spark.dataSource.register(rest.PagedSource)
     return spark.read.format("paged_rest").options(**_service_at(d)).schema("id string, name string, x string").load()
 
@@ -571,9 +597,9 @@ def rest_pages(spark: SparkSession, d: str) -> DataFrame:
 @query("SELECT CAST(c_custkey AS VARCHAR) AS id, c_name AS name FROM customer")
 def rest_growing(spark: SparkSession, d: str) -> DataFrame:
     """A table that grows, followed as a stream in three goes, the last without news: each row once."""
-    c, name = _catalog(spark), uuid.uuid4().hex
+    c, name, table = _catalog(spark), uuid.uuid4().hex, _things(spark, d)
     for shown in (70, 1 << 40, 1 << 40):
-        follow_service(spark, _service_at(d, shown=shown), "id string, name string", c, "things", query=name).awaitTermination()
+        follow_service(spark, _service_at(d, table, shown=shown), "id string, name string", c, "things", query=name).awaitTermination()
     return c.read("things")
 
 
@@ -581,8 +607,8 @@ def rest_growing(spark: SparkSession, d: str) -> DataFrame:
 def rest_changed(spark: SparkSession, d: str) -> DataFrame:
     """Rows by the time of their change: what changed comes again and is merged by id."""
     c, name = _catalog(spark), uuid.uuid4().hex
-    for state in ({}, {"later": 1}):
-        follow_service(spark, _service_at(d, **state) | {"changed": "updated"}, "id string, name string, updated string", c, "things", ["id"], query=name).awaitTermination()
+    for later in (False, True):
+        follow_service(spark, _service_at(d, _things(spark, d, True, later)) | {"changed": "updated"}, "id string, name string, updated string", c, "things", ["id"], query=name).awaitTermination()
     return c.read("things").select("id", "name")
 
 

@@ -7,6 +7,7 @@ import random
 import sys
 from urllib.parse import parse_qs, urlparse
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -74,6 +75,14 @@ def test_cascade_as_plain(spark):
     assert got == want
 
 
+def test_answers_come_in_frames_of_the_queries():
+    from rivulet.sources.geocoders import _asked
+
+    service = Service("s", one_by_one(lambda q: {"x": 1.0} if q.endswith("1") else None))
+    frames = list(_asked(iter([pd.DataFrame({"query": [f"q{i}" for i in range(500)]})]), service, ["x"], "x"))
+    assert len(frames) == 1 and frames[0]["query"].tolist() == [f"q{i}" for i in range(1, 500, 10)]
+
+
 def test_street_expressions(spark):
     names = "street1 string, street2 string, city string, state string, postal_code string, country string, `parsed.house_number` string, `parsed.road` string"
     rows = [
@@ -123,3 +132,27 @@ def test_service_followed(spark, tmp_path):
         follow_service(spark, _service_at("/root/testdata/sf0.001", shown=shown), "id string, name string", c, "things", query=f"q{tmp_path.name}").awaitTermination()
         got = c.read("things")
         assert got.count() == n and got.select("id").distinct().count() == n
+
+
+def test_runs_of_pages():
+    """Many pages make no more partitions than `RUNS`; few are a partition each."""
+    assert rest.runs(250, 30) == rest.offsets(250, 30) and rest.runs(0) == []
+    some = rest.runs(5_400_030, 30)
+    assert len(some) <= rest.RUNS and some[0][0] == 30 and sum(n for _, n in some) == 5_400_000
+    assert all(a + n == b and n % rest.PAGE == 0 for (a, n), (b, _) in zip(some, some[1:]))
+
+
+def test_stand_in_service_reads_blocks(spark, monkeypatch):
+    """An answer reads the blocks of its rows alone, and times of change are found without going through the table."""
+    from rivulet import plan_queries as q
+
+    monkeypatch.setattr(q, "BLOCK", 10)
+    table = q._things(spark, "/root/testdata/sf0.001", True, True)
+    ask = lambda **o: q.table_service("GET", rest.paged_url(q._service_at("", table)["url"], **o), "")[1]
+    q._block.cache_clear()
+    first = ask(limit=10, offset=0)["things"]
+    assert q._block.cache_info().misses == 1 and len(first) == 10 and int(ask(limit=1)["meta"]["total"]) == table["rows"] == 150
+    late = ask(limit=100, offset=0, **{"filters[updated_after]": "2024-02-01"})
+    assert all(int(r["id"]) % 3 == 0 and r["name"] == "new" for r in late["things"])
+    assert int(late["meta"]["total"]) == len(late["things"]) == 50
+    assert ask(limit=1, **{"orders[updated]": "DESC"})["things"] == late["things"][-1:]
