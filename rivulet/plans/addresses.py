@@ -181,12 +181,13 @@ def geocode(df: DataFrame, services: Sequence[Service], catalog: Catalog, name:
 
 def inside(lat: Column, lon: Column, ring: Sequence[tuple[float, float]]) -> Column:
     """Whether a point lies in a polygon of few corners, given as (lat, lon), by one expression: an odd number of edges to one
-    side of it. A region of many corners, of parts or with holes is a `Region`."""
-    crossed = []
+    side of it. Points of the edges themselves aren't inside. A region of many corners, of parts or with holes is a `Region`."""
+    crossed, on = [], F.lit(False)
     for (a, b), (c, d) in zip(ring, [*ring[1:], ring[0]]):
+        on |= lat.between(min(a, c), max(a, c)) & lon.between(min(b, d), max(b, d)) & ((lat - a) * (d - b) == (lon - b) * (c - a))
         if a != c:
             crossed.append((((lat >= min(a, c)) & (lat < max(a, c))) & (lon < (lat - a) * ((d - b) / (c - a)) + b)).cast("int"))
-    return reduce(lambda x, y: x + y, crossed, F.lit(0)) % 2 == 1
+    return (reduce(lambda x, y: x + y, crossed, F.lit(0)) % 2 == 1) & ~on
 
 
 def reverse_census(df: DataFrame, ask: Callable[[float, float], str | None], country: Region, catalog: Catalog, name: str = "reverse_census", tasks: int = 1, per_second: float | None = None) -> DataFrame:
