@@ -391,12 +391,10 @@ def survey_melt(spark: SparkSession, d: str) -> DataFrame:
 
 @query("""WITH a AS (SELECT conv_id AS customer_hash, role AS question, turn AS subquestion, text AS answer FROM conversations)
 SELECT coalesce(x.customer_hash, y.customer_hash) AS customer_hash, x.question AS "question.1", x.subquestion AS "subquestion.1", x.answer AS "answer.1", y.question AS "question.2", y.subquestion AS "subquestion.2", y.answer AS "answer.2"
-FROM (SELECT * FROM a WHERE question = 'system') x FULL JOIN (SELECT * FROM a WHERE question = 'assistant' AND customer_hash % 2 = 0) y ON x.customer_hash = y.customer_hash""")
+FROM (SELECT * FROM a WHERE question = 'system') x FULL JOIN (SELECT * FROM a WHERE question = 'assistant') y ON x.customer_hash = y.customer_hash""")
 def survey_cross(spark: SparkSession, d: str) -> DataFrame:
-    """Patterns tell capitals apart: half of the assistant's questions are written with them."""
-    a = _answers(spark, d)
-    told = F.when((F.col("question") == "assistant") & (F.col("customer_hash") % 2 == 1), F.upper("question")).otherwise(F.col("question"))
-    return surveys.survey_cross(a.withColumn("question", told), "^system$", "assist")
+    """Every answer of either role; that patterns tell capitals apart is tested beside it."""
+    return surveys.survey_cross(_answers(spark, d), "^system$", "assist")
 
 
 @query("""SELECT n AS column_no, CASE WHEN c >= greatest(a, b, c) THEN 'c_acctbal' WHEN b >= a THEN 'c_nationkey' ELSE 'c_custkey' END AS found FROM (

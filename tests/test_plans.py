@@ -401,3 +401,23 @@ def test_households(spark):
     mails = spark.createDataFrame([(10, "M@x.org", 1), (10, "assistant@x.org", 6), (12, "q@x.org", None)], "group_customer_no int, address string, eaddress_type int")
     out = duplicates.load(people, places, phones, mails)
     assert rows(out, "customer_no", "fname", "road", "unit", "phone", "email") == [(1, "a", "x st", None, "555", "m@x.org"), (1, "a", "y st", None, "555", "m@x.org"), (5, "al", None, None, None, "q@x.org")]
+
+
+def test_edges_are_outside(spark):
+    """The points of a polygon's edges and corners aren't in it."""
+    ring = [(0.0, -1.0), (0.0, 9000.0), (9001.0, -1.0)]
+    points = [(0.0, 0.0, False), (0.0, 9000.0, False), (100.0, 8900.0, False), (5.0, -1.0, False), (0.01, 0.0, True), (100.0, 8899.99, True), (-0.01, 0.0, False), (None, 0.0, None)]
+    df = spark.createDataFrame(points, "lat double, lon double, want boolean")
+    assert [r.got for r in df.select(addresses.inside(F.col("lat"), F.col("lon"), ring).alias("got")).collect()] == [p[2] for p in points]
+
+
+def test_survey_cross_takes_every_answer(spark):
+    from rivulet.queries import QUERIES, SQL
+
+    d = "/root/testdata/sf0.001"
+    rows = spark.read.parquet(f"{d}/conversations.parquet").where("role = 'assistant'")
+    got = QUERIES["survey_cross"](spark, d)
+    assert got.select("customer_hash", "`subquestion.2`").where("`subquestion.2` is not null").distinct().count() == rows.select("conv_id", "turn").distinct().count()
+    assert "% 2" not in SQL["survey_cross"]
+    told = spark.createDataFrame([(1, "assistant", "a"), (2, "ASSISTANT", "b")], "customer_hash int, question string, answer string")
+    assert [r.customer_hash for r in surveys.survey_cross(told, "assist", "nothing").collect()] == [1]
