@@ -124,3 +124,12 @@ def test_frames_end_at_their_row(spark):
         out = asof_join(df.select("k", "id"), df.where("v is not null").select("k", "v"), ["k"], "id", "v", ["v"], "forward", spread=spread)
         assert sorted((r.id, r.v) for r in out.collect()) == want
         assert "unboundedfollowing" not in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_chunks_are_searched_by_halves(spark):
+    """No row is compared with the bounds one by one, nor with the ends of blocks of them."""
+    bounds = [-5, 0, 7, 7_000_000]
+    df = spark.createDataFrame([(-6,), (-5,), (0,), (1,), (8,), (7_000_001,), (None,)], "u long").select("u", F.timestamp_micros("u").alias("t"))
+    out = with_chunk(df, "t", bounds)
+    assert {r.u: r.partition for r in out.collect()} == {-6: 1, -5: 1, 0: 2, 1: 3, 8: 4, 7_000_001: 5, None: None}
+    assert "filter(" not in out._jdf.queryExecution().optimizedPlan().toString()
