@@ -8,7 +8,8 @@ each piece is projected to a span of bytes of the original text.
 
 Merging is the library's, on stretches of normalised text between which no piece can lie: a stretch ends before a
 meta symbol and at any character that no piece but a byte holds. Equal stretches, mostly words, are merged once and
-kept in a bounded table per task. A model whose pieces hold a meta symbol after another character isn't cut.
+kept, as the bytes of their ids, in a table per task of bounded number and length; longer stretches aren't kept. A model
+whose pieces hold a meta symbol after another character isn't cut.
 
 Defined results
 - null text: as empty: no ids, and the empty text decoded.
@@ -22,17 +23,21 @@ import hashlib
 import re
 import struct
 from collections.abc import Iterator
+from itertools import accumulate, chain
+from typing import TYPE_CHECKING
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rivulet.llm.common import released
 
+if TYPE_CHECKING:  # imported, it takes 27 MB of each worker, also of those that use Arrow alone
+    import pandas as pd
+
 META = "▁"
-#: Merged stretches a task keeps.
-KEPT = 100_000
+#: Merged stretches a task keeps, characters of the longest kept, stretches given to the library at once.
+KEPT, LONGEST, AT_ONCE = 20_000, 48, 10_000
 
 
 class CharMap:
@@ -103,7 +108,6 @@ class Coder:
         spec = proto.normalizer_spec
         self.map = CharMap(spec.precompiled_charsmap)
         self.prefix, self.squeeze, self.escape = spec.add_dummy_prefix, spec.remove_extra_whitespaces, spec.escape_whitespaces
-        self.decoder = sentencepiece.SentencePieceProcessor(model_file=path)
         spec.precompiled_charsmap, spec.add_dummy_prefix, spec.remove_extra_whitespaces, spec.name = b"", False, False, "identity"
         self.merger = sentencepiece.SentencePieceProcessor(model_proto=proto.SerializeToString())
         plain = [p.piece for p in proto.pieces if p.type in (1, 4)]
@@ -111,9 +115,11 @@ class Coder:
         breaks = "".join(re.escape(c) for c in "\n\t\r" if c not in held)
         whole = any(META in p.lstrip(META) for p in plain) or any(p.type == 4 for p in proto.pieces)
         self.stretch = re.compile("(?s).+" if whole else f"[{breaks}]|{META}*[^{META}{breaks}]+|{META}+" if breaks else f"{META}*[^{META}]+|{META}+")
-        self.kept: dict[str, tuple[str, str, bytes]] = {}
+        self.kept: dict[str, bytes] = {}
         self.bytes = {i: int(p.piece[3:-1], 16) for i, p in enumerate(proto.pieces) if p.type == 6}
-        said = {1: lambda p: p.piece.replace(META, " "), 2: lambda p: proto.trainer_spec.unk_surface, 4: lambda p: p.piece.replace(META, " ")}
+        #: Bytes that are no character alone.
+        self.parts = {i for i, b in self.bytes.items() if b > 0x7F}
+        said = {1: lambda p: p.piece.replace(META, " "), 2: lambda p: proto.trainer_spec.unk_surface, 4: lambda p: p.piece.replace(META, " "), 6: lambda p: chr(int(p.piece[3:-1], 16)) if int(p.piece[3:-1], 16) < 0x80 else ""}
         self.sizes = np.array([1 if p.type == 6 else len(p.piece.encode()) for p in proto.pieces], np.int64)
         #: Bytes of the original text per piece where spaces alone are replaced; -1 for what is no whole characters.
         self.plain = not (self.map.units or self.squeeze) and self.escape
@@ -143,15 +149,20 @@ class Coder:
             text, starts = " " + text, np.append(0, starts)
         return (text.replace(" ", META) if self.escape else text), starts
 
-    def _merge(self, stretches: list[str]) -> None:
-        if len(self.kept) + len(stretches) > KEPT:
-            self.kept.clear()
-        for s, ids in zip(stretches, self.merger.encode(stretches, num_threads=1)):
-            self.kept[s] = ",".join(map(str, ids)), self.said(ids), np.array(ids, np.int32).tobytes()
+    def _merge(self, stretches: list[str]) -> dict[str, bytes]:
+        """The ids of different stretches, each as int32."""
+        found: dict[str, bytes] = {}
+        for k in range(0, len(stretches), AT_ONCE):
+            some = stretches[k : k + AT_ONCE]
+            got = self.merger.encode(some, num_threads=1)
+            ends = [0, *accumulate([4 * len(ids) for ids in got])]
+            ids = np.fromiter(chain.from_iterable(got), np.int32, ends[-1] // 4).tobytes()
+            found.update(zip(some, [ids[x:y] for x, y in zip(ends, ends[1:])]))
+        return found
 
     def said(self, ids: list[int]) -> str:
         """What ids decode to, with the space that stands before the text."""
-        if self.bytes.keys().isdisjoint(ids):
+        if self.parts.isdisjoint(ids):
             return "".join([self.pieces[i] for i in ids])
         out, held = [], bytearray()
         for i in ids:
@@ -163,29 +174,32 @@ class Coder:
             out.append(self.pieces[i])
         return "".join([*out, held.decode(errors="replace")])
 
-    def _merged(self, new: str) -> list[tuple[str, str, bytes]]:
-        """Of each stretch of normalised text: its ids in decimal, what they decode to, and the ids as int32."""
+    def _merged(self, new: str) -> np.ndarray:
+        """The ids of normalised text."""
         parts = self.stretch.findall(new)
         kept = self.kept
-        missing = [s for s in parts if s not in kept]
-        if missing:
-            self._merge(list(dict.fromkeys(missing)))
-            missing = [s for s in parts if s not in kept]  # the table was emptied
-            if missing:
-                self._merge(list(dict.fromkeys(missing)))
-        return [kept[s] for s in parts]
+        missing = list(dict.fromkeys([s for s in parts if s not in kept]))
+        if not missing:
+            return np.frombuffer(b"".join([kept[s] for s in parts]), np.int32)
+        found = self._merge(missing)
+        ids = np.frombuffer(b"".join([found[s] if s in found else kept[s] for s in parts]), np.int32)
+        short = [s for s in missing if len(s) <= LONGEST][:KEPT]
+        if len(kept) + len(short) > KEPT:
+            kept.clear()
+        kept.update({s: found[s] for s in short})
+        return ids
 
     def joined(self, text: str) -> tuple[int, str, str]:
         """Number of ids, the ids in decimal joined by commas, and the text they decode to."""
-        return self._told(self._merged(self.normalise(text)[0]))
+        ids = self._merged(self.normalise(text)[0])
+        return len(ids), *self._told(ids)
 
-    def _told(self, found: list[tuple[str, str, bytes]]) -> tuple[int, str, str]:
-        ids, said = ",".join([x[0] for x in found]), "".join([x[1] for x in found])
-        return ids.count(",") + 1 if ids else 0, ids, said[1:] if self.prefix and said[:1] == " " else said
+    def _told(self, found: np.ndarray) -> tuple[str, str]:
+        ids = found.tolist()
+        return ",".join(map(str, ids)), self.decode(ids)
 
     def encode(self, text: str) -> list[int]:
-        told = self.joined(text)[1]
-        return [int(x) for x in told.split(",")] if told else []
+        return self._merged(self.normalise(text)[0]).tolist()
 
     def spans(self, text: str) -> list[tuple[int, int, int]]:
         """(id, first byte, end byte) of the original text per piece; the spans are in order, and bytes of one
@@ -195,9 +209,7 @@ class Coder:
         out, char, within = [], 0, 0
         for i in self.encode(text):
             begin = char
-            n = 1 if i in self.bytes else len(self.decoder.id_to_piece(i).encode())
-            if self.decoder.is_unknown(i):
-                n = lengths[char]
+            n = lengths[char] if i in self.unknown else int(self.sizes[i])
             within += n
             while char < len(lengths) and within >= lengths[char]:
                 within -= lengths[char]
@@ -210,16 +222,14 @@ class Coder:
         """ids in decimal joined by commas, the text they decode to, ids, and first and end bytes of the original text:
         what spans() gives, for all pieces at once."""
         if self.plain and META not in text:
-            found = self._merged((" " + text if self.prefix and text else text).replace(" ", META))
-            ids = np.frombuffer(b"".join([x[2] for x in found]), np.int32)
+            ids = self._merged((" " + text if self.prefix and text else text).replace(" ", META))
             sizes = self.sources[ids]
             if not len(ids) or sizes.min() > 0:  # each piece is whole characters, so lengths give the places
                 ends = np.cumsum(sizes) - self.prefix
-                return *self._told(found)[1:], ids, np.maximum(ends - sizes, 0), ends
+                return *self._told(ids), ids, np.maximum(ends - sizes, 0), ends
         new, starts = self.normalise(text) if self.map.units or self.squeeze else self._plain(text)
-        found = self._merged(new)
-        _, told, said = self._told(found)
-        ids = np.frombuffer(b"".join([x[2] for x in found]), np.int32)
+        ids = self._merged(new)
+        told, said = self._told(ids)
         if self.unknown and np.isin(ids, self.unknown).any():
             rows = np.array(self.spans(text), np.int64).reshape(-1, 3)
             return told, said, ids, rows[:, 1], rows[:, 2]
@@ -247,6 +257,7 @@ def coder(path: str) -> Coder:
 
 def encode(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, ids array<int>, starts and ends array<int> (bytes of the original text per piece), decoded."""
+    import pandas as pd
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         c = coder(model)
